@@ -1,0 +1,5 @@
+"""Nothing here: every input of this work is a whole table, and no operator keeps stream state.
+
+The row-wise functions in ``txlab.operators.rows`` are narrow column
+expressions, so they also apply to a streaming DataFrame as they are.
+"""
