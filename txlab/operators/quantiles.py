@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 100_000
-_MARGIN = 4  # in units of the sketch's rank error
+_MARGIN = 5  # in units of the sketch's rank error
 
 
 def exact_quantiles(
@@ -18,7 +18,8 @@ def exact_quantiles(
 
     A mergeable sketch gives a bracket around every quantile.  Rows below it
     are counted, and only the distinct values inside it (a share of about
-    8 / accuracy of the rows) are put in order, so the answer is exact.
+    10 / accuracy of the rows) are put in order, so the answer is exact.  Below
+    ``accuracy`` rows the bracket is the whole range.
     """
     values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
     margin = _MARGIN / accuracy
@@ -27,12 +28,21 @@ def exact_quantiles(
     sketch = (
         values.agg(
             F.percentile_approx("v", edges, accuracy).alias("edges"),
+            F.min("v").alias("min"),
+            F.max("v").alias("max"),
             F.count("v").alias("n"),
         )
-        .select(F.struct("edges", "n"))
+        .select(F.struct("edges", "min", "max", "n"))
         .scalar()
     )
-    bracket = [(sketch["edges"][i], sketch["edges"][count + i]) for i in range(count)]
+    few = sketch["n"] < accuracy
+    bracket = [
+        (
+            F.when(few, sketch["min"]).otherwise(sketch["edges"][i]),
+            F.when(few, sketch["max"]).otherwise(sketch["edges"][count + i]),
+        )
+        for i in range(count)
+    ]
     below = (
         values.agg(
             *[F.count(F.when(F.col("v") < low, 1)).alias(f"b{i}") for i, (low, _) in enumerate(bracket)]

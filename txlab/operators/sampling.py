@@ -93,12 +93,14 @@ def select_entities(
 def is_selected(df: DataFrame, entity: str, share: float, salt: str = "sel") -> Column:
     """Membership in ``select_entities`` as a filter on rows, without a join.
 
-    The selected entities are those with the lowest hash, so the highest one
-    selected (a single value) decides for every row.
+    The selected entities are those with the lowest hash, so the last one
+    selected decides for every row.  That single value is fetched once.
     """
     place = F.struct(uniform(entity, salt=salt).alias("h"), F.col(entity).alias("k"))
-    highest = select_entities(df, entity, share, salt).agg(F.max(place)).scalar()
-    return F.coalesce(place <= highest, F.lit(False))
+    last = select_entities(df, entity, share, salt).agg(F.max(place).alias("p")).first()["p"]
+    if last is None:
+        return F.lit(False)
+    return place <= F.struct(F.lit(last["h"]).alias("h"), F.lit(last["k"]).alias("k"))
 
 
 @dataclass(frozen=True)
