@@ -114,8 +114,8 @@ def thin_and_rewrite(
         F.col("category").isin(*categories) & F.col("subcategory").isNull(), F.lit(False)
     )
     by = ["category"]
-    kept = sample_fraction(
-        cases.filter(is_target), by, 1, 3, [key], "thin", rows_per_task
+    kept = stage(
+        sample_fraction(cases.filter(is_target), by, 1, 3, [key], "thin", rows_per_task)
     )
     marked = stage(
         mark_lowest(kept, by, [key], integer_share(5, 6), "rewrite", "_rewrite", rows_per_task)

@@ -8,7 +8,7 @@ from txlab.functions import calendar as cal
 from txlab.functions import columns as C
 from txlab.queries.oracle import exact_sum, last_friday, on_tx, texts
 from txlab.queries.registry import query
-from txlab.sources.ledger import INCOMING_TEXT, ledger
+from txlab.sources.ledger import INCOMING_TEXT, ledger, table
 
 DESCRIPTIONS = ("red ring", "blue bolt", "old gear")
 
@@ -37,7 +37,7 @@ def in_list(spark, sf_dir):
            CAST(o_orderdate AS DATE) AS day FROM orders""",
 )
 def parse_datetime(spark, sf_dir):
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = table(spark, sf_dir, "orders")
     written = orders.select(
         "o_orderkey",
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSSSSSSSS").alias("at"),
@@ -122,7 +122,7 @@ def frames(spark, sf_dir):
     FROM orders GROUP BY o_custkey""",
 )
 def day_sequence(spark, sf_dir):
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = table(spark, sf_dir, "orders")
     last = orders.groupBy(F.col("o_custkey").alias("customer_id")).agg(
         cal.month_end(F.min(F.col("o_orderdate").cast("date"))).alias("last")
     )
@@ -156,7 +156,7 @@ def arithmetic(spark, sf_dir):
     FROM lineitem GROUP BY l_quantity""",
 )
 def half_even(spark, sf_dir):
-    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    rows = table(spark, sf_dir, "lineitem")
     counts = rows.groupBy((F.col("l_quantity") / 2).alias("half")).agg(F.count(F.lit(1)).alias("n"))
     return counts.select("half", C.half_even("half").alias("whole"), "n")
 

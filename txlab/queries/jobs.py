@@ -85,7 +85,7 @@ TEXT_SYNONYMS = {"Investment": "Savings", "Groceries": "Shopping"}
     ),
 )
 def describe(spark, sf_dir):
-    cases = views.cases(spark, sf_dir)
+    cases = stage(views.cases(spark, sf_dir))
     pool = cases.select("fraud_type", "description", "category").distinct()
     bare = cases.drop("description", "category")
     return C.describe_cases(bare, pool, synonyms=TEXT_SYNONYMS)
@@ -132,8 +132,7 @@ BLENDED = (
 
 def blended(spark, sf_dir):
     cases = views.cases(spark, sf_dir).filter(~F.col("category").isin("Housing", "Utilities"))
-    texts = ledger(spark, sf_dir, ("category", "subcategory", "description")).distinct()
-    mapped = map_categories(texts, BLEND_MAPPING)
+    mapped = map_categories(views.texts(spark, sf_dir), BLEND_MAPPING)
     return C.blend_descriptions(stage(cases), mapped)
 
 
@@ -166,8 +165,8 @@ THINNED = (
 
 
 def thinned(spark, sf_dir):
-    texts = ledger(spark, sf_dir, ("category", "subcategory", "description")).distinct()
-    return C.thin_and_rewrite(stage(blended(spark, sf_dir)), texts, REWRITTEN)
+    cases = stage(blended(spark, sf_dir))
+    return C.thin_and_rewrite(cases, views.texts(spark, sf_dir), REWRITTEN)
 
 
 @query("k4_thin_rewrite", on_tx("SELECT * FROM thinned", *BLENDED, *THINNED))

@@ -11,7 +11,7 @@ from txlab.operators import joins as J
 from txlab.operators import sampling as R
 from txlab.queries.oracle import between, exact_sum, index, on_tx, pairs, rank
 from txlab.queries.registry import query
-from txlab.sources.ledger import ledger
+from txlab.sources.ledger import ledger, table
 
 FRAUD = "f AS (SELECT * FROM tx WHERE fraud_type <> 'none')"
 MAPPING = {
@@ -198,7 +198,7 @@ def zip_columns(spark, sf_dir):
     FROM customer, frames, (VALUES {pairs(S.MONTHLY_CAPS)}) caps(category, cap)""",
 )
 def skeleton(spark, sf_dir):
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+    customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id")
     )
     return J.skeleton(customers, F.lit(START).cast("date"), MONTHS, S.MONTHLY_CAPS)

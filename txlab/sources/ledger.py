@@ -12,6 +12,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txlab.sources.files import read_table
+
 # Roles of the part types in the transaction model.
 CATEGORY_OF_TYPE = {
     "PROMO": "Cash Withdrawal",
@@ -31,56 +33,65 @@ FRAUD_OF_PRIORITY = {
 INCOMING_TEXT = "ring"
 
 
-def _lookup(column: str, values: dict[str, str], default: str):
-    expression = None
-    for key, value in values.items():
-        hit = F.col(column) == key
-        expression = F.when(hit, value) if expression is None else expression.when(hit, value)
-    return expression.otherwise(default)
-
-
-def _columns():
-    labelled = (F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 49)
-    bank = lambda nation: F.concat(F.lit("bank_"), (F.col(nation) % 5).cast("string"))
-    return {
-        "tx_id": (
-            F.concat_ws(
-                "|",
-                F.col("l_orderkey").cast("string"),
-                F.col("l_linenumber").cast("string"),
-                F.col("l_partkey").cast("string"),
-                F.col("l_suppkey").cast("string"),
-                F.col("l_quantity").cast("int").cast("string"),
-                F.col("l_shipdate").cast("date").cast("string"),
-            ),
-            (),
-        ),
-        "case_id": (F.col("l_orderkey"), ()),
-        "customer_id": (F.col("o_custkey"), ("orders",)),
-        "tx_date": (F.col("o_orderdate").cast("date"), ("orders",)),
-        "category": (_lookup("p_type", CATEGORY_OF_TYPE, "Shopping"), ("part",)),
-        "subcategory": (F.col("p_brand"), ("part",)),
-        "description": (F.col("p_name"), ("part",)),
-        "amount": (F.col("l_extendedprice"), ()),
-        "tx_type": (
-            F.when(F.col("l_linestatus") == "F", "income").otherwise("spending"),
-            (),
-        ),
-        "labelled": (labelled, ()),
-        "fraud_type": (
-            F.when(~labelled, "none").otherwise(
-                _lookup("o_orderpriority", FRAUD_OF_PRIORITY, "CEO")
-            ),
-            ("orders",),
-        ),
-        "bank_from": (bank("c_nationkey"), ("orders", "customer")),
-        "bank_to": (
-            F.when(F.col("p_type") != "PROMO", bank("s_nationkey")),
-            ("part", "supplier"),
-        ),
-    }
+_TABLES = {
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+        "c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_table(spark, f"{sf_dir}/{name}.parquet", _TABLES[name], fmt="parquet")
 
 
+def _case(column: str, values: dict[str, str], default: str) -> str:
+    rules = " ".join(f"WHEN '{key}' THEN '{value}'" for key, value in values.items())
+    return f"CASE {column} {rules} ELSE '{default}' END"
+
+
+_LABELLED = "l_returnflag = 'R' AND l_quantity >= 49"
+# Column: its expression and the tables it needs beside `lineitem`.
+_COLUMNS: dict[str, tuple[str, tuple[str, ...]]] = {
+    "tx_id": (
+        "concat_ws('|', string(l_orderkey), string(l_linenumber), string(l_partkey), "
+        "string(l_suppkey), string(int(l_quantity)), string(date(l_shipdate)))",
+        (),
+    ),
+    "case_id": ("l_orderkey", ()),
+    "customer_id": ("o_custkey", ("orders",)),
+    "tx_date": ("date(o_orderdate)", ("orders",)),
+    "category": (_case("p_type", CATEGORY_OF_TYPE, "Shopping"), ("part",)),
+    "subcategory": ("p_brand", ("part",)),
+    "description": ("p_name", ("part",)),
+    "amount": ("l_extendedprice", ()),
+    "tx_type": ("if(l_linestatus = 'F', 'income', 'spending')", ()),
+    "labelled": (_LABELLED, ()),
+    "fraud_type": (
+        f"if({_LABELLED}, {_case('o_orderpriority', FRAUD_OF_PRIORITY, 'CEO')}, 'none')",
+        ("orders",),
+    ),
+    "bank_from": ("concat('bank_', string(c_nationkey % 5))", ("orders", "customer")),
+    "bank_to": (
+        "if(p_type = 'PROMO', null, concat('bank_', string(s_nationkey % 5)))",
+        ("part", "supplier"),
+    ),
+}
+
 LEDGER_COLUMNS = (
     "tx_id",
     "customer_id",
@@ -107,11 +118,10 @@ def ledger(
     spark: SparkSession, sf_dir: str, columns: Iterable[str] = LEDGER_COLUMNS
 ) -> DataFrame:
     """The ledger's ``columns``, one row per line item."""
-    wanted = {name: _columns()[name] for name in columns}
-    tables = {table for _, needs in wanted.values() for table in needs}
-    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    for table, foreign_key, key in _JOINS:
-        if table in tables:
-            side = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-            rows = rows.join(side, F.col(foreign_key) == F.col(key))
-    return rows.select(*[expression.alias(name) for name, (expression, _) in wanted.items()])
+    wanted = {name: _COLUMNS[name] for name in columns}
+    needed = {name for _, needs in wanted.values() for name in needs}
+    rows = table(spark, sf_dir, "lineitem")
+    for name, foreign_key, key in _JOINS:
+        if name in needed:
+            rows = rows.join(table(spark, sf_dir, name), F.col(foreign_key) == F.col(key))
+    return rows.selectExpr(*[f"{expression} AS {name}" for name, (expression, _) in wanted.items()])

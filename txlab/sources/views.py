@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlab.functions.columns import money_mean
-from txlab.sources.ledger import ledger
+from txlab.sources.ledger import ledger, table
+from txlab.sources.staging import stage
 
 # Catalogue bounds are in thousands, so that some draws fall under one unit.
 CATALOGUE_UNIT = 1000.0
@@ -14,15 +15,20 @@ CATALOGUE_UNIT = 1000.0
 
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct texts with the amount bounds (min, max, mean) of their subcategory."""
-    rows = ledger(spark, sf_dir, ("category", "subcategory", "description", "amount"))
+    rows = ledger(spark, sf_dir, ("subcategory", "amount"))
     unit = F.lit(CATALOGUE_UNIT)
     bounds = rows.groupBy("subcategory").agg(
         (F.min("amount") / unit).alias("min"),
         (F.max("amount") / unit).alias("max"),
         (money_mean("amount") / unit).alias("mean"),
     )
-    texts = rows.select("category", "subcategory", "description").distinct()
-    return texts.join(bounds, "subcategory")
+    return stage(texts(spark, sf_dir).join(bounds, "subcategory"))
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct texts of the ledger, written once as a catalogue would be."""
+    columns = ("category", "subcategory", "description")
+    return stage(ledger(spark, sf_dir, columns).distinct())
 
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +43,7 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    rows = table(spark, sf_dir, "customer")
     return rows.select(F.col("c_custkey").alias("customer_id"))
 
 
