@@ -7,13 +7,15 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+from txlab.session import configured  # noqa: E402
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     builder = (
-        SparkSession.builder.master("local[8]")
+        configured(SparkSession.builder.master("local[8]"))
         .appName("txlab-tests")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )

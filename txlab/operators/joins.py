@@ -2,12 +2,13 @@
 
 No side is hinted for broadcast here: Spark decides from the size of the
 written table or, at run time, from the shuffled bytes, and splits skewed
-partitions of hot keys.
+partitions of hot keys.  Key lists are made distinct before they are shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -31,25 +32,25 @@ def attach_total(
 
 def remove_rows(df: DataFrame, removed: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``removed``; a key listed twice removes no more."""
-    return df.join(removed.select(*key), list(key), "left_anti")
+    return df.join(removed.select(*key).distinct(), list(key), "left_anti")
 
 
 def keep_customers(
     df: DataFrame, customers: DataFrame, on: str = "customer_id"
 ) -> DataFrame:
-    return df.join(customers.select(on), on, "left_semi")
+    return df.join(customers.select(on).distinct(), on, "left_semi")
 
 
 def exclude_customers(
     df: DataFrame, customers: DataFrame, on: str = "customer_id"
 ) -> DataFrame:
-    return df.join(customers.select(on), on, "left_anti")
+    return df.join(customers.select(on).distinct(), on, "left_anti")
 
 
 def keep_on_dates(
     df: DataFrame, dates: DataFrame, on: Sequence[str] = ("customer_id", "tx_date")
 ) -> DataFrame:
-    return df.join(dates.select(*on), list(on), "left_semi")
+    return df.join(dates.select(*on).distinct(), list(on), "left_semi")
 
 
 def merge_common(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -140,39 +141,40 @@ def skeleton(
 def carry_forward(
     tx: DataFrame,
     categories: Sequence[str],
-    date: str = "tx_date",
+    span: tuple[date, date] | None = None,
     key: str = "tx_id",
 ) -> DataFrame:
     """First-month rows of the categories repeat in each later month of the ledger.
 
     They replace the rows of those categories that the later months have.
+    ``span``: the ledger's first and last day, if known.
     """
-    months = (
-        tx.agg(F.min(cal.month_start(date)).alias("first"), F.max(cal.month_start(date)).alias("last"))
-        .select(
-            F.struct(
-                "first", F.months_between("last", "first").cast("int").alias("later")
-            )
-        )
-        .scalar()
-    )
-    recurring = F.coalesce(F.col(category_column(tx)).isin(*categories), F.lit(False))
+    first, last = span or date_span(tx)
+    if first is None:
+        return tx
+    later = (last.year - first.year) * 12 + last.month - first.month
+    recurring = F.coalesce(F.col("category").isin(*categories), F.lit(False))
+    in_first_month = F.col("tx_date") <= F.last_day(F.lit(first))
     ahead = F.col("_ahead")
     repeated = (
-        tx.filter(recurring & (cal.month_start(date) == months["first"]))
-        .withColumn("_ahead", F.explode(F.sequence(F.lit(0), months["later"])))
-        .withColumn(date, F.add_months(F.col(date), ahead))
+        tx.filter(recurring & in_first_month)
+        .withColumn("_ahead", F.explode(F.sequence(F.lit(0), F.lit(later))))
+        .withColumn("tx_date", F.add_months(F.col("tx_date"), ahead))
         .withColumn(
             key,
-            F.when(ahead == 0, F.col(key)).otherwise(F.concat_ws("#", F.col(key), ahead.cast("string"))),
+            F.when(ahead == 0, F.col(key)).otherwise(
+                F.concat_ws("#", F.col(key), ahead.cast("string"))
+            ),
         )
         .drop("_ahead")
     )
     return tx.filter(~recurring).unionByName(repeated)
 
 
-def category_column(df: DataFrame) -> str:
-    return "category" if "category" in df.columns else "Category"
+def date_span(tx: DataFrame, column: str = "tx_date") -> tuple[date, date]:
+    """First and last day of the ledger, as two values."""
+    row = tx.agg(F.min(column).alias("first"), F.max(column).alias("last")).first()
+    return row["first"], row["last"]
 
 
 def union_all(*tables: DataFrame) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 100_000
@@ -24,25 +25,18 @@ def exact_quantiles(
     values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
     margin = _MARGIN / accuracy
     edges = [max(0.0, q - margin) for q in quantiles] + [min(1.0, q + margin) for q in quantiles]
-    count = len(quantiles)
-    sketch = (
-        values.agg(
-            F.percentile_approx("v", edges, accuracy).alias("edges"),
-            F.min("v").alias("min"),
-            F.max("v").alias("max"),
-            F.count("v").alias("n"),
-        )
-        .select(F.struct("edges", "min", "max", "n"))
-        .scalar()
-    )
-    few = sketch["n"] < accuracy
-    bracket = [
-        (
-            F.when(few, sketch["min"]).otherwise(sketch["edges"][i]),
-            F.when(few, sketch["max"]).otherwise(sketch["edges"][count + i]),
-        )
-        for i in range(count)
-    ]
+    # One row of numbers: as literals they also prune what the later passes read.
+    sketch = values.agg(
+        F.percentile_approx("v", edges, accuracy).alias("edges"),
+        F.min("v").alias("min"),
+        F.max("v").alias("max"),
+        F.count("v").alias("n"),
+    ).first()
+    count, n = len(quantiles), sketch["n"]
+    if n < accuracy:
+        bracket = [(sketch["min"], sketch["max"])] * count
+    else:
+        bracket = list(zip(sketch["edges"][:count], sketch["edges"][count:]))
     below = (
         values.agg(
             *[F.count(F.when(F.col("v") < low, 1)).alias(f"b{i}") for i, (low, _) in enumerate(bracket)]
@@ -50,18 +44,18 @@ def exact_quantiles(
         .select(F.array(*[F.col(f"b{i}") for i in range(count)]))
         .scalar()
     )
-    hits = F.array(
-        *[F.when(F.col("v").between(low, high), F.lit(i)) for i, (low, high) in enumerate(bracket)]
-    )
+    in_bracket = [F.col("v").between(low, high) for low, high in bracket]
+    hits = F.array(*[F.when(hit, F.lit(i)) for i, hit in enumerate(in_bracket)])
     in_order = Window.partitionBy("i").orderBy("v")
     inside = (
-        values.select("v", F.explode(F.array_compact(hits)).alias("i"))
+        values.filter(reduce(Column.__or__, in_bracket))
+        .select("v", F.explode(F.array_compact(hits)).alias("i"))
         .groupBy("i", "v")
         .agg(F.count(F.lit(1)).alias("size"))
         .withColumn("upto", F.sum("size").over(in_order) + below[F.col("i")])
     )
     q = F.element_at(F.array(*[F.lit(float(x)) for x in quantiles]), F.col("i") + 1)
-    place = q * (sketch["n"] - 1)
+    place = q * F.lit(n - 1)
     result = (
         inside.withColumn("q", q)
         .withColumn("place", place)
@@ -87,22 +81,15 @@ def exact_quantiles(
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """Counts in equal-width bins over [min, max]; the last bin is closed, empty bins show 0."""
     spark = df.sparkSession
-    ends = (
-        df.agg(F.min(column).cast("double").alias("low"), F.max(column).cast("double").alias("high"))
+    ends = df.agg(
+        F.min(column).cast("double").alias("low"), F.max(column).cast("double").alias("high")
+    ).first()
+    start, end = ends["low"], ends["high"]
+    if start is not None and start == end:
         # One single value: a unit range around it.
-        .select(
-            F.struct(
-                F.when(F.col("low") == F.col("high"), F.col("low") - 0.5)
-                .otherwise(F.col("low"))
-                .alias("low"),
-                F.when(F.col("low") == F.col("high"), F.col("high") + 0.5)
-                .otherwise(F.col("high"))
-                .alias("high"),
-            )
-        )
-        .scalar()
-    )
-    low, width = ends["low"], (ends["high"] - ends["low"]) / F.lit(float(bins))
+        start, end = start - 0.5, end + 0.5
+    low = F.lit(start).cast("double")
+    width = (F.lit(end).cast("double") - low) / F.lit(float(bins))
     place = F.least(F.floor((F.col(column) - low) / width), F.lit(bins - 1))
     counts = (
         df.filter(F.col(column).isNotNull())

@@ -49,6 +49,16 @@ def hot_groups(
     )
 
 
+def _attach(rows: DataFrame, facts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Facts of the hot groups on their rows; null elsewhere."""
+    if by:
+        return rows.join(F.broadcast(facts), _GROUP, "left")
+    # All rows are one group: its facts are one value.
+    names = [c for c in facts.columns if c != _GROUP]
+    value = facts.select(F.struct(*names)).scalar()
+    return rows.withColumns({c: value[c] for c in names})
+
+
 def rank_in_group(
     df: DataFrame,
     by: Sequence[str],
@@ -69,7 +79,7 @@ def rank_in_group(
     if prefix:
         hot_prefix = hot_groups(df, [*by, *prefix], rows_per_task)
         rows = (
-            rows.join(F.broadcast(hot.select(_GROUP, F.lit(True).alias("_hot"))), _GROUP, "left")
+            _attach(rows, hot.select(_GROUP, F.lit(True).alias("_hot")), by)
             .withColumn("_wide", _group_key([*by, *prefix]))
             .join(
                 F.broadcast(hot_prefix.select(F.col(_GROUP).alias("_wide"), "_slices")),
@@ -79,14 +89,17 @@ def rank_in_group(
             .drop("_wide")
         )
     else:
-        rows = rows.join(F.broadcast(hot.select(_GROUP, "_slices")), _GROUP, "left").withColumn(
+        rows = _attach(rows, hot.select(_GROUP, "_slices"), by).withColumn(
             "_hot", F.col("_slices").isNotNull()
         )
     is_hot = F.coalesce(F.col("_hot"), F.lit(False))
     part = F.floor(F.col(_ORDER) * F.coalesce(F.col("_slices"), F.lit(1)))
     rows = rows.withColumn("_is_hot", is_hot).withColumn(
         _SLICE,
-        F.struct(*[F.when(is_hot, F.col(c)).alias(f"p{i}") for i, c in enumerate(prefix)], part.alias("h")),
+        F.struct(
+            *[F.when(is_hot, F.col(c)).alias(f"p{i}") for i, c in enumerate(prefix)],
+            part.alias("h"),
+        ),
     )
     in_slice = Window.partitionBy(_GROUP, _SLICE).orderBy(*prefix, _ORDER, *key)
     before = Window.partitionBy(_GROUP).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
@@ -127,8 +140,8 @@ def mark_lowest(
     reached = F.struct(F.col(_SLICE).alias("slice"), F.col("_left").alias("left"))
     # Per hot group the last slice that starts below the limit, and how many of its rows are in.
     cuts = (
-        rows.select(_GROUP, _ORDER)
-        .join(F.broadcast(hot), _GROUP)
+        _attach(rows.select(_GROUP, _ORDER), hot, by)
+        .filter(F.col("_slices").isNotNull())
         .groupBy(_GROUP, "_slices", "_rows", part.alias(_SLICE))
         .agg(F.count(F.lit(1)).alias("_size"))
         .withColumn("_left", wanted - (F.sum("_size").over(upto) - F.col("_size")))
@@ -136,7 +149,7 @@ def mark_lowest(
         .agg(F.max(F.when(F.col("_left") > 0, reached)).alias("_cut"))
     )
     rows = (
-        rows.join(F.broadcast(cuts), _GROUP, "left")
+        _attach(rows, cuts, by)
         .withColumn(_SLICE, part)
         .withColumn("_last", F.coalesce(F.col("_cut.slice"), F.lit(-1)))
     )

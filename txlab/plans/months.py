@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from txlab import schemas as S
 from txlab.functions import calendar as cal
 from txlab.functions.draws import as_column, draw_date, draw_int
-from txlab.operators.joins import carry_forward, skeleton
+from txlab.operators.joins import carry_forward, date_span, skeleton
 from txlab.operators.rows import classify_flow, scale_by_entity
 from txlab.operators.sampling import at_position, distinct_position, index_pool
 
@@ -61,8 +61,9 @@ def recurring_bills(tx: DataFrame) -> DataFrame:
 
     The first month starts on the ledger's first day, later ones on day 1.
     """
-    start = tx.agg(F.min("tx_date")).scalar()
-    bills = carry_forward(tx, S.BILL_CATEGORIES)
+    span = date_span(tx)
+    start = F.lit(span[0]).cast("date")
+    bills = carry_forward(tx, S.BILL_CATEGORIES, span)
     month = cal.month_start("tx_date")
     day = (
         F.when(F.col("category").isin(*S.MONTH_START_CATEGORIES), F.greatest(month, start))

@@ -13,6 +13,7 @@ from txlab.queries.joins import FRAUD, labelled
 from txlab.queries.oracle import between, exact_mean, exact_sum, on_tx, u
 from txlab.queries.registry import query
 from txlab.sources.ledger import ledger
+from txlab.sources.staging import stage
 from txlab.sources.views import customer_flags
 
 _FLOWS = """SELECT bank_from, bank_to, count(*) AS n FROM tx
@@ -138,7 +139,7 @@ def customer_mean(spark, sf_dir):
     ),
 )
 def histogram(spark, sf_dir):
-    bins = Q.histogram(A.customer_mean(varied(spark, sf_dir)), "mean_amount", 20)
+    bins = Q.histogram(stage(A.customer_mean(varied(spark, sf_dir))), "mean_amount", 20)
     return bins.withColumns({c: F.round(c, 4) for c in ("bin_from", "bin_to")})
 
 
@@ -166,7 +167,7 @@ def quantiles_fraud(spark, sf_dir):
 )
 def quantiles_income(spark, sf_dir):
     income = ledger(spark, sf_dir, ("amount", "category")).filter("category = 'Income'")
-    result = Q.exact_quantiles(income, "amount", [0.25, 0.5, 0.9])
+    result = Q.exact_quantiles(stage(income), "amount", [0.25, 0.5, 0.9])
     return result.withColumn("value", F.round("value", 4))
 
 
@@ -238,7 +239,7 @@ def mean_outflow(spark, sf_dir):
 )
 def group_lists(spark, sf_dir):
     rows = labelled(spark, sf_dir, ("fraud_type", "description", "category"))
-    return A.group_lists(rows, "fraud_type", ["description", "category"])
+    return A.group_lists(stage(rows), "fraud_type", ["description", "category"])
 
 
 @query(

@@ -12,6 +12,7 @@ from txlab.operators import sampling as R
 from txlab.queries.oracle import between, exact_sum, index, on_tx, pairs, rank
 from txlab.queries.registry import query
 from txlab.sources.ledger import ledger, table
+from txlab.sources.staging import stage
 
 FRAUD = "f AS (SELECT * FROM tx WHERE fraud_type <> 'none')"
 MAPPING = {
@@ -163,10 +164,10 @@ def map_categories(spark, sf_dir):
     ),
 )
 def random_lookup(spark, sf_dir):
-    rows = labelled(spark, sf_dir, ("tx_id", "fraud_type", "description", "category"))
+    rows = stage(labelled(spark, sf_dir, ("tx_id", "fraud_type", "description", "category")))
     texts = rows.select("fraud_type", "description", "category").distinct()
     texts = texts.withColumn("key", F.concat("description", F.lit("|"), "category"))
-    pool = R.index_pool(texts, ["fraud_type"], ["key"])
+    pool = R.index_pool(stage(texts), ["fraud_type"], ["key"])
     cases = rows.select("tx_id", "fraud_type")
     return R.pick(cases, pool, ["tx_id"], "describe", ["description", "category"])
 
@@ -188,7 +189,7 @@ def zip_columns(spark, sf_dir):
         .filter("category = 'Income'")
         .select(F.col("tx_id").alias("income_id"), "tx_date")
     )
-    return J.zip_columns(left, right, ["tx_id"], ["income_id"])
+    return J.zip_columns(stage(left), stage(right), ["tx_id"], ["income_id"])
 
 
 @query(
@@ -223,4 +224,4 @@ carried AS (
 )
 def carry_forward(spark, sf_dir):
     rows = ledger(spark, sf_dir, ("tx_id", "customer_id", "tx_date", "category", "amount"))
-    return J.carry_forward(rows, S.BILL_CATEGORIES)
+    return J.carry_forward(stage(rows), S.BILL_CATEGORIES)

@@ -21,6 +21,7 @@ from txlab.queries.oracle import (
 )
 from txlab.queries.registry import query
 from txlab.sources.ledger import ledger
+from txlab.sources.staging import stage
 from txlab.sources.views import catalogue
 
 CATALOGUE = f"""bounds AS (SELECT subcategory, min(amount) / 1000 AS "min", max(amount) / 1000 AS "max",
@@ -50,17 +51,20 @@ def _fraction(numerator: int, denominator: int) -> str:
 
 @query("r2_fraction_half", _fraction(1, 2))
 def fraction_half(spark, sf_dir):
-    return R.sample_fraction(ledger(spark, sf_dir, ("tx_id", "category")), ["category"], 1, 2, ["tx_id"])
+    rows = stage(ledger(spark, sf_dir, ("tx_id", "category")))
+    return R.sample_fraction(rows, ["category"], 1, 2, ["tx_id"])
 
 
 @query("r2_fraction_third", _fraction(1, 3))
 def fraction_third(spark, sf_dir):
-    return R.sample_fraction(ledger(spark, sf_dir, ("tx_id", "category")), ["category"], 1, 3, ["tx_id"])
+    rows = stage(ledger(spark, sf_dir, ("tx_id", "category")))
+    return R.sample_fraction(rows, ["category"], 1, 3, ["tx_id"])
 
 
 @query("r2_fraction_most", _fraction(5, 6))
 def fraction_most(spark, sf_dir):
-    return R.sample_fraction(ledger(spark, sf_dir, ("tx_id", "category")), ["category"], 5, 6, ["tx_id"])
+    rows = stage(ledger(spark, sf_dir, ("tx_id", "category")))
+    return R.sample_fraction(rows, ["category"], 5, 6, ["tx_id"])
 
 
 @query(
@@ -77,7 +81,7 @@ def fraction_most(spark, sf_dir):
 def with_replacement(spark, sf_dir):
     members = labelled(spark, sf_dir, ("tx_id", "category", "amount"))
     members = members.withColumnsRenamed({"tx_id": "drawn_id", "amount": "drawn_amount"})
-    pool = R.index_pool(members, ["category"], ["drawn_id"])
+    pool = R.index_pool(stage(members), ["category"], ["drawn_id"])
     rows = ledger(spark, sf_dir, ("tx_id", "category", "labelled")).filter(~F.col("labelled"))
     return R.pick(rows.drop("labelled"), pool, ["tx_id"], "replace", ["drawn_id", "drawn_amount"])
 

@@ -9,6 +9,7 @@ from txlab.operators import windows as W
 from txlab.queries.oracle import choice, exact_sum, on_tx, rank
 from txlab.queries.registry import query
 from txlab.sources.ledger import ledger
+from txlab.sources.staging import stage
 
 
 @query(
@@ -16,7 +17,7 @@ from txlab.sources.ledger import ledger
     on_tx(f"SELECT tx_id, customer_id, {rank('row', 'tx_id', 'customer_id')} - 1 AS row_key FROM tx"),
 )
 def row_key(spark, sf_dir):
-    return W.row_key(ledger(spark, sf_dir, ("tx_id", "customer_id")))
+    return W.row_key(stage(ledger(spark, sf_dir, ("tx_id", "customer_id"))))
 
 
 @query(
@@ -29,7 +30,7 @@ def row_key(spark, sf_dir):
 )
 def first_broadcast(spark, sf_dir):
     rows = ledger(spark, sf_dir, ("tx_id", "customer_id", "tx_date", "category", "bank_from"))
-    taken = W.first_value_broadcast(rows, F.col("category") == S.INCOME, "bank_from")
+    taken = W.first_value_broadcast(stage(rows), F.col("category") == S.INCOME, "bank_from")
     return taken.select("tx_id", "bank_from")
 
 
@@ -49,7 +50,8 @@ TILED = """tiled AS (SELECT *, {rank} AS position
 )
 def tile(spark, sf_dir):
     rows = ledger(spark, sf_dir, ("tx_id", "customer_id", "tx_date", "category", "description"))
-    tiled = W.tile_by_position(rows.filter("category = 'Utilities'"), S.BANKS, "bank_to")
+    utilities = stage(rows.filter("category = 'Utilities'"))
+    tiled = W.tile_by_position(utilities, S.BANKS, "bank_to")
     return tiled.select("tx_id", "bank_to")
 
 
@@ -75,6 +77,5 @@ def group_total(spark, sf_dir):
     ),
 )
 def income_flag(spark, sf_dir):
-    return W.income_rank_flag(
-        ledger(spark, sf_dir, ("tx_id", "customer_id", "tx_date", "category", "amount"))
-    )
+    rows = ledger(spark, sf_dir, ("tx_id", "customer_id", "tx_date", "category", "amount"))
+    return W.income_rank_flag(stage(rows))

@@ -20,7 +20,7 @@ def read_table(
     """Read a CSV (doubled quotes, optional header and byte-order mark) or Parquet table.
 
     CSV needs a declared schema: inference would read the files twice and types
-    would follow the data.
+    would follow the data.  An empty field is a missing value.
     """
     if fmt == "csv":
         if schema is None:
@@ -45,12 +45,7 @@ def write_table(
 ) -> None:
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        # An empty text is written quoted, so that it is not read back as missing.
-        writer = (
-            writer.option("header", header)
-            .option("escape", '"')
-            .option("emptyValue", '""')
-        )
+        writer = writer.option("header", header).option("escape", '"')
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
