@@ -287,3 +287,52 @@ def test_flows_leave_out_missing_banks(spark):
         (0, "sender", "A"), (1, "sender", "B"), (2, "receiver", "A"), (3, "receiver", "B"),
     ]
     assert sorted(tuple(r)[:2] + (r.n,) for r in edges.collect()) == [(0, 3, 2), (1, 2, 1)]
+
+
+def test_rows_without_a_customer_stay(spark):
+    rows = [
+        ("a", None, date(2024, 1, 5), "Income", "pay", "income", "none"),
+        ("b", None, date(2024, 1, 6), "Income", "pay", "income", "none"),
+        ("c", None, date(2024, 1, 7), "Utilities", "gas", "spending", "none"),
+        ("d", 1, date(2024, 1, 7), "Utilities", "gas", "spending", "none"),
+    ]
+    df = spark.createDataFrame(
+        rows,
+        "tx_id string, customer_id long, tx_date date, category string, description string, "
+        "tx_type string, fraud_type string",
+    )
+    for source in ("own", "employer"):
+        got = {r.tx_id: r for r in B.assign_banks(df, utilities_from=source).collect()}
+        assert sorted(got) == ["a", "b", "c", "d"]
+        assert got["a"].bank_from == got["b"].bank_from
+    taken = W.first_value_broadcast(df, F.col("category") == "Income", "tx_type")
+    assert taken.count() == 4
+
+
+def test_rows_without_a_pool_stay(spark):
+    cases = spark.createDataFrame(
+        [("a", 1, 500.0, "Romance"), ("b", 1, 700.0, "Unknown")],
+        "case_key string, case_id long, transaction_value double, fraud_type string",
+    )
+    pool = spark.createDataFrame(
+        [("Romance", "Dinner", "Dining out")], "fraud_type string, description string, category string"
+    )
+    got = {r.case_key: r for r in C.describe_cases(cases, pool).collect()}
+    assert (got["a"].transaction_value, got["a"].category) == (5.0, "Dining Out")
+    assert (got["b"].transaction_value, got["b"].category) == (7.0, None)
+
+
+def test_one_customer_with_a_third_of_all_rows(spark, sf_dir, fraud):
+    """The jobs' sliced plans give the rows of the unsliced ones on a skewed ledger."""
+    tx = ledger(spark, sf_dir, COLUMNS)
+    hot = F.when(F.pmod(F.hash("tx_id"), F.lit(3)) == 0, F.lit(7)).otherwise(F.col("customer_id"))
+    skewed = stage(tx.withColumn("customer_id", hot.cast("long")).withColumn("fraud_type", F.lit("none")))
+    share = skewed.filter("customer_id = 7").count() / skewed.count()
+    assert share > 0.3
+    sliced, whole = (stage(B.assign_banks(skewed, rows_per_task=n)) for n in (10, 4_000_000))
+    assert sliced.exceptAll(whole).count() == 0 and sliced.count() == whole.count()
+    injected = L.inject_labels(
+        skewed.drop("fraud_type"), fraud, share=1.0, high_per_month=2, other_per_month=1
+    )
+    came = injected.filter("customer_id = 7 AND fraud_type <> 'none'").count()
+    assert came in (10, 11, 12, 22, 23, 24)

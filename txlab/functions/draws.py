@@ -75,8 +75,9 @@ def draw_truncated_normal(
 ) -> Column:
     """A normal value strictly inside (low, high), with deviation (high - low) / 4.
 
-    Box-Muller on two uniforms of one md5, first accepted try of 32.  Most rows
-    accept at once, so the later tries are only evaluated where the first fail.
+    Box-Muller on two uniforms of one md5, first accepted try of 32.  The first
+    tries are plain expressions, which compile; most rows accept one of them,
+    so the loop over the later ones is seldom entered.
     """
     low, high, mean = as_column(low), as_column(high), as_column(mean)
     spread = (high - low) / F.lit(4.0)
@@ -87,15 +88,12 @@ def draw_truncated_normal(
         turn = F.cos(F.lit(2 * math.pi) * _unit(digest, 1 + _HEX_DIGITS))
         return mean + spread * (radius * turn)
 
-    def first_inside(start, stop):
-        tries = F.transform(F.sequence(F.lit(start), F.lit(stop)), value)
-        return F.try_element_at(
-            F.filter(tries, lambda x: (x > low) & (x < high)), F.lit(1)
-        )
+    def inside(x):
+        return (x > low) & (x < high)
 
-    return F.coalesce(
-        first_inside(0, _FIRST_TRIES - 1), first_inside(_FIRST_TRIES, _ALL_TRIES - 1)
-    )
+    first = [F.when(inside(x), x) for x in map(value, map(F.lit, range(_FIRST_TRIES)))]
+    later = F.transform(F.sequence(F.lit(_FIRST_TRIES), F.lit(_ALL_TRIES - 1)), value)
+    return F.coalesce(*first, F.try_element_at(F.filter(later, inside), F.lit(1)))
 
 
 def _bound(value) -> Column:

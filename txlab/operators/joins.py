@@ -30,6 +30,16 @@ def attach_total(
     return df.join(totals, list(on), "left")
 
 
+def join_same_group(
+    rows: DataFrame, facts: DataFrame, by: Sequence[str], how: str = "left"
+) -> DataFrame:
+    """Join per-group facts onto rows; the missing group is a group like any other."""
+    keys = {c: f"_key_{c}" for c in by}
+    renamed = facts.withColumnsRenamed(keys)
+    same = reduce(Column.__and__, [rows[c].eqNullSafe(renamed[k]) for c, k in keys.items()])
+    return rows.join(renamed, same, how).drop(*keys.values())
+
+
 def remove_rows(df: DataFrame, removed: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``removed``; a key listed twice removes no more."""
     return df.join(removed.select(*key).distinct(), list(key), "left_anti")

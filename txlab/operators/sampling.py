@@ -74,10 +74,10 @@ def select_entities(
     salt: str = "sel",
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Exactly ``floor(n * share)`` of the n distinct entities."""
+    """Exactly ``floor(n * share)`` of the n distinct entities; a missing one is none."""
     return (
         mark_lowest(
-            df.select(entity).distinct(),
+            stage(df.select(entity).filter(F.col(entity).isNotNull()).distinct()),
             [],
             [entity],
             lambda n: F.floor(n * F.lit(share)),
@@ -100,7 +100,8 @@ def is_selected(df: DataFrame, entity: str, share: float, salt: str = "sel") ->
     last = select_entities(df, entity, share, salt).agg(F.max(place).alias("p")).first()["p"]
     if last is None:
         return F.lit(False)
-    return place <= F.struct(F.lit(last["h"]).alias("h"), F.lit(last["k"]).alias("k"))
+    limit = F.struct(F.lit(last["h"]).alias("h"), F.lit(last["k"]).alias("k"))
+    return F.col(entity).isNotNull() & (place <= limit)
 
 
 @dataclass(frozen=True)
@@ -132,10 +133,9 @@ def index_pool(
     return IndexedPool(rows, sizes, tuple(on))
 
 
-def with_pool_size(rows: DataFrame, pool: IndexedPool) -> DataFrame:
-    """Rows whose group has no pool drop out."""
+def with_pool_size(rows: DataFrame, pool: IndexedPool, how: str = "inner") -> DataFrame:
     if pool.on:
-        return rows.join(pool.sizes, list(pool.on))
+        return rows.join(pool.sizes, list(pool.on), how)
     return rows.withColumn("_pool_size", pool.sizes.scalar())
 
 
@@ -145,26 +145,35 @@ def pick(
     key: Sequence[str],
     salt: str,
     take: Sequence[str],
+    how: str = "inner",
 ) -> DataFrame:
-    """Give every row one member of its group's pool, drawn with replacement."""
-    return at_position(
-        with_pool_size(rows, pool).withColumn(
-            "_pos", draw_index(F.col("_pool_size"), *key, salt=salt)
-        ),
-        pool,
-        take,
-    )
+    """Give every row one member of its group's pool, drawn with replacement.
+
+    Rows whose group has no pool drop out, or with ``how="left"`` keep what they have.
+    """
+    position = draw_index(F.col("_pool_size"), *key, salt=salt)
+    sized = with_pool_size(rows, pool, how).withColumn("_pos", position)
+    return at_position(sized, pool, take, how)
 
 
-def at_position(rows: DataFrame, pool: IndexedPool, take: Sequence[str]) -> DataFrame:
+def at_position(
+    rows: DataFrame, pool: IndexedPool, take: Sequence[str], how: str = "inner"
+) -> DataFrame:
     """Join pool members on (group, ``_pos``); drops the helper columns."""
-    members = pool.rows.select(*pool.on, "_pos", *take)
-    overwritten = [c for c in take if c in rows.columns and c not in pool.on]
-    return (
-        rows.drop(*overwritten)
-        .join(members, [*pool.on, "_pos"])
-        .drop("_pos", "_pool_size")
+    new = {c: f"_new_{c}" for c in take if c not in pool.on}
+    members = pool.rows.select(
+        *pool.on, "_pos", *[F.col(c).alias(n) for c, n in new.items()], F.lit(True).alias("_found")
     )
+    joined = rows.join(members, [*pool.on, "_pos"], how)
+
+    def value(column: str):
+        taken = F.col(new[column])
+        if how == "left" and column in rows.columns:
+            return F.when(F.col("_found"), taken).otherwise(F.col(column))
+        return taken
+
+    kept = [c for c in rows.columns if c not in (*new, "_pos", "_pool_size")]
+    return joined.select(*kept, *[value(c).alias(c) for c in new])
 
 
 def distinct_position(size: Column, draw: Column, *keys, salt: str) -> Column:

@@ -12,6 +12,7 @@ from txlab.functions import calendar as cal
 from txlab.functions.columns import money_sum
 from txlab.functions.draws import draw_choice
 from txlab.operators.aggregates import first_in_group
+from txlab.operators.joins import join_same_group
 from txlab.operators.quantiles import exact_quantiles
 from txlab.operators.ranking import ROWS_PER_TASK, rank_in_group
 
@@ -38,7 +39,7 @@ def first_value_broadcast(
     """Matching rows of a group all take the first one's value; only they are shuffled."""
     matching = F.coalesce(condition, F.lit(False))
     first = first_in_group(df, by, matching, order, [column])
-    taken = df.filter(matching).drop(column).join(first, list(by)).select(*df.columns)
+    taken = join_same_group(df.filter(matching).drop(column), first, by).select(*df.columns)
     return df.filter(~matching).unionByName(taken)
 
 

@@ -11,6 +11,7 @@ from txlab import schemas as S
 from txlab.functions.columns import adjusted_amount
 from txlab.functions.draws import draw_choice, draw_uniform
 from txlab.operators.aggregates import first_in_group
+from txlab.operators.joins import join_same_group
 from txlab.operators.ranking import ROWS_PER_TASK
 from txlab.operators.windows import tile_by_position
 
@@ -53,12 +54,8 @@ def assign_banks(
     employer = first_in_group(drawn, [CUSTOMER], is_income, ORDER, ["bank_from"]).withColumnRenamed(
         "bank_from", "_employer"
     )
-    income = (
-        drawn.filter(is_income)
-        .join(employer, CUSTOMER)
-        .withColumn("bank_from", F.col("_employer"))
-        .drop("_employer")
-    )
+    income = join_same_group(drawn.filter(is_income).drop("bank_from"), employer, [CUSTOMER])
+    income = income.withColumnRenamed("_employer", "bank_from")
     inside = F.coalesce(F.col("description").isin(*S.OWN_BANK_DESCRIPTIONS), F.lit(False))
     untiled = drawn.filter(~is_income & ~is_utility).unionByName(income)
     untiled = untiled.withColumns(
@@ -70,10 +67,8 @@ def assign_banks(
     if utilities_from == "own":
         utilities = utilities.withColumn("bank_from", own)
     else:
-        utilities = (
-            utilities.drop("bank_from")
-            .join(employer.withColumnRenamed("_employer", "bank_from"), CUSTOMER, "left")
-        )
+        utilities = join_same_group(utilities.drop("bank_from"), employer, [CUSTOMER])
+        utilities = utilities.withColumnRenamed("_employer", "bank_from")
     cash = category == S.CASH_WITHDRAWAL
     return (
         untiled.unionByName(utilities)

@@ -33,10 +33,13 @@ def describe_cases(
     key: str = "case_key",
     synonyms: Mapping[str, str] = S.CATEGORY_SYNONYMS,
 ) -> DataFrame:
-    """Pence to pounds, and a random (description, category) of the row's fraud type."""
+    """Pence to pounds, and a random (description, category) of the row's fraud type.
+
+    A row whose type has no texts stays without.
+    """
     indexed = index_pool(pool, ["fraud_type"], _TEXTS, salt="texts")
     pounds = cases.withColumn("transaction_value", F.col("transaction_value") / F.lit(100))
-    described = pick(pounds, indexed, [key], "describe", _TEXTS)
+    described = pick(pounds, indexed, [key], "describe", _TEXTS, how="left")
     return described.withColumn("category", C.normalised("category", synonyms))
 
 
@@ -127,7 +130,9 @@ def thin_and_rewrite(
         salt="rewrite-pool",
         rows_per_task=rows_per_task,
     )
-    rewritten = pick(marked.filter("_rewrite"), pool, [key], "rewrite-text", ["description"])
+    rewritten = pick(
+        marked.filter("_rewrite"), pool, [key], "rewrite-text", ["description"], how="left"
+    )
     parts = (cases.filter(~is_target), marked.filter(~F.col("_rewrite")), rewritten)
     result = parts[0]
     for part in parts[1:]:

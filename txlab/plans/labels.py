@@ -79,7 +79,8 @@ def inject_labels(
     rows to place; else it gets as many as it has rows.
     """
     selected = is_selected(ledger, CUSTOMER, share)
-    chosen = ledger.filter(selected)
+    # Every further pass reads only the chosen customers' rows.
+    chosen = stage(ledger.filter(selected))
     months = chosen.select(cal.month_number("tx_date").alias("m")).distinct().count()
     most = max(high_per_month, other_per_month) * months
     quotas = customer_quotas(chosen, high_per_month, other_per_month, q, months)

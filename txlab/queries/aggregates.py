@@ -27,7 +27,7 @@ def bank_flows_all(spark, sf_dir):
 
 @query("a1_bank_flows_fraud", on_tx(_FLOWS.format(also="AND fraud_type <> 'none'")))
 def bank_flows_fraud(spark, sf_dir):
-    return A.bank_flows(ledger(spark, sf_dir, ("bank_from", "bank_to", "fraud_type")), "fraud")
+    return A.bank_flows(labelled(spark, sf_dir, ("bank_from", "bank_to", "fraud_type")), "fraud")
 
 
 @query("a1_bank_flows_nonfraud", on_tx(_FLOWS.format(also="AND fraud_type = 'none'")))
@@ -43,7 +43,7 @@ NONFRAUD = "fraud_type = 'none' AND tx_type <> 'income' AND category <> 'Housing
 
 @query("a2_category_average_fraud", on_tx(AVERAGE.format(also="fraud_type <> 'none'")))
 def category_average_fraud(spark, sf_dir):
-    return A.category_average(ledger(spark, sf_dir, _AVERAGE_COLUMNS), "fraud")
+    return A.category_average(labelled(spark, sf_dir, _AVERAGE_COLUMNS), "fraud")
 
 
 @query("a2_category_average_nonfraud", on_tx(AVERAGE.format(also=NONFRAUD)))
@@ -57,7 +57,7 @@ _SPENT = f"""SELECT round_even({exact_sum('amount')}, 0) AS spent
 
 @query("a3_spend_total_fraud", on_tx(_SPENT.format(also="fraud_type <> 'none'")))
 def spend_total_fraud(spark, sf_dir):
-    return A.spend_total(ledger(spark, sf_dir, ("tx_type", "fraud_type", "amount")), "fraud")
+    return A.spend_total(labelled(spark, sf_dir, ("tx_type", "fraud_type", "amount")), "fraud")
 
 
 @query("a3_spend_total_nonfraud", on_tx(_SPENT.format(also="fraud_type = 'none'")))

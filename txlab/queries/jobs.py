@@ -17,7 +17,7 @@ from txlab.plans import labels as L
 from txlab.plans import months as M
 from txlab.plans import report as P
 from txlab.queries.aggregates import AVERAGE, COUNTS, FLAGS, NONFRAUD
-from txlab.queries.joins import CARRIED, FRAMES, FRAUD, MONTHS, START
+from txlab.queries.joins import CARRIED, FRAMES, FRAUD, MONTHS, START, labelled
 from txlab.queries.oracle import (
     between,
     choice,
@@ -455,8 +455,9 @@ def _summary_sql(label: str, rules: str) -> str:
 
 def _summary(spark, sf_dir, label):
     columns = ("bank_from", "bank_to", "category", "tx_type", "amount", "fraud_type")
+    rows = (labelled if label == "fraud" else ledger)(spark, sf_dir, columns)
     flags = views.customer_flags(spark, sf_dir)
-    return P.summary_table(P.label_summary(ledger(spark, sf_dir, columns), flags, label))
+    return P.summary_table(P.label_summary(rows, flags, label))
 
 
 @query("k12_summary_fraud", _summary_sql("fraud_type <> 'none'", "fraud_type <> 'none'"))

@@ -28,6 +28,7 @@ FRAMES = (
 
 
 def labelled(spark, sf_dir, columns):
+    """Ledger rows with a fraud label, filtered where the files are read."""
     rows = ledger(spark, sf_dir, (*columns, "labelled"))
     return rows.filter("labelled").drop("labelled")
 
