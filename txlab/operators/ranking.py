@@ -26,22 +26,18 @@ _SLICE = "_slice"
 
 
 def _group_key(by: Sequence[str]) -> Column:
-    """The group as one struct: it equals itself also where a field is null."""
-    return F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
+    """The group as one struct: unlike its fields, it equals itself also where one is null."""
+    return F.struct(*[F.col(c) for c in by])
 
 
 def hot_groups(
     df: DataFrame, by: Sequence[str], rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """Groups too large for one task: group struct, size and number of slices.
+    """Groups too large for one task, their sizes and the number of slices each needs.
 
     Sizes come from a map-side combined count of the key columns alone.
     """
-    sizes = (
-        df.select(_group_key(by).alias(_GROUP))
-        .groupBy(_GROUP)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
     share = sizes.agg(F.sum("_rows") / F.lit(MAX_HOT_GROUPS)).scalar()
     limit = F.greatest(F.lit(float(rows_per_task)), share)
     return sizes.filter(F.col("_rows") > limit).withColumn(
@@ -49,14 +45,21 @@ def hot_groups(
     )
 
 
-def _attach(rows: DataFrame, facts: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Facts of the hot groups on their rows; null elsewhere."""
+def _attach(
+    rows: DataFrame, facts: DataFrame, by: Sequence[str], how: str = "left"
+) -> DataFrame:
+    """Facts of the hot groups on their rows; null elsewhere, unless ``how`` is inner."""
+    names = [c for c in facts.columns if c not in by]
     if by:
-        return rows.join(F.broadcast(facts), _GROUP, "left")
+        return (
+            rows.withColumn(_GROUP, _group_key(by))
+            .join(F.broadcast(facts.select(_group_key(by).alias(_GROUP), *names)), _GROUP, how)
+            .drop(_GROUP)
+        )
     # All rows are one group: its facts are one value.
-    names = [c for c in facts.columns if c != _GROUP]
     value = facts.select(F.struct(*names)).scalar()
-    return rows.withColumns({c: value[c] for c in names})
+    attached = rows.withColumns({c: value[c] for c in names})
+    return attached.filter(F.col(names[0]).isNotNull()) if how == "inner" else attached
 
 
 def rank_in_group(
@@ -74,44 +77,37 @@ def rank_in_group(
     values, and a prefix value that is itself hot is sliced by the hash.
     """
     by, key, prefix = list(by), list(key), list(prefix)
-    hot = hot_groups(df, by, rows_per_task)
-    rows = df.withColumn(_GROUP, _group_key(by)).withColumn(_ORDER, uniform(*key, salt=salt))
-    if prefix:
-        hot_prefix = hot_groups(df, [*by, *prefix], rows_per_task)
-        rows = (
-            _attach(rows, hot.select(_GROUP, F.lit(True).alias("_hot")), by)
-            .withColumn("_wide", _group_key([*by, *prefix]))
-            .join(
-                F.broadcast(hot_prefix.select(F.col(_GROUP).alias("_wide"), "_slices")),
-                "_wide",
-                "left",
-            )
-            .drop("_wide")
+    hot = hot_groups(df, by, rows_per_task).select(*by, F.lit(True).alias("_hot"), "_slices")
+    parts = [f"_part{i}" for i in range(len(prefix))]
+    slices = [*parts, _SLICE]
+
+    def sliced(how: str) -> DataFrame:
+        if prefix:
+            rows = _attach(df, hot.drop("_slices"), by, how)
+            hot_parts = hot_groups(df, [*by, *prefix], rows_per_task).drop("_rows")
+            rows = _attach(rows, hot_parts, [*by, *prefix])
+        else:
+            rows = _attach(df, hot, by, how)
+        slice_of_hash = F.floor(F.col(_ORDER) * F.coalesce(F.col("_slices"), F.lit(1)))
+        return (
+            rows.withColumn(_ORDER, uniform(*key, salt=salt))
+            .withColumn(_SLICE, F.when(F.col("_slices") > 1, slice_of_hash).otherwise(0))
+            .withColumns({p: F.when(F.col("_hot"), F.col(c)) for p, c in zip(parts, prefix)})
+            .withColumn(_GROUP, _group_key([*by, *slices]))
         )
-    else:
-        rows = _attach(rows, hot.select(_GROUP, "_slices"), by).withColumn(
-            "_hot", F.col("_slices").isNotNull()
-        )
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    part = F.floor(F.col(_ORDER) * F.coalesce(F.col("_slices"), F.lit(1)))
-    rows = rows.withColumn("_is_hot", is_hot).withColumn(
-        _SLICE,
-        F.struct(
-            *[F.when(is_hot, F.col(c)).alias(f"p{i}") for i, c in enumerate(prefix)],
-            part.alias("h"),
-        ),
-    )
-    in_slice = Window.partitionBy(_GROUP, _SLICE).orderBy(*prefix, _ORDER, *key)
-    before = Window.partitionBy(_GROUP).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+
+    # The window and the join below use one key, so that one shuffle serves both.
+    in_slice = Window.partitionBy(_GROUP).orderBy(*prefix, _ORDER, *key)
+    before = Window.partitionBy(*by).orderBy(*slices).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = sliced("left").withColumn("_n", F.row_number().over(in_slice).cast("long"))
     offsets = (
-        rows.filter("_is_hot")
-        .groupBy(_GROUP, _SLICE)
+        sliced("inner")
+        .groupBy(*by, *slices)
         .agg(F.count(F.lit(1)).alias("_size"))
         .withColumn("_offset", F.sum("_size").over(before))
-        .select(_GROUP, _SLICE, "_offset")
+        .select(_group_key([*by, *slices]).alias(_GROUP), "_offset")
     )
-    ranked = rows.withColumn("_n", F.row_number().over(in_slice).cast("long"))
-    return ranked.join(offsets, [_GROUP, _SLICE], "left").select(
+    return ranked.join(offsets, _GROUP, "left").select(
         *[F.col(c) for c in df.columns],
         (F.col("_n") + F.coalesce(F.col("_offset"), F.lit(0))).alias(name),
     )
@@ -132,35 +128,35 @@ def mark_lowest(
     or out as a whole but one, and only that one is sorted.
     """
     by, key = list(by), list(key)
-    rows = df.withColumn(_GROUP, _group_key(by)).withColumn(_ORDER, uniform(*key, salt=salt))
     hot = hot_groups(df, by, rows_per_task)
-    part = F.floor(F.col(_ORDER) * F.col("_slices"))
-    upto = Window.partitionBy(_GROUP).orderBy(_SLICE)
+    order = uniform(*key, salt=salt)
+    part = F.floor(order * F.col("_slices"))
+    upto = Window.partitionBy(*by).orderBy(_SLICE)
     wanted = F.least(limit(F.col("_rows")), F.col("_rows"))
     reached = F.struct(F.col(_SLICE).alias("slice"), F.col("_left").alias("left"))
     # Per hot group the last slice that starts below the limit, and how many of its rows are in.
     cuts = (
-        _attach(rows.select(_GROUP, _ORDER), hot, by)
-        .filter(F.col("_slices").isNotNull())
-        .groupBy(_GROUP, "_slices", "_rows", part.alias(_SLICE))
+        _attach(df.select(*by, *[c for c in key if c not in by]), hot, by, "inner")
+        .groupBy(*by, "_slices", "_rows", part.alias(_SLICE))
         .agg(F.count(F.lit(1)).alias("_size"))
         .withColumn("_left", wanted - (F.sum("_size").over(upto) - F.col("_size")))
-        .groupBy(_GROUP, "_slices")
+        .groupBy(*by, "_slices")
         .agg(F.max(F.when(F.col("_left") > 0, reached)).alias("_cut"))
     )
     rows = (
-        _attach(rows, cuts, by)
-        .withColumn(_SLICE, part)
+        _attach(df, cuts, by)
+        .withColumn(_SLICE, F.when(F.col("_slices").isNotNull(), part))
         .withColumn("_last", F.coalesce(F.col("_cut.slice"), F.lit(-1)))
     )
     sorted_here = F.col("_slices").isNull() | (F.col(_SLICE) == F.col("_last"))
     by_whole_slice = rows.filter(~sorted_here).select(
         *df.columns, (F.col(_SLICE) < F.col("_last")).alias(name)
     )
-    group = Window.partitionBy(_GROUP)
+    group = Window.partitionBy(*by)
     quota = F.coalesce(F.col("_cut.left"), limit(F.count(F.lit(1)).over(group)))
     by_rank = (
         rows.filter(sorted_here)
+        .withColumn(_ORDER, order)
         .withColumn("_n", F.row_number().over(group.orderBy(_ORDER, *key)))
         .withColumn("_quota", quota)
         .select(*df.columns, (F.col("_n") <= F.col("_quota")).alias(name))
