@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from txlab import schemas as S
 from txlab.operators import windows as W
-from txlab.queries.oracle import choice, exact_sum, on_tx, rank
+from txlab.queries.oracle import choice, on_tx, rank
 from txlab.queries.registry import query
 from txlab.sources.ledger import ledger
 from txlab.sources.staging import stage
