@@ -7,12 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from txlab.queries import load
 
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
 ).split()
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = load().QUERIES, load().ORACLE
 
 
 # The smallest tables hold fewer fraud rows than these jobs may draw for one customer.

@@ -3,33 +3,36 @@
 A staged table cuts lineage on storage that outlives any executor, is read
 with column pruning by each later step, and has an exact size, from which
 Spark chooses to broadcast it or not.
+
+Staged tables stay until ``drop_staged`` is called: a DataFrame that reads them
+may still be run. Call it when a job's result is written.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-_local_dirs: dict[str, str] = {}
+_FOLDER = "txlab"
 
 
 def staging_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder; where none is set, one in the warehouse, which is shared too."""
     configured = spark.conf.get(CHECKPOINT_DIR, None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    if context.applicationId not in _local_dirs:
-        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="txlab-stage-")
-    return _local_dirs[context.applicationId]
+    if not configured:
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
+        spark.conf.set(CHECKPOINT_DIR, configured)
+    return configured.rstrip("/")
+
+
+def _application_path(spark: SparkSession) -> str:
+    return f"{staging_dir(spark)}/{_FOLDER}/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession) -> str:
-    return f"{staging_dir(spark)}/txlab/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    return f"{_application_path(spark)}/{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -38,3 +41,9 @@ def stage(df: DataFrame) -> DataFrame:
     path = new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete every table that this application has staged."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_path(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
