@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,20 @@ def texts_as_bytes(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py()
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """In local mode, lets Python workers import this package wherever they start.
+
+    On a cluster the package is installed with the job, as any other.
+    """
+    context = spark.sparkContext
+    if context.master.startswith("local[") and context.applicationId not in _shipped:
+        context.addFile(str(Path(__file__).resolve().parents[1]), recursive=True)
+        _shipped.add(context.applicationId)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -53,10 +53,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     a, b = links.columns
     edges = stage(
-        links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"), F.col(a).alias("_a"), F.col(b).alias("_b"))
-        .filter(F.col("_a").isNotNull() & F.col("_b").isNotNull() & (F.col("_a") != F.col("_b")))
-        .select("u", "v")
-        .distinct()
+        links.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     )
     seen = _signature(edges)
     while seen[0]:

@@ -7,15 +7,18 @@ permutations give it. Ranks of level j lie in [j, j + 1), so levels are worked
 through for all elements at once until every place holds a rank below the next
 level (early stop); large sets need one or two.
 
-Signatures are cut into bands. Classes that agree in a band are candidates:
-first each with one centre of its bucket, then whatever pairs of *different*
-components a bucket still holds, until none is left. Every candidate is decided
-on the full sets, and links are grouped by union-find. With 32 bands of 4 ranks
-a pair at 0.8 is missed with a chance of 5e-8.
-
-What is shuffled: 32 band keys a class, candidate pairs, and the texts of
-documents in candidate pairs. No bucket is ever gathered in one task, and pairs
-inside a component are never written out.
+Signatures are cut into bands. Classes that agree in a band are candidates.
+Each is compared with the smallest of its bucket first; then whatever pairs of
+*different* components a bucket still holds are decided: in buckets of few rows
+one by one, in larger ones through the shingles in which a member differs from
+the head of the bucket's largest component (see ``_pairs_by_edits``), which
+needs no pair that shares no such edit. Every link is confirmed on full sets,
+and links are grouped by union-find. With 32 bands of 4 ranks a pair at 0.8 is
+missed with a chance of 5e-8.
+
+What is shuffled: 32 band keys a class, candidate pairs, the edits of members of
+large mixed buckets, and the texts of documents in candidate pairs. No bucket is
+gathered in one task, and pairs inside a component are never written out.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from txlab.llm.common import WordHashes, mix, spaced_words, text_key, texts_as_bytes
 from txlab.llm.components import components
@@ -34,8 +38,8 @@ from txlab.sources.staging import stage
 
 PLACES = 128
 ROWS_PER_BAND = 4
-#: Star rounds before the pairs that are left in a bucket are taken as they are.
-STAR_ROUNDS = 5
+#: Buckets of at most so many rows are compared pair by pair.
+DIRECT_ROWS = 12
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -146,71 +150,151 @@ def _links(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     The pair's side of either join may be skewed, the text's side has a row for
     each id, so adaptive execution can split whatever is hot.
     """
-    with_a = pairs.join(texts, pairs.a == texts.id).select("a", "b", F.col("text").alias("text_a"))
-    with_b = with_a.join(texts, with_a.b == texts.id).select("a", "b", "text_a", F.col("text").alias("text_b"))
-    return stage(with_b.mapInArrow(_similar(size, percent), "a long, b long"))
+    return stage(_with_texts(pairs, texts).mapInArrow(_similar(size, percent), "a long, b long"))
 
 
-def _star_pairs(bands: DataFrame, turn: int) -> DataFrame:
-    """Each class with a centre of its bucket, where they are in different components."""
-    if turn:  # another centre each time
-        first = F.min(F.struct(F.xxhash64("id", F.lit(turn)), "id", "component"))
-        centres = bands.groupBy("band").agg(first.alias("_first")).select(
-            "band", F.col("_first.id").alias("a"), F.col("_first.component").alias("_of")
-        )
-    else:  # every class is still its own component
-        centres = bands.groupBy("band").agg(F.min("id").alias("a")).withColumn("_of", F.col("a"))
-    return (
-        bands.join(centres, "band")
-        .filter("component <> _of")
-        .select("a", F.col("id").alias("b"))
-        .distinct()
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    pairs = stage(pairs)
+    with_a = pairs.join(texts, pairs.a == texts.id).select(*pairs.columns, F.col("text").alias("text_a"))
+    return with_a.join(texts, with_a.b == texts.id).select(*pairs.columns, "text_a", F.col("text").alias("text_b"))
+
+
+def _edits_of(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    schema = "a long, b long, component long, edits array<long>, weight long, limit long"
+    return stage(_with_texts(pairs, texts).mapInArrow(_edits(size, percent), schema))
+
+
+def _as_links(groups: DataFrame) -> DataFrame:
+    return groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
+def _with_components(bands: DataFrame, groups: DataFrame) -> DataFrame:
+    return bands.join(groups, bands.id == groups.node, "left").select(
+        *bands.columns, F.coalesce("component", "id").alias("component")
     )
 
 
+def _star_pairs(bands: DataFrame, percent: int) -> DataFrame:
+    """Each class with the smallest of its bucket, if their sizes allow a link."""
+    centres = bands.groupBy("band").agg(F.min("id").alias("a"))
+    sizes = bands.select(F.col("id").alias("a"), F.col("n").alias("n_a")).distinct()
+    pairs = bands.join(centres, "band").filter("id <> a").select("a", F.col("id").alias("b"), "n").distinct()
+    return pairs.join(sizes, "a").filter(_sizes_allow("n", "n_a", percent)).select("a", "b")
+
+
+def _sizes_allow(n: str, m: str, percent: int):
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
 def _open_buckets(bands: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold more than one component."""
+    """Rows of the buckets that hold more than one component, with the bucket's size."""
     mixed = (
         bands.groupBy("band")
-        .agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+        .agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("held"))
         .filter("_low <> _high")
-        .select("band")
+        .select("band", "held")
     )
-    return bands.join(mixed, "band", "left_semi")
+    return bands.join(mixed, "band")
+
 
+def _direct_pairs(bands: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components in a bucket of few rows."""
+    other = bands.select("band", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("_of"))
+    return (
+        bands.join(other, "band")
+        .filter((F.col("component") != F.col("_of")) & (F.col("id") < F.col("b")) & _sizes_allow("n", "n_b", percent))
+        .select(F.col("id").alias("a"), "b")
+        .distinct()
+    )
 
-def _cross_pairs(bands: DataFrame) -> DataFrame:
-    """Pairs of classes of different components in a bucket.
 
-    One side leaves out the bucket's largest component, so that what is compared
-    grows with the strangers in a bucket and not with the square of its size.
-    """
+def _pivots(bands: DataFrame) -> DataFrame:
+    """``a, b, component``: rows of large buckets, with the head of the bucket's largest component."""
     sizes = bands.groupBy("band", "component").count()
-    largest = sizes.groupBy("band").agg(F.max(F.struct("count", "component"))["component"].alias("_main"))
-    strangers = (
-        bands.join(largest, "band")
-        .filter("component <> _main")
-        .select("band", F.col("id").alias("a"), F.col("component").alias("_of"), "_main")
-    )
+    heads = sizes.groupBy("band").agg(F.max(F.struct("count", "component"))["component"].alias("a"))
     return (
-        strangers.join(bands, "band")
-        .filter("component <> _of AND (component = _main OR a < id)")
-        .select("a", F.col("id").alias("b"))
-        .distinct()
+        bands.join(heads, "band").select("a", F.col("id").alias("b"), "component").filter("a <> b").distinct()
     )
 
 
-def _pair_load(bands: DataFrame) -> tuple[int, int]:
-    """Pairs of different components that the buckets hold, and rows."""
-    row = (
-        bands.groupBy("band", "component")
-        .count()
-        .groupBy("band")
-        .agg(F.sum("count").cast("double").alias("n"), F.sum(F.col("count").cast("double") * F.col("count")).alias("own"))
-        .agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.sum("n"))
-        .first()
+def _edits(size: int, percent: int):
+    """A row of a pivot and a member to the shingles that only one of them has.
+
+    ``weight`` is 100 times the pivot's shingles that the member lacks, plus
+    ``percent`` times those it adds; ``limit`` is what a linked member's weight
+    reaches at most.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        last, pivot = None, None
+        for batch in batches:
+            edits, weights, limits = [], [], []
+            for a, b in zip(texts_as_bytes(batch.column("text_a")), texts_as_bytes(batch.column("text_b"))):
+                if a != last:
+                    last, pivot = a, shingle_hashes(spaced_words(a), size, hashes)
+                member = shingle_hashes(spaced_words(b), size, hashes)
+                both = len(np.intersect1d(pivot, member, assume_unique=True))
+                edits.append(np.setxor1d(pivot, member, assume_unique=True).view(np.int64))
+                weights.append(100 * (len(pivot) - both) + percent * (len(member) - both))
+                limits.append((100 - percent) * len(pivot))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(name) for name in ("a", "b", "component")),
+                    pa.array(edits, pa.list_(pa.int64())),
+                    pa.array(weights, pa.int64()),
+                    pa.array(limits, pa.int64()),
+                ],
+                ["a", "b", "component", "edits", "weight", "limit"],
+            )
+
+    return run
+
+
+def _pairs_by_edits(edits: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components around a pivot that may be similar enough.
+
+    With the shingles of x and y that differ from the pivot's, ``100 *
+    intersection >= percent * union`` means that x and y have at least
+    (weight x + weight y - limit) / (100 + percent) such edits in common. In any
+    fixed order of edits, a pair with that many in common shares one among the
+    first of either, if all but the needed number (less one) count as first.
+    Edits that no other component shares come first in the order, then the rarer.
+    A pair of different components has a member whose weight exceeds the limit,
+    so copies with few edits of their own need many in common with it.
+    """
+    part = 100 + percent
+    rows = edits.select(
+        "a", "b", "component", (F.col("weight") > F.col("limit")).alias("far"), F.size("edits").alias("n_edits"),
+        "weight", "limit", F.explode("edits").alias("edit"),
+    )
+    shared = (
+        rows.groupBy("a", "edit")
+        .agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("held"))
+        .filter("_low <> _high")
+        .select("a", "edit", "held")
+    )
+    member = Window.partitionBy("a", "b")
+    ranked = (
+        rows.join(shared, ["a", "edit"])
+        .withColumn("_place", F.row_number().over(member.orderBy("held", "edit")))
+        .withColumn("_alone", F.col("n_edits") - F.count("*").over(member))
+        .withColumn("_place", F.col("_place") + F.col("_alone"))
+        .withColumn("_own", F.col("n_edits") - F.floor(F.col("weight") / part))
+        .withColumn("_far", F.col("n_edits") - F.floor((F.col("weight") - F.col("limit")) / part))
+    )
+    first = stage(
+        ranked.filter(F.col("_place") <= F.greatest("_own", F.when(F.col("far"), F.col("_far"))))
+        .select("a", "edit", "b", "component", "far", (F.col("_place") <= F.col("_own")).alias("near"))
+    )
+    x = first.filter("far").select("a", "edit", F.col("b").alias("x"), F.col("component").alias("of_x"), F.col("near").alias("near_x"))
+    y = first.filter("near").select("a", "edit", F.col("b").alias("y"), F.col("component").alias("of_y"), F.col("far").alias("far_y"))
+    return (
+        x.join(y, ["a", "edit"])
+        .filter("of_x <> of_y AND (NOT far_y OR (near_x AND x < y))")
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        .distinct()
     )
-    return int(row[0] or 0), int(row[1] or 0)
 
 
 def near_duplicates(
@@ -248,10 +332,10 @@ def near_duplicates(
         .drop("set_key")
     )
     bands = members.filter("bands IS NOT NULL").select(
-        F.col("doc_id").alias("id"), F.explode("bands").alias("band")
+        F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("band")
     )
     repeated = bands.groupBy("band").count().filter("count > 1").select("band")
-    bands = stage(bands.join(repeated, "band", "left_semi").withColumn("component", F.col("id")))
+    bands = stage(bands.join(repeated, "band", "left_semi"))
     texts = source.filter(named).select(F.col("doc_id").alias("id"), "text")
     # Different sets of one doc_id are one node, which links the sets' classes.
     several = (
@@ -261,24 +345,21 @@ def near_duplicates(
         .select("doc_id", "b")
     )
     found = stage(members.join(several, "doc_id").select(F.col("_class").alias("a"), "b"))
-    groups = None
-    for turn in range(STAR_ROUNDS + 1):
-        load, held = _pair_load(bands)
-        if not load:
-            break
-        last = load <= 4 * held or turn == STAR_ROUNDS
-        pairs = stage(_cross_pairs(bands) if last else _star_pairs(bands, turn))
-        links = _links(pairs, texts, size, percent)
-        known = found if groups is None else groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        groups = components(known.select("a", "b").union(links.select("a", "b")))
-        if last:
-            break
-        joined = bands.drop("component").join(groups, F.col("id") == F.col("node"), "left")
-        bands = stage(
-            _open_buckets(joined.select("id", "band", F.coalesce("component", "id").alias("component")))
-        )
-    if groups is None:
-        groups = components(found)
+    links = _links(_star_pairs(bands, percent), texts, size, percent)
+    groups = components(found.union(links))
+    bands = stage(_open_buckets(_with_components(bands, groups)))
+    few = F.col("held") <= DIRECT_ROWS
+    around = _edits_of(_pivots(bands.filter(~few)), texts, size, percent)
+    links = _links(_direct_pairs(bands.filter(few), percent), texts, size, percent).union(
+        around.filter("weight <= limit").select("a", "b")
+    )
+    groups = components(_as_links(groups).union(links))
+    moved = F.coalesce(groups.component, around.component)
+    around = around.join(groups, around.b == groups.node, "left").select(
+        "a", "b", moved.alias("component"), "edits", "weight", "limit"
+    )
+    links = _links(_pairs_by_edits(around, percent), texts, size, percent)
+    groups = components(_as_links(groups).union(links))
     linked = members.select("doc_id", "_text", "n_shingles", "_class").join(
         groups, F.col("_class") == F.col("node"), "left"
     )

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from txlab.llm.common import read
+from txlab.llm.common import read, ship
+from txlab.llm.decontamination import decontaminate
 from txlab.llm.near_duplicates import near_duplicates
+from txlab.llm.pieces import encode_and_decode
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,7 +21,11 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[name] = function
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = shipped
         if sql is not None:
             ORACLE[name] = sql.strip()
         return function
@@ -25,6 +33,52 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op3_sentencepiece_encode_decode")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_and_decode(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+_WORDS = """list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"""
+
+OP5 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+i AS (SELECT item_id, {_WORDS} AS ws FROM benchmark),
+n AS (SELECT item_id, ws, least(len(ws), 10) AS span FROM i WHERE len(ws) > 0),
+win AS (
+  SELECT DISTINCT item_id, span, unnest(list_transform(range(0, len(ws) - span + 1),
+    lambda p: array_to_string(ws[p + 1:p + span], ' '))) AS passage FROM n),
+spans AS (SELECT DISTINCT span FROM win),
+runs AS (SELECT doc_id, span, ws, unnest(range(0, len(ws) - span + 1)) AS p FROM d JOIN spans ON len(ws) >= span),
+hit AS (
+  SELECT doc_id, item_id, p, win.span FROM (
+    SELECT doc_id, span, p, array_to_string(ws[p + 1:p + span], ' ') AS passage FROM runs) r
+  JOIN win ON r.span = win.span AND r.passage = win.passage),
+covered AS (SELECT doc_id, count(DISTINCT w) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + span)) AS w FROM hit) GROUP BY 1),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hit) GROUP BY 1)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
+@query("op5_benchmark_decontamination", OP5)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"
+    )
+
+
 OP9 = """
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(
