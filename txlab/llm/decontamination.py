@@ -92,7 +92,8 @@ def _fingerprints(df: DataFrame, short: list[int], full: bool) -> DataFrame:
 def _exploded(df: DataFrame, columns: list[str], one: bool) -> DataFrame:
     mark = F.col("_mark") if one else F.col("_mark.mark")
     span = F.col("_span") if one else F.col("_mark.span")
-    return df.select(*columns, "words", "_span", F.explode("marks").alias("_mark")).select(
+    # With explode() Spark would add a filter on the lists and compute them again for it.
+    return df.select(*columns, "words", "_span", F.explode_outer("marks").alias("_mark")).select(
         *columns,
         "words",
         span.alias("span"),
@@ -107,7 +108,7 @@ def _item_marks(items: DataFrame, short: list[int], full: bool) -> DataFrame:
     for size in short + ([SPAN] if full else []):
         own = items.filter(F.size("words") >= SPAN if size == SPAN else F.size("words") == size)
         marked = _fingerprints(own, [] if size == SPAN else [size], size == SPAN)
-        out = _exploded(marked, ["item_id"], True)
+        out = _exploded(marked, ["item_id"], True).filter("place IS NOT NULL")
         reach = range(-(SPAN - GRAM), SPAN) if size == SPAN else range(size)
         around = F.array(*[F.get("words", F.col("place") + k) for k in reach])
         sides.append(out.select("item_id", "span", "hash", around.alias("around")))
