@@ -12,6 +12,8 @@ from txlab.llm.common import read, ship
 from txlab.llm.decontamination import decontaminate
 from txlab.llm.near_duplicates import near_duplicates
 from txlab.llm.pieces import encode_and_decode
+from txlab.llm.search import top_k
+from txlab.llm.shards import shard
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +81,35 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP7 = """
+WITH RECURSIVE step AS (
+  SELECT n, n AS c, 0 AS k FROM range(256) t(n)
+  UNION ALL
+  SELECT n, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM step WHERE k < 8),
+crc AS (SELECT list(c ORDER BY n) AS t FROM step WHERE k = 8),
+b AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size,
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT) AS bytes
+  FROM documents),
+s AS (
+  SELECT doc_id, size, xor(4294967295, list_reduce(bytes,
+    lambda a, x: xor(a // 256, t[xor(a, x) % 256 + 1]), 4294967295)) AS text_crc32
+  FROM b, crc),
+p AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id) AS upto, sum(size) OVER () AS total FROM s),
+c AS (SELECT *, ((16 * (2 * upto - size)) // (2 * total))::INT AS shard FROM p)
+SELECT doc_id, size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard,
+  (row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1)::BIGINT AS slot, NULL::INT AS grown_shard FROM c
+"""
+
+
+@query("op7_sharding", OP7)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(read(spark, sf_dir, "documents"), 16).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 OP9 = """
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(
@@ -107,3 +138,20 @@ FROM documents d JOIN component USING (doc_id) LEFT JOIN n USING (doc_id)
 @query("op9_minhash_near_dedup", OP9)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), size=2)
+
+
+OP10 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+
+@query("op10_exact_top_k", OP10)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read(spark, sf_dir, "embeddings"))
