@@ -285,14 +285,19 @@ def _pairs_by_edits(edits: DataFrame, percent: int) -> DataFrame:
     )
     first = stage(
         ranked.filter(F.col("_place") <= F.greatest("_own", F.when(F.col("far"), F.col("_far"))))
-        .select("a", "edit", "b", "component", "far", (F.col("_place") <= F.col("_own")).alias("near"))
+        .select(
+            "a", "edit", "b", "component", "far", (F.col("_place") <= F.col("_own")).alias("near"),
+            (F.col("n_edits") - F.col("_place")).alias("rest"), "weight", "limit",
+        )
     )
-    x = first.filter("far").select("a", "edit", F.col("b").alias("x"), F.col("component").alias("of_x"), F.col("near").alias("near_x"))
-    y = first.filter("near").select("a", "edit", F.col("b").alias("y"), F.col("component").alias("of_y"), F.col("far").alias("far_y"))
+    x = first.filter("far").select(*(F.col(c).alias(c if c in ("a", "edit", "limit") else f"{c}_x") for c in first.columns))
+    y = first.filter("near").select(*(F.col(c).alias(c if c in ("a", "edit") else f"{c}_y") for c in first.columns if c != "limit"))
     return (
         x.join(y, ["a", "edit"])
-        .filter("of_x <> of_y AND (NOT far_y OR (near_x AND x < y))")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        .filter("component_x <> component_y AND (NOT far_y OR (near_x AND b_x < b_y))")
+        # At the first edit in common, no more can follow than either has left.
+        .filter(f"(least(rest_x, rest_y) + 1) * {part} >= weight_x + weight_y - limit")
+        .select(F.least("b_x", "b_y").alias("a"), F.greatest("b_x", "b_y").alias("b"))
         .distinct()
     )
 
