@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from txlab.llm.common import read, ship
 from txlab.llm.decontamination import decontaminate
+from txlab.llm.language import languages
 from txlab.llm.near_duplicates import near_duplicates
 from txlab.llm.pieces import encode_and_decode
 from txlab.llm.search import top_k
@@ -87,6 +88,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(read(spark, sf_dir, "documents"), read(spark, sf_dir, "pages"))
+
+
 OP7 = """
 WITH RECURSIVE step AS (
   SELECT n, n AS c, 0 AS k FROM range(256) t(n)

@@ -32,7 +32,9 @@ EXAMPLES = 6_000
 TERMS = 400
 NEIGHBOURS = 15
 BLOCK = 64
-_LEAST_SUPPORT = 5
+#: A term is in so many toxic examples at least, and in this share of them.
+_LEAST_SUPPORT = 4
+_LEAST_SHARE = 0.01
 _LEAST_CHI = 20.0
 _KEPT_WORDS = 500_000
 _KEPT_COUNTS = 1_000_000
@@ -167,7 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     chi = (a - expected) * (a - expected) / expected * (n0 + n1) / n0
     best = (
         counted.withColumn("chi", chi)
-        .filter((F.col("a") >= _LEAST_SUPPORT) & (F.col("chi") >= _LEAST_CHI) & (a / n1 >= 2 * b / n0))
+        .filter((F.col("a") >= max(_LEAST_SUPPORT, _LEAST_SHARE * n1)) & (F.col("chi") >= _LEAST_CHI) & (a / n1 >= 2 * b / n0))
         .orderBy(F.desc("chi"), "term")
         .limit(TERMS)
     )
