@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from txlab.llm.common import read, ship
 from txlab.llm.decontamination import decontaminate
 from txlab.llm.language import languages
+from txlab.llm.licenses import scan_licenses
 from txlab.llm.near_duplicates import near_duplicates
 from txlab.llm.pieces import encode_and_decode
 from txlab.llm.search import top_k
 from txlab.llm.shards import shard
 from txlab.llm.toxicity import toxicity
+from txlab.llm.urls import judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +39,27 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op1_license_scan")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    starts, labels = F.col("places.start"), F.col("places.label")
+    covered = F.coalesce(F.array_max("spans.covered"), F.lit(0.0))
+    return scan_licenses(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(labels)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(labels, F.col("spans.label"))), ",").alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(covered).alias("score"),
+    )
+
+
+@query("op2_url_filter")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"))
+
+
 @query("op3_sentencepiece_encode_decode")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_and_decode(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
