@@ -309,12 +309,14 @@ def near_duplicates(
     places: int = PLACES,
     rows: int = ROWS_PER_BAND,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of each document.
+    """``doc_id, n_shingles, component_id, kept, _text, n_rows`` of each document.
 
     Two documents are linked if the sets of their ``size``-word shingles have
     ``100 * intersection >= percent * union``; ``component_id`` is the smallest
-    doc_id reachable over links, ``kept`` marks that document. Only ``doc_id``
-    and ``text`` are read, whatever other columns there are.
+    doc_id reachable over links, ``kept`` marks that document. ``_text`` is the
+    text's hash, ``n_rows`` the number of equal rows. Only ``doc_id`` and
+    ``text`` are read, whatever other columns there are. ``_text`` is the text's hash
+    and ``n_rows`` the number of equal rows.
 
     Null, empty and wordless texts have no shingles and are linked with nothing.
     A row without doc_id has no component and is kept. Rows with the same doc_id
@@ -374,11 +376,7 @@ def near_duplicates(
     )
     return (
         result.union(alone)
-        .distinct()
-        .select(
-            "doc_id",
-            "n_shingles",
-            "component_id",
-            F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
-        )
+        .groupBy("doc_id", "n_shingles", "component_id", "_text")
+        .agg(F.count("*").alias("n_rows"))
+        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )

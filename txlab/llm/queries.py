@@ -13,6 +13,7 @@ from txlab.llm.decontamination import decontaminate
 from txlab.llm.language import languages
 from txlab.llm.licenses import scan_licenses
 from txlab.llm.near_duplicates import near_duplicates
+from txlab.llm.packing import pack
 from txlab.llm.pieces import encode_and_decode
 from txlab.llm.search import top_k
 from txlab.llm.shards import shard
@@ -145,6 +146,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_token_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return pack(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 OP9 = """
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(
@@ -172,7 +179,8 @@ FROM documents d JOIN component USING (doc_id) LEFT JOIN n USING (doc_id)
 
 @query("op9_minhash_near_dedup", OP9)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents"), size=2)
+    found = near_duplicates(read(spark, sf_dir, "documents"), size=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 OP10 = """
