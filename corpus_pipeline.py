@@ -38,7 +38,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tables = language.gather(stage(language.document_evidence(docs, model)), len(model.languages)) if model.languages else ()
     # One struct holds the input's columns, so that theirs can't clash with those of the evidence.
     rows = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"),
         F.col("source").cast("string").alias("host"),
         F.lower(F.col("lang").cast("string")).alias("declared"),
         F.lit(None).cast("string").alias("suffix"),

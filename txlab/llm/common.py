@@ -78,6 +78,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def ids_and_texts(docs: DataFrame) -> DataFrame:
+    """Only ``doc_id`` and ``text``, whatever other columns there are."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def text_key(text: Column) -> Column:
     """Tells texts with the same id apart; a null differs from an empty text."""
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())

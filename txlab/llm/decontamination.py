@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from txlab.llm.common import text_key
+from txlab.llm.common import ids_and_texts, text_key
 from txlab.sources.staging import stage
 
 SPAN = 10
@@ -83,10 +83,13 @@ def _fingerprints(df: DataFrame, short: list[int], full: bool) -> DataFrame:
     for size in short:
         df = df.withColumn(f"_grams{size}", _grams(size))
         lists.append((size, F.col(f"_grams{size}")))
-    marks = [F.transform(kept, lambda x, s=size: F.struct(F.lit(s).alias("span"), x.alias("mark"))) for size, kept in lists]
+
+    def with_span(size: int):
+        return lambda mark: F.struct(F.lit(size).alias("span"), mark.alias("mark"))
+
     if len(lists) == 1:
         return df.withColumn("marks", lists[0][1]).withColumn("_span", F.lit(lists[0][0]))
-    return df.withColumn("marks", F.concat(*marks)).withColumn("_span", F.lit(None).cast("int"))
+    return df.withColumn("marks", F.concat(*[F.transform(kept, with_span(size)) for size, kept in lists])).withColumn("_span", F.lit(None).cast("int"))
 
 
 def _exploded(df: DataFrame, columns: list[str], one: bool) -> DataFrame:
@@ -158,10 +161,10 @@ def passages(docs: DataFrame, items: DataFrame) -> DataFrame:
     of the item's passage covers; hits of one passage may overlap.
     """
     spark = docs.sparkSession
-    items = stage(with_words(items.select("item_id", "text")).filter(F.size("words") > 0))
+    items = stage(with_words(items.select("item_id", F.col("text").cast("string").alias("text"))).filter(F.size("words") > 0))
     lengths = [r[0] for r in items.select(F.least(F.size("words"), F.lit(SPAN))).distinct().collect()]
     short, full = sorted(n for n in lengths if n < SPAN), SPAN in lengths
-    source = with_words(docs.select("doc_id", "text").withColumn("_text", text_key(F.col("text"))))
+    source = with_words(ids_and_texts(docs).withColumn("_text", text_key(F.col("text"))))
     own = source.select("doc_id", "_text", F.size("words").alias("n_words"))
     none = [F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"), F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last")]
     if not lengths:

@@ -5,9 +5,9 @@ base phrases. A text's words are streamed through it; at each place it gives the
 longest run of words ending there that is part of any template. Long runs that
 can't be extended are the matches. Matches of a template whose order agrees in
 text and template, with small gaps, are chained; a chain that covers enough of
-the template is a span with the template's label. Places of base phrases are
-read from the same automaton: a phrase ends where the state's chain of suffixes
-holds it.
+the template is a span with the template's label. Whole templates and base
+phrases, also inside longer matches of others, are read from the state's chain
+of suffixes.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from txlab.llm.common import texts_as_bytes, words
+from txlab.llm.common import ids_and_texts, texts_as_bytes, words
 
 # Phrases that count wherever they stand, and their labels.
 BASE_PHRASES = {
@@ -155,15 +155,21 @@ class Scanner:
         coded = [[self.numbers[w] for w in s] for s in sequences + base]
         self.sizes = [len(s) for s in coded]
         self.automaton = SuffixAutomaton(coded)
-        whole = {(len(sequences) + k, len(s) - 1): (len(s), label) for k, (s, label) in enumerate(zip(base, phrases.values()))}
-        #: For each state the base phrases that its longest run ends with, and their words.
-        self.phrases: list[tuple[tuple[int, str], ...]] = [()] * len(self.automaton.states)
+        self.ends = [frozenset(e) for e in self.automaton.ends]
+        self.phrases = self._whole({len(sequences) + k: label for k, label in enumerate(phrases.values())})
+        self.notices = self._whole(dict(enumerate(self.labels)))
+        self.templates = len(sequences)
+
+    def _whole(self, names: dict[int, str]) -> list[tuple[tuple[int, str], ...]]:
+        """For each state the whole sequences that its longest run ends with: words and name."""
         states = self.automaton.states
+        last = {(number, self.sizes[number] - 1): (self.sizes[number], name) for number, name in names.items()}
+        out: list[tuple[tuple[int, str], ...]] = [()] * len(states)
         for k in sorted(range(1, len(states)), key=lambda i: states[i].length):
-            shorter = states[states[k].link].length
-            own = {whole[e] for e in self.automaton.ends[k] if e in whole and shorter < whole[e][0] <= states[k].length}
-            self.phrases[k] = tuple(sorted(own | set(self.phrases[states[k].link])))
-        self.templates = len(sequences)
+            link = states[k].link
+            own = {last[e] for e in self.ends[k] if e in last and states[link].length < last[e][0] <= states[k].length}
+            out[k] = tuple(sorted(own | set(out[link])))
+        return out
 
     def runs(self, text_words: list[bytes]) -> Iterator[tuple[int, list[int]]]:
         """Stretches of the text whose words all occur in templates, with their starts."""
@@ -182,23 +188,26 @@ class Scanner:
     def scan(self, text_words: list[bytes]):
         """Base phrase places ``(start, label)`` and spans ``(first, last, label, covered)``."""
         places: list[tuple[int, str]] = []
+        spans: dict[tuple[int, int, str], float] = {}
         matches: dict[int, list[tuple[int, int, int]]] = {}
         for start, coded in self.runs(text_words):
-            before = (0, 0)
+            before, held = 0, 0
             for k, (state, length) in enumerate([*self.automaton.statistics(coded), (0, 0)]):
-                # A run that the next word doesn't extend is a match.
-                if before[1] >= LEAST_WORDS and length != before[1] + 1:
-                    self._add(matches, start + k - 1, *before)
-                if k < len(coded):
-                    places += [(start + k - size + 1, label) for size, label in self.phrases[state] if size <= length]
-                before = (state, length)
-        spans = [span for number, found in matches.items() for span in self._chains(number, found)]
-        return sorted(places), sorted(spans)
-
-    def _add(self, matches, last: int, state: int, length: int) -> None:
-        for number, end in self.automaton.ends[state]:
-            if number < self.templates:
-                matches.setdefault(number, []).append((last, end, length))
+                if held >= LEAST_WORDS:
+                    # A run is a match in the templates in which the next word doesn't extend it.
+                    longer = self.ends[state] if length == held + 1 else frozenset()
+                    for number, end in self.automaton.ends[before]:
+                        if number < self.templates and (number, end + 1) not in longer:
+                            matches.setdefault(number, []).append((start + k - 1, end, held))
+                places += [(start + k - size + 1, label) for size, label in self.phrases[state] if size <= length]
+                for size, label in self.notices[state]:
+                    if size <= length:
+                        spans[start + k - size + 1, start + k, label] = 1.0
+                before, held = state, length
+        for number, found in matches.items():
+            for first, last, label, covered in self._chains(number, found):
+                spans[first, last, label] = max(covered, spans.get((first, last, label), 0.0))
+        return sorted(places), sorted((*span, covered) for span, covered in spans.items())
 
     def _chains(self, number: int, found: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, str, float]]:
         """Best chains of a template's matches, each extended from the best chain before it."""
@@ -260,7 +269,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     ones and those without doc_id; other columns aren't read; an empty table
     gives no rows.
     """
-    return docs.select("doc_id", "text").mapInArrow(
+    return ids_and_texts(docs).mapInArrow(
         _scan,
         "doc_id long, n_words long, places array<struct<start: long, label: string>>, "
         "spans array<struct<first: long, last: long, label: string, covered: double>>",

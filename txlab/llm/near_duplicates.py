@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from txlab.llm.common import WordHashes, mix, spaced_words, text_key, texts_as_bytes
+from txlab.llm.common import WordHashes, ids_and_texts, mix, spaced_words, text_key, texts_as_bytes
 from txlab.llm.components import components
 from txlab.sources.staging import stage
 
@@ -315,15 +315,14 @@ def near_duplicates(
     ``100 * intersection >= percent * union``; ``component_id`` is the smallest
     doc_id reachable over links, ``kept`` marks that document. ``_text`` is the
     text's hash, ``n_rows`` the number of equal rows. Only ``doc_id`` and
-    ``text`` are read, whatever other columns there are. ``_text`` is the text's hash
-    and ``n_rows`` the number of equal rows.
+    ``text`` are read, whatever other columns there are.
 
     Null, empty and wordless texts have no shingles and are linked with nothing.
     A row without doc_id has no component and is kept. Rows with the same doc_id
     are one node of the links: equal texts give one row, different texts a row
     each with the same component. An empty table gives no rows.
     """
-    source = docs.select("doc_id", "text").withColumn("_text", text_key(F.col("text")))
+    source = ids_and_texts(docs).withColumn("_text", text_key(F.col("text")))
     features = stage(
         source.mapInArrow(
             _features(size, places, rows),

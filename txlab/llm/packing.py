@@ -20,6 +20,8 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from txlab.llm.common import ids_and_texts
+
 LENGTH = 2048
 WINDOW_TOKENS = 4_000_000
 _SENT = 1024
@@ -185,7 +187,7 @@ def pack(
     if end_id >= 1 << 16:
         raise ValueError("ids don't fit in 16 bits")
     shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
-    return docs.select("doc_id", "text").mapInArrow(
+    return ids_and_texts(docs).mapInArrow(
         _pack(shared, length, end_id, window),
         "part int, sequence long, n_tokens int, ids binary, cumulative array<int>, resets array<int>, "
         "doc_ids array<long>, offsets array<long>",

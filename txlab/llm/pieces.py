@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txlab.llm.common import ids_and_texts
+
 _SPACE = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 _NEVER = float("-inf")
@@ -129,7 +131,7 @@ class PieceCoder:
                 shown.append(piece.replace(_SPACE, " ").encode())
         self.shown = shown
         self.leading = [k == _NORMAL and p.startswith(_SPACE) for p, k in zip(vocabulary.pieces, vocabulary.kinds)]
-        self.silent = [k == _CONTROL for k in vocabulary.kinds]
+        self.silent = {i for i, k in enumerate(vocabulary.kinds) if k == _CONTROL}
 
     def _name(self, token: int) -> str:
         return self.names[token] if token < self.size else chr(token - self.size)
@@ -239,9 +241,18 @@ class PieceCoder:
 
     def decode(self, ids) -> bytes:
         """UTF-8 bytes of the text; bytes that don't form characters become U+FFFD each."""
+        if self.silent.isdisjoint(ids):
+            return self._shown(ids, True)
+        # A control entry shows nothing, but bytes on its two sides form no character.
+        out, start = b"", 0
+        for end in [*(k for k, i in enumerate(ids) if i in self.silent), len(ids)]:
+            out += self._shown(ids[start:end], not out)
+            start = end + 1
+        return out
+
+    def _shown(self, ids, first: bool) -> bytes:
         out = b"".join(map(self.shown.__getitem__, ids))
-        first = next((i for i in ids if not self.silent[i]), None)
-        if first is not None and self.leading[first]:
+        if first and len(ids) and self.leading[ids[0]]:
             out = out[1:]
         try:
             out.decode()
@@ -300,7 +311,7 @@ def encode_and_decode(docs: DataFrame, model_path: str) -> DataFrame:
     no rows. ``model_path`` is read on the driver only.
     """
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model_path))
-    return docs.select("doc_id", "text").mapInArrow(
+    return ids_and_texts(docs).mapInArrow(
         _round_trip(shared), "doc_id long, ids array<int>, decoded string"
     )
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlab.llm.common import texts_as_bytes, words
+from txlab.llm.common import ids_and_texts, texts_as_bytes, words
 from txlab.sources.staging import stage
 
 EXAMPLES = 6_000
@@ -154,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     sample = [usable.filter(F.col("toxic") == c).orderBy(order, "doc_id").limit(EXAMPLES) for c in (0, 1)]
     # At most 2 * EXAMPLES rows of two numbers, hence broadcast.
     chosen = F.broadcast(stage(sample[0].union(sample[1])))
-    train = stage(docs.select("doc_id", "text").join(chosen, "doc_id"))
+    train = stage(ids_and_texts(docs).join(chosen, "doc_id"))
     sizes = {row["toxic"]: row["n"] for row in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     base = (total.get(1, 0) + 1) / (sum(total.values()) + 2)
@@ -282,6 +282,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     isn't held out and is never learned from. Other columns of ``docs`` aren't
     read. No documents give no rows.
     """
+    docs = ids_and_texts(docs)
     model = fit(docs, labels, ~held_out(F.col("doc_id")))
     scored = docs.select("doc_id", score(F.col("text"), model, docs.sparkSession).alias("_scored"))
     return scored.select(
