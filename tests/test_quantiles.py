@@ -1,14 +1,17 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from txlab.operators.quantiles import exact_quantiles, histogram
+from txlab.operators import quantiles
+from txlab.operators.quantiles import approximate_quantiles, exact_quantiles, histogram
 
 QS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
 
 
-@pytest.mark.parametrize("accuracy", [50, 400, 100_000])
-@pytest.mark.parametrize("shape", ["smooth", "heavy", "few", "one"])
-def test_quantiles_agree_with_numpy(spark, shape, accuracy):
+@pytest.mark.parametrize("ranges", [2, 50, 1024])
+@pytest.mark.parametrize("shape", ["smooth", "heavy", "few", "one", "wide"])
+def test_quantiles_agree_with_numpy(spark, monkeypatch, shape, ranges):
+    monkeypatch.setattr(quantiles, "RANGES", ranges)
     rng = np.random.default_rng(3)
     values = {
         "smooth": rng.normal(100, 30, 5000),
@@ -16,13 +19,26 @@ def test_quantiles_agree_with_numpy(spark, shape, accuracy):
         "heavy": np.where(rng.random(5000) < 0.34, 7.0, rng.exponential(1e6, 5000)),
         "few": np.array([3.0, 1.0, 2.0]),
         "one": np.array([5.0]),
+        "wide": np.concatenate((10.0 ** rng.uniform(-200, 200, 60), [-1e308, 1e308, 0.0, 0.0])),
     }[shape]
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(6)
-    got = {r.q: r.value for r in exact_quantiles(df, "v", QS, accuracy).collect()}
+    got = {r.q: r.value for r in exact_quantiles(df, "v", QS).collect()}
     for q in QS:
         assert got[q] == pytest.approx(float(np.percentile(values, q * 100)), rel=1e-12)
 
 
+def test_values_that_are_no_numbers_are_left_out(spark):
+    df = spark.createDataFrame([(x,) for x in (float("nan"), float("inf"), float("-inf"), 1.0, 3.0, None)], "v double")
+    assert [(r.q, r.value) for r in exact_quantiles(df, "v", [0.5]).collect()] == [(0.5, 2.0)]
+
+
+def test_approximate_quantiles(spark):
+    df = spark.range(100_000).select(F.col("id").cast("double").alias("v"))
+    got = {r.q: r.value for r in approximate_quantiles(df, "v", [0.1, 0.5], 1000).collect()}
+    assert got[0.1] == pytest.approx(10_000, abs=200) and got[0.5] == pytest.approx(50_000, abs=200)
+    assert approximate_quantiles(df.limit(0), "v", [0.5]).collect() == []
+
+
 def test_quantiles_of_nothing(spark):
     assert exact_quantiles(spark.createDataFrame([], "v double"), "v", [0.5]).collect() == []
 

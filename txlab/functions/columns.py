@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from txlab import schemas as S
 from txlab.functions.draws import as_column
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(38,10)"
 
 
 def money(column) -> Column:
-    """An amount as an exact decimal, so that sums do not depend on row order."""
+    """An amount as a wide decimal, so that sums do not depend on row order.
+
+    Ten places and 28 digits before them; nothing is rounded to pence before it is added.
+    """
     return as_column(column).cast(MONEY)
 
 

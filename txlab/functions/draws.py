@@ -77,7 +77,9 @@ def draw_truncated_normal(
 
     Box-Muller on two uniforms of one md5, first accepted try of 32.  The first
     tries are plain expressions, which compile; most rows accept one of them,
-    so the loop over the later ones is seldom entered.
+    so the loop over the later ones is seldom entered.  Equal bounds give that
+    value, a missing bound or mean gives none, and a row whose tries all miss
+    (its mean is far outside the bounds) is an error.
     """
     low, high, mean = as_column(low), as_column(high), as_column(mean)
     spread = (high - low) / F.lit(4.0)
@@ -93,7 +95,10 @@ def draw_truncated_normal(
 
     first = [F.when(inside(x), x) for x in map(value, map(F.lit, range(_FIRST_TRIES)))]
     later = F.transform(F.sequence(F.lit(_FIRST_TRIES), F.lit(_ALL_TRIES - 1)), value)
-    return F.coalesce(*first, F.try_element_at(F.filter(later, inside), F.lit(1)))
+    found = F.coalesce(*first, F.try_element_at(F.filter(later, inside), F.lit(1)))
+    unknown = low.isNull() | high.isNull() | mean.isNull()
+    missed = F.raise_error(F.lit("no draw between the bounds")).cast("double")
+    return F.when(unknown, F.lit(None).cast("double")).when(low == high, low.cast("double")).otherwise(F.coalesce(found, missed))
 
 
 def _bound(value) -> Column:

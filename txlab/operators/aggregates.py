@@ -1,4 +1,8 @@
-"""Grouped aggregates.  All combine on the map side, so hot groups cost nothing extra."""
+"""Grouped aggregates.  All combine on the map side, so hot groups cost nothing extra.
+
+Whole rows that are the least of a group are carried as one struct, which Spark
+aggregates by sorting instead of hashing; the order of rows is a short key.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +13,8 @@ from pyspark.sql import functions as F
 
 from txlab import schemas as S
 from txlab.functions import columns as C
-from txlab.operators.ranking import ROWS_PER_TASK, rank_in_group
+from txlab.functions.draws import SEED
+from txlab.operators.ranking import rank_in_group
 from txlab.operators.rows import split_label
 
 
@@ -90,7 +95,17 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Number of different values per column; a missing value counts as one."""
     return df.agg(
         *[
-            (F.count_distinct(c) + F.max(F.col(c).isNull().cast("int"))).alias(c)
+            (F.count_distinct(c) + F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0))).alias(c)
+            for c in columns
+        ]
+    )
+
+
+def approximate_distinct_counts(df: DataFrame, columns: Sequence[str], error: float = 0.02) -> DataFrame:
+    """The same from mergeable sketches, within ``error`` (relative), in one pass and without a shuffle of values."""
+    return df.agg(
+        *[
+            (F.approx_count_distinct(c, error) + F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0))).alias(c)
             for c in columns
         ]
     )
@@ -126,21 +141,14 @@ def mean_outflow(flows: DataFrame, divisor: float = 10000) -> DataFrame:
     return flows.groupBy("bank_from").agg((F.avg("n") / F.lit(float(divisor))).alias("mean_outflow"))
 
 
-def group_lists(
-    df: DataFrame,
-    key: str,
-    columns: Sequence[str],
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
+def group_lists(df: DataFrame, key: str, columns: Sequence[str], seed: int = SEED) -> DataFrame:
     """The list of each key as rows (key, position, columns), in hash order of the columns.
 
     A list per key in one cell would put a whole group into one task; numbered
     rows hold the same list at any size and can be joined by position.
     """
     members = df.filter(F.col(key).isNotNull()).select(key, *columns).distinct()
-    return rank_in_group(
-        members, [key], list(columns), salt="list", name="position", rows_per_task=rows_per_task
-    )
+    return rank_in_group(members, [key], list(columns), salt="list", name="position", seed=seed)
 
 
 def first_in_group(

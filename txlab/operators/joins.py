@@ -13,10 +13,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from txlab.functions import calendar as cal
 from txlab.functions.columns import literal_map
-from txlab.operators.ranking import ROWS_PER_TASK, rank_in_group
+from txlab.functions.draws import SEED
+from txlab.operators.ranking import rank_in_group
 
 
 def join_factor(tx: DataFrame, factors: DataFrame, on: str = "customer_id") -> DataFrame:
@@ -93,12 +94,10 @@ def lookup(
     """Value of each row's key in a literal table; ``strict`` fails on a key it lacks."""
     found = F.try_element_at(literal_map(values), F.col(column))
     if strict:
-        message = F.concat(F.lit(f"no {name} for "), F.coalesce(F.col(column), F.lit("null")))
-        kind = "string" if isinstance(next(iter(values.values())), str) else "double"
-        failure = F.raise_error(message).cast(kind)
-        found = F.when(found.isNull(), failure).otherwise(found)
-        if kind == "double" and all(isinstance(v, int) for v in values.values()):
-            found = found.cast("int")
+        message = F.concat(F.lit(f"no {name} for "), F.coalesce(F.col(column).cast("string"), F.lit("null")))
+        # The error never gives a value, so it takes the type of the values.
+        kind = df.select(found.alias("found")).schema["found"].dataType
+        found = F.when(found.isNull(), F.raise_error(message).cast(kind)).otherwise(found)
     return df.withColumn(name, found)
 
 
@@ -123,28 +122,36 @@ def zip_columns(
     left_key: Sequence[str],
     right_key: Sequence[str],
     salt: str = "zip",
-    rows_per_task: int = ROWS_PER_TASK,
+    how: str = "strict",
+    seed: int = SEED,
 ) -> DataFrame:
-    """Glue two tables by position in the order of their key hashes."""
-    a = rank_in_group(left, [], left_key, salt=salt, name="position", rows_per_task=rows_per_task)
-    b = rank_in_group(right, [], right_key, salt=salt, name="position", rows_per_task=rows_per_task)
-    return a.join(b, "position")
+    """Glue two tables by position in the order of their key hashes.
 
+    Tables of unequal size are an error; ``how="full"`` keeps the longer one's
+    rows with nothing beside them.
+    """
+    if how not in ("strict", "full"):
+        raise ValueError(f"unknown how {how!r}")
+    if how == "strict" and (sizes := (left.count(), right.count()))[0] != sizes[1]:
+        raise ValueError(f"the tables have {sizes[0]} and {sizes[1]} rows")
+    a = rank_in_group(left, [], left_key, salt=salt, name="position", seed=seed)
+    b = rank_in_group(right, [], right_key, salt=salt, name="position", seed=seed)
+    return a.join(b, "position", "full")
 
-def skeleton(
-    customers: DataFrame, start, months: int, caps: Mapping[str, int]
-) -> DataFrame:
-    """Every customer x month frame x category, generated from each customer row."""
-    frames = F.explode(cal.month_frames(start, months))
-    return (
-        customers.withColumn("_frame", frames)
-        .select(
-            "*",
-            F.col("_frame.start").alias("month_start"),
-            F.col("_frame.end").alias("month_end"),
-            F.explode(literal_map(caps)).alias("category", "cap"),
-        )
-        .drop("_frame")
+
+def skeleton(df: DataFrame, by: Sequence[str], date: str = "tx_date") -> DataFrame:
+    """Every month from a group's first to its last dated row, also those it has no row in.
+
+    One row (group, month_start, month_end) each, made from the group's own two ends.
+    """
+    ends = (
+        df.filter(F.col(date).isNotNull())
+        .groupBy(*by)
+        .agg(F.min(date).alias("_first"), F.max(date).alias("_last"))
+    )
+    months = F.sequence(F.trunc("_first", "MM"), F.trunc("_last", "MM"), F.expr("INTERVAL 1 MONTH"))
+    return ends.select(*by, F.explode(months).alias("month_start")).withColumn(
+        "month_end", F.last_day("month_start")
     )
 
 
@@ -156,14 +163,15 @@ def carry_forward(
 ) -> DataFrame:
     """First-month rows of the categories repeat in each later month of the ledger.
 
-    They replace the rows of those categories that the later months have.
+    They replace the rows of those categories that the later months have.  A row
+    without a date belongs to no month and stays as it is.
     ``span``: the ledger's first and last day, if known.
     """
     first, last = span or date_span(tx)
     if first is None:
         return tx
     later = (last.year - first.year) * 12 + last.month - first.month
-    recurring = F.coalesce(F.col("category").isin(*categories), F.lit(False))
+    recurring = F.coalesce(F.col("category").isin(*categories), F.lit(False)) & F.col("tx_date").isNotNull()
     in_first_month = F.col("tx_date") <= F.last_day(F.lit(first))
     ahead = F.col("_ahead")
     repeated = (
@@ -193,19 +201,23 @@ def union_all(*tables: DataFrame) -> DataFrame:
 
 def union_relaxed(left: DataFrame, right: DataFrame) -> DataFrame:
     """Union by name: missing columns are null, types widen to one that holds both."""
-    types = {f.name: f.dataType.typeName() for f in left.schema.fields}
-
-    def as_text(df, other):
-        return df.withColumns(
-            {
-                f.name: F.col(f.name).cast("string")
-                for f in df.schema.fields
-                if other.get(f.name) == "string" and f.dataType.typeName() != "string"
-            }
-        )
+    texts = {
+        f.name
+        for f in left.schema.fields
+        if f.name in right.columns and not _widens(f.dataType, right.schema[f.name].dataType)
+    }
+
+    def as_text(df: DataFrame) -> DataFrame:
+        return df.withColumns({c: F.col(c).cast("string") for c in df.columns if c in texts})
+
+    return as_text(left).unionByName(as_text(right), allowMissingColumns=True)
+
 
-    right_types = {f.name: f.dataType.typeName() for f in right.schema.fields}
-    return as_text(left, right_types).unionByName(as_text(right, types), allowMissingColumns=True)
+def _widens(a: T.DataType, b: T.DataType) -> bool:
+    """Whether a union holds both types without turning them into texts."""
+    dates = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    kinds = (T.NumericType, dates, T.NullType)
+    return a == b or any(isinstance(a, k) and isinstance(b, k) for k in kinds) or T.NullType in (type(a), type(b))
 
 
 def values_missing_from(left: DataFrame, right: DataFrame, column: str) -> DataFrame:

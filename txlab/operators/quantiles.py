@@ -1,81 +1,94 @@
-"""Exact quantiles and histograms without sorting or hashing the whole column."""
+"""Exact and approximate quantiles, and histograms, without sorting the whole column."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ACCURACY = 100_000
-_MARGIN = 5  # in units of the sketch's rank error
+from txlab.sources.staging import stage
 
+#: Ranges that the values around a rank are counted in, at each pass.
+RANGES = 1024
+
+
+def _finite(df: DataFrame, column: str) -> DataFrame:
+    value = F.col(column).cast("double")
+    return df.select(value.alias("v")).filter(F.col("v").isNotNull() & (F.abs("v") < F.lit(math.inf)))
 
-def exact_quantiles(
-    df: DataFrame, column: str, quantiles: Sequence[float], accuracy: int = ACCURACY
-) -> DataFrame:
-    """Linearly interpolated quantiles: one row (q, value) each.
 
-    A mergeable sketch gives a bracket around every quantile.  Rows below it
-    are counted, and only the distinct values inside it (a share of about
-    10 / accuracy of the rows) are put in order, so the answer is exact.  Below
-    ``accuracy`` rows the bracket is the whole range.
+def _values_at(values: DataFrame, ranks: Sequence[int], low: float, high: float) -> dict[int, float]:
+    """The values at 0-based ranks of the sorted column.
+
+    Each pass counts the values around every open rank in RANGES equal ranges,
+    with the least and largest value of each, and goes on with the range that
+    holds the rank, until that range has one value.  A pass reads one column and
+    shuffles at most RANGES rows for each rank and task; nothing is put in order.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    margin = _MARGIN / accuracy
-    edges = [max(0.0, q - margin) for q in quantiles] + [min(1.0, q + margin) for q in quantiles]
-    # One row of numbers: as literals they also prune what the later passes read.
-    sketch = values.agg(
-        F.percentile_approx("v", edges, accuracy).alias("edges"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-        F.count("v").alias("n"),
-    ).first()
-    count, n = len(quantiles), sketch["n"]
-    if n < accuracy:
-        bracket = [(sketch["min"], sketch["max"])] * count
-    else:
-        bracket = list(zip(sketch["edges"][:count], sketch["edges"][count:]))
-    below = (
-        values.agg(
-            *[F.count(F.when(F.col("v") < low, 1)).alias(f"b{i}") for i, (low, _) in enumerate(bracket)]
+    found: dict[int, float] = {}
+    open_ranks = {rank: (low, high, 0) for rank in ranks}
+    while open_ranks:
+        asked = sorted(open_ranks)
+        places = []
+        for number, rank in enumerate(asked):
+            start, end, _ = open_ranks[rank]
+            # Halved, so that the width of the widest span is a number too.
+            width = (end / 2 - start / 2) / RANGES * 2
+            step = F.least(F.floor((F.col("v") - F.lit(start)) / F.lit(width)), F.lit(RANGES - 1)) if width else F.lit(0)
+            place = F.struct(F.lit(number).alias("i"), step.cast("int").alias("range"))
+            places.append(F.when(F.col("v").between(start, end), place))
+        counted = (
+            values.select("v", F.explode(F.array_compact(F.array(*places))).alias("at"))
+            .groupBy("at.i", "at.range")
+            .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+            .orderBy("i", "range")
+            .collect()
         )
-        .select(F.array(*[F.col(f"b{i}") for i in range(count)]))
-        .scalar()
-    )
-    in_bracket = [F.col("v").between(low, high) for low, high in bracket]
-    hits = F.array(*[F.when(hit, F.lit(i)) for i, hit in enumerate(in_bracket)])
-    in_order = Window.partitionBy("i").orderBy("v")
-    inside = (
-        values.filter(reduce(Column.__or__, in_bracket))
-        .select("v", F.explode(F.array_compact(hits)).alias("i"))
-        .groupBy("i", "v")
-        .agg(F.count(F.lit(1)).alias("size"))
-        .withColumn("upto", F.sum("size").over(in_order) + below[F.col("i")])
-    )
-    q = F.element_at(F.array(*[F.lit(float(x)) for x in quantiles]), F.col("i") + 1)
-    place = q * F.lit(n - 1)
-    result = (
-        inside.withColumn("q", q)
-        .withColumn("place", place)
-        .groupBy("i", "q", "place")
-        .agg(
-            F.min(F.when(F.col("upto") > F.floor("place"), F.col("v"))).alias("low"),
-            F.min(F.when(F.col("upto") > F.ceil("place"), F.col("v"))).alias("high"),
-            F.min(F.col("upto") - F.col("size")).alias("below"),
-        )
-    )
-    missed = (
-        (F.col("below") > F.floor("place")) | F.col("low").isNull() | F.col("high").isNull()
-    )
-    value = F.col("low") + (F.col("high") - F.col("low")) * (F.col("place") - F.floor("place"))
-    return result.select(
-        "q",
-        F.when(missed, F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
-        .otherwise(value)
-        .alias("value"),
-    )
+        for number, rank in enumerate(asked):
+            before = open_ranks[rank][2]
+            for row in counted:
+                if row["i"] != number:
+                    continue
+                if rank < before + row["n"]:
+                    break
+                before += row["n"]
+            if row["low"] == row["high"]:
+                found[rank] = row["low"]
+                del open_ranks[rank]
+            else:
+                open_ranks[rank] = (row["low"], row["high"], before)
+    return found
+
+
+def exact_quantiles(df: DataFrame, column: str, quantiles: Sequence[float]) -> DataFrame:
+    """Linearly interpolated quantiles: one row (q, value) each, none for a column without values.
+
+    Missing and non-finite values are left out.
+    """
+    spark = df.sparkSession
+    values = stage(_finite(df, column))
+    ends = values.agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).first()
+    rows = []
+    if ends["n"]:
+        places = {float(q): q * (ends["n"] - 1) for q in quantiles}
+        ranks = {f(place) for place in places.values() for f in (math.floor, math.ceil)}
+        at = _values_at(values, sorted(ranks), ends["low"], ends["high"])
+        for q, place in places.items():
+            low, high = at[math.floor(place)], at[math.ceil(place)]
+            rows.append((q, low + (high - low) * (place - math.floor(place))))
+    return spark.createDataFrame(rows, "q double, value double")
+
+
+def approximate_quantiles(
+    df: DataFrame, column: str, quantiles: Sequence[float], accuracy: int = 10_000
+) -> DataFrame:
+    """Values whose rank is within n / accuracy of the quantile's, from one mergeable sketch."""
+    asked = [float(q) for q in quantiles]
+    sketch = _finite(df, column).agg(F.percentile_approx("v", asked, accuracy).alias("values"))
+    pairs = F.arrays_zip(F.array(*[F.lit(q) for q in asked]).alias("q"), F.col("values").alias("value"))
+    return sketch.filter("values IS NOT NULL").select(F.inline(pairs))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:

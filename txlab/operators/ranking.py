@@ -1,9 +1,10 @@
 """Ranking and fraction sampling inside groups of any size.
 
 A plain window sorts each group in one task, which fails when one group holds
-a third of all rows.  Here a group above ``rows_per_task`` is cut into slices
-by the hash that also orders it.  Slices are ranked on their own and the sizes
-of the slices before them are added, so the result is the plain window's.
+a third of all rows.  Here all rows are dealt out by ranges of (group, order),
+so a group of any size is spread over as many parts as it fills.  Rows are
+ranked inside their part, and a group that began in an earlier part goes on
+from the rows it has there.  There is one plan for all sizes.
 """
 
 from __future__ import annotations
@@ -13,53 +14,35 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txlab.functions.draws import uniform
-
-ROWS_PER_TASK = 4_000_000
-# A hot group must also hold more than this share of all rows, so there can
-# never be more hot groups than this: the proven bound of what is broadcast.
-MAX_HOT_GROUPS = 100_000
+from txlab.functions.draws import SEED, uniform
+from txlab.sources.staging import stage
 
 _GROUP = "_group"
 _ORDER = "_order"
-_SLICE = "_slice"
+_PART = "_part"
 
 
-def _group_key(by: Sequence[str]) -> Column:
+def group_key(by: Sequence[str]) -> Column:
     """The group as one struct: unlike its fields, it equals itself also where one is null."""
-    return F.struct(*[F.col(c) for c in by])
+    return F.struct(*[F.col(c) for c in by]) if by else F.lit(0)
 
 
-def hot_groups(
-    df: DataFrame, by: Sequence[str], rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
-    """Groups too large for one task, their sizes and the number of slices each needs.
+def _rows_before(parts: DataFrame) -> DataFrame:
+    """For each part the group that began in an earlier one, with its rows so far.
 
-    Sizes come from a map-side combined count of the key columns alone.
+    Only a part's first and last group can span parts, so this has at most one
+    row for each part, and what is counted for it at most two.
     """
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-    share = sizes.agg(F.sum("_rows") / F.lit(MAX_HOT_GROUPS)).scalar()
-    limit = F.greatest(F.lit(float(rows_per_task)), share)
-    return sizes.filter(F.col("_rows") > limit).withColumn(
-        "_slices", F.ceil(F.col("_rows") / F.lit(rows_per_task))
+    ends = parts.groupBy(_PART).agg(F.min(_GROUP).alias("_first"), F.max(_GROUP).alias("_last"))
+    spanning = (
+        parts.select(_PART, _GROUP)
+        .join(F.broadcast(ends), _PART)
+        .filter((F.col(_GROUP) == F.col("_first")) | (F.col(_GROUP) == F.col("_last")))
+        .groupBy(_GROUP, _PART)
+        .agg(F.count(F.lit(1)).alias("_size"))
     )
-
-
-def _attach(
-    rows: DataFrame, facts: DataFrame, by: Sequence[str], how: str = "left"
-) -> DataFrame:
-    """Facts of the hot groups on their rows; null elsewhere, unless ``how`` is inner."""
-    names = [c for c in facts.columns if c not in by]
-    if by:
-        return (
-            rows.withColumn(_GROUP, _group_key(by))
-            .join(F.broadcast(facts.select(_group_key(by).alias(_GROUP), *names)), _GROUP, how)
-            .drop(_GROUP)
-        )
-    # All rows are one group: its facts are one value.
-    value = facts.select(F.struct(*names)).scalar()
-    attached = rows.withColumns({c: value[c] for c in names})
-    return attached.filter(F.col(names[0]).isNotNull()) if how == "inner" else attached
+    before = Window.partitionBy(_GROUP).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    return spanning.select(_PART, _GROUP, F.sum("_size").over(before).alias("_before")).filter("_before > 0")
 
 
 def rank_in_group(
@@ -69,47 +52,26 @@ def rank_in_group(
     prefix: Sequence[str] = (),
     salt: str = "rank",
     name: str = "rank",
-    rows_per_task: int = ROWS_PER_TASK,
+    seed: int = SEED,
 ) -> DataFrame:
     """1-based ``row_number`` per group, ordered by ``prefix``, then hash of ``key``, then ``key``.
 
-    ``key`` must be unique in the group.  A hot group is sliced by its prefix
-    values, and a prefix value that is itself hot is sliced by the hash.
+    ``key`` must be unique in the group.
     """
     by, key, prefix = list(by), list(key), list(prefix)
-    hot = hot_groups(df, by, rows_per_task).select(*by, F.lit(True).alias("_hot"), "_slices")
-    parts = [f"_part{i}" for i in range(len(prefix))]
-    slices = [*parts, _SLICE]
-
-    def sliced(how: str) -> DataFrame:
-        if prefix:
-            rows = _attach(df, hot.drop("_slices"), by, how)
-            hot_parts = hot_groups(df, [*by, *prefix], rows_per_task).drop("_rows")
-            rows = _attach(rows, hot_parts, [*by, *prefix])
-        else:
-            rows = _attach(df, hot, by, how)
-        slice_of_hash = F.floor(F.col(_ORDER) * F.coalesce(F.col("_slices"), F.lit(1)))
-        return (
-            rows.withColumn(_ORDER, uniform(*key, salt=salt))
-            .withColumn(_SLICE, F.when(F.col("_slices") > 1, slice_of_hash).otherwise(0))
-            .withColumns({p: F.when(F.col("_hot"), F.col(c)) for p, c in zip(parts, prefix)})
-            .withColumn(_GROUP, _group_key([*by, *slices]))
-        )
-
-    # The window and the join below use one key, so that one shuffle serves both.
-    in_slice = Window.partitionBy(_GROUP).orderBy(*prefix, _ORDER, *key)
-    before = Window.partitionBy(*by).orderBy(*slices).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = sliced("left").withColumn("_n", F.row_number().over(in_slice).cast("long"))
-    offsets = (
-        sliced("inner")
-        .groupBy(*by, *slices)
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn("_offset", F.sum("_size").over(before))
-        .select(_group_key([*by, *slices]).alias(_GROUP), "_offset")
+    order = [*prefix, _ORDER, *key]
+    parts = stage(
+        df.withColumns({_GROUP: group_key(by), _ORDER: uniform(*key, salt=salt, seed=seed)})
+        .repartitionByRange(_GROUP, *order)
+        .withColumn(_PART, F.spark_partition_id())
     )
-    return ranked.join(offsets, _GROUP, "left").select(
-        *[F.col(c) for c in df.columns],
-        (F.col("_n") + F.coalesce(F.col("_offset"), F.lit(0))).alias(name),
+    here = F.row_number().over(Window.partitionBy(_PART, _GROUP).orderBy(*order)).cast("long")
+    # At most a row for each part, hence broadcast.
+    before = F.broadcast(_rows_before(parts))
+    return (
+        parts.withColumn("_here", here)
+        .join(before, [_PART, _GROUP], "left")
+        .select(*[F.col(c) for c in df.columns], (F.col("_here") + F.coalesce("_before", F.lit(0))).alias(name))
     )
 
 
@@ -120,45 +82,12 @@ def mark_lowest(
     limit: Callable[[Column], Column],
     salt: str,
     name: str = "picked",
-    rows_per_task: int = ROWS_PER_TASK,
+    seed: int = SEED,
 ) -> DataFrame:
-    """Flag the ``limit(group size)`` rows of each group with the lowest key hash.
-
-    Hot groups are decided slice by slice from slice sizes: every slice is in
-    or out as a whole but one, and only that one is sorted.
-    """
-    by, key = list(by), list(key)
-    hot = hot_groups(df, by, rows_per_task)
-    order = uniform(*key, salt=salt)
-    part = F.floor(order * F.col("_slices"))
-    upto = Window.partitionBy(*by).orderBy(_SLICE)
-    wanted = F.least(limit(F.col("_rows")), F.col("_rows"))
-    reached = F.struct(F.col(_SLICE).alias("slice"), F.col("_left").alias("left"))
-    # Per hot group the last slice that starts below the limit, and how many of its rows are in.
-    cuts = (
-        _attach(df.select(*by, *[c for c in key if c not in by]), hot, by, "inner")
-        .groupBy(*by, "_slices", "_rows", part.alias(_SLICE))
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn("_left", wanted - (F.sum("_size").over(upto) - F.col("_size")))
-        .groupBy(*by, "_slices")
-        .agg(F.max(F.when(F.col("_left") > 0, reached)).alias("_cut"))
-    )
-    rows = (
-        _attach(df, cuts, by)
-        .withColumn(_SLICE, F.when(F.col("_slices").isNotNull(), part))
-        .withColumn("_last", F.coalesce(F.col("_cut.slice"), F.lit(-1)))
-    )
-    sorted_here = F.col("_slices").isNull() | (F.col(_SLICE) == F.col("_last"))
-    by_whole_slice = rows.filter(~sorted_here).select(
-        *df.columns, (F.col(_SLICE) < F.col("_last")).alias(name)
-    )
-    group = Window.partitionBy(*by)
-    quota = F.coalesce(F.col("_cut.left"), limit(F.count(F.lit(1)).over(group)))
-    by_rank = (
-        rows.filter(sorted_here)
-        .withColumn(_ORDER, order)
-        .withColumn("_n", F.row_number().over(group.orderBy(_ORDER, *key)))
-        .withColumn("_quota", quota)
-        .select(*df.columns, (F.col("_n") <= F.col("_quota")).alias(name))
+    """Flag the ``limit(group size)`` rows of each group with the lowest key hash."""
+    by = list(by)
+    sizes = df.groupBy(group_key(by).alias(_GROUP)).agg(F.count(F.lit(1)).alias("_size"))
+    ranked = rank_in_group(df, by, key, salt=salt, name="_rank", seed=seed).withColumn(_GROUP, group_key(by))
+    return ranked.join(sizes, _GROUP).select(
+        *[F.col(c) for c in df.columns], (F.col("_rank") <= limit(F.col("_size"))).alias(name)
     )
-    return by_whole_slice.unionByName(by_rank)

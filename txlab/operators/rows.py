@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from txlab import schemas as S
 from txlab.functions import columns as C
-from txlab.functions.draws import draw_uniform
+from txlab.functions.draws import SEED, draw_uniform
 from txlab.operators.quantiles import exact_quantiles
 
 
@@ -68,7 +68,8 @@ def where_gt(df: DataFrame, column: str, value, or_equal: bool = False) -> DataF
 
 def high_value(df: DataFrame, column: str, q: float = 0.75) -> DataFrame:
     """Rows above the exact q-quantile of the column."""
-    return df.filter(F.col(column) > exact_quantiles(df, column, [q]).select("value").scalar())
+    cut = exact_quantiles(df, column, [q]).first()
+    return df.filter(F.col(column) > F.lit(cut["value"] if cut else None).cast("double"))
 
 
 def split_label(df: DataFrame, label: str, column: str = "fraud_type") -> DataFrame:
@@ -115,6 +116,7 @@ def scale_by_entity(
     high: float = 0.5,
     column: str = "amount",
     salt: str = "scale",
+    seed: int = SEED,
 ) -> DataFrame:
     """Multiply by a factor drawn per entity; drawn in place, so without a join."""
-    return df.withColumn(column, F.col(column) * draw_uniform(low, high, entity, salt=salt))
+    return df.withColumn(column, F.col(column) * draw_uniform(low, high, entity, salt=salt, seed=seed))

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from txlab import schemas as S
 from txlab.functions import calendar as cal
 from txlab.functions.columns import money_sum
-from txlab.functions.draws import draw_choice
+from txlab.functions.draws import SEED, draw_choice
 from txlab.operators.aggregates import first_in_group
 from txlab.operators.joins import join_same_group
 from txlab.operators.quantiles import exact_quantiles
-from txlab.operators.ranking import ROWS_PER_TASK, rank_in_group
+from txlab.operators.ranking import rank_in_group
 
 
 def row_key(
@@ -22,10 +22,10 @@ def row_key(
     by: Sequence[str] = ("customer_id",),
     key: Sequence[str] = ("tx_id",),
     name: str = "row_key",
-    rows_per_task: int = ROWS_PER_TASK,
+    seed: int = SEED,
 ) -> DataFrame:
     """0-based row number in the group, in hash order of the business key."""
-    ranked = rank_in_group(df, by, key, salt="row", name=name, rows_per_task=rows_per_task)
+    ranked = rank_in_group(df, by, key, salt="row", name=name, seed=seed)
     return ranked.withColumn(name, F.col(name) - 1)
 
 
@@ -52,7 +52,7 @@ def tile_by_position(
     prefix: Sequence[str] = ("description",),
     key: Sequence[str] = ("tx_id",),
     salt: str = "tile",
-    rows_per_task: int = ROWS_PER_TASK,
+    seed: int = SEED,
 ) -> DataFrame:
     """The i-th row of a group gets the same drawn value in every month."""
     monthly = df.withColumn("_month", cal.month_start(date))
@@ -63,9 +63,9 @@ def tile_by_position(
         prefix=prefix,
         salt=salt,
         name="_position",
-        rows_per_task=rows_per_task,
+        seed=seed,
     )
-    return ranked.withColumn(name, draw_choice(values, *by, "_position", salt=salt)).drop(
+    return ranked.withColumn(name, draw_choice(values, *by, "_position", salt=salt, seed=seed)).drop(
         "_position", "_month"
     )
 
@@ -89,10 +89,10 @@ def income_rank_flag(
     A customer without Income rows is not high-income.
     """
     income = F.col("category") == S.INCOME
-    cut = exact_quantiles(tx.filter(income), "amount", [q]).select("value").scalar()
+    cut = exact_quantiles(tx.filter(income), "amount", [q]).first()
     first = F.min_by("amount", F.when(income, F.struct(*order)))
     return (
         tx.groupBy(customer)
         .agg(first.alias("first_income"))
-        .withColumn("high_income", F.coalesce(F.col("first_income") > cut, F.lit(False)))
+        .withColumn("high_income", F.coalesce(F.col("first_income") > F.lit(cut["value"] if cut else None).cast("double"), F.lit(False)))
     )

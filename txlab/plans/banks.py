@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from txlab import schemas as S
 from txlab.functions.columns import adjusted_amount
-from txlab.functions.draws import draw_choice, draw_uniform
+from txlab.functions.draws import SEED, draw_choice, draw_uniform
 from txlab.operators.aggregates import first_in_group
 from txlab.operators.joins import join_same_group
-from txlab.operators.ranking import ROWS_PER_TASK
 from txlab.operators.windows import tile_by_position
 
 CUSTOMER = "customer_id"
@@ -23,7 +22,7 @@ def assign_banks(
     tx: DataFrame,
     banks: Sequence[str] = S.BANKS,
     utilities_from: str = "own",
-    rows_per_task: int = ROWS_PER_TASK,
+    seed: int = SEED,
 ) -> DataFrame:
     """Set bank_to and bank_from of every row.
 
@@ -41,9 +40,9 @@ def assign_banks(
     own = F.col("_own")
     drawn = tx.withColumns(
         {
-            "_own": draw_choice(banks, CUSTOMER, salt="own"),
-            "bank_to": draw_choice(banks, "tx_id", salt="to"),
-            "bank_from": draw_choice(banks, "tx_id", salt="from"),
+            "_own": draw_choice(banks, CUSTOMER, salt="own", seed=seed),
+            "bank_to": draw_choice(banks, "tx_id", salt="to", seed=seed),
+            "bank_from": draw_choice(banks, "tx_id", salt="from", seed=seed),
         }
     ).withColumns(
         {
@@ -61,9 +60,7 @@ def assign_banks(
     untiled = untiled.withColumns(
         {c: F.when(inside, own).otherwise(F.col(c)) for c in ("bank_to", "bank_from")}
     )
-    utilities = tile_by_position(
-        drawn.filter(is_utility), banks, "bank_to", salt="utility", rows_per_task=rows_per_task
-    )
+    utilities = tile_by_position(drawn.filter(is_utility), banks, "bank_to", salt="utility", seed=seed)
     if utilities_from == "own":
         utilities = utilities.withColumn("bank_from", own)
     else:
@@ -78,9 +75,9 @@ def assign_banks(
 
 
 def vary_amounts(
-    tx: DataFrame, low: float = 1.0, high: float = 2.0, amount: str = "amount"
+    tx: DataFrame, low: float = 1.0, high: float = 2.0, amount: str = "amount", seed: int = SEED
 ) -> DataFrame:
     """A factor per customer, drawn in place, and the amount changed by it."""
     return tx.withColumn(
-        "factor_increase", draw_uniform(low, high, CUSTOMER, salt="factor")
+        "factor_increase", draw_uniform(low, high, CUSTOMER, salt="factor", seed=seed)
     ).withColumn("new_amount", adjusted_amount(amount, "factor_increase"))

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from txlab import schemas as S
 from txlab.functions import columns as C
+from txlab.functions.draws import SEED, draw_index
 from txlab.operators.aggregates import group_totals
-from txlab.operators.ranking import ROWS_PER_TASK, mark_lowest
+from txlab.operators.ranking import rank_in_group
 from txlab.operators.sampling import (
     at_position,
     distinct_position,
@@ -32,14 +33,15 @@ def describe_cases(
     pool: DataFrame,
     key: str = "case_key",
     synonyms: Mapping[str, str] = S.CATEGORY_SYNONYMS,
+    seed: int = SEED,
 ) -> DataFrame:
     """Pence to pounds, and a random (description, category) of the row's fraud type.
 
     A row whose type has no texts stays without.
     """
-    indexed = index_pool(pool, ["fraud_type"], _TEXTS, salt="texts")
+    indexed = index_pool(pool, ["fraud_type"], _TEXTS, salt="texts", seed=seed)
     pounds = cases.withColumn("transaction_value", F.col("transaction_value") / F.lit(100))
-    described = pick(pounds, indexed, [key], "describe", _TEXTS, how="left")
+    described = pick(pounds, indexed, [key], "describe", _TEXTS, how="left", seed=seed)
     return described.withColumn("category", C.normalised("category", synonyms))
 
 
@@ -48,17 +50,19 @@ def blend_descriptions(
     mapped: DataFrame,
     key: str = "case_key",
     mapped_key: Sequence[str] = ("fraud_type", "category", "subcategory", "description"),
-    rows_per_task: int = ROWS_PER_TASK,
+    replace: bool = False,
+    seed: int = SEED,
 ) -> DataFrame:
     """Append copies of sampled cases that carry ordinary descriptions.
 
     ``mapped``: catalogue rows tagged with a fraud type.  Per mapped category,
     half of the cases in it are copied; a category without cases copies as many
-    random cases as the catalogue has rows for it.  A copy takes description,
+    random cases as the catalogue has rows for it, which is an error if there are
+    fewer cases, or with ``replace`` draws cases again.  A copy takes description,
     fraud_type, category and subcategory of a random catalogue row.  All
     categories are done in one pass over the original cases.
     """
-    pool = index_pool(mapped, ["category"], mapped_key, salt="mapped", rows_per_task=rows_per_task)
+    pool = index_pool(mapped, ["category"], mapped_key, salt="mapped", seed=seed)
     # One row per mapped category, with the number of cases in it.
     sizes = cases.groupBy("category").agg(F.count(F.lit(1)).alias("_cases"))
     targets = stage(
@@ -67,35 +71,30 @@ def blend_descriptions(
         )
     )
     halves = sample_fraction(
-        cases.join(targets.select("category"), "category", "left_semi"),
-        ["category"],
-        1,
-        2,
-        [key],
-        "blend",
-        rows_per_task,
+        cases.join(targets.select("category"), "category", "left_semi"), ["category"], 1, 2, [key], "blend", seed
     )
     take = ["description", "fraud_type", "subcategory"]
-    copies = pick(halves.withColumn("_draw", F.lit(0)), pool, [key, "_draw"], "blend-text", take)
+    copies = pick(halves.withColumn("_draw", F.lit(0).cast("long")), pool, [key, "_draw"], "blend-text", take, seed=seed)
 
     empty = targets.filter("_cases = 0")
-    if empty.limit(1).count():
-        everyone = index_pool(cases, [], [key], salt="cases", rows_per_task=rows_per_task)
-        wanted = empty.select(
-            F.col("category").alias("_target"),
-            F.explode(F.sequence(F.lit(1), F.col("_pool_size"))).alias("_draw"),
-        ).withColumn("_pool_size", everyone.sizes.select("_pool_size").scalar())
-        position = distinct_position(F.col("_pool_size"), F.col("_draw") - 1, "_target", salt="blend-any")
-        drawn = (
-            at_position(
-                wanted.filter(F.col("_draw") <= F.col("_pool_size")).withColumn("_pos", position),
-                everyone,
-                cases.columns,
-            )
-            .drop("category")
-            .withColumnRenamed("_target", "category")
+    most = empty.agg(F.max("_pool_size")).first()[0]
+    if most:
+        everyone = index_pool(cases, [], [key], salt="cases", seed=seed)
+        held = everyone.sizes.first()["_pool_size"]
+        if most > held and not replace:
+            raise ValueError(f"{most} cases are to be copied, there are {held}")
+        # One copy for each catalogue row of the category, which its position numbers.
+        wanted = pool.rows.join(empty.select("category"), "category", "left_semi").select(
+            F.col("category").alias("_target"), (F.col("_pos") + 1).alias("_draw")
         )
-        copies = copies.unionByName(pick(drawn, pool, [key, "_draw"], "blend-text", take))
+        size = F.lit(held)
+        if replace:
+            position = draw_index(size, "_target", "_draw", salt="blend-any", seed=seed)
+        else:
+            position = distinct_position(size, F.col("_draw") - 1, "_target", salt="blend-any", seed=seed)
+        drawn = at_position(wanted.withColumn("_pos", position), everyone, cases.columns)
+        drawn = drawn.drop("category").withColumnRenamed("_target", "category")
+        copies = copies.unionByName(pick(drawn, pool, [key, "_draw"], "blend-text", take, seed=seed))
     copies = copies.drop("_draw").withColumn("data_ver", F.lit("non_fraud"))
     return cases.unionByName(copies, allowMissingColumns=True)
 
@@ -105,33 +104,37 @@ def thin_and_rewrite(
     texts: DataFrame,
     categories: Sequence[str] = S.REWRITE_CATEGORIES,
     key: str = "case_key",
-    rows_per_task: int = ROWS_PER_TASK,
+    seed: int = SEED,
 ) -> DataFrame:
     """Keep a third of the rows not yet rewritten in some categories and rewrite most of that third.
 
     A row without a subcategory still has its first description.  Of the kept
-    third floor(n / 1.2) rows, that is n * 5 div 6, take a random catalogue
-    description of their category; all other rows stay as they are.
+    third floor(n / 1.2) rows, that is n * 5 div 6, the lowest in the same order,
+    take a random catalogue description of their category; all other rows stay.
     """
     is_target = F.coalesce(
         F.col("category").isin(*categories) & F.col("subcategory").isNull(), F.lit(False)
     )
-    by = ["category"]
-    kept = stage(
-        sample_fraction(cases.filter(is_target), by, 1, 3, [key], "thin", rows_per_task)
-    )
+    # Both limits are by the same order of a category's rows, so one ranking serves them.
+    by = [F.col("category")]
+    sizes = cases.filter(is_target).groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
+    ranked = rank_in_group(cases.filter(is_target), ["category"], [key], salt="thin", name="_rank", seed=seed)
+    kept = F.floor(F.col("_size") / 3)
     marked = stage(
-        mark_lowest(kept, by, [key], integer_share(5, 6), "rewrite", "_rewrite", rows_per_task)
+        ranked.join(sizes, "category")
+        .filter(F.col("_rank") <= kept)
+        .withColumn("_rewrite", F.col("_rank") <= integer_share(5, 6)(kept))
+        .drop("_rank", "_size")
     )
     pool = index_pool(
         texts.filter(F.col("category").isin(*categories)),
-        by,
+        ["category"],
         [c for c in texts.columns if c != "category"],
         salt="rewrite-pool",
-        rows_per_task=rows_per_task,
+        seed=seed,
     )
     rewritten = pick(
-        marked.filter("_rewrite"), pool, [key], "rewrite-text", ["description"], how="left"
+        marked.filter("_rewrite"), pool, [key], "rewrite-text", ["description"], how="left", seed=seed
     )
     parts = (cases.filter(~is_target), marked.filter(~F.col("_rewrite")), rewritten)
     result = parts[0]

@@ -1,4 +1,4 @@
-"""Catalogue expansion: many draws from a description catalogue, each with an amount."""
+"""Catalogue texts drawn for the rows of a ledger."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlab.functions.draws import draw_truncated_normal
+from txlab.functions.draws import SEED
 from txlab.operators.sampling import index_pool, pick
 
 _TEXT_KEY = ("category", "subcategory", "description")
@@ -15,31 +15,23 @@ _TEXT_KEY = ("category", "subcategory", "description")
 
 def expand_catalogue(
     catalogue: DataFrame,
-    draws: DataFrame,
-    draw_key: str,
+    tx: DataFrame,
+    row_key: str = "tx_id",
+    amount: str = "amount",
     key: Sequence[str] = _TEXT_KEY,
     least: float = 1.0,
     origin: str = "non-fraud",
+    seed: int = SEED,
 ) -> DataFrame:
-    """Draw a catalogue row with replacement for each row of ``draws``, and an amount for it.
+    """Give each ledger row of at least ``least`` a catalogue text drawn with replacement.
 
-    ``catalogue``: category, subcategory, description and the bounds min, max
-    and mean of its subcategory.  Amounts follow a normal cut to the bounds;
-    those under ``least`` are left out, the others rounded to 2 places.
+    ``catalogue``: category, subcategory, description and the bounds min and max
+    of its subcategory.  Amounts are the rows' own, brought inside the bounds of
+    the text and rounded to 2 places; nothing is made up.
     """
-    pool = index_pool(catalogue, [], key, salt="catalogue")
-    drawn = pick(
-        draws.select(draw_key),
-        pool,
-        [draw_key],
-        "expand",
-        ["category", "subcategory", "description", "min", "max", "mean"],
-    )
-    amount = draw_truncated_normal("min", "max", "mean", draw_key, salt="amount")
-    return (
-        drawn.withColumn("amount", amount)
-        .filter(F.col("amount") >= least)
-        .withColumn("amount", F.bround(F.col("amount").cast("decimal(28,10)"), 2).cast("double"))
-        .drop("min", "max", "mean")
-        .withColumn("origin", F.lit(origin))
-    )
+    pool = index_pool(catalogue, [], key, salt="catalogue", seed=seed)
+    rows = tx.filter(F.col(amount) >= least).select(row_key, amount)
+    drawn = pick(rows, pool, [row_key], "expand", [*_TEXT_KEY, "min", "max"], seed=seed)
+    inside = F.least(F.greatest(F.col(amount), F.col("min")), F.col("max"))
+    rounded = F.bround(inside.cast("decimal(28,10)"), 2).cast("double")
+    return drawn.withColumn(amount, rounded).drop("min", "max").withColumn("origin", F.lit(origin))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txlab import schemas as S
 from txlab.functions import calendar as cal
-from txlab.functions.draws import draw_int, uniform
+from txlab.functions.draws import SEED, draw_int
 from txlab.operators.joins import keep_on_dates, remove_rows
 from txlab.operators.quantiles import exact_quantiles
 from txlab.operators.sampling import (
@@ -15,6 +15,7 @@ from txlab.operators.sampling import (
     distinct_position,
     index_pool,
     is_selected,
+    lowest_n,
     pick,
 )
 from txlab.sources.staging import stage
@@ -22,23 +23,13 @@ from txlab.sources.staging import stage
 CUSTOMER = "customer_id"
 
 
-def _lowest(df: DataFrame, salt: str, limit: int) -> DataFrame:
-    """Number each customer's rows in hash order up to a literal limit.
-
-    With a literal limit each task first cuts a customer to its lowest rows, so
-    no customer's whole history meets in one task.
-    """
-    window = Window.partitionBy(CUSTOMER).orderBy("_order", "tx_id")
-    return (
-        df.withColumn("_order", uniform("tx_id", salt=salt))
-        .withColumn("_n", F.row_number().over(window).cast("long"))
-        .filter(F.col("_n") <= limit)
-        .drop("_order")
-    )
-
-
 def customer_quotas(
-    chosen: DataFrame, high_per_month: int, other_per_month: int, q: float, months: int
+    chosen: DataFrame,
+    high_per_month: float,
+    other_per_month: float,
+    q: float,
+    months: int,
+    seed: int = SEED,
 ) -> DataFrame:
     """Per chosen customer: which pool its fraud comes from and how many rows.
 
@@ -49,11 +40,12 @@ def customer_quotas(
     cut = exact_quantiles(chosen.filter(income), "amount", [q]).select("value").first()
     first = F.min_by("amount", F.when(income, F.struct("tx_date", "tx_id")))
     high = F.coalesce(first > F.lit(cut["value"] if cut else None).cast("double"), F.lit(False))
-    total = F.when(F.col("high_income"), high_per_month * months).otherwise(other_per_month * months)
+    total = F.when(F.col("high_income"), int(high_per_month * months)).otherwise(int(other_per_month * months))
+    drawn = total - draw_int(0, 2, CUSTOMER, salt="quota", seed=seed)
     return (
         chosen.groupBy(CUSTOMER)
         .agg(high.alias("high_income"), F.count(F.lit(1)).alias("_rows"))
-        .withColumn("quota", total - draw_int(0, 2, CUSTOMER, salt="quota"))
+        .withColumn("quota", F.greatest(drawn, F.lit(0)))
     )
 
 
@@ -61,35 +53,38 @@ def inject_labels(
     ledger: DataFrame,
     cases: DataFrame,
     share: float = 0.3,
-    high_per_month: int = 5,
-    other_per_month: int = 3,
+    high_per_month: float = 5,
+    other_per_month: float = 3,
     q: float = 0.9,
     exact: bool = True,
-    strict: bool = False,
+    strict: bool = True,
+    seed: int = SEED,
 ) -> DataFrame:
     """Replace ordinary rows of ``share`` of the customers by fraud rows.
 
     ``ledger``: tx_id, customer_id, tx_date, category, subcategory, description,
     amount, tx_type.  ``cases``: the same texts and amount with fraud_type, and
-    a unique tx_id.  Totals per customer are months times the per-month number,
-    less 0 to 2.  Each fraud row falls on the date of one of the customer's
+    a unique tx_id.  Totals per customer are the months of the chosen customers'
+    ledgers (of each year) times the per-month number, less 0 to 2.  Each fraud row falls on the date of one of the customer's
     rows.  As many rows on those dates leave, never Income, Housing or
     Utilities.  ``exact=False`` draws the rows to remove with replacement, so
-    fewer leave.  ``strict`` fails where a customer has fewer rows than fraud
-    rows to place; else it gets as many as it has rows.
+    fewer leave.  A customer with fewer rows than fraud rows to place is an
+    error; without ``strict`` it gets as many as it has rows.
     """
-    selected = is_selected(ledger, CUSTOMER, share)
+    selected = is_selected(ledger, CUSTOMER, share, seed=seed)
     # Every further pass reads only the chosen customers' rows.
     chosen = stage(ledger.filter(selected))
-    months = chosen.select(cal.month_number("tx_date").alias("m")).distinct().count()
-    most = max(high_per_month, other_per_month) * months
-    quotas = customer_quotas(chosen, high_per_month, other_per_month, q, months)
-    pool = _case_pool(cases)
-    _check_pool(pool, {True: high_per_month * months, False: other_per_month * months})
+    months = chosen.select(cal.month_start("tx_date").alias("m")).filter("m IS NOT NULL").distinct().count()
+    most = int(max(high_per_month, other_per_month) * months)
+    quotas = stage(customer_quotas(chosen, high_per_month, other_per_month, q, months, seed))
+    if strict and quotas.filter(F.col("_rows") < F.col("quota")).limit(1).count():
+        raise ValueError("a customer has fewer rows than fraud rows to place")
+    pool = _case_pool(cases, seed)
+    _check_pool(pool, quotas)
 
     # The dated places for fraud rows: at most `most` per customer.
     slots = (
-        _lowest(chosen.select(CUSTOMER, "tx_id", "tx_date"), "date", most)
+        lowest_n(chosen.select(CUSTOMER, "tx_id", "tx_date"), [CUSTOMER], most, ["tx_id"], "date", "_n", seed)
         .join(quotas, CUSTOMER)
         .filter(F.col("_n") <= F.col("quota"))
         .select(
@@ -102,11 +97,8 @@ def inject_labels(
         )
     )
     slots = stage(slots)
-    if strict and slots.filter(F.col("_taken") < F.col("quota")).limit(1).count():
-        raise ValueError("a customer has fewer rows than fraud rows to place")
-
-    injected = _draw_cases(slots, pool)
-    removed = _rows_to_remove(chosen, slots, most, exact)
+    injected = _draw_cases(slots, pool, seed)
+    removed = _rows_to_remove(chosen, slots, most, exact, seed)
     kept = remove_rows(chosen, removed, ["tx_id"])
     ordinary = [F.col(c) for c in ledger.columns if c not in ("fraud_type", "customer_scammed")]
 
@@ -125,25 +117,28 @@ def inject_labels(
     )
 
 
-def _case_pool(cases: DataFrame):
+def _case_pool(cases: DataFrame, seed: int):
     """Fraud rows to draw from: one pool for high-income customers, one for the others."""
     usable = cases.filter(F.col("fraud_type") != S.EXCLUDED_FRAUD_TYPE).withColumn(
         "high_income", F.col("fraud_type") == S.HIGH_INCOME_FRAUD_TYPE
     )
-    return index_pool(usable, ["high_income"], ["tx_id"], salt="cases")
+    return index_pool(usable, ["high_income"], ["tx_id"], salt="cases", seed=seed)
 
 
-def _check_pool(pool, needed: dict[bool, int]) -> None:
+def _check_pool(pool, quotas: DataFrame) -> None:
+    """No customer may draw more fraud rows than its pool holds."""
     sizes = {row["high_income"]: row["_pool_size"] for row in pool.sizes.collect()}
-    for high, most in needed.items():
-        if sizes.get(high, 0) < most:
-            raise ValueError(f"the fraud pool holds {sizes.get(high, 0)} rows, {most} may be drawn")
+    drawn = quotas.groupBy("high_income").agg(F.max(F.least("quota", "_rows")).alias("most"))
+    for row in drawn.collect():
+        held = sizes.get(row["high_income"], 0)
+        if held < row["most"]:
+            raise ValueError(f"the fraud pool holds {held} rows, {row['most']} are drawn for a customer")
 
 
-def _draw_cases(slots: DataFrame, pool) -> DataFrame:
+def _draw_cases(slots: DataFrame, pool, seed: int) -> DataFrame:
     """One fraud row per slot; no case comes twice for a customer."""
     sized = slots.join(pool.sizes, "high_income")
-    position = distinct_position(F.col("_pool_size"), F.col("slot"), CUSTOMER, salt="case")
+    position = distinct_position(F.col("_pool_size"), F.col("slot"), CUSTOMER, salt="case", seed=seed)
     drawn = at_position(
         sized.withColumn("_pos", position),
         pool,
@@ -162,7 +157,7 @@ def _draw_cases(slots: DataFrame, pool) -> DataFrame:
     )
 
 
-def _rows_to_remove(chosen: DataFrame, slots: DataFrame, most: int, exact: bool) -> DataFrame:
+def _rows_to_remove(chosen: DataFrame, slots: DataFrame, most: int, exact: bool, seed: int) -> DataFrame:
     """Unprotected rows on the slots' dates, as many as fraud rows come in."""
     protected = F.coalesce(F.col("category").isin(*S.BILL_CATEGORIES), F.lit(False))
     candidates = keep_on_dates(
@@ -170,6 +165,7 @@ def _rows_to_remove(chosen: DataFrame, slots: DataFrame, most: int, exact: bool)
     ).select(CUSTOMER, "tx_id")
     if exact:
         taken = slots.filter("slot = 0").select(CUSTOMER, "_taken")
-        return _lowest(candidates, "remove", most).join(taken, CUSTOMER).filter("_n <= _taken")
-    indexed = index_pool(candidates, [CUSTOMER], ["tx_id"], salt="remove")
-    return pick(slots.select(CUSTOMER, "slot"), indexed, [CUSTOMER, "slot"], "remove", ["tx_id"])
+        ranked = lowest_n(candidates, [CUSTOMER], most, ["tx_id"], "remove", "_n", seed)
+        return ranked.join(taken, CUSTOMER).filter("_n <= _taken")
+    indexed = index_pool(candidates, [CUSTOMER], ["tx_id"], salt="remove", seed=seed)
+    return pick(slots.select(CUSTOMER, "slot"), indexed, [CUSTOMER, "slot"], "remove", ["tx_id"], seed=seed)

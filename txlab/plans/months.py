@@ -1,72 +1,49 @@
-"""Monthly ledgers: category draws per customer and month, recurring bills, variability."""
+"""Monthly ledgers: samples per customer and month, recurring bills, variability."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlab import schemas as S
 from txlab.functions import calendar as cal
-from txlab.functions.draws import as_column, draw_date, draw_int
-from txlab.operators.joins import carry_forward, date_span, skeleton
+from txlab.functions.columns import literal_map
+from txlab.functions.draws import SEED
+from txlab.operators.joins import carry_forward, date_span
 from txlab.operators.rows import classify_flow, scale_by_entity
-from txlab.operators.sampling import at_position, distinct_position, index_pool
-
-CELL = ("customer_id", "month_start", "category")
+from txlab.operators.sampling import lowest_n
 
 
 def monthly_sample(
-    catalogue: DataFrame,
-    customers: DataFrame,
-    start,
-    months: int,
-    caps: Mapping[str, int] = S.MONTHLY_CAPS,
-    key: Sequence[str] = ("category", "subcategory", "description"),
-    take: Sequence[str] = ("subcategory", "description", "amount"),
+    tx: DataFrame, caps: Mapping[str, int] = S.MONTHLY_CAPS, key: str = "tx_id", seed: int = SEED
 ) -> DataFrame:
-    """Per customer, month and category draw 1..cap catalogue rows without repeats.
+    """Per customer, month and category at most the category's cap of the ledger's own rows.
 
-    Only the catalogue is ranked.  Draws find their rows by position, so
-    nothing is sorted per cell and no cell is ever brought together.
+    Rows of a category without a cap, and undated rows, drop out.
     """
-    pool = index_pool(
-        catalogue.filter(F.col("category").isin(*caps)), ["category"], key, salt="monthly"
-    )
-    cap_of = F.element_at(F.create_map(*[F.lit(x) for kv in caps.items() for x in kv]), F.col("category"))
-    if pool.sizes.filter(F.col("_pool_size") < cap_of).limit(1).count():
-        raise ValueError("a category has fewer catalogue rows than its monthly cap")
-    cells = skeleton(customers, as_column(start), months, caps)
-    count = draw_int(F.lit(1), F.col("cap"), *CELL, salt="count")
-    draws = cells.select(
-        "customer_id",
-        "month_start",
-        "month_end",
-        "category",
-        F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("draw"),
-    ).join(pool.sizes, "category")
-    position = distinct_position(F.col("_pool_size"), F.col("draw"), *CELL, salt="start")
-    drawn = at_position(draws.withColumn("_pos", position), pool, take)
-    day = draw_date("month_start", "month_end", *CELL, "draw", salt="day")
-    return (
-        drawn.withColumn("tx_date", day)
-        .withColumn("tx_id", F.concat_ws("|", *[F.col(c).cast("string") for c in (*CELL, "draw")]))
-        .drop("month_start", "month_end", "draw")
-    )
+    cap = F.try_element_at(literal_map(caps), F.col("category"))
+    rows = tx.withColumns({"_month": cal.month_start("tx_date"), "_cap": cap})
+    rows = rows.filter(F.col("_month").isNotNull() & F.col("_cap").isNotNull())
+    cell = ["customer_id", "_month", "category"]
+    lowest = lowest_n(rows, cell, max(caps.values()), [key], "monthly", "_n", seed)
+    return lowest.filter(F.col("_n") <= F.col("_cap")).drop("_n", "_cap", "_month")
 
 
 def recurring_bills(tx: DataFrame) -> DataFrame:
     """First-month bills repeat monthly: rent and utilities at the month's start, income on its last Friday.
 
-    The first month starts on the ledger's first day, later ones on day 1.
+    The first month starts on the ledger's first day, later ones on day 1.  An
+    undated row keeps no date.
     """
     span = date_span(tx)
     start = F.lit(span[0]).cast("date")
     bills = carry_forward(tx, S.BILL_CATEGORIES, span)
     month = cal.month_start("tx_date")
     day = (
-        F.when(F.col("category").isin(*S.MONTH_START_CATEGORIES), F.greatest(month, start))
+        F.when(F.col("tx_date").isNull(), F.lit(None).cast("date"))
+        .when(F.col("category").isin(*S.MONTH_START_CATEGORIES), F.greatest(month, start))
         .when(F.col("category") == S.INCOME, cal.last_friday("tx_date"))
         .otherwise(F.col("tx_date"))
     )
@@ -78,8 +55,9 @@ def customer_variability(
     low: float = 0.1,
     high: float = 0.5,
     incoming_text: str = S.INCOMING_TEXT,
+    seed: int = SEED,
 ) -> DataFrame:
     """Scale every amount by the customer's factor, then derive income or spending."""
     return classify_flow(
-        scale_by_entity(tx, low=low, high=high, salt="variance"), incoming_text
+        scale_by_entity(tx, low=low, high=high, salt="variance", seed=seed), incoming_text
     )

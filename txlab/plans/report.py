@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlab.functions import columns as C
 from txlab.operators.aggregates import averaged_rows, bank_flows, scammed_counts
+from txlab.operators.ranking import rank_in_group
 from txlab.operators.rows import split_label
 from txlab.sources.staging import stage
 
@@ -77,8 +78,7 @@ def summary_table(summary: dict[str, DataFrame]) -> DataFrame:
 def flow_graph(tx: DataFrame, label: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Nodes (node_id, side, bank) and edges (source_id, target_id, n) with dense ids.
 
-    Senders come first, then receivers, each in name order.  The numbering runs
-    over banks, not over transactions.
+    Senders come first, then receivers, each in name order.
     """
     flows = stage(bank_flows(tx, label))
     sides = (
@@ -86,8 +86,9 @@ def flow_graph(tx: DataFrame, label: str | None = None) -> tuple[DataFrame, Data
         .unionByName(flows.select(F.lit(1).alias("_side"), F.col("bank_to").alias("bank")))
         .distinct()
     )
-    nodes = sides.select(
-        (F.dense_rank().over(Window.orderBy("_side", "bank")).cast("long") - 1).alias("node_id"),
+    ranked = rank_in_group(sides, [], ["_side", "bank"], prefix=["_side", "bank"], name="_rank")
+    nodes = ranked.select(
+        (F.col("_rank") - 1).alias("node_id"),
         F.when(F.col("_side") == 0, "sender").otherwise("receiver").alias("side"),
         "bank",
     )

@@ -9,10 +9,11 @@ from txlab.functions.draws import draw_uniform
 from txlab.operators import aggregates as A
 from txlab.operators import joins as J
 from txlab.operators import quantiles as Q
+from txlab.plans.banks import vary_amounts
 from txlab.queries.joins import FRAUD, labelled
 from txlab.queries.oracle import between, exact_mean, exact_sum, on_tx, u
 from txlab.queries.registry import query
-from txlab.sources.ledger import ledger
+from txlab.sources.ledger import ledger, table
 from txlab.sources.staging import stage
 from txlab.sources.views import customer_flags
 
@@ -65,6 +66,19 @@ def spend_total_nonfraud(spark, sf_dir):
     return A.spend_total(ledger(spark, sf_dir, ("tx_type", "fraud_type", "amount")), "non-fraud")
 
 
+@query(
+    "a3_spend_total_varied",
+    on_tx(
+        f"""SELECT round_even(sum(CASE WHEN amount > 2 THEN amount * {between(1, 2, 'factor', 'customer_id')}
+              ELSE amount + 4 END), 0) AS spent FROM tx WHERE tx_type = 'spending' AND fraud_type = 'none'"""
+    ),
+)
+def spend_total_varied(spark, sf_dir):
+    """The total of amounts with many places, added as they are."""
+    rows = ledger(spark, sf_dir, ("customer_id", "tx_type", "fraud_type", "amount"))
+    return A.spend_total(vary_amounts(rows), "non-fraud", amount="new_amount")
+
+
 FLAGS = """flags AS (SELECT customer_id,
     max(CASE WHEN fraud_type <> 'none' THEN 1 ELSE 0 END) AS customer_scammed
   FROM tx GROUP BY customer_id)"""
@@ -107,6 +121,7 @@ VARIED = f"""varied AS (SELECT customer_id, CASE WHEN amount > 2
 
 
 def varied(spark, sf_dir):
+    """Every row's amount with its customer's factor."""
     rows = ledger(spark, sf_dir, ("customer_id", "amount"))
     factor = draw_uniform(1.0, 2.0, "customer_id", salt="factor")
     return rows.select("customer_id", adjusted_amount("amount", factor).alias("new_amount"))
@@ -267,15 +282,14 @@ def first_in_group(spark, sf_dir):
     "a17_empty_group",
     on_tx(
         """SELECT subcategory, count(tx_id) AS n, count(tx_id) = 0 AS is_empty
-        FROM (SELECT DISTINCT subcategory FROM tx)
-        LEFT JOIN (SELECT * FROM tx WHERE fraud_type = 'CEO' AND amount > 90000) USING (subcategory)
-        GROUP BY subcategory"""
+        FROM (SELECT DISTINCT description AS subcategory FROM tx UNION SELECT DISTINCT subcategory FROM tx)
+        LEFT JOIN tx USING (subcategory) GROUP BY subcategory"""
     ),
 )
 def empty_group(spark, sf_dir):
-    groups = ledger(spark, sf_dir, ("subcategory",))
-    rows = labelled(spark, sf_dir, ("subcategory", "fraud_type", "amount"))
-    rows = rows.filter("fraud_type = 'CEO' AND amount > 90000")
+    # Texts and subcategories as groups: no row has a text as its subcategory.
+    rows = ledger(spark, sf_dir, ("subcategory", "description"))
+    groups = rows.select("subcategory").union(rows.select("description"))
     return A.empty_groups(groups, rows, "subcategory")
 
 
@@ -302,30 +316,30 @@ def sorted_distinct(spark, sf_dir):
 @query(
     "u1_union",
     on_tx(
-        """SELECT tx_id, amount FROM tx WHERE fraud_type <> 'none'
-        UNION ALL SELECT tx_id, amount FROM tx WHERE category = 'Income'"""
+        """SELECT tx_id, amount FROM tx
+        UNION ALL SELECT o_orderkey::VARCHAR, o_totalprice FROM orders"""
     ),
 )
 def union_all(spark, sf_dir):
-    income = ledger(spark, sf_dir, ("amount", "tx_id", "category")).filter("category = 'Income'")
-    return J.union_all(labelled(spark, sf_dir, ("tx_id", "amount")), income.drop("category"))
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_totalprice").alias("amount"), F.col("o_orderkey").cast("string").alias("tx_id")
+    )
+    return J.union_all(ledger(spark, sf_dir, ("tx_id", "amount")), orders)
 
 
 @query(
     "u2_union_relaxed",
     on_tx(
         """SELECT tx_id, CAST(customer_id AS VARCHAR) AS customer_id, amount, NULL AS tx_type
-        FROM tx WHERE fraud_type <> 'none'
+        FROM tx
         UNION ALL
-        SELECT tx_id, concat('c', customer_id), CAST(floor(amount) AS INT), tx_type
-        FROM tx WHERE category = 'Income'"""
+        SELECT tx_id, concat('c', customer_id), CAST(floor(amount) AS INT), tx_type FROM tx"""
     ),
 )
 def union_relaxed(spark, sf_dir):
-    left = labelled(spark, sf_dir, ("tx_id", "customer_id", "amount"))
+    left = ledger(spark, sf_dir, ("tx_id", "customer_id", "amount"))
     right = (
-        ledger(spark, sf_dir, ("tx_id", "customer_id", "amount", "tx_type", "category"))
-        .filter("category = 'Income'")
+        ledger(spark, sf_dir, ("tx_id", "customer_id", "amount", "tx_type"))
         .select(
             "tx_id",
             F.concat(F.lit("c"), F.col("customer_id").cast("string")).alias("customer_id"),
@@ -340,11 +354,11 @@ def union_relaxed(spark, sf_dir):
     "u3_except",
     on_tx(
         """SELECT description FROM tx WHERE fraud_type = 'none'
-        EXCEPT SELECT description FROM tx WHERE fraud_type = 'CEO'"""
+        EXCEPT SELECT description FROM tx WHERE fraud_type <> 'none'"""
     ),
 )
 def values_missing_from(spark, sf_dir):
     rows = ledger(spark, sf_dir, ("description", "fraud_type"))
     return J.values_missing_from(
-        rows.filter("fraud_type = 'none'"), rows.filter("fraud_type = 'CEO'"), "description"
+        rows.filter("fraud_type = 'none'"), rows.filter("fraud_type <> 'none'"), "description"
     )

@@ -17,11 +17,10 @@ from txlab.plans import labels as L
 from txlab.plans import months as M
 from txlab.plans import report as P
 from txlab.queries.aggregates import AVERAGE, COUNTS, FLAGS, NONFRAUD
-from txlab.queries.joins import CARRIED, FRAMES, FRAUD, MONTHS, START, labelled
+from txlab.queries.joins import CARRIED, FRAUD, labelled
 from txlab.queries.oracle import (
     between,
     choice,
-    day,
     distinct_position,
     exact_sum,
     index,
@@ -30,7 +29,6 @@ from txlab.queries.oracle import (
     on_tx,
     pairs,
     rank,
-    truncated_normal,
     u,
 )
 from txlab.queries.registry import query
@@ -39,8 +37,6 @@ from txlab.sources import views
 from txlab.sources.ledger import CATEGORY_OF_TYPE, INCOMING_TEXT, ledger
 from txlab.sources.staging import stage
 
-_AMOUNT = truncated_normal('"min"', '"max"', '"mean"', "amount", "t.tx_id")
-
 
 # K1 ------------------------------------------------------------------------
 
@@ -49,11 +45,10 @@ _AMOUNT = truncated_normal('"min"', '"max"', '"mean"', "amount", "t.tx_id")
     "k1_expand",
     on_tx(
         f"""SELECT tx_id, category, subcategory, description,
-               CAST(CAST(amount AS DECIMAL(18, 2)) AS DOUBLE) AS amount, 'non-fraud' AS origin
-        FROM (SELECT t.tx_id, p.*, {_AMOUNT} AS amount
-              FROM (SELECT tx_id, {index('(SELECT count(*) FROM catalogue)', 'expand', 'tx_id')} AS pos
-                    FROM tx) t JOIN pool p USING (pos))
-        WHERE amount >= 1""",
+               CAST(round_even(CAST(least(greatest(amount, "min"), "max") AS DECIMAL(28, 10)), 2) AS DOUBLE) AS amount,
+               'non-fraud' AS origin
+        FROM (SELECT tx_id, amount, {index('(SELECT count(*) FROM catalogue)', 'expand', 'tx_id')} AS pos
+              FROM tx WHERE amount >= 1) t JOIN pool p USING (pos)""",
         CATALOGUE,
         f"""pool AS (SELECT *, row_number() OVER (
               ORDER BY {u('catalogue', 'category', 'subcategory', 'description')},
@@ -61,8 +56,8 @@ _AMOUNT = truncated_normal('"min"', '"max"', '"mean"', "amount", "t.tx_id")
     ),
 )
 def expand(spark, sf_dir):
-    draws = ledger(spark, sf_dir, ("tx_id",))
-    return K.expand_catalogue(views.catalogue(spark, sf_dir), draws, "tx_id")
+    rows = ledger(spark, sf_dir, ("tx_id", "amount"))
+    return K.expand_catalogue(views.catalogue(spark, sf_dir), rows)
 
 
 # K2 to K5 ------------------------------------------------------------------
@@ -91,7 +86,6 @@ def describe(spark, sf_dir):
     return C.describe_cases(bare, pool, synonyms=TEXT_SYNONYMS)
 
 
-# Housing and Utilities have no cases below, so that blending meets both situations.
 BLEND_MAPPING = {
     "Investment": ["Investment"],
     "Romance": ["Groceries", "Housing"],
@@ -100,11 +94,10 @@ BLEND_MAPPING = {
 _BLEND_CATEGORIES = "('Investment', 'Groceries', 'Housing', 'Utilities')"
 _MAPPED = ", ".join(f"('{g}', '{c}')" for g, members in BLEND_MAPPING.items() for c in members)
 _MAPPED_KEY = "fraud_type, category, subcategory, description"
-_START_CASE = distinct_position("total", "d", "blend-any", "category")
 BLENDED = (
     """cases AS (SELECT tx_id AS case_key, case_id, amount AS transaction_value, fraud_type,
        category, description FROM tx
-  WHERE fraud_type <> 'none' AND category NOT IN ('Housing', 'Utilities'))""",
+  WHERE fraud_type <> 'none')""",
     f"""mapped AS (SELECT *, row_number() OVER (PARTITION BY category
          ORDER BY {u('mapped', 'fraud_type', 'category', 'subcategory', 'description')}, {_MAPPED_KEY}) - 1 AS pos,
        count(*) OVER (PARTITION BY category) AS n
@@ -112,33 +105,23 @@ BLENDED = (
         FROM tx JOIN (VALUES {_MAPPED}) m(fraud_type, category) ON tx.category = m.category))""",
     f"""halves AS (SELECT *, 0 AS draw FROM cases WHERE category IN {_BLEND_CATEGORIES}
   QUALIFY {rank('blend', 'case_key', 'category')} <= count(*) OVER (PARTITION BY category) // 2)""",
-    f"everyone AS (SELECT *, {rank('cases', 'case_key')} - 1 AS pos FROM cases)",
-    f"""wanted AS (SELECT category, draw, {_START_CASE} AS pos
-  FROM (SELECT category, draw, draw - 1 AS d, (SELECT count(*) FROM cases) AS total
-        FROM (SELECT category, unnest(range(1, max(n) + 1)) AS draw FROM mapped GROUP BY category)
-        WHERE category NOT IN (SELECT category FROM cases))
-  WHERE draw <= total)""",
-    """sampled AS (SELECT case_key, case_id, transaction_value, category, draw FROM halves
-  UNION ALL SELECT case_key, case_id, transaction_value, wanted.category, draw
-  FROM wanted JOIN everyone USING (pos))""",
     f"""blended AS (SELECT case_key, case_id, transaction_value, fraud_type, category, description,
          NULL AS subcategory, NULL AS data_ver FROM cases
   UNION ALL SELECT s.case_key, s.case_id, s.transaction_value, m.fraud_type, m.category,
          m.description, m.subcategory, 'non_fraud'
-  FROM sampled s JOIN (SELECT category, max(n) AS n FROM mapped GROUP BY category) z USING (category)
+  FROM halves s JOIN (SELECT category, max(n) AS n FROM mapped GROUP BY category) z USING (category)
     JOIN mapped m ON m.category = s.category AND m.pos = {index('z.n', 'blend-text', 's.case_key', 's.draw')})""",
 )
 
 
 def blended(spark, sf_dir):
-    cases = views.cases(spark, sf_dir).filter(~F.col("category").isin("Housing", "Utilities"))
-    mapped = map_categories(views.texts(spark, sf_dir), BLEND_MAPPING)
-    return C.blend_descriptions(stage(cases), mapped)
+    cases, texts = stage(views.cases(spark, sf_dir)), views.texts(spark, sf_dir)
+    return C.blend_descriptions(cases, map_categories(texts, BLEND_MAPPING)), texts
 
 
 @query("k3_blend", on_tx("SELECT * FROM blended", *BLENDED))
 def blend(spark, sf_dir):
-    return blended(spark, sf_dir)
+    return blended(spark, sf_dir)[0]
 
 
 REWRITTEN = ("Investment", "Groceries")
@@ -147,7 +130,7 @@ THINNED = (
   WHERE category IN ('Investment', 'Groceries') AND subcategory IS NULL)""",
     f"""kept AS (SELECT * FROM target
   QUALIFY {rank('thin', 'case_key', 'category')} <= count(*) OVER (PARTITION BY category) // 3)""",
-    f"""marked AS (SELECT *, {rank('rewrite', 'case_key', 'category')}
+    f"""marked AS (SELECT *, {rank('thin', 'case_key', 'category')}
        <= (count(*) OVER (PARTITION BY category) * 5) // 6 AS rewrite FROM kept)""",
     f"""texts AS (SELECT *, count(*) OVER (PARTITION BY category) AS n, row_number() OVER (PARTITION BY category
          ORDER BY {u('rewrite-pool', 'subcategory', 'description')}, subcategory, description) - 1 AS pos
@@ -165,8 +148,8 @@ THINNED = (
 
 
 def thinned(spark, sf_dir):
-    cases = stage(blended(spark, sf_dir))
-    return C.thin_and_rewrite(cases, views.texts(spark, sf_dir), REWRITTEN)
+    cases, texts = blended(spark, sf_dir)
+    return C.thin_and_rewrite(stage(cases), texts, REWRITTEN)
 
 
 @query("k4_thin_rewrite", on_tx("SELECT * FROM thinned", *BLENDED, *THINNED))
@@ -191,34 +174,16 @@ def finalise(spark, sf_dir):
 # K6 to K8 ------------------------------------------------------------------
 
 CAPS = {c: S.MONTHLY_CAPS[c] for c in CATEGORY_OF_TYPE.values()}
-_CELL = ("customer_id", "month_start", "category")
-MONTHLY = (
-    FRAMES,
-    f"""pool AS (SELECT category, subcategory, description, amount,
-         {rank('monthly', 'tx_id', 'category')} - 1 AS pos FROM tx)""",
-    "sizes AS (SELECT category, count(*) AS n FROM tx GROUP BY category)",
-    f"""cells AS (SELECT c_custkey AS customer_id, month_start, month_end, category, cap, n,
-         {integer(1, 'cap', 'count', 'c_custkey', 'month_start', 'category')} AS reps
-  FROM customer, frames, (VALUES {pairs(CAPS)}) caps(category, cap) JOIN sizes USING (category))""",
-    f"""monthly AS (SELECT concat_ws('|', customer_id, month_start, d.category, draw) AS tx_id, customer_id,
-         CAST({day('month_start', 'month_end', 'day', 'customer_id', 'month_start', 'd.category', 'draw')} AS DATE)
-           AS tx_date, d.category, p.subcategory, p.description, p.amount
-  FROM (SELECT *, unnest(range(reps)) AS draw FROM cells) d
-    JOIN pool p ON p.category = d.category
-      AND p.pos = {distinct_position('d.n', 'd.draw', 'start', 'd.customer_id', 'd.month_start', 'd.category')})""",
-)
+MONTHLY = f"""monthly AS (SELECT tx.* FROM tx JOIN (VALUES {pairs(CAPS)}) caps(category, cap) ON tx.category = caps.category
+  QUALIFY {rank('monthly', 'tx_id', "customer_id, date_trunc('month', tx_date), tx.category")} <= cap)"""
+_MONTHLY_COLUMNS = ("tx_id", "customer_id", "tx_date", "category", "subcategory", "description", "amount")
 
 
 def monthly(spark, sf_dir):
-    catalogue = ledger(
-        spark, sf_dir, ("tx_id", "category", "subcategory", "description", "amount")
-    )
-    start = F.lit(START).cast("date")
-    customers = views.customers(spark, sf_dir)
-    return M.monthly_sample(catalogue, customers, start, MONTHS, CAPS, key=["tx_id"])
+    return M.monthly_sample(ledger(spark, sf_dir, _MONTHLY_COLUMNS), CAPS)
 
 
-@query("k6_monthly_sample", on_tx("SELECT * FROM monthly", *MONTHLY))
+@query("k6_monthly_sample", on_tx(f"SELECT {', '.join(_MONTHLY_COLUMNS)} FROM monthly", MONTHLY))
 def monthly_sample(spark, sf_dir):
     return monthly(spark, sf_dir)
 
@@ -262,7 +227,7 @@ def variability(spark, sf_dir):
     "k8_monthly_ledger",
     on_tx(
         f"SELECT {_VARIED} FROM billed",
-        *MONTHLY,
+        MONTHLY,
         CARRIED.replace("FROM tx)", "FROM monthly)")
         .replace("SELECT tx.* EXCLUDE", "SELECT monthly.* EXCLUDE")
         .replace("FROM tx, bounds", "FROM monthly, bounds")
@@ -271,14 +236,14 @@ def variability(spark, sf_dir):
     ),
 )
 def monthly_ledger(spark, sf_dir):
-    """The three ledger steps in a row, from catalogue to finished ledger."""
+    """The three ledger steps in a row: sample, recurring bills, variability."""
     billed = M.recurring_bills(stage(monthly(spark, sf_dir)))
     return M.customer_variability(billed, incoming_text=INCOMING_TEXT)
 
 
 # K9 ------------------------------------------------------------------------
 
-HIGH_PER_MONTH, OTHER_PER_MONTH = 2, 1
+HIGH_PER_MONTH, OTHER_PER_MONTH = 0.1, 0.06
 _LEDGER = (
     "tx_id",
     "customer_id",
@@ -295,11 +260,11 @@ INJECTED = (
     f"""sel AS (SELECT customer_id FROM (SELECT DISTINCT customer_id FROM ledger)
   QUALIFY {rank('sel', 'customer_id')} <= floor(count(*) OVER () * 0.3::DOUBLE))""",
     "chosen AS (SELECT * FROM ledger WHERE customer_id IN (SELECT customer_id FROM sel))",
-    "months AS (SELECT count(DISTINCT month(tx_date)) AS m FROM chosen)",
+    "months AS (SELECT count(DISTINCT date_trunc('month', tx_date)) AS m FROM chosen)",
     "cut AS (SELECT quantile_cont(amount, 0.9) AS cut FROM chosen WHERE category = 'Income')",
     f"""quotas AS (SELECT customer_id, n, high_income,
-         CASE WHEN high_income THEN {HIGH_PER_MONTH} * m ELSE {OTHER_PER_MONTH} * m END
-           - {integer(0, 2, 'quota', 'customer_id')} AS quota
+         greatest(CAST(floor(CASE WHEN high_income THEN {HIGH_PER_MONTH}::DOUBLE ELSE {OTHER_PER_MONTH}::DOUBLE END * m) AS BIGINT)
+           - {integer(0, 2, 'quota', 'customer_id')}, 0) AS quota
   FROM (SELECT customer_id, count(*) AS n, coalesce(arg_min(amount, (tx_date, tx_id))
           FILTER (WHERE category = 'Income') > max(cut), false) AS high_income
         FROM chosen, cut GROUP BY customer_id), months)""",
@@ -349,6 +314,7 @@ def injected(spark, sf_dir, exact=True):
         high_per_month=HIGH_PER_MONTH,
         other_per_month=OTHER_PER_MONTH,
         exact=exact,
+        strict=False,
     )
 
 

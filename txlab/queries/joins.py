@@ -20,11 +20,6 @@ MAPPING = {
     "Purchase": ["Groceries", "Cash Withdrawal"],
     "Impersonation": ["Utilities"],
 }
-START, MONTHS = "2024-02-02", 3
-FRAMES = (
-    "frames(month_start, month_end) AS (VALUES (DATE '2024-02-02', DATE '2024-02-29'), "
-    "(DATE '2024-03-01', DATE '2024-03-31'), (DATE '2024-04-01', DATE '2024-04-30'))"
-)
 
 
 def labelled(spark, sf_dir, columns):
@@ -110,19 +105,17 @@ def keep_on_dates(spark, sf_dir):
     on_tx(
         """SELECT coalesce(a.tx_id, b.tx_id) AS tx_id, coalesce(a.bank_to, b.bank_to) AS bank_to,
                a.amount, b.description
-        FROM (SELECT * FROM tx WHERE fraud_type <> 'none') a
-        FULL JOIN (SELECT * FROM tx WHERE category IN ('Income', 'Cash Withdrawal')) b
+        FROM tx a
+        FULL JOIN (SELECT tx_id, CASE WHEN tx_type = 'income' THEN 'own' ELSE bank_to END AS bank_to, description
+                   FROM tx) b
           ON a.tx_id IS NOT DISTINCT FROM b.tx_id AND a.bank_to IS NOT DISTINCT FROM b.bank_to"""
     ),
 )
 def merge_common(spark, sf_dir):
-    left = labelled(spark, sf_dir, ("tx_id", "bank_to", "amount"))
-    right = (
-        ledger(spark, sf_dir, ("tx_id", "bank_to", "description", "category"))
-        .filter(F.col("category").isin("Income", "Cash Withdrawal"))
-        .drop("category")
-    )
-    return J.merge_common(left, right)
+    left = ledger(spark, sf_dir, ("tx_id", "bank_to", "amount"))
+    right = ledger(spark, sf_dir, ("tx_id", "tx_type", "bank_to", "description"))
+    own = F.when(F.col("tx_type") == "income", "own").otherwise(F.col("bank_to"))
+    return J.merge_common(left, right.withColumn("bank_to", own).drop("tx_type"))
 
 
 @query(
@@ -176,34 +169,32 @@ def random_lookup(spark, sf_dir):
 @query(
     "j10_zip",
     on_tx(
-        f"""SELECT position, tx_id, amount, income_id, tx_date
-        FROM (SELECT tx_id, amount, {rank('zip', 'tx_id')} AS position FROM f)
-        JOIN (SELECT tx_id AS income_id, tx_date, {rank('zip', 'tx_id')} AS position
-              FROM tx WHERE category = 'Income') USING (position)""",
-        FRAUD,
+        f"""SELECT position, tx_id, amount, order_id, customer_id
+        FROM (SELECT tx_id, amount, {rank('zip', 'tx_id')} AS position FROM tx)
+        FULL JOIN (SELECT o_orderkey AS order_id, o_custkey AS customer_id, {rank('zip', 'o_orderkey')} AS position
+                   FROM orders) USING (position)""",
     ),
 )
 def zip_columns(spark, sf_dir):
-    left = labelled(spark, sf_dir, ("tx_id", "amount"))
-    right = (
-        ledger(spark, sf_dir, ("tx_id", "tx_date", "category"))
-        .filter("category = 'Income'")
-        .select(F.col("tx_id").alias("income_id"), "tx_date")
+    left = ledger(spark, sf_dir, ("tx_id", "amount"))
+    right = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id")
     )
-    return J.zip_columns(stage(left), stage(right), ["tx_id"], ["income_id"])
+    return J.zip_columns(left, right, ["tx_id"], ["order_id"], how="full")
 
 
 @query(
     "j11_skeleton",
-    f"""WITH {FRAMES}
-    SELECT c_custkey AS customer_id, month_start, month_end, category, cap
-    FROM customer, frames, (VALUES {pairs(S.MONTHLY_CAPS)}) caps(category, cap)""",
+    on_tx(
+        """SELECT customer_id, CAST(m AS DATE) AS month_start, CAST(last_day(CAST(m AS DATE)) AS DATE) AS month_end
+        FROM (SELECT customer_id, unnest(generate_series(
+                CAST(date_trunc('month', min(tx_date)) AS TIMESTAMP),
+                CAST(date_trunc('month', max(tx_date)) AS TIMESTAMP), INTERVAL 1 MONTH)) AS m
+              FROM tx GROUP BY customer_id)"""
+    ),
 )
 def skeleton(spark, sf_dir):
-    customers = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("customer_id")
-    )
-    return J.skeleton(customers, F.lit(START).cast("date"), MONTHS, S.MONTHLY_CAPS)
+    return J.skeleton(ledger(spark, sf_dir, ("customer_id", "tx_date")), ["customer_id"])
 
 
 CARRIED = """bounds AS (SELECT min(date_trunc('month', tx_date)) AS first,

@@ -57,12 +57,12 @@ def _hex(digest: str, start: int) -> str:
     return f"(('0x' || substr({digest}, {start}, 13))::BIGINT / 4503599627370496::DOUBLE)"
 
 
-def _digest(salt: str, *keys: str) -> str:
-    return f"md5(concat_ws('|', '{SEED}|{salt}', {', '.join(keys)}))"
+def _digest(salt: str, *keys: str, seed: int = SEED) -> str:
+    return f"md5(concat_ws('|', '{seed}|{salt}', {', '.join(keys)}))"
 
 
-def u(salt: str, *keys: str) -> str:
-    return _hex(_digest(salt, *keys), 1)
+def u(salt: str, *keys: str, seed: int = SEED) -> str:
+    return _hex(_digest(salt, *keys, seed=seed), 1)
 
 
 def index(size, salt: str, *keys: str) -> str:
@@ -100,22 +100,24 @@ def truncated_normal(low: str, high: str, mean: str, salt: str, *keys: str) -> s
 
 
 def distinct_position(size: str, draw: str, salt: str, *keys: str) -> str:
-    step = " ".join(f"WHEN {size} % {p} <> 0 THEN {p}" for p in STEP_PRIMES)
-    return f"(({index(size, salt, *keys)} + {draw} * (CASE {step} END)) % {size})"
+    usable = f"list_filter({list(STEP_PRIMES)}::BIGINT[], lambda p: {size} % p <> 0)"
+    prime = lambda n: f"{usable}[1 + {index(f'len({usable})', f'{salt}-step{n}', *keys)}]"
+    step = f"(({prime(1)} * {prime(2)}) % {size})"
+    return f"(({index(size, salt, *keys)} + {draw} * {step}) % {size})"
 
 
-def rank(salt: str, key: str, by: str = "", prefix: str = "") -> str:
+def rank(salt: str, key: str, by: str = "", prefix: str = "", seed: int = SEED) -> str:
     partition = f"PARTITION BY {by} " if by else ""
     order = f"{prefix}, " if prefix else ""
-    return f"row_number() OVER ({partition}ORDER BY {order}{u(salt, key)}, {key})"
+    return f"row_number() OVER ({partition}ORDER BY {order}{u(salt, key, seed=seed)}, {key})"
 
 
 def exact_mean(column: str) -> str:
-    return f"(CAST(sum(CAST({column} AS DECIMAL(18,2))) AS DOUBLE) / count({column}))"
+    return f"(CAST(sum(CAST({column} AS DECIMAL(38,10))) AS DOUBLE) / count({column}))"
 
 
 def exact_sum(column: str) -> str:
-    return f"CAST(sum(CAST({column} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(sum(CAST({column} AS DECIMAL(38,10))) AS DOUBLE)"
 
 
 LAST_FRIDAY = "(last_day({d}) - CAST((isodow(last_day({d})) + 2) % 7 AS INT))"

@@ -18,6 +18,7 @@ from txlab.queries.oracle import (
     on_tx,
     rank,
     truncated_normal,
+    u,
 )
 from txlab.queries.registry import query
 from txlab.sources.ledger import ledger
@@ -41,6 +42,35 @@ def sample_n(spark, sf_dir):
     return R.sample_n(ledger(spark, sf_dir, ("tx_id", "customer_id")), ["customer_id"], 3, ["tx_id"])
 
 
+@query(
+    "r1_sample_n_other_seed",
+    on_tx(
+        f"""SELECT tx_id, customer_id FROM tx
+        QUALIFY {rank('sample', 'tx_id', 'customer_id', seed=7)} <= 3"""
+    ),
+)
+def sample_n_other_seed(spark, sf_dir):
+    rows = ledger(spark, sf_dir, ("tx_id", "customer_id"))
+    return R.sample_n(rows, ["customer_id"], 3, ["tx_id"], seed=7)
+
+
+@query(
+    "r1_sample_n_large",
+    on_tx(
+        f"""SELECT tx_id, category FROM tx
+        QUALIFY {rank('sample', 'tx_id', 'category')} <= 2500"""
+    ),
+)
+def sample_n_large(spark, sf_dir):
+    """More rows of a group than Spark cuts groups to in each task."""
+    return R.sample_n(ledger(spark, sf_dir, ("tx_id", "category")), ["category"], 2500, ["tx_id"])
+
+
+@query("r2_share", on_tx(f"SELECT tx_id, category FROM tx WHERE {u('share', 'tx_id')} < 0.25"))
+def share(spark, sf_dir):
+    return R.sample_share(ledger(spark, sf_dir, ("tx_id", "category")), 0.25, ["tx_id"])
+
+
 def _fraction(numerator: int, denominator: int) -> str:
     return on_tx(
         f"""SELECT tx_id, category FROM tx

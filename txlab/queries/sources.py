@@ -29,16 +29,13 @@ def read_headered(spark, sf_dir):
     "s2_read_headerless",
     on_tx(
         """SELECT fraud_type, concat(description, '"') AS "Description", category AS "Category"
-        FROM tx WHERE fraud_type <> 'none'"""
+        FROM tx"""
     ),
 )
 def read_headerless(spark, sf_dir):
     path = new_path(spark)
-    rows = (
-        ledger(spark, sf_dir, ("fraud_type", "description", "category"))
-        .filter("fraud_type <> 'none'")
-        .withColumn("description", F.concat("description", F.lit('"')))
-    )
+    rows = ledger(spark, sf_dir, ("fraud_type", "description", "category"))
+    rows = rows.withColumn("description", F.concat("description", F.lit('"')))
     files.write_table(rows, path, "csv", header=False)
     return files.read_table(spark, path, FRAUD_DESCRIPTIONS, header=False)
 
