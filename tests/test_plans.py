@@ -9,6 +9,7 @@ from txlab import schemas as S
 from txlab.functions.draws import draw_truncated_normal
 from txlab.operators import aggregates as A
 from txlab.operators import joins as J
+from txlab.operators import quantiles as Q
 from txlab.operators import windows as W
 from txlab.operators.joins import map_categories
 from txlab.plans import banks as B
@@ -350,6 +351,20 @@ def test_amounts_are_added_unrounded(spark):
     assert A.group_totals(small, value="amount").first()["case_value"] == pytest.approx(4.0)
 
 
+def test_decimal_amounts(spark, sf_dir):
+    """The ledger's operators give the same results on decimal amounts."""
+    schema = S.with_decimal_amounts(S.LEDGER)
+    assert "amount decimal(18,2)" in schema and "double" not in schema
+    tx = ledger(spark, sf_dir)
+    exact = tx.withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    for label in ("fraud", "non-fraud"):
+        for result in (A.spend_total, A.category_average):
+            assert result(exact, label).collect() == result(tx, label).collect()
+    assert B.vary_amounts(exact).count() == tx.count()
+    low, high = (sorted(r.value for r in Q.exact_quantiles(x, "amount", [0.1, 0.9]).collect()) for x in (exact, tx))
+    assert low == high
+
+
 def test_small_things(spark):
     empty = spark.createDataFrame([], "a int, b string")
     assert tuple(A.distinct_counts(empty, ["a", "b"]).first()) == (0, 0)

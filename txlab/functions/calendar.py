@@ -41,11 +41,6 @@ def days_between(start, end) -> Column:
     return F.sequence(as_column(start), as_column(end), F.expr("interval 1 day"))
 
 
-def months_between_dates(start, end) -> Column:
-    """First days of every month touched by [start, end], as an array."""
-    return F.sequence(month_start(start), month_start(end), F.expr("interval 1 month"))
-
-
 def month_frames(start, months) -> Column:
     """``months`` frames {start, end}: the first begins on the given day, later ones on day 1."""
     start = as_column(start)

@@ -1,14 +1,6 @@
 """Table schemas (Spark DDL) and the fixed values of the transaction model."""
 
-CATALOGUE = (
-    "Descriptions string, Category string, Subcategory string, "
-    "min double, max double, mean double"
-)
 FRAUD_DESCRIPTIONS = "fraud_type string, Description string, Category string"
-CASES = (
-    "case_id bigint, transaction_value double, fraud_type string, "
-    "number_of_transactions int, bank string, case_value double"
-)
 WRAPPED_TRANSACTION = "description string, amount double, category string"
 
 # The ledger every analytic reads.  `tx_id` is the business key of a row.
@@ -18,6 +10,12 @@ LEDGER = (
     "fraud_type string, bank_from string, bank_to string"
 )
 
+
+def with_decimal_amounts(schema: str, kind: str = "decimal(18,2)") -> str:
+    """A schema whose amounts are decimals; all operators take either type."""
+    return schema.replace("double", kind)
+
+
 # ---------------------------------------------------------------------------
 # These must be exactly as they are for right results.
 # ---------------------------------------------------------------------------
@@ -32,7 +30,6 @@ UTILITIES = "Utilities"
 HOUSING = "Housing"
 INVESTMENT = "Investment"
 CASH_WITHDRAWAL = "Cash Withdrawal"
-LUXURY_SUBCATEGORY = "Luxury shopping"
 
 INCOME_CATEGORIES = ("Income", "Interest")
 BILL_CATEGORIES = ("Income", "Utilities", "Housing")
