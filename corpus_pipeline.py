@@ -35,7 +35,8 @@ from txlab.sources.staging import stage
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.fit(docs)
-    tables = language.gather(stage(language.document_evidence(docs, model)), len(model.languages)) if model.languages else ()
+    evidence = stage(language.document_evidence(docs, model)) if model.languages else None
+    tables = language.gather(evidence, len(model.languages)) if model.languages else ()
     # One struct holds the input's columns, so that theirs can't clash with those of the evidence.
     rows = docs.select(
         F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"),
@@ -78,7 +79,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     coded = encode_and_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    n_tokens = F.size("ids").cast("long").alias("n_tokens")
+    return coded.select("doc_id", n_tokens, "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

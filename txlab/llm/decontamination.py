@@ -89,7 +89,8 @@ def _fingerprints(df: DataFrame, short: list[int], full: bool) -> DataFrame:
 
     if len(lists) == 1:
         return df.withColumn("marks", lists[0][1]).withColumn("_span", F.lit(lists[0][0]))
-    return df.withColumn("marks", F.concat(*[F.transform(kept, with_span(size)) for size, kept in lists])).withColumn("_span", F.lit(None).cast("int"))
+    marks = [F.transform(kept, with_span(size)) for size, kept in lists]
+    return df.withColumn("marks", F.concat(*marks)).withColumn("_span", F.lit(None).cast("int"))
 
 
 def _exploded(df: DataFrame, columns: list[str], one: bool) -> DataFrame:
@@ -161,12 +162,14 @@ def passages(docs: DataFrame, items: DataFrame) -> DataFrame:
     of the item's passage covers; hits of one passage may overlap.
     """
     spark = docs.sparkSession
-    items = stage(with_words(items.select("item_id", F.col("text").cast("string").alias("text"))).filter(F.size("words") > 0))
+    items = items.select("item_id", F.col("text").cast("string").alias("text"))
+    items = stage(with_words(items).filter(F.size("words") > 0))
     lengths = [r[0] for r in items.select(F.least(F.size("words"), F.lit(SPAN))).distinct().collect()]
     short, full = sorted(n for n in lengths if n < SPAN), SPAN in lengths
     source = with_words(ids_and_texts(docs).withColumn("_text", text_key(F.col("text"))))
     own = source.select("doc_id", "_text", F.size("words").alias("n_words"))
-    none = [F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"), F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last")]
+    kinds = {"item_id": items.schema["item_id"].dataType, "first": "int", "last": "int"}
+    none = [F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()]
     if not lengths:
         return own.select("*", *none)
     marks = stage(_item_marks(items, short, full))
@@ -185,9 +188,11 @@ def passages(docs: DataFrame, items: DataFrame) -> DataFrame:
         side = marks.filter(part) if blocks > 1 else marks
         alone = F.col("place").isNull() if block == 0 else F.lit(False)
         met = rows.join(F.broadcast(side), ["span", "hash"], "left")
+        found = ["doc_id", "_text", F.size("words").alias("n_words"), "item_id"]
         hits = met.filter(alone | F.col("around").isNotNull()).select(
-            "doc_id", "_text", F.size("words").alias("n_words"), "item_id", first.alias("first"), last.alias("last"), alone.alias("_alone")
-        ).filter("_alone OR first IS NOT NULL").drop("_alone")
+            *found, first.alias("first"), last.alias("last"), alone.alias("_alone")
+        )
+        hits = hits.filter("_alone OR first IS NOT NULL").drop("_alone")
         out = hits if out is None else out.union(hits)
     return out
 
@@ -219,5 +224,6 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
             F.sum("_fresh").cast("long").alias("n_hit"),
             F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
         )
-        .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", (F.col("n_hit") > 0).alias("contaminated"))
+        .withColumns({"n_items": F.size("items").cast("long"), "contaminated": F.col("n_hit") > 0})
+        .select("doc_id", "n_words", "n_hit", "n_items", "items", "contaminated")
     )

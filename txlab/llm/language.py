@@ -57,10 +57,12 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             values, n = np.unique(grams(text), return_counts=True)
             held.setdefault(lang, Counter()).update(dict(zip(values.tolist(), n.tolist())))
     for lang, counts in held.items():
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.int32()), pa.array(list(counts.values()), pa.int64())],
-            ["lang", "gram", "n"],
-        )
+        columns = [
+            pa.array([lang] * len(counts), pa.string()),
+            pa.array(list(counts), pa.int32()),
+            pa.array(list(counts.values()), pa.int64()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
 
 
 def fit(rows: DataFrame) -> Model:
@@ -81,9 +83,8 @@ def fit(rows: DataFrame) -> Model:
         .filter(draw < F.element_at(share, F.col("lang")))
         .mapInArrow(_gram_counts, "lang string, gram int, n long")
     )
-    table = counted.groupBy("gram").agg(
-        *[F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{k}") for k, lang in enumerate(languages)]
-    )
+    each = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)) for lang in languages]
+    table = counted.groupBy("gram").agg(*[n.alias(f"n{k}") for k, n in enumerate(each)])
     every = sum((F.col(f"n{k}") for k in range(len(languages))), F.lit(0))
     best = table.withColumn("_all", every).orderBy(F.desc("_all"), "gram").limit(GRAMS).drop("_all").collect()
     counts = np.asarray([tuple(row)[1:] for row in best], np.float64).reshape(len(best), len(languages))
@@ -204,8 +205,9 @@ def decide(rows: DataFrame, model: Model, tables: tuple[DataFrame, DataFrame, Da
     fused = joined.withColumn("_post", _posterior(scores)).withColumn("confidence", F.array_max("_post"))
     names = F.array(*[F.lit(x) for x in model.languages])
     known = F.get("text_evidence", F.lit(size)) > 0
+    best = F.get(names, F.array_position("_post", F.col("confidence")).cast("int") - 1)
     return (
-        fused.withColumn("language", F.when(known, F.get(names, F.array_position("_post", F.col("confidence")).cast("int") - 1)))
+        fused.withColumn("language", F.when(known, best))
         .withColumn("accepted", known & (F.col("confidence") >= ACCEPT))
         .drop("_post", "host_evidence", "declared_evidence", "suffix_evidence")
     )
@@ -252,9 +254,14 @@ def languages(docs: DataFrame, pages: DataFrame) -> DataFrame:
     """
     model = fit(docs)
     out = None
-    for rows, key, other in ((document_evidence(docs, model), "doc_id", "page_id"), (page_evidence(pages, model), "page_id", "doc_id")):
+    kinds = (
+        (document_evidence(docs, model), "page_id"),
+        (page_evidence(pages, model), "doc_id"),
+    )
+    for rows, missing in kinds:
         evidence = stage(rows)
-        found = decide(evidence, model, gather(evidence, len(model.languages))) if model.languages else decide(evidence, model, ())
-        found = found.withColumn(other, F.lit(None).cast("long")).select("doc_id", "page_id", "language", "confidence", "accepted")
+        tables = gather(evidence, len(model.languages)) if model.languages else ()
+        found = decide(evidence, model, tables).withColumn(missing, F.lit(None).cast("long"))
+        found = found.select("doc_id", "page_id", "language", "confidence", "accepted")
         out = found if out is None else out.union(found)
     return out

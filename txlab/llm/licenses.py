@@ -244,7 +244,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not _scanner:
         _scanner.append(Scanner())
     place = pa.struct([("start", pa.int64()), ("label", pa.string())])
-    span = pa.struct([("first", pa.int64()), ("last", pa.int64()), ("label", pa.string()), ("covered", pa.float64())])
+    ends = [("first", pa.int64()), ("last", pa.int64())]
+    span = pa.struct([*ends, ("label", pa.string()), ("covered", pa.float64())])
     for batch in batches:
         counts, places, spans = [], [], []
         for text in texts_as_bytes(batch.column("text")):
@@ -253,10 +254,13 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts.append(len(found))
             places.append([{"start": s, "label": x} for s, x in base])
             spans.append([{"first": a, "last": b, "label": x, "covered": c} for a, b, x, c in covered])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(places, pa.list_(place)), pa.array(spans, pa.list_(span))],
-            ["doc_id", "n_words", "places", "spans"],
-        )
+        columns = [
+            batch.column("doc_id"),
+            pa.array(counts, pa.int64()),
+            pa.array(places, pa.list_(place)),
+            pa.array(spans, pa.list_(span)),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "places", "spans"])
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:

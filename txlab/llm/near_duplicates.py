@@ -290,8 +290,9 @@ def _pairs_by_edits(edits: DataFrame, percent: int) -> DataFrame:
             (F.col("n_edits") - F.col("_place")).alias("rest"), "weight", "limit",
         )
     )
-    x = first.filter("far").select(*(F.col(c).alias(c if c in ("a", "edit", "limit") else f"{c}_x") for c in first.columns))
-    y = first.filter("near").select(*(F.col(c).alias(c if c in ("a", "edit") else f"{c}_y") for c in first.columns if c != "limit"))
+    own = [c for c in first.columns if c not in ("a", "edit", "limit")]
+    x = first.filter("far").withColumnsRenamed({c: f"{c}_x" for c in own})
+    y = first.filter("near").drop("limit").withColumnsRenamed({c: f"{c}_y" for c in own})
     return (
         x.join(y, ["a", "edit"])
         .filter("component_x <> component_y AND (NOT far_y OR (near_x AND b_x < b_y))")

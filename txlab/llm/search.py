@@ -53,7 +53,8 @@ def _packed(batch: pa.RecordBatch, block_bytes: int) -> Iterator[tuple[int, np.n
             matrix = np.floor(SCALE * matrix)
             if matrix.size and np.abs(matrix).max() >= 2.0**62:
                 raise ArithmeticError("a component times 64 does not fit in 64 bits")
-            yield int(size), ids.take(pa.array(part)).to_numpy(zero_copy_only=False).astype(np.int64), matrix.astype(np.int64)
+            kept = ids.take(pa.array(part)).to_numpy(zero_copy_only=False)
+            yield int(size), kept.astype(np.int64), matrix.astype(np.int64)
 
 
 def _blocks(block_bytes: int):

@@ -92,7 +92,11 @@ def _class_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = list(counts.items())
         counts.clear()
         return pa.RecordBatch.from_arrays(
-            [pa.array([t for (t, _), _ in rows], pa.binary()), pa.array([c for (_, c), _ in rows], pa.int32()), pa.array([n for _, n in rows], pa.int64())],
+            [
+                pa.array([term for (term, _), _ in rows], pa.binary()),
+                pa.array([toxic for (_, toxic), _ in rows], pa.int32()),
+                pa.array([n for _, n in rows], pa.int64()),
+            ],
             ["term", "toxic", "n"],
         )
 
@@ -190,12 +194,15 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
 
 
 def _model(terms, idf, examples, share, without, base) -> Model:
-    vectors = [(np.asarray(e["terms"]), weights(np.asarray(e["terms"]), np.asarray(e["counts"]), idf)) for e in examples]
+    pairs = [(np.asarray(e["terms"]), np.asarray(e["counts"])) for e in examples]
+    vectors = [(numbers, weights(numbers, counts, idf)) for numbers, counts in pairs]
     # Examples with the same leading terms stand together, so that blocks' bounds are tight.
-    order = sorted(
-        range(len(examples)),
-        key=lambda k: ([int(vectors[k][0][j]) for j in np.argsort(-vectors[k][1], kind="stable")], examples[k]["doc_id"]),
-    )
+
+    def leading(k: int):
+        numbers, weight = vectors[k]
+        return numbers[np.argsort(-weight, kind="stable")].tolist(), examples[k]["doc_id"]
+
+    order = sorted(range(len(examples)), key=leading)
     blocks = -(-len(order) // BLOCK)
     postings = np.zeros((len(terms), blocks * BLOCK), np.float32)
     for column, k in enumerate(order):

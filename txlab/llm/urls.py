@@ -111,13 +111,12 @@ def mine(labelled: DataFrame, support: float = LEAST_SUPPORT, confidence: float
 
 def match(addresses: DataFrame, rules: DataFrame) -> DataFrame:
     """The best rule of each row of ``key, tokens`` that any rule matches: ``key, confidence, rule_tokens``."""
-    entries = rules.select("rule_id", F.col("tokens").alias("needed"), "confidence", "support", F.explode("tokens").alias("token"))
+    needed = F.col("tokens").alias("needed")
+    entries = rules.select("rule_id", needed, "confidence", "support", F.explode("tokens").alias("token"))
     spread = entries.groupBy("token").agg(F.count("*").alias("held"))
     rarest = F.min_by("token", F.struct("held", "token"))
-    index = entries.join(spread, "token").groupBy("rule_id").agg(
-        rarest.alias("token"), F.first("needed").alias("needed"), F.max("confidence").alias("confidence"), F.max("support").alias("support")
-    )
-    index = stage(index)
+    facts = [F.first(c).alias(c) for c in ("needed", "confidence", "support")]
+    index = stage(entries.join(spread, "token").groupBy("rule_id").agg(rarest.alias("token"), *facts))
     looked = addresses.select("key", "tokens", F.explode("tokens").alias("token")).join(index, "token")
     matched = looked.filter(F.size(F.array_except("needed", "tokens")) == 0)
     best = F.struct("confidence", "support", F.array_sort("needed").alias("needed"))
@@ -137,12 +136,19 @@ def judge(pages: DataFrame, labels: DataFrame) -> DataFrame:
     mined; an empty table gives no rows.
     """
     url = F.col("url")
-    rows = pages.select("page_id", "url", F.concat_ws("\u0001", tokens_of(url)).alias("key"), host_of(url).alias("host"), path_of(url).alias("path"))
+    key = F.concat_ws("\u0001", tokens_of(url))
+    rows = pages.select("page_id", key.alias("key"), host_of(url).alias("host"), path_of(url).alias("path"))
     rules = mine(stage(labelled_tokens(pages.select("url"), labels)))
     distinct = rows.select("key").distinct().filter("key <> ''").select("key", F.split("key", "\u0001").alias("tokens"))
     found = stage(match(distinct, rules))
     rule, verdict = given_rule(F.col("host"), F.col("path"))
     mined = F.when(F.col("confidence").isNotNull(), "block").otherwise("allow")
     return rows.join(found, "key", "left").select(
-        "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, mined).alias("verdict"), "confidence", "rule_tokens"
+        "page_id",
+        "host",
+        "path",
+        rule.alias("rule"),
+        F.coalesce(verdict, mined).alias("verdict"),
+        "confidence",
+        "rule_tokens",
     )
