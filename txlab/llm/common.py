@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -30,10 +31,26 @@ def spaced_words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+_held: dict = {}
+
+
+def held_in_worker(key, make):
+    """What ``make`` gives, kept in this Python worker for its next tasks.
+
+    A worker keeps one such thing: the next operator's takes the place of the
+    last one's, so what workers hold doesn't add up over the stages of a job.
+    """
+    if key not in _held:
+        _held.clear()
+        gc.collect()
+        _held[key] = make()
+    return _held[key]
+
+
 class WordHashes(dict):
     """64-bit hash of a word; forgets all words when it holds ``limit`` of them."""
 
-    def __init__(self, limit: int = 1_000_000):
+    def __init__(self, limit: int = 300_000):
         super().__init__()
         self.limit = limit
 

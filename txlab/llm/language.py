@@ -10,6 +10,7 @@ host leans on its domain. The logarithms add up to the posterior.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlab.llm.common import texts_as_bytes, words
+from txlab.llm.common import held_in_worker, texts_as_bytes, words
 from txlab.sources.staging import stage
 
 #: The sample's rows for each language, about, and the languages learned at most.
@@ -113,20 +114,14 @@ class Reader:
         return np.append((mean - mean.max(initial=-np.inf)) * min(WEIGHT, len(places)), len(places))
 
 
-_readers: dict[int, Reader] = {}
-
-
 def text_evidence(text: Column, model: Model, spark) -> Column:
     """An array: the text's log likelihood in each language (best: 0), then its number of trigrams."""
     shared = spark.sparkContext.broadcast(model)  # GRAMS x LANGUAGES numbers at most
-    number = id(model)
+    number = uuid.uuid4().hex
 
     @F.arrow_udf("array<double>")
     def read(texts: pa.Array) -> pa.Array:
-        if number not in _readers:
-            _readers.clear()
-            _readers[number] = Reader(shared.value)
-        reader = _readers[number]
+        reader = held_in_worker(("language", number), lambda: Reader(shared.value))
         out = [reader.read(t) for t in texts_as_bytes(texts)]
         width = len(reader.model.languages) + 1
         flat = np.concatenate(out) if out else np.empty(0)

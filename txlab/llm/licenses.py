@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from txlab.llm.common import ids_and_texts, texts_as_bytes, words
+from txlab.llm.common import held_in_worker, ids_and_texts, texts_as_bytes, words
 
 # Phrases that count wherever they stand, and their labels.
 BASE_PHRASES = {
@@ -237,12 +237,8 @@ class Scanner:
             yield first[0] - first[2] + 1, found[k][0], self.labels[number], min(1.0, best[k][0] / size)
 
 
-_scanner: list[Scanner] = []
-
-
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    if not _scanner:
-        _scanner.append(Scanner())
+    scanner = held_in_worker("licenses", Scanner)
     place = pa.struct([("start", pa.int64()), ("label", pa.string())])
     ends = [("first", pa.int64()), ("last", pa.int64())]
     span = pa.struct([*ends, ("label", pa.string()), ("covered", pa.float64())])
@@ -250,7 +246,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, places, spans = [], [], []
         for text in texts_as_bytes(batch.column("text")):
             found = words(text)
-            base, covered = _scanner[0].scan(found)
+            base, covered = scanner.scan(found)
             counts.append(len(found))
             places.append([{"start": s, "label": x} for s, x in base])
             spans.append([{"first": a, "last": b, "label": x, "covered": c} for a, b, x, c in covered])

@@ -20,7 +20,7 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from txlab.llm.common import ids_and_texts
+from txlab.llm.common import held_in_worker, ids_and_texts
 
 LENGTH = 2048
 WINDOW_TOKENS = 4_000_000
@@ -84,16 +84,12 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
-_encodings: dict[int, tiktoken.Encoding] = {}
-
-
 def _encoding(shared) -> tiktoken.Encoding:
     ranks, pattern = shared.value
-    key = hash((len(ranks), pattern, id(shared.value)))
-    if key not in _encodings:
-        _encodings.clear()
-        _encodings[key] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return _encodings[key]
+    key = ("ranks", len(ranks), pattern, id(shared.value))
+    return held_in_worker(
+        key, lambda: tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    )
 
 
 def encode(encoding: tiktoken.Encoding, text: str) -> list[int]:

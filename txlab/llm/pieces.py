@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlab.llm.common import ids_and_texts
+from txlab.llm.common import held_in_worker, ids_and_texts
 
 _SPACE = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
@@ -96,7 +96,7 @@ class PieceCoder:
     """Encodes and decodes with one vocabulary. Tokens are ids; single characters of no
     entry get numbers from the vocabulary's size on."""
 
-    def __init__(self, vocabulary: Vocabulary, kept_chunks: int = 500_000):
+    def __init__(self, vocabulary: Vocabulary, kept_chunks: int = 300_000):
         self.names = list(vocabulary.pieces)
         self.size = len(self.names)
         self.width = self.size + 0x110000
@@ -110,8 +110,8 @@ class PieceCoder:
         for i in normal:
             self.automaton.add_word(self.names[i], (i, len(self.names[i])))
         self.automaton.make_automaton()
-        self.merges = _Kept(self._merge, 200_000)
-        self.compatible = _Kept(self._compatible, 1_000_000)
+        self.merges = _Kept(self._merge, 100_000)
+        self.compatible = _Kept(self._compatible, 500_000)
         self.chunks = _Kept(self._encode_chunk, kept_chunks)
         longer = [p for p in self.ids if len(p) > 1]
         inside = set("".join(longer))
@@ -261,16 +261,9 @@ class PieceCoder:
         return out
 
 
-_coders: dict[int, PieceCoder] = {}
-
-
 def coder_of(shared) -> PieceCoder:
     """The worker's coder of a broadcast vocabulary."""
-    key = hash(shared.value)
-    if key not in _coders:
-        _coders.clear()
-        _coders[key] = PieceCoder(shared.value)
-    return _coders[key]
+    return held_in_worker(("pieces", hash(shared.value)), lambda: PieceCoder(shared.value))
 
 
 def id_lists(rows: list[array]) -> pa.ListArray:

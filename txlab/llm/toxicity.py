@@ -16,6 +16,7 @@ distance and weighted back to the classes' true shares, give the score.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlab.llm.common import ids_and_texts, texts_as_bytes, words
+from txlab.llm.common import held_in_worker, ids_and_texts, texts_as_bytes, words
 from txlab.sources.staging import stage
 
 EXAMPLES = 6_000
@@ -36,8 +37,8 @@ BLOCK = 64
 _LEAST_SUPPORT = 4
 _LEAST_SHARE = 0.01
 _LEAST_CHI = 20.0
-_KEPT_WORDS = 500_000
-_KEPT_COUNTS = 1_000_000
+_KEPT_WORDS = 300_000
+_KEPT_COUNTS = 500_000
 
 
 def terms_of(word: bytes) -> tuple[bytes, ...]:
@@ -256,23 +257,18 @@ class Scorer:
         return float(score), model.ids[places].tolist()
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def score(text: Column, model: Model, spark) -> Column:
     """``score, neighbours`` of a text: 0 to 1, and the ids of the nearest examples.
 
     A null, empty or wordless text scores as texts without telling terms do.
     """
     shared = spark.sparkContext.broadcast(model)  # TERMS x 2 * EXAMPLES weights at most
-    number = id(model)
+    number = uuid.uuid4().hex
 
     @F.arrow_udf("score double, neighbours array<long>")
     def scored(texts: pa.Array) -> pa.Array:
-        if number not in _scorers:
-            _scorers.clear()
-            _scorers[number] = Scorer(shared.value)
-        rows = [_scorers[number].score(t) for t in texts_as_bytes(texts)]
+        scorer = held_in_worker(("toxicity", number), lambda: Scorer(shared.value))
+        rows = [scorer.score(t) for t in texts_as_bytes(texts)]
         return pa.StructArray.from_arrays(
             [pa.array([s for s, _ in rows], pa.float64()), pa.array([n for _, n in rows], pa.list_(pa.int64()))],
             ["score", "neighbours"],
