@@ -41,12 +41,17 @@ def held_in_worker(key, make):
     last one's, so what workers hold doesn't add up over the stages of a job.
     """
     if key not in _held:
-        _held.clear()
-        gc.collect()
+        release()
         _held[key] = make()
     return _held[key]
 
 
+def release() -> None:
+    """Forget what this worker holds, as idle workers stay alive for a while."""
+    _held.clear()
+    gc.collect()
+
+
 class WordHashes(dict):
     """64-bit hash of a word; forgets all words when it holds ``limit`` of them."""
 

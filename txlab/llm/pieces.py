@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlab.llm.common import held_in_worker, ids_and_texts
+from txlab.llm.common import held_in_worker, ids_and_texts, release
 
 _SPACE = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
@@ -37,7 +37,7 @@ _NEVER = float("-inf")
 #: Characters after which a long text is cut at the next place where it may be.
 _BLOCK = 1_000_000
 #: Ids that an output batch holds at least before it is sent.
-_BATCH_IDS = 2_000_000
+_BATCH_IDS = 500_000
 
 
 @dataclass(frozen=True)
@@ -96,7 +96,7 @@ class PieceCoder:
     """Encodes and decodes with one vocabulary. Tokens are ids; single characters of no
     entry get numbers from the vocabulary's size on."""
 
-    def __init__(self, vocabulary: Vocabulary, kept_chunks: int = 300_000):
+    def __init__(self, vocabulary: Vocabulary, kept_chunks: int = 150_000):
         self.names = list(vocabulary.pieces)
         self.size = len(self.names)
         self.width = self.size + 0x110000
@@ -111,7 +111,7 @@ class PieceCoder:
             self.automaton.add_word(self.names[i], (i, len(self.names[i])))
         self.automaton.make_automaton()
         self.merges = _Kept(self._merge, 100_000)
-        self.compatible = _Kept(self._compatible, 500_000)
+        self.compatible = _Kept(self._compatible, 300_000)
         self.chunks = _Kept(self._encode_chunk, kept_chunks)
         longer = [p for p in self.ids if len(p) > 1]
         inside = set("".join(longer))
@@ -274,22 +274,26 @@ def id_lists(rows: list[array]) -> pa.ListArray:
 
 
 def _round_trip(shared):
+    def coded(coder: PieceCoder, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        doc_ids, texts = batch.column("doc_id"), batch.column("text")
+        start, held, rows, shown = 0, 0, [], []
+        for k in range(batch.num_rows):
+            ids = coder.encode(texts[k].as_py() or "")
+            rows.append(ids)
+            shown.append(coder.decode(ids))
+            held += len(ids)
+            if held >= _BATCH_IDS or k + 1 == batch.num_rows:
+                decoded = pa.array(shown, pa.binary()).cast(pa.string())
+                columns = [doc_ids.slice(start, len(rows)), id_lists(rows), decoded]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
+                start, held, rows, shown = k + 1, 0, [], []
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_of(shared)
         for batch in batches:
-            doc_ids, texts = batch.column("doc_id"), batch.column("text")
-            start, held, rows, shown = 0, 0, [], []
-            for k in range(batch.num_rows):
-                ids = coder.encode(texts[k].as_py() or "")
-                rows.append(ids)
-                shown.append(coder.decode(ids))
-                held += len(ids)
-                if held >= _BATCH_IDS or k + 1 == batch.num_rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [doc_ids.slice(start, len(rows)), id_lists(rows), pa.array(shown, pa.binary()).cast(pa.string())],
-                        ["doc_id", "ids", "decoded"],
-                    )
-                    start, held, rows, shown = k + 1, 0, [], []
+            yield from coded(coder, batch)
+        del coder
+        release()
 
     return run
 

@@ -37,7 +37,7 @@ BLOCK = 64
 _LEAST_SUPPORT = 4
 _LEAST_SHARE = 0.01
 _LEAST_CHI = 20.0
-_KEPT_WORDS = 300_000
+_KEPT_WORDS = 100_000
 _KEPT_COUNTS = 500_000
 
 
@@ -242,7 +242,7 @@ class Scorer:
             return self.model.without, []
         key = tuple(sorted(counts.items()))
         if key not in self.known:
-            if len(self.known) >= 50_000:
+            if len(self.known) >= 20_000:
                 self.known.clear()
             self.known[key] = self._vote(*(np.asarray(x) for x in zip(*key)))
         return self.known[key]
