@@ -62,13 +62,16 @@ def _values_at(values: DataFrame, ranks: Sequence[int], low: float, high: float)
     return found
 
 
-def exact_quantiles(df: DataFrame, column: str, quantiles: Sequence[float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, column: str, quantiles: Sequence[float], written: bool = False
+) -> DataFrame:
     """Linearly interpolated quantiles: one row (q, value) each, none for a column without values.
 
-    Missing and non-finite values are left out.
+    Missing and non-finite values are left out.  Each pass reads the column
+    again, so it is written first, unless ``df`` is a ``written`` table itself.
     """
     spark = df.sparkSession
-    values = stage(_finite(df, column))
+    values = _finite(df, column) if written else stage(_finite(df, column))
     ends = values.agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).first()
     rows = []
     if ends["n"]:

@@ -37,7 +37,7 @@ def customer_quotas(
     Income rows is high-income; one without Income is not.
     """
     income = F.col("category") == S.INCOME
-    cut = exact_quantiles(chosen.filter(income), "amount", [q]).select("value").first()
+    cut = exact_quantiles(chosen.filter(income), "amount", [q], written=True).first()
     first = F.min_by("amount", F.when(income, F.struct("tx_date", "tx_id")))
     high = F.coalesce(first > F.lit(cut["value"] if cut else None).cast("double"), F.lit(False))
     total = F.when(F.col("high_income"), int(high_per_month * months)).otherwise(int(other_per_month * months))
