@@ -3,7 +3,8 @@
 Every node points to the smallest neighbour it knows (hooking), and pointers
 are shortened until each points at the smallest node of its component (path
 compression). One round is two aggregations and two joins on the links, which
-never leave the executors; links shrink to one per node. Rounds grow with the
+never leave the executors; links shrink to one per node. Least neighbours are
+written before they are joined, so that a hub's links can be split. Rounds grow with the
 logarithm of the longest chain, not with the number of links.
 """
 
@@ -24,7 +25,7 @@ def _hook_large(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("u").alias("x"), F.col("v").alias("n")).union(
         edges.select(F.col("v").alias("x"), F.col("u").alias("n"))
     )
-    least = both.groupBy("x").agg(F.min("n").alias("m"))
+    least = stage(both.groupBy("x").agg(F.min("n").alias("m")))
     return (
         both.join(least, "x")
         .filter(F.col("n") > F.col("x"))
@@ -35,7 +36,7 @@ def _hook_large(edges: DataFrame) -> DataFrame:
 
 def _hook_small(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours go to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = stage(edges.groupBy("u").agg(F.min("v").alias("m")))
     moved = (
         edges.join(least, "u")
         .filter(F.col("v") != F.col("m"))

@@ -16,6 +16,9 @@ needs no pair that shares no such edit. Every link is confirmed on full sets,
 and links are grouped by union-find. With 32 bands of 4 ranks a pair at 0.8 is
 missed with a chance of 5e-8.
 
+Facts of a group are written before they are joined to its rows: Spark then
+broadcasts them if they are small, and else can split a hot group's rows.
+
 What is shuffled: 32 band keys a class, candidate pairs, the edits of members of
 large mixed buckets, and the texts of documents in candidate pairs. No bucket is
 gathered in one task, and pairs inside a component are never written out.
@@ -176,7 +179,7 @@ def _with_components(bands: DataFrame, groups: DataFrame) -> DataFrame:
 
 def _star_pairs(bands: DataFrame, percent: int) -> DataFrame:
     """Each class with the smallest of its bucket, if their sizes allow a link."""
-    centres = bands.groupBy("band").agg(F.min("id").alias("a"))
+    centres = stage(bands.groupBy("band").agg(F.min("id").alias("a")))
     sizes = bands.select(F.col("id").alias("a"), F.col("n").alias("n_a")).distinct()
     pairs = bands.join(centres, "band").filter("id <> a").select("a", F.col("id").alias("b"), "n").distinct()
     return pairs.join(sizes, "a").filter(_sizes_allow("n", "n_a", percent)).select("a", "b")
@@ -188,7 +191,7 @@ def _sizes_allow(n: str, m: str, percent: int):
 
 def _open_buckets(bands: DataFrame) -> DataFrame:
     """Rows of the buckets that hold more than one component, with the bucket's size."""
-    mixed = (
+    mixed = stage(
         bands.groupBy("band")
         .agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("held"))
         .filter("_low <> _high")
@@ -211,7 +214,7 @@ def _direct_pairs(bands: DataFrame, percent: int) -> DataFrame:
 def _pivots(bands: DataFrame) -> DataFrame:
     """``a, b, component``: rows of large buckets, with the head of the bucket's largest component."""
     sizes = bands.groupBy("band", "component").count()
-    heads = sizes.groupBy("band").agg(F.max(F.struct("count", "component"))["component"].alias("a"))
+    heads = stage(sizes.groupBy("band").agg(F.max(F.struct("count", "component"))["component"].alias("a")))
     return (
         bands.join(heads, "band").select("a", F.col("id").alias("b"), "component").filter("a <> b").distinct()
     )
@@ -268,7 +271,7 @@ def _pairs_by_edits(edits: DataFrame, percent: int) -> DataFrame:
         "a", "b", "component", (F.col("weight") > F.col("limit")).alias("far"), F.size("edits").alias("n_edits"),
         "weight", "limit", F.explode("edits").alias("edit"),
     )
-    shared = (
+    shared = stage(
         rows.groupBy("a", "edit")
         .agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("held"))
         .filter("_low <> _high")
@@ -332,7 +335,7 @@ def near_duplicates(
     )
     named = F.col("doc_id").isNotNull()
     full = features.filter(named & F.col("set_key").isNotNull())
-    classes = full.groupBy("set_key").agg(F.min("doc_id").alias("_class"))
+    classes = stage(full.groupBy("set_key").agg(F.min("doc_id").alias("_class")))
     members = stage(
         full.join(classes, "set_key")
         .withColumn("bands", F.when(F.col("doc_id") == F.col("_class"), F.col("bands")))
@@ -341,7 +344,7 @@ def near_duplicates(
     bands = members.filter("bands IS NOT NULL").select(
         F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("band")
     )
-    repeated = bands.groupBy("band").count().filter("count > 1").select("band")
+    repeated = stage(bands.groupBy("band").count().filter("count > 1").select("band"))
     bands = stage(bands.join(repeated, "band", "left_semi"))
     texts = source.filter(named).select(F.col("doc_id").alias("id"), "text")
     # Different sets of one doc_id are one node, which links the sets' classes.
