@@ -2,7 +2,8 @@
 
 No side is hinted for broadcast here: Spark decides from the size of the
 written table or, at run time, from the shuffled bytes, and splits skewed
-partitions of hot keys.  Key lists are made distinct before they are shuffled.
+partitions of hot keys.  It can do so only between two plain shuffles, so facts
+of a group are written before they are joined to its rows.  Key lists are made distinct before they are shuffled.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 from txlab.functions.columns import literal_map
 from txlab.functions.draws import SEED
 from txlab.operators.ranking import rank_in_group
+from txlab.sources.staging import stage
 
 
 def join_factor(tx: DataFrame, factors: DataFrame, on: str = "customer_id") -> DataFrame:
@@ -28,7 +30,7 @@ def attach_total(
     df: DataFrame, totals: DataFrame, on: Sequence[str] = ("case_id",)
 ) -> DataFrame:
     """Per-group values back onto rows; rows without a group keep null."""
-    return df.join(totals, list(on), "left")
+    return df.join(stage(totals), list(on), "left")
 
 
 def join_same_group(
@@ -36,7 +38,7 @@ def join_same_group(
 ) -> DataFrame:
     """Join per-group facts onto rows; the missing group is a group like any other."""
     keys = {c: f"_key_{c}" for c in by}
-    renamed = facts.withColumnsRenamed(keys)
+    renamed = stage(facts).withColumnsRenamed(keys)
     same = reduce(Column.__and__, [rows[c].eqNullSafe(renamed[k]) for c, k in keys.items()])
     return rows.join(renamed, same, how).drop(*keys.values())
 

@@ -86,7 +86,8 @@ def mark_lowest(
 ) -> DataFrame:
     """Flag the ``limit(group size)`` rows of each group with the lowest key hash."""
     by = list(by)
-    sizes = df.groupBy(group_key(by).alias(_GROUP)).agg(F.count(F.lit(1)).alias("_size"))
+    # Written, so that Spark knows their size and can split the rows of a hot group.
+    sizes = stage(df.groupBy(group_key(by).alias(_GROUP)).agg(F.count(F.lit(1)).alias("_size")))
     ranked = rank_in_group(df, by, key, salt=salt, name="_rank", seed=seed).withColumn(_GROUP, group_key(by))
     return ranked.join(sizes, _GROUP).select(
         *[F.col(c) for c in df.columns], (F.col("_rank") <= limit(F.col("_size"))).alias(name)

@@ -12,7 +12,7 @@ from txlab.functions import calendar as cal
 from txlab.functions.columns import money_sum
 from txlab.functions.draws import SEED, draw_choice
 from txlab.operators.aggregates import first_in_group
-from txlab.operators.joins import join_same_group
+from txlab.operators.joins import attach_total, join_same_group
 from txlab.operators.quantiles import exact_quantiles
 from txlab.operators.ranking import rank_in_group
 
@@ -75,7 +75,7 @@ def group_total_on_rows(
 ) -> DataFrame:
     """The group's sum on each of its rows; a missing group has none."""
     totals = df.filter(F.col(by).isNotNull()).groupBy(by).agg(money_sum(value).alias(name))
-    return df.join(totals, by, "left")
+    return attach_total(df, totals, [by])
 
 
 def income_rank_flag(

@@ -14,6 +14,7 @@ from txlab import schemas as S
 from txlab.functions import columns as C
 from txlab.functions.draws import SEED, draw_index
 from txlab.operators.aggregates import group_totals
+from txlab.operators.joins import attach_total
 from txlab.operators.ranking import rank_in_group
 from txlab.operators.sampling import (
     at_position,
@@ -116,8 +117,7 @@ def thin_and_rewrite(
         F.col("category").isin(*categories) & F.col("subcategory").isNull(), F.lit(False)
     )
     # Both limits are by the same order of a category's rows, so one ranking serves them.
-    by = [F.col("category")]
-    sizes = cases.filter(is_target).groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
+    sizes = stage(cases.filter(is_target).groupBy("category").agg(F.count(F.lit(1)).alias("_size")))
     ranked = rank_in_group(cases.filter(is_target), ["category"], [key], salt="thin", name="_rank", seed=seed)
     kept = F.floor(F.col("_size") / 3)
     marked = stage(
@@ -146,4 +146,4 @@ def thin_and_rewrite(
 def finalise_cases(cases: DataFrame, above: float = 1.0) -> DataFrame:
     """Keep values above 1 pound and put the case's new total on each row."""
     kept = cases.drop("case_value").filter(F.col("transaction_value") > above)
-    return kept.join(group_totals(kept), "case_id", "left")
+    return attach_total(kept, group_totals(kept))

@@ -29,6 +29,8 @@ from txlab.queries.oracle import (
     on_tx,
     pairs,
     rank,
+    text,
+    texts,
     u,
 )
 from txlab.queries.registry import query
@@ -91,7 +93,7 @@ BLEND_MAPPING = {
     "Romance": ["Groceries", "Housing"],
     "Impersonation": ["Utilities"],
 }
-_BLEND_CATEGORIES = "('Investment', 'Groceries', 'Housing', 'Utilities')"
+_BLEND_CATEGORIES = texts([c for members in BLEND_MAPPING.values() for c in members])
 _MAPPED = ", ".join(f"('{g}', '{c}')" for g, members in BLEND_MAPPING.items() for c in members)
 _MAPPED_KEY = "fraud_type, category, subcategory, description"
 BLENDED = (
@@ -115,8 +117,8 @@ BLENDED = (
 
 
 def blended(spark, sf_dir):
-    cases, texts = stage(views.cases(spark, sf_dir)), views.texts(spark, sf_dir)
-    return C.blend_descriptions(cases, map_categories(texts, BLEND_MAPPING)), texts
+    cases, catalogue = stage(views.cases(spark, sf_dir)), views.texts(spark, sf_dir)
+    return C.blend_descriptions(cases, map_categories(catalogue, BLEND_MAPPING)), catalogue
 
 
 @query("k3_blend", on_tx("SELECT * FROM blended", *BLENDED))
@@ -148,8 +150,8 @@ THINNED = (
 
 
 def thinned(spark, sf_dir):
-    cases, texts = blended(spark, sf_dir)
-    return C.thin_and_rewrite(stage(cases), texts, REWRITTEN)
+    cases, catalogue = blended(spark, sf_dir)
+    return C.thin_and_rewrite(stage(cases), catalogue, REWRITTEN)
 
 
 @query("k4_thin_rewrite", on_tx("SELECT * FROM thinned", *BLENDED, *THINNED))
@@ -189,9 +191,9 @@ def monthly_sample(spark, sf_dir):
 
 
 _MONTH = "CAST(date_trunc('month', tx_date) AS DATE)"
-_BILL_DAY = f"""CAST(CASE WHEN category IN ('Utilities', 'Housing')
+_BILL_DAY = f"""CAST(CASE WHEN category IN {texts(S.MONTH_START_CATEGORIES)}
        THEN greatest({_MONTH}, (SELECT min(tx_date) FROM {{source}}))
-     WHEN category = 'Income' THEN {last_friday('tx_date')} ELSE tx_date END AS DATE)"""
+     WHEN category = {text(S.INCOME)} THEN {last_friday('tx_date')} ELSE tx_date END AS DATE)"""
 
 
 @query(
@@ -209,7 +211,7 @@ def recurring_bills(spark, sf_dir):
 
 _VARIED = f"""tx_id, customer_id, tx_date, category, subcategory, description,
   amount * {between(0.1, 0.5, 'variance', 'customer_id')} AS amount,
-  CASE WHEN category IN ('Income', 'Interest') OR contains(description, '{INCOMING_TEXT}')
+  CASE WHEN category IN {texts(S.INCOME_CATEGORIES)} OR contains(description, '{INCOMING_TEXT}')
        THEN 'income' ELSE 'spending' END AS tx_type"""
 
 
@@ -261,16 +263,16 @@ INJECTED = (
   QUALIFY {rank('sel', 'customer_id')} <= floor(count(*) OVER () * 0.3::DOUBLE))""",
     "chosen AS (SELECT * FROM ledger WHERE customer_id IN (SELECT customer_id FROM sel))",
     "months AS (SELECT count(DISTINCT date_trunc('month', tx_date)) AS m FROM chosen)",
-    "cut AS (SELECT quantile_cont(amount, 0.9) AS cut FROM chosen WHERE category = 'Income')",
+    f"cut AS (SELECT quantile_cont(amount, 0.9) AS cut FROM chosen WHERE category = {text(S.INCOME)})",
     f"""quotas AS (SELECT customer_id, n, high_income,
          greatest(CAST(floor(CASE WHEN high_income THEN {HIGH_PER_MONTH}::DOUBLE ELSE {OTHER_PER_MONTH}::DOUBLE END * m) AS BIGINT)
            - {integer(0, 2, 'quota', 'customer_id')}, 0) AS quota
   FROM (SELECT customer_id, count(*) AS n, coalesce(arg_min(amount, (tx_date, tx_id))
-          FILTER (WHERE category = 'Income') > max(cut), false) AS high_income
+          FILTER (WHERE category = {text(S.INCOME)}) > max(cut), false) AS high_income
         FROM chosen, cut GROUP BY customer_id), months)""",
-    f"""pool AS (SELECT *, fraud_type = 'Romance' AS high_income,
-         row_number() OVER (PARTITION BY fraud_type = 'Romance' ORDER BY {u('cases', 'tx_id')}, tx_id) - 1 AS pos
-  FROM tx WHERE fraud_type NOT IN ('none', 'CEO'))""",
+    f"""pool AS (SELECT *, fraud_type = {text(S.HIGH_INCOME_FRAUD_TYPE)} AS high_income,
+         row_number() OVER (PARTITION BY fraud_type = {text(S.HIGH_INCOME_FRAUD_TYPE)} ORDER BY {u('cases', 'tx_id')}, tx_id) - 1 AS pos
+  FROM tx WHERE fraud_type NOT IN {texts([S.NO_FRAUD, S.EXCLUDED_FRAUD_TYPE])})""",
     "pool_sizes AS (SELECT high_income, count(*) AS size FROM pool GROUP BY high_income)",
     f"""slots AS (SELECT customer_id, tx_date, slot, high_income, least(quota, n) AS taken
   FROM (SELECT customer_id, tx_date, {rank('date', 'tx_id', 'customer_id')} - 1 AS slot FROM chosen)
@@ -281,7 +283,7 @@ INJECTED = (
   FROM slots s JOIN pool_sizes z USING (high_income) JOIN pool p ON p.high_income = s.high_income
     AND p.pos = {distinct_position('z.size', 's.slot', 'case', 's.customer_id')})""",
     f"""candidates AS (SELECT customer_id, tx_id FROM chosen
-  WHERE category NOT IN ('Income', 'Utilities', 'Housing')
+  WHERE category NOT IN {texts(S.BILL_CATEGORIES)}
     AND (customer_id, tx_date) IN (SELECT customer_id, tx_date FROM slots))""",
 )
 _REMOVED = f"""removed AS (SELECT tx_id FROM (
@@ -333,22 +335,22 @@ def inject_with_replacement(spark, sf_dir):
 
 def _banks_sql(source: str, utilities_from: str) -> str:
     return f"""drawn AS (SELECT * REPLACE (
-    CASE WHEN tx_type = 'income' OR category = 'Income' THEN own ELSE bank_to END AS bank_to,
+    CASE WHEN tx_type = 'income' OR category = {text(S.INCOME)} THEN own ELSE bank_to END AS bank_to,
     CASE WHEN tx_type = 'spending' THEN own ELSE bank_from END AS bank_from)
   FROM (SELECT * EXCLUDE (bank_from, bank_to), {choice(S.BANKS, 'own', 'customer_id')} AS own,
           {choice(S.BANKS, 'to', 'tx_id')} AS bank_to, {choice(S.BANKS, 'from', 'tx_id')} AS bank_from
         FROM {source})),
 employers AS (SELECT customer_id, arg_min(bank_from, (tx_date, tx_id)) AS employer
-  FROM drawn WHERE category = 'Income' GROUP BY customer_id),
+  FROM drawn WHERE category = {text(S.INCOME)} GROUP BY customer_id),
 bills AS (SELECT tx_id, {choice(S.BANKS, 'utility', 'customer_id', 'position')} AS biller
   FROM (SELECT tx_id, customer_id, {rank('utility', 'tx_id', "customer_id, date_trunc('month', tx_date)", 'description')}
-          AS position FROM drawn WHERE category = 'Utilities' AND fraud_type = 'none')),
+          AS position FROM drawn WHERE category = {text(S.UTILITIES)} AND fraud_type = {text(S.NO_FRAUD)})),
 banked AS (SELECT drawn.* EXCLUDE (own, bank_to, bank_from),
-    CASE WHEN category = 'Cash Withdrawal' THEN NULL WHEN biller IS NOT NULL THEN biller
-         WHEN description IN ('Deposit', 'Interest', 'from Savings') THEN own ELSE bank_to END AS bank_to,
+    CASE WHEN category = {text(S.CASH_WITHDRAWAL)} THEN NULL WHEN biller IS NOT NULL THEN biller
+         WHEN description IN {texts(S.OWN_BANK_DESCRIPTIONS)} THEN own ELSE bank_to END AS bank_to,
     CASE WHEN biller IS NOT NULL THEN {utilities_from}
-         WHEN description IN ('Deposit', 'Interest', 'from Savings') THEN own
-         WHEN category = 'Income' THEN employer ELSE bank_from END AS bank_from
+         WHEN description IN {texts(S.OWN_BANK_DESCRIPTIONS)} THEN own
+         WHEN category = {text(S.INCOME)} THEN employer ELSE bank_from END AS bank_from
   FROM drawn LEFT JOIN employers USING (customer_id) LEFT JOIN bills USING (tx_id))"""
 
 

@@ -9,7 +9,7 @@ from txlab.functions.draws import draw_uniform
 from txlab.operators import aggregates as A
 from txlab.operators import joins as J
 from txlab.operators import sampling as R
-from txlab.queries.oracle import between, exact_sum, index, on_tx, pairs, rank
+from txlab.queries.oracle import between, exact_sum, index, on_tx, pairs, rank, texts
 from txlab.queries.registry import query
 from txlab.sources.ledger import ledger, table
 from txlab.sources.staging import stage
@@ -141,8 +141,8 @@ _MAPPED = ", ".join(f"('{g}', '{c}')" for g, members in MAPPING.items() for c in
     ),
 )
 def map_categories(spark, sf_dir):
-    texts = ledger(spark, sf_dir, ("category", "subcategory", "description")).distinct()
-    return J.map_categories(texts, MAPPING)
+    rows = ledger(spark, sf_dir, ("category", "subcategory", "description")).distinct()
+    return J.map_categories(rows, MAPPING)
 
 
 @query(
@@ -159,9 +159,9 @@ def map_categories(spark, sf_dir):
 )
 def random_lookup(spark, sf_dir):
     rows = stage(labelled(spark, sf_dir, ("tx_id", "fraud_type", "description", "category")))
-    texts = rows.select("fraud_type", "description", "category").distinct()
-    texts = texts.withColumn("key", F.concat("description", F.lit("|"), "category"))
-    pool = R.index_pool(stage(texts), ["fraud_type"], ["key"])
+    members = rows.select("fraud_type", "description", "category").distinct()
+    members = members.withColumn("key", F.concat("description", F.lit("|"), "category"))
+    pool = R.index_pool(stage(members), ["fraud_type"], ["key"])
     cases = rows.select("tx_id", "fraud_type")
     return R.pick(cases, pool, ["tx_id"], "describe", ["description", "category"])
 
@@ -197,7 +197,7 @@ def skeleton(spark, sf_dir):
     return J.skeleton(ledger(spark, sf_dir, ("customer_id", "tx_date")), ["customer_id"])
 
 
-CARRIED = """bounds AS (SELECT min(date_trunc('month', tx_date)) AS first,
+CARRIED = f"""bounds AS (SELECT min(date_trunc('month', tx_date)) AS first,
     date_diff('month', min(date_trunc('month', tx_date)), max(date_trunc('month', tx_date))) AS later
   FROM tx),
 carried AS (
@@ -205,9 +205,9 @@ carried AS (
          CASE WHEN i = 0 THEN tx_id ELSE concat(tx_id, '#', i) END AS tx_id,
          CAST(tx_date + to_months(CAST(i AS INT)) AS DATE) AS tx_date
   FROM tx, bounds, range(bounds.later + 1) ahead(i)
-  WHERE category IN ('Income', 'Utilities', 'Housing') AND date_trunc('month', tx_date) = first
+  WHERE category IN {texts(S.BILL_CATEGORIES)} AND date_trunc('month', tx_date) = first
   UNION ALL BY NAME
-  SELECT * FROM tx WHERE category NOT IN ('Income', 'Utilities', 'Housing'))"""
+  SELECT * FROM tx WHERE category NOT IN {texts(S.BILL_CATEGORIES)} OR category IS NULL OR tx_date IS NULL)"""
 
 
 @query(
