@@ -8,7 +8,6 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +49,7 @@ def release() -> None:
     """Forget what this worker holds, as idle workers stay alive for a while."""
     _held.clear()
     gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 class WordHashes(dict):
@@ -77,9 +77,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def texts_as_bytes(column: pa.Array) -> Iterator[bytes]:
-    """UTF-8 bytes of each text, a null being an empty text."""
-    for value in pc.fill_null(column.cast(pa.large_binary()), b""):
-        yield value.as_py()
+    """UTF-8 bytes of each text, a null being an empty text; the column is not copied."""
+    for value in column:
+        raw = value.as_buffer()
+        yield raw.to_pybytes() if raw is not None else b""
 
 
 _shipped: set[str] = set()
