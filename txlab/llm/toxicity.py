@@ -1,7 +1,7 @@
 """Toxicity from the nearest labelled examples by TF-IDF cosine.
 
 Fitting takes a bounded sample of labelled documents: at most EXAMPLES of each
-class, the ones with the smallest hash of their id. Terms are words and the
+class, the ones with the smallest hash of their id, and of near copies one. Terms are words and the
 first four and five bytes of longer words; the TERMS of them are kept that set
 the classes of the sample apart most (chi-squared, at least twice as frequent
 in toxic ones). Their document frequencies are counted over all documents.
@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlab.llm.common import held_in_worker, ids_and_texts, texts_as_bytes, words
+from txlab.llm.common import WordHashes, held_in_worker, ids_and_texts, texts_as_bytes, words
+from txlab.llm.near_duplicates import shingle_hashes
 from txlab.sources.staging import stage
 
 EXAMPLES = 6_000
@@ -86,6 +87,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
+def _sketch():
+    """The least hash of a text's three-word runs: near copies mostly share it, other texts hardly ever."""
+
+    @F.arrow_udf("long")
+    def sketch(texts: pa.Array) -> pa.Array:
+        hashes = WordHashes()
+        found = (shingle_hashes(words(text), 3, hashes) for text in texts_as_bytes(texts))
+        return pa.array([int(each[0] >> np.uint64(1)) if len(each) else 0 for each in found], pa.int64())
+
+    return sketch
+
+
 def _class_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
 
@@ -159,7 +172,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     sample = [usable.filter(F.col("toxic") == c).orderBy(order, "doc_id").limit(EXAMPLES) for c in (0, 1)]
     # At most 2 * EXAMPLES rows of two numbers, hence broadcast.
     chosen = F.broadcast(stage(sample[0].union(sample[1])))
-    train = stage(ids_and_texts(docs).join(chosen, "doc_id"))
+    labelled = ids_and_texts(docs).join(chosen, "doc_id").withColumn("_sketch", _sketch()(F.col("text")))
+    # Copies of one text would make its rare words look telling.
+    train = stage(labelled.dropDuplicates(["toxic", "_sketch"]).drop("_sketch"))
     sizes = {row["toxic"]: row["n"] for row in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     base = (total.get(1, 0) + 1) / (sum(total.values()) + 2)
