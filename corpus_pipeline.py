@@ -34,6 +34,7 @@ from txlab.sources.staging import stage
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     model = language.fit(docs)
     evidence = stage(language.document_evidence(docs, model)) if model.languages else None
     tables = language.gather(evidence, len(model.languages)) if model.languages else ()
@@ -49,6 +50,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     learn = ~toxicity.held_out(F.col("doc_id"))
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"), learn)
     return docs.filter(toxicity.score(F.col("text"), model, spark)["score"] < 0.5)
@@ -62,6 +64,7 @@ def _matching(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     found = stage(near_duplicates(docs, size=5, percent=80))
     copies = stage(found.filter(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct())
     left = docs.join(copies, docs["doc_id"] == copies["_id"], "left_anti")
@@ -73,11 +76,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     hits = passages(docs, read(spark, sf_dir, "benchmark")).filter("first IS NOT NULL")
     return _matching(docs, stage(hits.select("doc_id", "_text").distinct()), "left_anti")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     coded = encode_and_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
     n_tokens = F.size("ids").cast("long").alias("n_tokens")
     return coded.select("doc_id", n_tokens, "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -97,7 +102,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``, writing and reading each stage's rows."""
-    ship(spark)
     docs = read(spark, sf_dir, "documents")
     for _, apply in STAGES[:-1]:
         docs = stage(apply(spark, docs, sf_dir))

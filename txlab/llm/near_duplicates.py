@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from txlab.llm.common import WordHashes, ids_and_texts, mix, spaced_words, text_key, texts_as_bytes
+from txlab.llm.common import WordHashes, ids_and_texts, mix, release, spaced_words, text_key, texts_as_bytes
 from txlab.llm.components import components
 from txlab.sources.staging import stage
 
@@ -119,6 +119,7 @@ def _features(size: int, places: int, rows: int):
                 ],
                 ["doc_id", "_text", "n_shingles", "set_key", "bands"],
             )
+        release()
 
     return run
 
@@ -143,6 +144,7 @@ def _similar(size: int, percent: int):
             kept = batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
             if kept.num_rows:
                 yield kept
+        release()
 
     return run
 
@@ -250,6 +252,7 @@ def _edits(size: int, percent: int):
                 ],
                 ["a", "b", "component", "edits", "weight", "limit"],
             )
+        release()
 
     return run
 
