@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # Batches of long texts for Python workers; an executor holds several at once.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # Call sites of every column cost driver time only.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
