@@ -42,7 +42,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.select(
         F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"),
         F.col("source").cast("string").alias("host"),
-        F.lower(F.col("lang").cast("string")).alias("declared"),
+        language.main_language(F.col("lang")).alias("declared"),
         F.lit(None).cast("string").alias("suffix"),
         language.text_evidence(F.col("text"), model, spark).alias("text_evidence"),
     )

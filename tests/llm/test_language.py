@@ -1,6 +1,7 @@
 """Accuracy, the smoothed host priors against plain sums, and odd rows."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,3 +79,32 @@ def test_odd_rows(spark):
     empty = languages(docs.limit(0), spark.createDataFrame(some, pages)).collect()
     assert [r.accepted for r in empty] == [False] * 4
     assert languages(docs.limit(0), spark.createDataFrame([], pages)).count() == 0
+
+
+def _accepted(spark, docs, texts):
+    """Learned from ``docs``; texts that declare English."""
+    rows = docs.select("doc_id", "text", "lang", "source").collect()
+    more = [(10**6 + k, text, "en", rows[0].source) for k, text in enumerate(texts)]
+    all_docs = spark.createDataFrame([tuple(r) for r in rows] + more, "doc_id long, text string, lang string, source string")
+    model = fit(docs)
+    evidence = document_evidence(all_docs, model)
+    found = language.decide(evidence, model, gather(evidence, len(model.languages))).collect()
+    return [r.accepted for r in sorted(found, key=lambda r: r.doc_id) if r.doc_id >= 10**6]
+
+
+def test_texts_in_no_known_language_are_rejected(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rng = random.Random(1)
+    texts = [" ".join("".join(rng.choice("qwertyuiopasdfghjklzxcvbnm") for _ in range(rng.randint(2, 9))) for _ in range(40)) for _ in range(20)]
+    texts += ["Съешь же ещё этих мягких французских булок, да выпей чаю", "我能吞下玻璃而不伤身体。我能吞下玻璃", "1234 5678 2abc3", "asdf jkl asdf qwer zxcv uiop fghj"]
+    assert not any(_accepted(spark, docs, texts))
+    for unknown in ("en", "fr"):
+        texts = [r.text for r in docs.filter(f"lang = '{unknown}' AND n_chars > 200").limit(20).collect()]
+        assert sum(_accepted(spark, docs.filter(f"lang <> '{unknown}'"), texts)) <= 1
+
+
+def test_unseen_trigrams_favour_no_language(spark):
+    rows = [(f"the king of garden {i}", "en") for i in range(500)] + [(f"le roi du jardin {i}", "fr") for i in range(5)]
+    reader = language.Reader(fit(spark.createDataFrame(rows, "text string, lang string")))
+    evidence = reader.read("съешь ещё".encode())
+    assert evidence[0] == evidence[1] and evidence[-1] > 0
