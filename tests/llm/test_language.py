@@ -108,3 +108,20 @@ def test_unseen_trigrams_favour_no_language(spark):
     reader = language.Reader(fit(spark.createDataFrame(rows, "text string, lang string")))
     evidence = reader.read("съешь ещё".encode())
     assert evidence[0] == evidence[1] and evidence[-1] > 0
+
+
+def test_every_language_is_learned_under_one_name(spark):
+    rng = random.Random(4)
+    rows = []
+    for k in range(80):
+        syllables = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3)) for _ in range(12)]
+        tag = f"{chr(97 + k // 26)}{chr(97 + k % 26)}"
+        for i in range(12):
+            text = " ".join("".join(rng.choice(syllables) for _ in range(2)) for _ in range(60))
+            rows.append((100 * k + i, text, (tag, tag.upper(), f"{tag}-XX", f"{tag}_yy")[i % 4], tag))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, tag string").withColumn("source", F.lit("s"))
+    model = fit(docs)
+    assert model.languages == sorted({r[3] for r in rows})
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    truth = {r[0]: r[3] for r in rows}
+    assert all(r.language == truth[r.doc_id] and r.accepted for r in languages(docs, pages).collect())
