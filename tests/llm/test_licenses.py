@@ -75,3 +75,16 @@ def test_odd_rows(table):
         (5, 60_003, [(60_000, "reserved")]),
     ]
     assert scan_licenses(table([])).count() == 0
+
+
+def test_templates_after_words_of_another_template():
+    scanner = Scanner()
+    notice = (
+        "you can redistribute it and/or modify it under the terms of the GNU {} General Public License as published "
+        "by the Free Software Foundation"
+    )
+    plain = words(notice.format("Library").encode())
+    before = words(b"This library is free software;")
+    for first in ([], before):
+        spans = scanner.scan([*first, *plain])[1]
+        assert any(s[2] == "lgpl" and s[0] == len(first) and abs(s[3] - 24 / 25) < 1e-9 for s in spans), first

@@ -156,6 +156,8 @@ class Scanner:
         self.sizes = [len(s) for s in coded]
         self.automaton = SuffixAutomaton(coded)
         self.ends = [frozenset(e) for e in self.automaton.ends]
+        self.coded = coded[: len(sequences)]
+        self.shorter = self._shorter()
         self.phrases = self._whole({len(sequences) + k: label for k, label in enumerate(phrases.values())})
         self.notices = self._whole(dict(enumerate(self.labels)))
         self.templates = len(sequences)
@@ -171,6 +173,17 @@ class Scanner:
             out[k] = tuple(sorted(own | set(out[link])))
         return out
 
+    def _shorter(self) -> list[tuple[tuple[int, int, int], ...]]:
+        """For each state the templates and places at which only a shorter run of its suffixes ends, and its words."""
+        states = self.automaton.states
+        out: list[tuple[tuple[int, int, int], ...]] = [()] * len(states)
+        for k in sorted(range(1, len(states)), key=lambda i: states[i].length):
+            link = states[k].link
+            if link > 0 and states[link].length >= LEAST_WORDS:
+                own = sorted((n, end, states[link].length) for n, end in self.ends[link] - self.ends[k] if n < len(self.coded))
+                out[k] = (*own, *out[link])
+        return out
+
     def runs(self, text_words: list[bytes]) -> Iterator[tuple[int, list[int]]]:
         """Stretches of the text whose words all occur in templates, with their starts."""
         coded = list(map(self.numbers.get, text_words, [-1] * len(text_words)))
@@ -194,11 +207,13 @@ class Scanner:
             before, held = 0, 0
             for k, (state, length) in enumerate([*self.automaton.statistics(coded), (0, 0)]):
                 if held >= LEAST_WORDS:
-                    # A run is a match in the templates in which the next word doesn't extend it.
-                    longer = self.ends[state] if length == held + 1 else frozenset()
-                    for number, end in self.automaton.ends[before]:
-                        if number < self.templates and (number, end + 1) not in longer:
-                            matches.setdefault(number, []).append((start + k - 1, end, held))
+                    # A run is a match in the templates in which the next word doesn't extend it. Templates
+                    # that have only an end of the longest run match with that end.
+                    word = coded[k] if k < len(coded) else -1
+                    whole = ((number, end, held) for number, end in self.automaton.ends[before] if number < self.templates)
+                    for number, end, size in (*whole, *self.shorter[before]):
+                        if end + 1 == self.sizes[number] or self.coded[number][end + 1] != word:
+                            matches.setdefault(number, []).append((start + k - 1, end, size))
                 places += [(start + k - size + 1, label) for size, label in self.phrases[state] if size <= length]
                 for size, label in self.notices[state]:
                     if size <= length:
