@@ -89,3 +89,11 @@ def test_whole_and_odd_rows(spark):
     assert judge(frame.limit(0), labels).count() == 0
     nothing = spark.createDataFrame([(None, None, None), (1, None, None)], LABELS)
     assert {r.verdict for r in judge(frame, nothing).collect()} == {"allow"}
+
+
+def test_a_small_certain_host_is_a_rule_among_many_pages(spark):
+    rows = [(i, f"https://h{i % 7}.example/xx/{i}") for i in range(12_000)]
+    rows += [(20_000 + i, f"https://rare-trap.example/xx/{20_000 + i}") for i in range(40)]
+    labels = spark.createDataFrame([(i, 0 if i >= 20_000 or i % 20 == 0 else 1, 0) for i, _ in rows], LABELS)
+    found = judge(spark.createDataFrame(rows, "page_id long, url string"), labels).collect()
+    assert {r.page_id for r in found if r.verdict == "block"} == set(range(20_000, 20_040))

@@ -8,7 +8,7 @@ rules hang on their rarest token in an inverted index, an address's tokens look
 up its candidates, and a rule matches if the address has all its tokens.
 
 Everything is a DataFrame plan or Spark's own FP-growth. The mined rules are
-bounded by the least support, not by the data. Nothing is keyed by a single
+bounded by the least support. Nothing is keyed by a single
 token of all pages: tokens are joined once for each distinct token set.
 """
 
@@ -29,7 +29,9 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
+#: Bad pages of a rule: this share of the labelled ones, or so many if that is less.
 LEAST_SUPPORT = 0.005
+LEAST_PAGES = 30
 LEAST_CONFIDENCE = 0.6
 LEAST_LIFT = 1.5
 _BAD = "label=bad"
@@ -89,12 +91,15 @@ def labelled_tokens(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return found.select(F.concat("tokens", F.array(mark)).alias("items"))
 
 
-def mine(labelled: DataFrame, support: float = LEAST_SUPPORT, confidence: float = LEAST_CONFIDENCE) -> DataFrame:
+def mine(labelled: DataFrame, support: float | None = None, confidence: float = LEAST_CONFIDENCE) -> DataFrame:
     """``rule_id, tokens, confidence, support`` of the token sets that speak for a bad page."""
     spark = labelled.sparkSession
     empty = "rule_id long, tokens array<string>, confidence double, support double"
-    if labelled.isEmpty():
+    n = labelled.count()
+    if not n:
         return spark.createDataFrame([], empty)
+    if support is None:
+        support = min(LEAST_SUPPORT, LEAST_PAGES / n)
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(labelled)
     rules = model.associationRules.filter(
         (F.col("consequent") == F.array(F.lit(_BAD))) & (F.col("lift") >= LEAST_LIFT)
