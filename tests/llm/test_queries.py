@@ -47,5 +47,5 @@ def test_whole_table(name, spark, sf_dir):
 
 def test_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in entry.queries() if name[:2] == "op" and name[2].isdigit())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 12))
     assert "pipeline" in entry.queries()

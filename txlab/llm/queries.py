@@ -17,6 +17,7 @@ from txlab.llm.packing import pack
 from txlab.llm.pieces import encode_and_decode
 from txlab.llm.search import top_k
 from txlab.llm.shards import shard
+from txlab.llm.spelling import spelling_variants
 from txlab.llm.toxicity import toxicity
 from txlab.llm.urls import judge
 
@@ -117,12 +118,15 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(read(spark, sf_dir, "documents"), read(spark, sf_dir, "pages"))
 
 
-OP7 = """
-WITH RECURSIVE step AS (
+#: The byte table of CRC-32.
+_CRC = """step AS (
   SELECT n, n AS c, 0 AS k FROM range(256) t(n)
   UNION ALL
   SELECT n, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM step WHERE k < 8),
-crc AS (SELECT list(c ORDER BY n) AS t FROM step WHERE k = 8),
+crc AS (SELECT list(c ORDER BY n) AS t FROM step WHERE k = 8)"""
+
+OP7 = f"""
+WITH RECURSIVE {_CRC},
 b AS (
   SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size,
     list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT) AS bytes
@@ -198,3 +202,46 @@ FROM s QUALIFY rank <= 20
 @query("op10_exact_top_k", OP10)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read(spark, sf_dir, "embeddings"))
+
+
+OP11 = f"""
+WITH RECURSIVE {_CRC},
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY 1, 2),
+marks AS (
+  SELECT run, k, xor(4294967295, list_reduce(
+    list_transform(regexp_extract_all(hex(encode(doc_id::VARCHAR || ':' || run)), '..'), lambda x: ('0x' || x)::BIGINT),
+    lambda a, x: xor(a // 256, t[xor(a, x) % 256 + 1]), 4294967295)) AS h
+  FROM runs, crc),
+words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+    ELSE run END AS word, sum(k)::BIGINT AS n
+  FROM marks GROUP BY 1 HAVING length(word) >= 7 AND sum(k) >= 2),
+holes AS (
+  SELECT word, n, unnest(range(length(word))) AS p FROM words),
+around AS (
+  SELECT word, n, length(word) AS size, p, left(word, p) AS head, substr(word, p + 2) AS tail FROM holes),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM around a JOIN around b USING (size, p, head, tail) WHERE a.word <> b.word
+  UNION SELECT a.word, w.word, w.n FROM around a JOIN words w ON w.word = a.head || a.tail
+  UNION SELECT w.word, a.word, a.n FROM around a JOIN words w ON w.word = a.head || a.tail),
+best AS (
+  SELECT word, count(*) AS n_near, min(struct_pack(less := -near_n, form := near)) AS b FROM pairs GROUP BY word),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.less >= 10 * n THEN b.form END AS form,
+    CASE WHEN -b.less >= 10 * n THEN -b.less END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+reach AS (
+  SELECT word, word AS root, 0 AS depth FROM forms
+  UNION ALL
+  SELECT reach.word, forms.form, depth + 1 FROM reach JOIN forms ON root = forms.word WHERE forms.form IS NOT NULL),
+roots AS (SELECT word, arg_max(root, depth) AS root FROM reach GROUP BY word)
+SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM forms JOIN roots USING (word)
+"""
+
+
+@query("op11_spelling_variants", OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read(spark, sf_dir, "documents"))
