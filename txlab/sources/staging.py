@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _FOLDER = "txlab"
+_TABLES = "txlab_staged_"
 
 
 def staging_dir(spark: SparkSession) -> str:
@@ -43,7 +44,18 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_in_buckets(df: DataFrame, buckets: int, *columns: str) -> DataFrame:
+    """Write ``df`` in buckets by ``columns``: joins, groups and windows on them read it without a shuffle."""
+    spark = df.sparkSession
+    name = f"{_TABLES}{uuid.uuid4().hex}"
+    writer = df.write.option("path", new_path(spark)).option("compression", "zstd")
+    writer.bucketBy(buckets, *columns).saveAsTable(name, format="parquet")
+    return spark.table(name)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete every table that this application has staged."""
+    for table in spark.catalog.listTables(pattern=f"{_TABLES}*"):
+        spark.sql(f"DROP TABLE IF EXISTS {table.name}")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_path(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
