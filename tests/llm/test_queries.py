@@ -32,6 +32,7 @@ COLUMNS = {
     "op2_url_filter": "page_id host path rule verdict",
     "op3_sentencepiece_encode_decode": "doc_id n_tokens ids_sha256 decoded_sha256",
     "op4_toxicity": "doc_id held_out score predicted",
+    "op12_katz_scores": "doc_id held_out n_tokens n_known train_tokens base_score score",
     "op6_language_id": "doc_id page_id language confidence accepted",
 }
 
@@ -47,5 +48,5 @@ def test_whole_table(name, spark, sf_dir):
 
 def test_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in entry.queries() if name[:2] == "op" and name[2].isdigit())
-    assert numbers == list(range(1, 12))
+    assert numbers == list(range(1, 14))
     assert "pipeline" in entry.queries()

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from txlab.llm.common import read, ship
 from txlab.llm.decontamination import decontaminate
+from txlab.llm.katz import katz_scores
 from txlab.llm.language import languages
 from txlab.llm.licenses import scan_licenses
 from txlab.llm.near_duplicates import near_duplicates
+from txlab.llm.negatives import hard_negatives
 from txlab.llm.packing import pack
 from txlab.llm.pieces import encode_and_decode
 from txlab.llm.search import top_k
@@ -245,3 +247,35 @@ SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n F
 @query("op11_spelling_variants", OP11)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(read(spark, sf_dir, "documents"))
+
+
+@query("op12_katz_scores")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learn = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 != 1, F.lit(True))
+    return katz_scores(read(spark, sf_dir, "documents"), learn)
+
+
+OP13 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = v.label AS same, v.vec_id, list_inner_product(a.e, v.e)::BIGINT AS score
+  FROM v a JOIN v ON a.vec_id <> v.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
+@query("op13_hard_negatives", OP13)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(read(spark, sf_dir, "embeddings").withColumn("label", moved))
