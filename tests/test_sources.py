@@ -36,12 +36,12 @@ def test_csv_needs_a_schema(spark, tmp_path):
         files.read_table(spark, str(tmp_path))
 
 
-def test_empty_text_is_missing_after_a_round_trip(spark, tmp_path):
+def test_an_empty_text_and_a_missing_one_stay_apart(spark, tmp_path):
     path = str(tmp_path / "texts")
     df = spark.createDataFrame([("", 1), (None, 2), ("a,b", 3)], "t string, n int")
     files.write_table(df, path, "csv")
     got = {r.n: r.t for r in files.read_table(spark, path, "t string, n int").collect()}
-    assert got == {1: None, 2: None, 3: "a,b"}
+    assert got == {1: "", 2: None, 3: "a,b"}
 
 
 def test_null_tokens(spark):
@@ -79,3 +79,105 @@ def test_ledger_schema_and_key(spark, sf_dir):
     declared = spark.createDataFrame([], S.LEDGER).dtypes
     assert df.dtypes == declared
     assert df.select("tx_id").distinct().count() == df.count()
+
+
+AWKWARD = ["a\nb", "", None, " q ", "x\r\ny", "\r", 'he said "hi"', '"', "\\", '\\"', "a,b", "#c", "\t", "NaN", '""', "\n", "end\\", "null", " "]
+ROWS = "k int, t string, x double, d date, at timestamp, u string"
+
+
+def awkward(spark):
+    rows = [(k, t, k / 7, None if k % 5 == 0 else "2024-02-29", "2024-03-31 01:02:03.000456", AWKWARD[-k]) for k, t in enumerate(AWKWARD)]
+    return spark.createDataFrame(rows, "k int, t string, x double, d string, at string, u string").selectExpr(
+        "k", "t", "if(k = 3, double('Infinity'), if(k = 4, null, x)) AS x", "date(d) AS d", "timestamp(at) AS at", "u"
+    )
+
+
+@pytest.mark.parametrize("header", [True, False])
+@pytest.mark.parametrize("line_end", [None, "\n"])
+def test_texts_come_back_as_they_were(spark, tmp_path, header, line_end):
+    path = str(tmp_path / "texts")
+    df = awkward(spark).repartition(3)
+    files.write_table(df, path, "csv", header=header)
+    back = files.read_table(spark, path, ROWS, header=header, line_end=line_end)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    assert back.count() == len(AWKWARD) and back.select("u").filter("u IS NULL").count() == 1
+
+
+def test_one_line_texts(spark, tmp_path):
+    path = str(tmp_path / "texts")
+    df = awkward(spark).filter("NOT coalesce(t RLIKE '[\\\\r\\\\n]', false) AND NOT coalesce(u RLIKE '[\\\\r\\\\n]', false)")
+    files.write_table(df, path, "csv")
+    back = files.read_table(spark, path, ROWS, one_line=True)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect())) and df.count() > 5
+
+
+BROKEN = ["1,12.5 pounds", "2,3.5,4", "5", 'x,"a', '6,""']
+
+
+def _file(folder, *lines):
+    path = folder / "table.csv"
+    path.write_bytes("".join(f"{line}\n" for line in lines).encode())
+    return str(path)
+
+
+@pytest.mark.parametrize("line", BROKEN)
+def test_a_broken_record_is_shown(spark, tmp_path, line):
+    df = files.read_table(spark, _file(tmp_path, "id,x", "7,8", line), "id int, x double")
+    for read in (df.collect, df.count, df.select("id").collect):
+        with pytest.raises(Exception, match="doesn't fit the schema") as error:
+            read()
+        assert line in str(error.value) and "table.csv" in str(error.value)
+
+
+def test_broken_records_as_a_column(spark, tmp_path):
+    df = files.read_table(spark, _file(tmp_path, "id,x", "7,8", *BROKEN[:3], "9,", BROKEN[4]), "id int, x double", bad="why")
+    assert [tuple(r) for r in df.collect()] == [
+        (7, 8.0, None), (1, None, BROKEN[0]), (2, 3.5, BROKEN[1]), (5, None, BROKEN[2]), (9, None, None), (6, None, BROKEN[4])
+    ]
+    assert df.count() == 6 and df.filter("why IS NOT NULL").count() == 4
+
+
+@pytest.mark.parametrize("header", ["x,id", "id", "id,x,y", "id,y", "﻿x,id"])
+def test_another_header_is_an_error(spark, tmp_path, header):
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_table(spark, _file(tmp_path, header, "1,2"), "id int, x double").collect()
+
+
+@pytest.mark.parametrize("header", ["id,x", "﻿id,x", "ID,X", ",0", "a,b"])
+def test_headers_that_fit_or_give_way(spark, tmp_path, header):
+    df = files.read_table(spark, _file(tmp_path, header, "1,2.5"), "id int, x double")
+    assert [tuple(r) for r in df.collect()] == [(1, 2.5)]
+
+
+def test_the_header_of_every_file_is_checked(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,x\n1,2\n")
+    (tmp_path / "b.csv").write_text("x,id\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_table(spark, str(tmp_path), "id int, x double").collect()
+
+
+def test_a_null_alone_is_an_error(spark, tmp_path):
+    df = spark.createDataFrame([("",), ("a",), (None,)], "t string")
+    with pytest.raises(Exception, match="blank line"):
+        files.write_table(df, str(tmp_path / "null"), "csv")
+    files.write_table(df.filter("t IS NOT NULL"), str(tmp_path / "texts"), "csv")
+    assert {r.t for r in files.read_table(spark, str(tmp_path / "texts"), "t string").collect()} == {"", "a"}
+
+
+def test_records_in_a_column(spark):
+    rows = [(1, '"a\nb",1.5,""'), (2, " q ,,\"x\r\ny\""), (3, None), (4, '"say ""hi""",-2,'), (5, '",",0,","')]
+    df = spark.createDataFrame(rows, "k int, line string")
+    fields = files.unwrap_csv_column(df, "line", "t string, x double, u string")
+    assert [tuple(r) for r in fields.collect()] == [
+        (1, "a\nb", 1.5, ""), (2, " q ", None, "x\r\ny"), (3, None, None, None), (4, 'say "hi"', -2.0, None), (5, ",", 0.0, ",")
+    ]
+
+
+@pytest.mark.parametrize("line", ["a", "a,b", "a,1.5,2", "a,1 pound"])
+def test_broken_records_in_a_column(spark, line):
+    df = spark.createDataFrame([(1, "b,2"), (2, line)], "k int, line string")
+    with pytest.raises(Exception, match="doesn't fit the schema") as error:
+        files.unwrap_csv_column(df, "line", "t string, x double").collect()
+    assert line in str(error.value)
+    marked = files.unwrap_csv_column(df, "line", "t string, x double", bad="why")
+    assert [r.why for r in marked.collect()] == [None, line]

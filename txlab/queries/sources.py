@@ -17,6 +17,23 @@ _ROWS_SCHEMA = (
     "description string, amount double"
 )
 
+#: Texts with line ends, blanks, quotes and separators, empty and missing ones.
+_AWKWARD = """CASE customer_id % 6 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN '  ' || description || ' '
+    WHEN 3 THEN description || chr(10) || '"b",' WHEN 4 THEN chr(13) || chr(10) || description
+    ELSE '\\' || description || chr(9) END"""
+
+
+def _awkward():
+    text, kind = F.col("description"), F.col("customer_id") % 6
+    return (
+        F.when(kind == 0, "")
+        .when(kind == 1, None)
+        .when(kind == 2, F.concat(F.lit("  "), text, F.lit(" ")))
+        .when(kind == 3, F.concat(text, F.lit('\n"b",')))
+        .when(kind == 4, F.concat(F.lit("\r\n"), text))
+        .otherwise(F.concat(F.lit("\\"), text, F.lit("\t")))
+    )
+
 
 @query("s1_read_headered", on_tx(f"SELECT {', '.join(_ROWS)} FROM tx"))
 def read_headered(spark, sf_dir):
@@ -79,3 +96,36 @@ def unwrap_csv(spark, sf_dir):
     return files.unwrap_csv_column(
         wrapped, "line", "description string, amount double, category string"
     )
+
+
+@query("s1_awkward_texts", on_tx(f"SELECT tx_id, {_AWKWARD} AS note, amount FROM tx"))
+def read_awkward_texts(spark, sf_dir):
+    path = new_path(spark)
+    rows = ledger(spark, sf_dir, ("tx_id", "customer_id", "description", "amount"))
+    files.write_table(rows.select("tx_id", _awkward().alias("note"), "amount"), path, "csv")
+    return files.read_table(spark, path, "tx_id string, note string, amount double")
+
+
+@query("s2_awkward_texts", on_tx(f"SELECT {_AWKWARD} AS note, tx_id FROM tx"))
+def read_headerless_awkward_texts(spark, sf_dir):
+    path = new_path(spark)
+    rows = ledger(spark, sf_dir, ("tx_id", "customer_id", "description"))
+    files.write_table(rows.select(_awkward().alias("note"), "tx_id"), path, "csv", header=False)
+    return files.read_table(spark, path, "note string, tx_id string", header=False, line_end="\n")
+
+
+@query("s5_roundtrip_csv", on_tx(f"SELECT tx_id, {_AWKWARD} AS note, tx_date, amount, category FROM tx"))
+def roundtrip_csv(spark, sf_dir):
+    path = new_path(spark)
+    rows = ledger(spark, sf_dir, ("tx_id", "customer_id", "description", "tx_date", "amount", "category"))
+    rows = rows.select("tx_id", _awkward().alias("note"), "tx_date", "amount", "category")
+    files.write_table(rows, path, "csv", partition_by=["category"])
+    return files.read_table(spark, path, "tx_id string, note string, tx_date date, amount double, category string")
+
+
+@query("s6_awkward_records", on_tx(f"SELECT tx_id, {_AWKWARD} AS note, amount FROM tx"))
+def unwrap_awkward_records(spark, sf_dir):
+    rows = ledger(spark, sf_dir, ("tx_id", "customer_id", "description", "amount"))
+    record = F.to_csv(F.struct(_awkward().alias("note"), "amount"), files.RECORD)
+    wrapped = rows.select("tx_id", record.alias("line"))
+    return files.unwrap_csv_column(wrapped, "line", "note string, amount double")
