@@ -57,3 +57,42 @@ def test_histogram_agrees_with_numpy(spark):
 def test_histogram_of_one_value(spark):
     rows = histogram(spark.createDataFrame([(4.0,), (4.0,)], "v double"), "v", 20).collect()
     assert {r.bin: r.n for r in rows if r.n} == {10: 2}
+
+
+SHAPES = {
+    "uniform": lambda rng, n: rng.random(n),
+    "log-uniform": lambda rng, n: np.exp(rng.uniform(-20, 20, n)),
+    "wide": lambda rng, n: rng.choice([-1, 1], n) * 10.0 ** rng.uniform(-150, 150, n),
+    "ties": lambda rng, n: np.floor(rng.exponential(3, n)),
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+@pytest.mark.parametrize(("ranges", "most", "passes"), [(10_000, 1 << 16, 2), (1_000, 500, 4)])
+def test_few_passes_on_any_distribution(spark, monkeypatch, shape, ranges, most, passes):
+    monkeypatch.setattr(quantiles, "RANGES", ranges)
+    monkeypatch.setattr(quantiles, "MOST_VALUES", most)
+    made, read = [], quantiles._pass
+    monkeypatch.setattr(quantiles, "_pass", lambda frame: made.append(1) or read(frame))
+    values = SHAPES[shape](np.random.default_rng(8), 200_000)
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(7)
+    got = {r.q: r.value for r in exact_quantiles(df, "v", QS).collect()}
+    for q in QS:
+        assert got[q] == pytest.approx(float(np.percentile(values, q * 100)), rel=1e-12)
+    assert len(made) <= passes
+
+
+def test_bounds_that_miss_are_widened(spark, monkeypatch):
+    """As if the sketch were off by more than it says."""
+    monkeypatch.setattr(quantiles, "MOST_VALUES", 100)
+    narrow, spoilt = quantiles._Rank.narrow, []
+
+    def spoil(self, shares, values):
+        narrow(self, shares, values)
+        if len(spoilt) < 3:
+            spoilt.append(1)
+            self.low = self.high
+
+    monkeypatch.setattr(quantiles._Rank, "narrow", spoil)
+    df = spark.range(50_000).select(F.col("id").cast("double").alias("v"))
+    assert {r.q: r.value for r in exact_quantiles(df, "v", [0.25, 0.5]).collect()} == {0.25: 12499.75, 0.5: 24999.5}
