@@ -78,7 +78,7 @@ def test_marking_keeps_every_row(skewed):
 
 
 def test_no_task_sorts_a_whole_group(skewed, parts):
-    """A part holds its share of the rows, whichever groups they are of, and offsets are a row for each part at most."""
+    """A part holds its share of the rows, whichever groups they are of; a group has a row for each part it is in."""
     from txlab.operators import ranking
 
     seen = []
@@ -87,9 +87,25 @@ def test_no_task_sorts_a_whole_group(skewed, parts):
         rank_in_group(skewed, ["customer_id"], ["tx_id"])
     finally:
         ranking.stage = stage
-    sizes = seen[0].groupBy("_part").count().agg(F.max("count"), F.count("*")).first()
+    held = seen[0].groupBy(F.expr("_id >> 33").alias("part")).count()
+    sizes = held.agg(F.max("count"), F.count("*")).first()
     assert sizes[0] <= 3 * skewed.count() / parts
-    assert ranking._rows_before(seen[0]).count() <= sizes[1]
+    assert seen[1].count() <= skewed.select("customer_id").distinct().count() + sizes[1]
+
+
+def test_ranks_are_hash_aggregates(skewed):
+    """One shuffle of the rows, and two of a number for each group and part."""
+    from txlab.operators import ranking
+
+    plans = []
+    stage, ranking.stage = ranking.stage, lambda df: plans.append(df._jdf.queryExecution().toString()) or stage(df)
+    try:
+        last = rank_in_group(skewed, ["customer_id"], ["tx_id"])._jdf.queryExecution().toString()
+    finally:
+        ranking.stage = stage
+    physical = [p.split("== Physical Plan ==")[1] for p in [*plans, last]]
+    assert not any("SortAggregate" in p for p in physical)
+    assert [p.count("Exchange rangepartitioning") + p.count("Exchange hashpartitioning") for p in physical] == [1, 2, 0]
 
 
 def test_limits_beyond_sparks_own(skewed):

@@ -1,10 +1,12 @@
 """Ranking and fraction sampling inside groups of any size.
 
 A plain window sorts each group in one task, which fails when one group holds
-a third of all rows.  Here all rows are dealt out by ranges of (group, order),
-so a group of any size is spread over as many parts as it fills.  Rows are
-ranked inside their part, and a group that began in an earlier part goes on
-from the rows it has there.  There is one plan for all sizes.
+a third of all rows.  Here all rows are dealt out by ranges of (group, order)
+and put in order there, so a group of any size is spread over as many parts as
+it fills.  A row is numbered in its part as it is written; its rank is that
+number less that of the group's first row there, plus the group's rows in earlier
+parts.  Both are hash aggregates of one number for each group and part.  There is
+one plan for all sizes.
 """
 
 from __future__ import annotations
@@ -20,6 +22,9 @@ from txlab.sources.staging import stage
 _GROUP = "_group"
 _ORDER = "_order"
 _PART = "_part"
+_ID = "_id"
+#: The upper bits of a row's id are its part, these lower ones its number there.
+_PART_BITS = 33
 
 
 def group_key(by: Sequence[str]) -> Column:
@@ -27,22 +32,23 @@ def group_key(by: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in by]) if by else F.lit(0)
 
 
-def _rows_before(parts: DataFrame) -> DataFrame:
-    """For each part the group that began in an earlier one, with its rows so far.
-
-    Only a part's first and last group can span parts, so this has at most one
-    row for each part, and what is counted for it at most two.
-    """
-    ends = parts.groupBy(_PART).agg(F.min(_GROUP).alias("_first"), F.max(_GROUP).alias("_last"))
-    spanning = (
-        parts.select(_PART, _GROUP)
-        .join(F.broadcast(ends), _PART)
-        .filter((F.col(_GROUP) == F.col("_first")) | (F.col(_GROUP) == F.col("_last")))
-        .groupBy(_GROUP, _PART)
-        .agg(F.count(F.lit(1)).alias("_size"))
-    )
-    before = Window.partitionBy(_GROUP).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    return spanning.select(_PART, _GROUP, F.sum("_size").over(before).alias("_before")).filter("_before > 0")
+def _ranked(
+    df: DataFrame, by: Sequence[str], key: Sequence[str], prefix: Sequence[str], salt: str, name: str, seed: int
+) -> DataFrame:
+    """The rows with their ``name``, 1 for the first of its group, and ``_size``, the group's rows."""
+    by, order = list(by), [*prefix, _ORDER, *key]
+    dealt = df.withColumns({_GROUP: group_key(by), _ORDER: uniform(*key, salt=salt, seed=seed)})
+    ordered = dealt.repartitionByRange(_GROUP, *order).sortWithinPartitions(_GROUP, *order)
+    rows = stage(ordered.drop(_GROUP, _ORDER).withColumn(_ID, F.monotonically_increasing_id()))
+    part = F.shiftright(_ID, _PART_BITS).alias(_PART)
+    here = rows.groupBy(group_key(by).alias(_GROUP), part).agg(F.min(_ID).alias("_start"), F.count(F.lit(1)).alias("_here"))
+    group = Window.partitionBy(_GROUP)
+    earlier = F.sum("_here").over(group.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1))
+    shift = F.coalesce(earlier, F.lit(0)) + 1 - F.col("_start")
+    # Written, so that Spark knows their size and can split the rows of a hot group.
+    spans = stage(here.select(_GROUP, _PART, shift.alias("_shift"), F.sum("_here").over(group).alias("_size")))
+    ranked = rows.withColumns({_GROUP: group_key(by), _PART: part}).join(spans, [_GROUP, _PART])
+    return ranked.select(*[F.col(c) for c in df.columns], (F.col(_ID) + F.col("_shift")).alias(name), "_size")
 
 
 def rank_in_group(
@@ -58,21 +64,7 @@ def rank_in_group(
 
     ``key`` must be unique in the group.
     """
-    by, key, prefix = list(by), list(key), list(prefix)
-    order = [*prefix, _ORDER, *key]
-    parts = stage(
-        df.withColumns({_GROUP: group_key(by), _ORDER: uniform(*key, salt=salt, seed=seed)})
-        .repartitionByRange(_GROUP, *order)
-        .withColumn(_PART, F.spark_partition_id())
-    )
-    here = F.row_number().over(Window.partitionBy(_PART, _GROUP).orderBy(*order)).cast("long")
-    # At most a row for each part, hence broadcast.
-    before = F.broadcast(_rows_before(parts))
-    return (
-        parts.withColumn("_here", here)
-        .join(before, [_PART, _GROUP], "left")
-        .select(*[F.col(c) for c in df.columns], (F.col("_here") + F.coalesce("_before", F.lit(0))).alias(name))
-    )
+    return _ranked(df, by, key, prefix, salt, name, seed).drop("_size")
 
 
 def mark_lowest(
@@ -85,10 +77,5 @@ def mark_lowest(
     seed: int = SEED,
 ) -> DataFrame:
     """Flag the ``limit(group size)`` rows of each group with the lowest key hash."""
-    by = list(by)
-    # Written, so that Spark knows their size and can split the rows of a hot group.
-    sizes = stage(df.groupBy(group_key(by).alias(_GROUP)).agg(F.count(F.lit(1)).alias("_size")))
-    ranked = rank_in_group(df, by, key, salt=salt, name="_rank", seed=seed).withColumn(_GROUP, group_key(by))
-    return ranked.join(sizes, _GROUP).select(
-        *[F.col(c) for c in df.columns], (F.col("_rank") <= limit(F.col("_size"))).alias(name)
-    )
+    ranked = _ranked(df, by, key, (), salt, "_rank", seed)
+    return ranked.select(*[F.col(c) for c in df.columns], (F.col("_rank") <= limit(F.col("_size"))).alias(name))
