@@ -69,10 +69,31 @@ def keep_on_dates(
 def merge_common(left: DataFrame, right: DataFrame) -> DataFrame:
     """Full outer join on every shared column, missing values matching each other.
 
-    Rows equal in all shared columns fold into one.  If such rows repeat on
-    both sides each pair appears, so include a row key, or use a union.
+    Rows equal in all shared columns fold into one.  If n such rows meet m, all
+    n x m pairs appear; ``merge_matched`` gives max(n, m) rows instead.
+    """
+    return _merged(left, right, [c for c in left.columns if c in right.columns])
+
+
+def merge_matched(left: DataFrame, right: DataFrame, seed: int = SEED) -> DataFrame:
+    """``merge_common`` that matches each row with one row at most: n equal rows and m give max(n, m).
+
+    Rows that are equal in all shared columns are numbered on both sides, in the
+    order of their other columns, and meet by number. As the number is part of
+    the join key, a row that a third of all rows equal is no hot key.
     """
     shared = [c for c in left.columns if c in right.columns]
+
+    def numbered(df: DataFrame) -> DataFrame:
+        # Told apart by their ids, wholly equal rows can be dealt out; which of them has which number is all the same.
+        rows = df.withColumn("_tie", F.monotonically_increasing_id())
+        rest = [c for c in df.columns if c not in shared]
+        return rank_in_group(rows, shared, ["_tie"], prefix=rest, salt="merge", name="_number", seed=seed).drop("_tie")
+
+    return _merged(numbered(left), numbered(right), [*shared, "_number"]).drop("_number")
+
+
+def _merged(left: DataFrame, right: DataFrame, shared: Sequence[str]) -> DataFrame:
     a, b = left.alias("a"), right.alias("b")
     same = reduce(
         Column.__and__, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in shared]

@@ -118,6 +118,24 @@ def merge_common(spark, sf_dir):
     return J.merge_common(left, right.withColumn("bank_to", own).drop("tx_type"))
 
 
+@query(
+    "j6_merge_matched",
+    on_tx(
+        """SELECT coalesce(a.bank_to, b.bank_to) AS bank_to, coalesce(a.category, b.category) AS category,
+               a.amount, b.description
+        FROM (SELECT bank_to, category, amount, row_number() OVER (
+                PARTITION BY bank_to, category ORDER BY amount NULLS FIRST) AS i FROM tx WHERE customer_id % 3 <> 0) a
+        FULL JOIN (SELECT bank_to, category, description, row_number() OVER (
+                PARTITION BY bank_to, category ORDER BY description NULLS FIRST) AS i FROM tx WHERE customer_id % 3 <> 1) b
+          ON a.bank_to IS NOT DISTINCT FROM b.bank_to AND a.category IS NOT DISTINCT FROM b.category AND a.i = b.i"""
+    ),
+)
+def merge_matched(spark, sf_dir):
+    rows = stage(ledger(spark, sf_dir, ("customer_id", "bank_to", "category", "amount", "description")))
+    left = rows.filter("customer_id % 3 <> 0").select("bank_to", "category", "amount")
+    return J.merge_matched(left, rows.filter("customer_id % 3 <> 1").select("bank_to", "category", "description"))
+
+
 @query(
     "j7_lookup",
     on_tx(
