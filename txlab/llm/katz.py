@@ -45,7 +45,7 @@ DISCOUNTED = 5
 #: Tokens after which a block ends with the text at hand.
 BLOCK_TOKENS = 2_500_000
 #: Tokens of all texts for each part of a level, and the least number of parts.
-PART_TOKENS = 2_000_000
+PART_TOKENS = 500_000
 LEAST_PARTS = 64
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: A space and a newline are never part of a word.
