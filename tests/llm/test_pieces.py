@@ -48,8 +48,25 @@ def test_any_ids_decode(coder):
 
 
 def test_forgetting_chunks_changes_nothing():
-    small = PieceCoder(load_vocabulary(PATH), kept_chunks=2)
-    same(small, "one two three one two three four")
+    small = PieceCoder(load_vocabulary(PATH), kept_bytes=900)
+    for _ in range(3):
+        same(small, "one two three one two three four five one six seven one")
+    assert 0 < len(small.chunks) + len(small.chunks.older) <= 9
+
+
+def test_kept_chunks_are_bounded_in_bytes(coder):
+    """Hot chunks stay over many rare ones; texts without spaces are single chunks and aren't kept."""
+    rng = random.Random(6)
+    small = PieceCoder(load_vocabulary(PATH), kept_bytes=200_000)
+    made, small.chunks.make = [], lambda chunk: made.append(chunk) or small._encode_chunk(chunk)
+    for k in range(3000):
+        small.encode("hot words " + "".join(rng.choice("abcdefgh") for _ in range(12)))
+        assert small.chunks.held <= 100_000
+    assert made.count("▁hot") == 1 and len(made) > 2900
+    held = coder.chunks.held
+    for _ in range(200):
+        coder.encode("".join(rng.choice("abcdefgh") for _ in range(10_000)))
+    assert coder.chunks.held == held
 
 
 def test_long_text_is_cut_between_words(coder, monkeypatch):

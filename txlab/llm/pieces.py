@@ -10,7 +10,8 @@ merge rule is the library's: the pair with the best-scored joint entry first,
 the leftmost one among equals; a character of no entry becomes its bytes.
 
 Texts are cut where no entry can reach across (before a run of spaces, around a
-character of no longer entry), and ids of a chunk are kept for its next use.
+character of no longer entry), and ids of a short chunk are kept for its next use,
+also by the worker's next task, in a bounded number of bytes.
 The vocabulary is read once on the driver; it has a fixed size and is what is
 broadcast.
 """
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import codecs
 import re
+import sys
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,13 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlab.llm.common import held_in_worker, ids_and_texts, release
+from txlab.llm.common import held_in_worker, ids_and_texts
 
 _SPACE = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 _NEVER = float("-inf")
 #: Characters after which a long text is cut at the next place where it may be.
 _BLOCK = 1_000_000
+#: Bytes of the chunks whose ids a worker keeps, and the characters of such a chunk at most.
+_KEPT_BYTES = 200_000_000
+_KEPT_CHARACTERS = 64
 #: Ids that an output batch holds at least before it is sent.
 _BATCH_IDS = 500_000
 
@@ -79,24 +84,43 @@ codecs.register_error("txlab-each-byte", _each_byte)
 
 
 class _Kept(dict):
-    """Values by key; forgets all when it holds ``limit`` of them."""
+    """Values by key, in two generations.
 
-    def __init__(self, make, limit: int):
+    When the younger one weighs ``limit``, it becomes the older one, and what was
+    not asked for since the last time is forgotten. Without ``weigh`` a value
+    weighs 1; one that weighs nothing isn't kept.
+    """
+
+    def __init__(self, make, limit: int, weigh=None):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.weigh = make, limit, weigh
+        self.older, self.held = {}, 0
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        weight = 1 if self.weigh is None else self.weigh(key, value)
+        if not weight:
+            return value
+        if self.held + weight > self.limit:
+            self.older, self.held = dict(self), 0
             self.clear()
-        value = self[key] = self.make(key)
+        self.held += weight
+        self[key] = value
         return value
 
 
+def _chunk_bytes(chunk: str, ids: bytes) -> int:
+    """What a kept chunk takes, with its place in the table."""
+    return sys.getsizeof(chunk) + sys.getsizeof(ids) + 100 if len(chunk) <= _KEPT_CHARACTERS else 0
+
+
 class PieceCoder:
     """Encodes and decodes with one vocabulary. Tokens are ids; single characters of no
     entry get numbers from the vocabulary's size on."""
 
-    def __init__(self, vocabulary: Vocabulary, kept_chunks: int = 150_000):
+    def __init__(self, vocabulary: Vocabulary, kept_bytes: int = _KEPT_BYTES):
         self.names = list(vocabulary.pieces)
         self.size = len(self.names)
         self.width = self.size + 0x110000
@@ -112,7 +136,7 @@ class PieceCoder:
         self.automaton.make_automaton()
         self.merges = _Kept(self._merge, 100_000)
         self.compatible = _Kept(self._compatible, 300_000)
-        self.chunks = _Kept(self._encode_chunk, kept_chunks)
+        self.chunks = _Kept(self._encode_chunk, kept_bytes // 2, _chunk_bytes)
         longer = [p for p in self.ids if len(p) > 1]
         inside = set("".join(longer))
         self.unlisted = inside - self.ids.keys()
@@ -292,8 +316,6 @@ def _round_trip(shared):
         coder = coder_of(shared)
         for batch in batches:
             yield from coded(coder, batch)
-        del coder
-        release()
 
     return run
 
