@@ -1,12 +1,17 @@
 """Exact neighbours, held-out accuracy, and odd rows."""
 
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from txlab.llm import toxicity as tox
+from txlab.llm.common import words
 from txlab.llm.toxicity import Scorer, fit, held_out, toxicity
 
 SCHEMA = "doc_id long, toxic int"
@@ -28,23 +33,79 @@ def corpus(n=600, seed=1):
     return rows, labels
 
 
-def test_neighbours_are_exact(spark):
-    rows, labels = corpus()
+def plain_cosines(model, texts, examples, n_docs, frequency):
+    """Cosines of every text with every example over all words, by dictionaries."""
+
+    def vector(text):
+        counts = Counter(words(text.encode()))
+        weight = {}
+        for word, n in counts.items():
+            number = model.hashes.searchsorted(np.uint64(xxhash.xxh3_64_intdigest(word)))
+            if number < len(model.hashes) and model.hashes[number] == xxhash.xxh3_64_intdigest(word):
+                weight[word] = (1 + math.log(n)) * model.weights[number]
+                strength = model.weights[number] / (math.log((n_docs + 1) / (frequency[word] + 1)) + 1)
+                assert tox.LEAST_STRENGTH - 1e-9 <= strength <= 1 + 1e-9
+        length = math.sqrt(sum(x * x for x in weight.values()))
+        return {w: x / length for w, x in weight.items()}
+
+    held = {doc_id: vector(text) for doc_id, text in examples}
+    out = []
+    for text in texts:
+        own = vector(text)
+        out.append({d: sum(x * v[w] for w, x in own.items() if w in v) for d, v in held.items()})
+    return out
+
+
+@pytest.mark.parametrize(("block", "first", "share"), [(64, 4, 1 / 32), (4, 1, 0.2), (8, 2, 2.0)])
+def test_neighbours_are_those_of_full_vectors(spark, monkeypatch, block, first, share):
+    for name, value in (("BLOCK", block), ("FIRST_BLOCKS", first), ("COMMON_SHARE", share)):
+        monkeypatch.setattr(tox, name, value)
+    rows, labels = corpus(300)
+    model = fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, SCHEMA), F.lit(True))
+    frequency = Counter(w for _, text in rows for w in set(words(text.encode())))
+    texts = [text for _, text in rows] + ["w1", "insult0 w2 w2 unknown", "only unknown words"]
+    chosen = set(model.ids.tolist())
+    plain = plain_cosines(model, texts, [r for r in rows if r[0] in chosen], len(rows), frequency)
+    scorer = Scorer(model)
+    places, cosines = scorer.nearest([t.encode() for t in texts])
+    for found, at, expected in zip(cosines, places, plain):
+        best = sorted(expected.values(), reverse=True)[: tox.NEIGHBOURS]
+        assert np.allclose(found, best, atol=1e-5)
+        near = at[found > 0]
+        assert np.allclose([expected[model.ids[k]] for k in near], found[found > 0], atol=1e-5)
+        assert len(near) == min(tox.NEIGHBOURS, sum(x > 0 for x in expected.values()))
+    assert scorer.opened <= scorer.met
+
+
+def test_bounds_spare_blocks(spark):
+    """Texts of other subjects lie in blocks that are never opened."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(1200):
+        subject = i % 12
+        text = [f"s{subject}x{rng.randrange(30)}" for _ in range(30)] + ["the", "of"]
+        rows.append((i, " ".join(text + ["insult"] * (i % 5 == 0))))
+    labels = [(i, int(i % 5 == 0)) for i, _ in rows]
     model = fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, SCHEMA), F.lit(True))
     scorer = Scorer(model)
-    checked = 0
-    for _, text in rows:
-        counts = scorer.found.counts(text.encode())
-        if not counts:
-            continue
-        numbers = np.asarray(sorted(counts))
-        query = tox.weights(numbers, np.asarray([counts[k] for k in numbers]), model.idf)
-        places, cosines = scorer.nearest(numbers, query)
-        every = np.sort(query @ model.postings[numbers])[::-1][: tox.NEIGHBOURS]
-        assert np.allclose(cosines, every[every > 0], atol=1e-6)
-        assert np.allclose(query @ model.postings[numbers][:, places], cosines)
-        checked += 1
-    assert checked > 50
+    scorer.nearest([text.encode() for _, text in rows])
+    assert scorer.opened < 0.6 * scorer.met
+
+
+def test_every_text_that_shares_a_word_has_neighbours(spark, table):
+    rows, labels = corpus(400)
+    more = [(9000, "w7"), (9001, "unheard"), (9002, "unheard w9 of")]
+    found = {r.doc_id: r for r in toxicity(table(rows + more), spark.createDataFrame(labels, SCHEMA)).collect()}
+    assert found[9000].neighbours and found[9002].neighbours and not found[9001].neighbours
+    assert all(len(r.neighbours) == tox.NEIGHBOURS for d, r in found.items() if d < 9000)
+
+
+def test_copies_give_one_example(spark):
+    rows = [(i, "first text of copies") for i in range(30, 0, -1)] + [(i, f"other w{i}") for i in range(100, 140)]
+    labels = [(i, int(i < 100)) for i, _ in rows]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    model = fit(frame, spark.createDataFrame(labels, SCHEMA), F.lit(True))
+    assert [i for i in model.ids if i < 100] == [1]
 
 
 def test_held_out_accuracy(spark, table):

@@ -1,17 +1,20 @@
 """Toxicity from the nearest labelled examples by TF-IDF cosine.
 
 Fitting takes a bounded sample of labelled documents: at most EXAMPLES of each
-class, the ones with the smallest hash of their id, and of near copies one. Terms are words and the
-first four and five bytes of longer words; the TERMS of them are kept that set
-the classes of the sample apart most (chi-squared, at least twice as frequent
-in toxic ones). Their document frequencies are counted over all documents.
-
-Scoring: an inverted index holds each term's weights in the examples, cut into
-blocks of BLOCK examples with the largest weight of each. The sum of a
-document's weights times the blocks' largest ones bounds every cosine in a
-block; blocks are opened from the highest bound on until the NEIGHBOURS best
-cosines are at least the next bound. The votes of the nearest, by inverse
-distance and weighted back to the classes' true shares, give the score.
+class, the ones with the smallest hash of their id, of near copies the one with
+the smallest id, as far as they have MOST_POSTINGS words together. All their
+words are terms, known by a 64-bit hash. A term's weight is its inverse document
+frequency, counted over all documents, times its strength: near 1 if it sets the
+classes of the sample apart (chi-squared), LEAST_STRENGTH if it doesn't.
+
+Scoring: an inverted index holds each term's weights in the examples. Examples
+stand in blocks, with the largest weight of each term in each block. Terms of few
+examples are added up list by list; those of many are stored by block, and their
+largest weights bound every cosine in a block. The blocks with the highest bounds
+are opened first; then all whose bound reaches the NEIGHBOURS-th best cosine. So
+the nearest examples are exact, for every text that shares a word with any. Their
+votes, by inverse distance and weighted back to the classes' true shares, give
+the score.
 """
 
 from __future__ import annotations
@@ -23,63 +26,70 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from txlab.llm.common import WordHashes, held_in_worker, ids_and_texts, texts_as_bytes, words
 from txlab.llm.near_duplicates import shingle_hashes
 from txlab.sources.staging import stage
 
-EXAMPLES = 6_000
-TERMS = 400
+EXAMPLES = 2_500
+MOST_POSTINGS = 4_000_000
 NEIGHBOURS = 15
 BLOCK = 64
-#: A term is in so many toxic examples at least, and in this share of them.
-_LEAST_SUPPORT = 4
-_LEAST_SHARE = 0.01
-_LEAST_CHI = 20.0
-_KEPT_WORDS = 100_000
-_KEPT_COUNTS = 500_000
+#: Terms of at least this share of the examples are stored by block.
+COMMON_SHARE = 1 / 32
+LEAST_STRENGTH = 0.1
+#: Chi-squared of a term of half strength.
+HALF_STRENGTH = 20.0
+#: Blocks of each text that are opened first.
+FIRST_BLOCKS = 4
+_KEPT_WORDS = 200_000
+_TEXTS_AT_ONCE = 250
 
 
-def terms_of(word: bytes) -> tuple[bytes, ...]:
-    if len(word) > 5:
-        return (b"w" + word, b"4" + word[:4], b"5" + word[:5])
-    return (b"w" + word, b"4" + word[:4]) if len(word) > 4 else (b"w" + word,)
+class Numbers(dict):
+    """The number of a word's term, -1 for a word of no example; forgets words when it holds many."""
 
-
-class _Terms(dict):
-    """The numbers of a word's kept terms."""
-
-    def __init__(self, numbers: dict[bytes, int]):
+    def __init__(self, hashes: np.ndarray):
         super().__init__()
-        self.numbers = numbers
+        self.table = dict(zip(hashes.tolist(), range(len(hashes))))
 
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= _KEPT_WORDS:
             self.clear()
-        found = tuple(self.numbers[t] for t in terms_of(word) if t in self.numbers)
-        self[word] = found
-        return found
+        number = self[word] = self.table.get(xxhash.xxh3_64_intdigest(word), -1)
+        return number
 
-    def counts(self, text: bytes) -> Counter:
-        return Counter(n for found in map(self.__getitem__, words(text)) if found for n in found)
+    def counts(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the text's terms, and how often it has each."""
+        found = Counter(map(self.__getitem__, words(text)))
+        found.pop(-1, None)
+        n = len(found)
+        return np.fromiter(found.keys(), np.int64, n), np.fromiter(found.values(), np.float64, n)
 
 
 @dataclass
 class Model:
-    terms: list[bytes]
-    idf: np.ndarray
-    #: Weight of each term (row) in each example (column), examples padded to whole blocks.
-    postings: np.ndarray
-    #: The largest weight of each term in each block.
+    #: Ascending hashes of the terms, and their weights.
+    hashes: np.ndarray
+    weights: np.ndarray
+    #: Of each term: its place among the common ones or -1, and else where its examples and weights there are.
+    common: np.ndarray
+    starts: np.ndarray
+    sizes: np.ndarray
+    columns: np.ndarray
+    values: np.ndarray
+    #: Weights of the common terms by block, term, example, and the largest of each term and block.
+    dense: np.ndarray
     most: np.ndarray
     toxic: np.ndarray
     ids: np.ndarray
     #: What a vote of either class counts.
     share: tuple[float, float]
-    #: Score of a text without kept terms, and of the labelled rows at large.
-    without: float
+    #: Score of a text without neighbours.
     base: float
 
 
@@ -99,193 +109,239 @@ def _sketch():
     return sketch
 
 
-def _class_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
-
-    def sent() -> pa.RecordBatch:
-        rows = list(counts.items())
-        counts.clear()
-        return pa.RecordBatch.from_arrays(
+def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ascending hashes and counts of each example's words."""
+    for batch in batches:
+        terms, counts = [], []
+        for text in texts_as_bytes(batch.column("text")):
+            hashes = WordHashes().of(words(text))
+            distinct, n = np.unique(hashes, return_counts=True)
+            terms.append(distinct)
+            counts.append(n.astype(np.uint32))
+        yield pa.RecordBatch.from_arrays(
             [
-                pa.array([term for (term, _), _ in rows], pa.binary()),
-                pa.array([toxic for (_, toxic), _ in rows], pa.int32()),
-                pa.array([n for _, n in rows], pa.int64()),
+                batch.column("doc_id"),
+                batch.column("toxic"),
+                pa.array([t.tobytes() for t in terms], pa.binary()),
+                pa.array([n.tobytes() for n in counts], pa.binary()),
+                pa.array(list(map(len, terms)), pa.int64()),
             ],
-            ["term", "toxic", "n"],
+            ["doc_id", "toxic", "terms", "counts", "n"],
         )
 
-    for batch in batches:
-        for text, toxic in zip(texts_as_bytes(batch.column("text")), batch.column("toxic").to_pylist()):
-            counts.update((t, toxic) for t in {t for word in set(words(text)) for t in terms_of(word)})
-            if len(counts) >= _KEPT_COUNTS:
-                yield sent()
-    if counts:
-        yield sent()
-
 
-def _document_counts(terms: list[bytes]):
+def _document_counts(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, counts = _Terms({t: k for k, t in enumerate(terms)}), np.zeros(len(terms), np.int64)
+        found = Numbers(shared.value)
+        counts = np.zeros(len(shared.value) + 1, np.int64)  # the last place: words of no example
         for batch in batches:
             for text in texts_as_bytes(batch.column("text")):
-                numbers = list(found.counts(text))
-                counts[numbers] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(terms)), pa.int32()), pa.array(counts)], ["term", "n"])
+                numbers = set(map(found.__getitem__, set(words(text))))
+                counts[list(numbers)] += 1
+        terms = np.flatnonzero(counts[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32()), pa.array(counts[terms])], ["term", "n"])
 
     return run
 
 
-def _example_counts(terms: list[bytes]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = _Terms({t: k for k, t in enumerate(terms)})
-        for batch in batches:
-            counts = [found.counts(text) for text in texts_as_bytes(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("toxic"),
-                    pa.array([sorted(c) for c in counts], pa.list_(pa.int32())),
-                    pa.array([[c[t] for t in sorted(c)] for c in counts], pa.list_(pa.int32())),
-                ],
-                ["doc_id", "toxic", "terms", "counts"],
-            )
+def _document_frequencies(docs: DataFrame, hashes: np.ndarray) -> np.ndarray:
+    shared = docs.sparkSession.sparkContext.broadcast(hashes)  # MOST_POSTINGS numbers at most
+    rows = docs.select("text").mapInArrow(_document_counts(shared), "term int, n long")
+    found = rows.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(hashes))
+    out[found.column("term").to_numpy()] = found.column("n").to_numpy()
+    return out
 
-    return run
 
-
-def weights(numbers: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    out = (1 + np.log(counts)) * idf[numbers]
-    return out / np.sqrt((out * out).sum())
+def _examples(docs: DataFrame, usable: DataFrame) -> DataFrame:
+    """The sample's ``doc_id, toxic, terms, counts, n``, bounded in rows and in terms."""
+    order = F.xxhash64("doc_id", F.lit("example"))
+    sample = [usable.filter(F.col("toxic") == c).orderBy(order, "doc_id").limit(EXAMPLES) for c in (0, 1)]
+    # At most 2 * EXAMPLES rows of two numbers, hence broadcast.
+    chosen = F.broadcast(stage(sample[0].union(sample[1])))
+    labelled = ids_and_texts(docs).join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    # Copies of one text would make its rare words look telling, and vote several times.
+    first = F.min(F.struct("doc_id", "text")).alias("first")
+    once = labelled.withColumn("_sketch", _sketch()(F.col("text"))).groupBy("toxic", "_sketch").agg(first)
+    schema = "doc_id long, toxic int, terms binary, counts binary, n long"
+    counted = stage(once.select("first.*", "toxic").mapInArrow(_example_terms, schema)).filter("n > 0")
+    upto = F.sum("n").over(Window.partitionBy("toxic").orderBy(order, "doc_id"))
+    return counted.withColumn("_upto", upto).filter(F.col("_upto") <= MOST_POSTINGS // 2).drop("_upto")
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     """A model from the labels of the rows where ``learn`` holds.
 
     ``labels`` has ``doc_id, toxic``; rows without either are left out, and a
-    doc_id labelled both ways is toxic. Without any usable label or term every
-    text gets the same score.
+    doc_id labelled both ways is toxic; of documents that share a doc_id the
+    smallest text counts. Without usable examples of both classes every text
+    gets the same score.
     """
     usable = labels.filter(learn & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
     usable = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     total = {row["toxic"]: row["n"] for row in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    order = F.xxhash64("doc_id", F.lit("example"))
-    sample = [usable.filter(F.col("toxic") == c).orderBy(order, "doc_id").limit(EXAMPLES) for c in (0, 1)]
-    # At most 2 * EXAMPLES rows of two numbers, hence broadcast.
-    chosen = F.broadcast(stage(sample[0].union(sample[1])))
-    labelled = ids_and_texts(docs).join(chosen, "doc_id").withColumn("_sketch", _sketch()(F.col("text")))
-    # Copies of one text would make its rare words look telling.
-    train = stage(labelled.dropDuplicates(["toxic", "_sketch"]).drop("_sketch"))
-    sizes = {row["toxic"]: row["n"] for row in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     base = (total.get(1, 0) + 1) / (sum(total.values()) + 2)
-    if not n0 or not n1:
-        return _model([], np.empty(0), [], (1.0, 1.0), base, base)
-    counted = train.mapInArrow(_class_terms, "term binary, toxic int, n long").groupBy("term").agg(
-        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
-        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b"),
-    )
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    expected = (a + b) * n1 / (n0 + n1)
-    chi = (a - expected) * (a - expected) / expected * (n0 + n1) / n0
-    best = (
-        counted.withColumn("chi", chi)
-        .filter((F.col("a") >= max(_LEAST_SUPPORT, _LEAST_SHARE * n1)) & (F.col("chi") >= _LEAST_CHI) & (a / n1 >= 2 * b / n0))
-        .orderBy(F.desc("chi"), "term")
-        .limit(TERMS)
-    )
-    terms = [bytes(row["term"]) for row in best.collect()]
-    frequency = np.zeros(len(terms))
-    if terms:
-        rows = docs.select("text").mapInArrow(_document_counts(terms), "term int, n long")
-        for row in rows.groupBy("term").agg(F.sum("n").alias("n")).collect():
-            frequency[row["term"]] = row["n"]
-    idf = np.log((docs.count() + 1) / (frequency + 1)) + 1
-    examples = train.mapInArrow(
-        _example_counts(terms), "doc_id long, toxic int, terms array<int>, counts array<int>"
-    ).collect()
-    share = (total.get(0, 0) / n0, total.get(1, 0) / n1)
-    empty = [sum(1 for e in examples if e["toxic"] == c and not e["terms"]) * share[c] for c in (0, 1)]
-    without = (empty[1] + base) / (sum(empty) + 1)
-    return _model(terms, idf, [e for e in examples if e["terms"]], share, without, base)
-
-
-def _model(terms, idf, examples, share, without, base) -> Model:
-    pairs = [(np.asarray(e["terms"]), np.asarray(e["counts"])) for e in examples]
-    vectors = [(numbers, weights(numbers, counts, idf)) for numbers, counts in pairs]
-    # Examples with the same leading terms stand together, so that blocks' bounds are tight.
-
-    def leading(k: int):
-        numbers, weight = vectors[k]
-        return numbers[np.argsort(-weight, kind="stable")].tolist(), examples[k]["doc_id"]
-
-    order = sorted(range(len(examples)), key=leading)
+    examples = _examples(docs, usable).collect()
+    sizes = Counter(e["toxic"] for e in examples)
+    if len(sizes) < 2:
+        return _model(np.empty(0, np.uint64), np.empty(0), [], (1.0, 1.0), base)
+    terms = [np.frombuffer(e["terms"], np.uint64) for e in examples]
+    hashes, number = np.unique(np.concatenate(terms), return_inverse=True)
+    toxic = np.repeat([e["toxic"] for e in examples], list(map(len, terms)))
+    held, bad = (np.bincount(x, minlength=len(hashes)) for x in (number, number[toxic == 1]))
+    share = sizes[1] / len(examples)
+    chi = (bad - held * share) ** 2 / (held * share * (1 - share))
+    strength = LEAST_STRENGTH + (1 - LEAST_STRENGTH) * chi**2 / (chi**2 + HALF_STRENGTH**2)
+    idf = np.log((docs.count() + 1) / (_document_frequencies(docs, hashes) + 1)) + 1
+    cuts = np.cumsum(list(map(len, terms)))[:-1]
+    counts = [np.frombuffer(e["counts"], np.uint32) for e in examples]
+    rows = [(e["doc_id"], e["toxic"], n, c) for e, n, c in zip(examples, np.split(number, cuts), counts)]
+    whole = sum(total.values()) / len(examples)
+    votes = tuple(total[c] / sizes[c] / whole for c in (0, 1))
+    return _model(hashes, strength * idf, rows, votes, base)
+
+
+def vector(numbers: np.ndarray, counts: np.ndarray, term_weights: np.ndarray) -> np.ndarray:
+    out = (1 + np.log(counts)) * term_weights[numbers]
+    return out / np.sqrt((out * out).sum()) if len(out) else out
+
+
+def _together(numbers: list[np.ndarray], vectors: list[np.ndarray], terms: int) -> list[int]:
+    """An order in which examples that are near the same one stand together, so that blocks' bounds are tight."""
+    if not numbers:
+        return []
+    flat, values, starts = np.concatenate(numbers), np.concatenate(vectors), np.cumsum([0, *map(len, numbers[:-1])])
+    near = []
+    for pivot in range(0, len(numbers), BLOCK):
+        weights = np.zeros(terms)
+        weights[numbers[pivot]] = vectors[pivot]
+        near.append(np.add.reduceat(values * weights[flat], starts))
+    near = np.stack(near)
+    return np.lexsort((-near.max(axis=0), near.argmax(axis=0))).tolist()
+
+
+def _model(hashes: np.ndarray, term_weights: np.ndarray, rows: list[tuple], share: tuple, base: float) -> Model:
+    vectors = [vector(numbers, counts, term_weights) for _, _, numbers, counts in rows]
+    order = _together([r[2] for r in rows], vectors, len(hashes))
     blocks = -(-len(order) // BLOCK)
-    postings = np.zeros((len(terms), blocks * BLOCK), np.float32)
-    for column, k in enumerate(order):
-        postings[vectors[k][0], column] = vectors[k][1]
-    most = postings.reshape(len(terms), blocks, BLOCK).max(axis=2) if blocks else np.zeros((len(terms), 0), np.float32)
-    toxic = np.asarray([examples[k]["toxic"] for k in order], np.int8)
-    ids = np.asarray([examples[k]["doc_id"] for k in order], np.int64)
-    return Model(terms, idf, postings, most, toxic, ids, share, without, base)
+    numbers = np.concatenate([np.empty(0, np.int64), *(rows[k][2] for k in order)])
+    values = np.concatenate([np.empty(0), *(vectors[k] for k in order)]).astype(np.float32)
+    columns = np.repeat(np.arange(len(order), dtype=np.int32), [len(rows[k][2]) for k in order])
+    held = np.bincount(numbers, minlength=len(hashes))
+    many = held >= max(2.0, COMMON_SHARE * len(order))
+    common = np.where(many, np.cumsum(many) - 1, -1)
+    dense = np.zeros((int(many.sum()), blocks * BLOCK), np.float32)
+    inside = many[numbers]
+    dense[common[numbers[inside]], columns[inside]] = values[inside]
+    dense = dense.reshape(len(dense), blocks, BLOCK)
+    rare = np.flatnonzero(~inside)
+    rare = rare[np.argsort(numbers[rare], kind="stable")]
+    sizes = np.where(many, 0, held)
+    return Model(
+        hashes,
+        term_weights,
+        common,
+        np.cumsum(sizes) - sizes,
+        sizes,
+        columns[rare],
+        values[rare],
+        np.ascontiguousarray(dense.transpose(1, 0, 2)),
+        dense.max(axis=2, initial=0),
+        np.asarray([rows[k][1] for k in order], np.int8),
+        np.asarray([rows[k][0] for k in order], np.int64),
+        share,
+        base,
+    )
 
 
 class Scorer:
+    """Nearest examples and scores of batches of texts."""
+
     def __init__(self, model: Model):
         self.model = model
-        self.found = _Terms({t: k for k, t in enumerate(model.terms)})
-        self.known: dict[tuple, tuple[float, list[int]]] = {}
+        self.found = Numbers(model.hashes)
+        #: Blocks met by the texts so far, and those of them that were opened.
+        self.met, self.opened = 0, 0
 
-    def nearest(self, numbers: np.ndarray, query: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the k nearest examples that share a term, best first."""
+    def _parts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Cosines as far as rare terms go, by example, and the weights of common terms."""
         model = self.model
-        bounds = query @ model.most[numbers]
-        places, cosines = np.empty(0, np.int64), np.empty(0)
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or (len(places) == k and bounds[block] <= cosines[-1]):
-                break
-            start = block * BLOCK
-            part = query @ model.postings[numbers, start : start + BLOCK]
-            hit = np.flatnonzero(part > 0)
-            places, cosines = np.concatenate((places, hit + start)), np.concatenate((cosines, part[hit]))
-            best = np.lexsort((places, -cosines))[:k]
-            places, cosines = places[best], cosines[best]
-        return places, cosines
-
-    def score(self, text: bytes) -> tuple[float, list[int]]:
-        counts = self.found.counts(text)
-        if not counts:
-            return self.model.without, []
-        key = tuple(sorted(counts.items()))
-        if key not in self.known:
-            if len(self.known) >= 20_000:
-                self.known.clear()
-            self.known[key] = self._vote(*(np.asarray(x) for x in zip(*key)))
-        return self.known[key]
-
-    def _vote(self, numbers: np.ndarray, counts: np.ndarray) -> tuple[float, list[int]]:
+        rare = np.zeros((len(texts), len(model.dense) * BLOCK), np.float32)
+        common = np.zeros((len(texts), model.dense.shape[1]), np.float32)
+        for row, text in enumerate(texts):
+            numbers, counts = self.found.counts(text)
+            weight = vector(numbers, counts, model.weights)
+            place = model.common[numbers]
+            common[row, place[place >= 0]] = weight[place >= 0]
+            sizes = model.sizes[numbers]
+            at = np.repeat(model.starts[numbers] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            added = model.values[at] * np.repeat(weight, sizes)
+            rare[row] = np.bincount(model.columns[at], weights=added, minlength=rare.shape[1])
+        return rare, common
+
+    def nearest(self, texts: list[bytes], k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
+        """Places and cosines of the k nearest examples of each text, best first; a cosine of 0 is no neighbour."""
+        model, n, blocks = self.model, len(texts), len(self.model.dense)
+        rare, common = self._parts(texts)
+        bounds = rare.reshape(n, blocks, BLOCK).max(axis=2, initial=0) + common @ model.most
+        bounds = bounds * (1 + 1e-5) + 1e-6
+        cosines = np.zeros_like(rare)
+        k = min(k, cosines.shape[1])
+
+        def open_blocks(wanted: np.ndarray) -> None:
+            self.opened += int(wanted.sum())
+            for block in np.flatnonzero(wanted.any(axis=0)):
+                rows = np.flatnonzero(wanted[:, block])
+                own = slice(block * BLOCK, (block + 1) * BLOCK)
+                cosines[rows, own] = rare[rows, own] + common[rows] @ model.dense[block]
+
+        first = np.zeros(bounds.shape, bool)
+        some = min(FIRST_BLOCKS, blocks)
+        np.put_along_axis(first, np.argpartition(-bounds, some - 1, axis=1)[:, :some], True, axis=1)
+        open_blocks(first)
+        reached = np.partition(cosines, -k, axis=1)[:, -k]
+        open_blocks((bounds >= reached[:, None]) & ~first)
+        self.met += bounds.size
+        best = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
+        found = np.take_along_axis(cosines, best, axis=1)
+        order = np.lexsort((best, -found), axis=1)
+        return np.take_along_axis(best, order, axis=1), np.take_along_axis(found, order, axis=1)
+
+    def scores(self, texts: list[bytes]) -> tuple[np.ndarray, list[list[int]]]:
         model = self.model
-        places, cosines = self.nearest(numbers, weights(numbers, counts, model.idf))
+        if not texts or not len(model.ids):
+            return np.full(len(texts), model.base), [[] for _ in texts]
+        places, cosines = self.nearest(texts)
+        near = cosines > 0
+        places = np.minimum(places, len(model.ids) - 1)  # the last block is padded
+        toxic = model.toxic[places] == 1
         distance = np.sqrt(np.maximum(0.0, 2 - 2 * cosines))
-        toxic = model.toxic[places]
-        vote = np.where(toxic == 1, model.share[1], model.share[0]) / (0.1 + distance)
-        score = (vote[toxic == 1].sum() + model.base) / (vote.sum() + 1)
-        return float(score), model.ids[places].tolist()
+        votes = near * np.where(toxic, model.share[1], model.share[0]) / (0.1 + distance)
+        score = ((votes * toxic).sum(axis=1) + model.base) / (votes.sum(axis=1) + 1)
+        return score, [model.ids[p[m]].tolist() for p, m in zip(places, near)]
 
 
 def score(text: Column, model: Model, spark) -> Column:
     """``score, neighbours`` of a text: 0 to 1, and the ids of the nearest examples.
 
-    A null, empty or wordless text scores as texts without telling terms do.
+    A text that shares no word with an example, as a null, empty or wordless
+    one, has no neighbours and scores the share of toxic labels.
     """
-    shared = spark.sparkContext.broadcast(model)  # TERMS x 2 * EXAMPLES weights at most
+    # Bounded by 2 * EXAMPLES and MOST_POSTINGS: a common term is in at least COMMON_SHARE of the examples.
+    shared = spark.sparkContext.broadcast(model)
     number = uuid.uuid4().hex
 
     @F.arrow_udf("score double, neighbours array<long>")
     def scored(texts: pa.Array) -> pa.Array:
         scorer = held_in_worker(("toxicity", number), lambda: Scorer(shared.value))
-        rows = [scorer.score(t) for t in texts_as_bytes(texts)]
+        scores, neighbours = [], []
+        rows = list(texts_as_bytes(texts))
+        for start in range(0, len(rows), _TEXTS_AT_ONCE):
+            found = scorer.scores(rows[start : start + _TEXTS_AT_ONCE])
+            scores.append(found[0])
+            neighbours += found[1]
         return pa.StructArray.from_arrays(
-            [pa.array([s for s, _ in rows], pa.float64()), pa.array([n for _, n in rows], pa.list_(pa.int64()))],
+            [pa.array(np.concatenate([np.empty(0), *scores])), pa.array(neighbours, pa.list_(pa.int64()))],
             ["score", "neighbours"],
         )
 
