@@ -1,8 +1,10 @@
 """Given and mined rules against plain Python, and odd rows."""
 
+import random
 import re
 from itertools import combinations
 
+import pytest
 from pyspark.sql import functions as F
 
 from txlab.llm import urls
@@ -97,3 +99,29 @@ def test_a_small_certain_host_is_a_rule_among_many_pages(spark):
     labels = spark.createDataFrame([(i, 0 if i >= 20_000 or i % 20 == 0 else 1, 0) for i, _ in rows], LABELS)
     found = judge(spark.createDataFrame(rows, "page_id long, url string"), labels).collect()
     assert {r.page_id for r in found if r.verdict == "block"} == set(range(20_000, 20_040))
+
+
+def test_chance_makes_no_rule(spark):
+    """Labels that don't depend on addresses: no page is blocked, however many hosts there are to find a rule by chance."""
+    rng = random.Random(5)
+    for hosts in (3, 30, 120):
+        rows = [(i, f"https://h{i % hosts}.example/{rng.choice('abc')}/{i}?{rng.choice('xyz')}=1") for i in range(hosts * 100)]
+        labels = spark.createDataFrame([(i, int(rng.random() < 0.75), 0) for i, _ in rows], LABELS)
+        frame = spark.createDataFrame(rows, "page_id long, url string")
+        assert mine(labelled_tokens(frame, labels)).count() == 0
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_no_rule_from_the_given_tables(spark, sf):
+    pages, labels = (spark.read.parquet(f"/root/testdata/sf{sf}/{t}.parquet") for t in ("pages", "labels"))
+    assert {(r.rule is None, r.verdict) for r in judge(pages, labels).collect() if r.rule is None} == {(True, "allow")}
+
+
+def test_rules_do_not_grow_with_the_pages(spark):
+    """The same web, more of its pages: the rules are those of its bad hosts and paths."""
+    counts = []
+    for times in (1, 4):
+        rows = [(i, f"https://h{i % 20}.example/{'bad' if i % 10 == 3 else 'good'}/{i % 4}/{i}") for i in range(2000 * times)]
+        labels = spark.createDataFrame([(i, int(i % 10 != 3), 0) for i, _ in rows], LABELS)
+        counts.append(mine(labelled_tokens(spark.createDataFrame(rows, "page_id long, url string"), labels)).count())
+    assert 0 < counts[1] <= counts[0]

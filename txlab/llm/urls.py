@@ -1,15 +1,19 @@
 """URL verdicts from given host rules and from association rules mined from labels.
 
 Tokens of an address are its scheme, host, words of the host's labels, path
-segments (digits as #) and query keys. FP-growth mines the token sets that are
-frequent among labelled addresses; a set with the label ``bad`` at a high enough
-confidence and lift is a rule. Addresses with the same tokens are judged once:
-rules hang on their rarest token in an inverted index, an address's tokens look
-up its candidates, and a rule matches if the address has all its tokens.
-
-Everything is a DataFrame plan or Spark's own FP-growth. The mined rules are
-bounded by the least support. Nothing is keyed by a single
-token of all pages: tokens are joined once for each distinct token set.
+segments (digits as #) and query keys. A token set is a rule if enough labelled
+pages that have it are bad, and if the share of bad ones lies above a least one,
+and well above that of all pages, even at the lower end of its range of chance.
+Single tokens, such as a host, are counted by aggregation, so that a small but
+certain host is a rule at every size. Sets of more tokens come from FP-growth
+among the sets that a fixed share of all labelled pages has, so that their
+number, and the frequent tokens that FP-growth brings to the driver, don't grow
+with the pages. Addresses with the same tokens are judged once: rules hang on
+their rarest token in an inverted index, an address's tokens look up its
+candidates, and a rule matches if the address has all its tokens.
+
+Everything is a DataFrame plan or Spark's own FP-growth. Nothing is keyed by a
+single token of all pages: tokens are joined once for each distinct token set.
 """
 
 from __future__ import annotations
@@ -29,11 +33,14 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-#: Bad pages of a rule: this share of the labelled ones, or so many if that is less.
-LEAST_SUPPORT = 0.005
+#: Bad pages of a rule, at every size; of a rule of several tokens also this share of all labelled pages.
 LEAST_PAGES = 30
+LEAST_SUPPORT = 0.005
 LEAST_CONFIDENCE = 0.6
 LEAST_LIFT = 1.5
+#: The lower end of the confidence lies so many standard deviations down, and above this share.
+DEVIATIONS = 3.0
+LEAST_LOWER_END = 0.5
 _BAD = "label=bad"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^(.*?)://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
@@ -91,25 +98,44 @@ def labelled_tokens(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return found.select(F.concat("tokens", F.array(mark)).alias("items"))
 
 
+def _lower_end(n: Column, bad: Column) -> Column:
+    """The least share of bad pages that ``bad`` of ``n`` speak for, by Wilson's interval."""
+    z, share = DEVIATIONS, bad / n
+    middle = share + z * z / (2 * n)
+    spread = z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))
+    return (middle - spread) / (1 + z * z / n)
+
+
 def mine(labelled: DataFrame, support: float | None = None, confidence: float = LEAST_CONFIDENCE) -> DataFrame:
-    """``rule_id, tokens, confidence, support`` of the token sets that speak for a bad page."""
+    """``rule_id, tokens, confidence, support`` of the token sets that speak for a bad page.
+
+    ``support`` takes the place of both least supports.
+    """
     spark = labelled.sparkSession
     empty = "rule_id long, tokens array<string>, confidence double, support double"
-    n = labelled.count()
-    if not n:
+    known = labelled.select("items", F.array_contains("items", _BAD).alias("bad"))
+    n, bad = known.agg(F.count("*"), F.count_if("bad")).first()
+    least = max(LEAST_PAGES, (support or 0.0) * n)
+    if bad < least:
         return spark.createDataFrame([], empty)
-    if support is None:
-        support = min(LEAST_SUPPORT, LEAST_PAGES / n)
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(labelled)
-    rules = model.associationRules.filter(
-        (F.col("consequent") == F.array(F.lit(_BAD))) & (F.col("lift") >= LEAST_LIFT)
-    )
+    tokens = known.select(F.explode(F.filter("items", lambda x: ~x.startswith("label="))).alias("token"), "bad")
+    single = tokens.groupBy("token").agg(F.count("*").alias("n"), F.count_if("bad").alias("bad"))
+    single = single.select(F.array("token").alias("tokens"), "n", "bad")
+    model = FPGrowth(
+        itemsCol="items", minSupport=max(LEAST_SUPPORT if support is None else support, least / n), minConfidence=confidence
+    ).fit(labelled)
+    several = model.associationRules.filter((F.col("consequent") == F.array(F.lit(_BAD))) & (F.size("antecedent") > 1))
+    both = F.round(F.col("support") * n)
+    several = several.select(F.col("antecedent").alias("tokens"), F.round(both / F.col("confidence")).alias("n"), both.alias("bad"))
+    rules = single.unionByName(several).filter(F.col("bad") >= least)
+    share = F.col("bad") / F.col("n")
+    sure = _lower_end(F.col("n"), F.col("bad")) >= max(LEAST_LOWER_END, LEAST_LIFT * bad / n)
     return stage(
-        rules.select(
-            F.xxhash64(F.array_sort("antecedent")).alias("rule_id"),
-            F.col("antecedent").alias("tokens"),
-            "confidence",
-            "support",
+        rules.filter((share >= confidence) & (share >= LEAST_LIFT * bad / n) & sure).select(
+            F.xxhash64(F.array_sort("tokens")).alias("rule_id"),
+            "tokens",
+            share.alias("confidence"),
+            (F.col("bad") / n).alias("support"),
         )
     )
 
