@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from txlab.llm import search
+from txlab.llm import vectors as vectors_of_blocks
 from txlab.llm.search import top_k
 
 
@@ -34,15 +35,16 @@ def vectors(n, dim, seed, spread=1.0):
 
 
 def got(spark, rows, **options):
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    extra = ", number int, at int, slot int, score string, rank int, part int, label int"
+    frame = spark.createDataFrame([(*r, 1, 2, 3, "x", 4, 5, 6) for r in rows], "vec_id long, embedding array<double>" + extra)
     return sorted(tuple(r) for r in top_k(frame, **options).collect())
 
 
 @pytest.mark.parametrize(("n", "dim", "every", "k"), [(300, 64, 20, 20), (200, 5, 10, 3), (40, 17, 7, 60)])
 def test_all_pairs(spark, monkeypatch, n, dim, every, k):
-    monkeypatch.setattr(search, "BLOCK_BYTES", 8 * dim * 16)
-    monkeypatch.setattr(search, "QUERY_BYTES", 8 * dim * 4)
-    monkeypatch.setattr(search, "BLOCKS_PER_GROUP", 3)
+    for name, value in (("PART_BYTES", 2 * dim * 32), ("ASKED_BYTES", 2 * dim * 4), ("CHUNK", 16), ("QUERIES_AT_ONCE", 3)):
+        monkeypatch.setattr(search, name, value)
+    monkeypatch.setattr(vectors_of_blocks, "BLOCK_BYTES", 8 * dim * 4)
     rows = vectors(n, dim, n)
     assert got(spark, rows, every=every, k=k) == brute(rows, every, k)
 
@@ -72,3 +74,22 @@ def test_large_numbers(spark):
     assert got(spark, rows) == brute(rows, 20, 20)
     with pytest.raises(Exception, match="64 bits"):
         got(spark, [(0, [1e300]), (1, [1.0])])
+
+
+def test_a_query_scores_few_pairs():
+    """On clustered vectors, each pair whose bound can't reach the query's best is left out."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(50, 64))
+    values = np.floor(64 * (centres[rng.integers(50, size=20_000)] + 0.3 * rng.normal(size=(20_000, 64)))).astype(np.int64)
+    ids, seen = np.arange(20_000), {}
+    best, asked = search._Best(np.full(100, -(1 << 62)), 20), search.Chunk(ids[:100], values[:100])
+    for start in range(0, 20_000, search.CHUNK):
+        rows = slice(start, start + search.CHUNK)
+        search.scan(best, asked, search.Chunk(ids[rows], values[rows]), seen)
+    assert seen["pairs"] == 100 * 20_000 and seen["exact"] <= 0.05 * seen["pairs"]
+    scores = values[:100] @ values.T
+    scores[np.arange(100), np.arange(100)] = -(1 << 62)
+    query, found, score = best.found
+    for q in range(100):
+        order = np.lexsort((ids, -scores[q]))[:20]
+        assert found[query == q].tolist() == order.tolist() and score[query == q].tolist() == scores[q][order].tolist()

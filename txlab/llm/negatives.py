@@ -30,9 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from txlab.llm.vectors import EXACT, blocks, every_part, matrix, part_of, parts_of
+from txlab.llm.vectors import ENDLESS, EXACT, blocks, fill, part_of, parts_of, tile, windows_of
 from txlab.sources.staging import stage
 
 SCALE = 256.0
@@ -43,7 +42,6 @@ SLICE = 8
 #: A part's first vectors are few, as thresholds are still low; the next ones are taken in chunks.
 CHUNKS = (512, 4_096)
 ANCHORS_AT_ONCE = 512
-ROUNDS_GROW = 8
 #: Shares of a window, from its upper end, to which thresholds are lowered.
 LOWERED = (0.15, 0.3, 0.45, 0.6, 1.0)
 #: Share of pairs under which the rest of the dimensions is added pair by pair.
@@ -51,7 +49,6 @@ _FEW = 0.02
 _PAIRS_AT_ONCE = 1 << 17
 #: Scores times 100 must fit in 64 bits.
 _MOST = 2.0**56
-_ENDLESS = 1 << 62
 
 
 class Vectors:
@@ -144,7 +141,7 @@ class _Windows:
 def _search_chunk(windows: _Windows, anchors: dict, held: dict, same: bool) -> None:
     """Add what a chunk of vectors has for the windows, with thresholds lowered until they are full."""
     reach = anchors["vectors"].norms[:, -1] * held["vectors"].norms[:, -1].max(initial=0)
-    reach = np.ceil(np.minimum(reach * (1 + 1e-9) + 1, float(_ENDLESS))).astype(np.int64)[windows.anchor]
+    reach = np.ceil(np.minimum(reach * (1 + 1e-9) + 1, float(ENDLESS))).astype(np.int64)[windows.anchor]
     upper, lower = np.minimum(windows.high, reach), np.maximum(windows.low, -reach)
     todo, above = lower <= upper, upper + 1
     full = windows.filled()
@@ -175,46 +172,32 @@ def _search_chunk(windows: _Windows, anchors: dict, held: dict, same: bool) -> N
         todo &= (down > lower) & ~windows.filled()
 
 
-def _table(rows: pa.Table) -> dict[int, dict]:
-    """The blocks of a tile by their vectors' length."""
-    out: dict[int, dict] = {}
-    listed = rows.to_pylist()
-    for dim in sorted({r["dim"] for r in listed}):
-        own = [r for r in listed if r["dim"] == dim]
-        sizes = [len(r["vec_id"]) for r in own]
-        out[dim] = {
-            "ids": np.concatenate([np.asarray(r["vec_id"], np.int64) for r in own]),
-            "labels": np.concatenate([np.asarray(r["label"], np.int64) for r in own]),
-            "values": np.concatenate([matrix(r["matrix"], n, dim) for r, n in zip(own, sizes)]),
-            "starts": np.cumsum([0, *sizes[:-1]]),
-            "rows": own,
-        }
-    return out
+def _some(held: dict, rows: slice, order: np.ndarray) -> dict:
+    return {"ids": held["vec_id"][rows], "labels": held["label"][rows], "vectors": Vectors(held["values"][rows], order)}
 
 
 def _chunks(held: dict, order: np.ndarray) -> Iterator[dict]:
     start, sizes = 0, [*CHUNKS]
-    while start < len(held["ids"]):
+    while start < len(held["vec_id"]):
         rows = slice(start, start + (sizes.pop(0) if len(sizes) > 1 else sizes[0]))
-        yield {"ids": held["ids"][rows], "labels": held["labels"][rows], "vectors": Vectors(held["values"][rows], order)}
+        yield _some(held, rows, order)
         start = rows.stop
 
 
 def _search(k: int, same: bool):
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[list[np.ndarray]] = [[], [], [], [], []]
-        vectors = _table(right) if right.num_rows else {}
-        for dim, asked in (_table(left) if left.num_rows else {}).items():
+        vectors = tile(right)
+        for dim, asked in tile(left).items():
             if dim not in vectors:
                 continue
             order = energy_order(vectors[dim]["values"])
-            every = [(start + w["at"], r["number"], w["at"], w["slot"], w["low"], w["high"]) for start, r in zip(asked["starts"], asked["rows"]) for w in r["windows"]]
-            place, number, at, slot, low, high = np.asarray(sorted(every), np.int64).reshape(-1, 6).T
+            place, number, at, slot, low, high = windows_of(asked)
             chunks = list(_chunks(vectors[dim], order))
-            for start in range(0, len(asked["ids"]), ANCHORS_AT_ONCE):
+            for start in range(0, len(asked["vec_id"]), ANCHORS_AT_ONCE):
                 rows = slice(start, start + ANCHORS_AT_ONCE)
                 own = slice(*np.searchsorted(place, (rows.start, rows.stop)))
-                anchors = {"ids": asked["ids"][rows], "labels": asked["labels"][rows], "vectors": Vectors(asked["values"][rows], order)}
+                anchors = _some(asked, rows, order)
                 windows = _Windows(place[own] - start, low[own], high[own], k)
                 for chunk in chunks:
                     _search_chunk(windows, anchors, chunk, same)
@@ -227,33 +210,6 @@ def _search(k: int, same: bool):
     return run
 
 
-def _fill(windows: DataFrame, asked: DataFrame, asks: int, held: DataFrame, parts: int, k: int, same: bool) -> DataFrame:
-    """``number, at, slot, vec_id, score, rank``: the k best rows of each window."""
-    window = ["number", "at", "slot"]
-    found, start, step = None, 0, 1
-    while start < parts:
-        end = min(parts, start + step)
-        now = windows
-        if found is not None:
-            full = found.filter(F.col("rank") == k).select(*window, F.col("score").alias("reached"))
-            now = windows.join(full, window, "left").withColumn("low", F.greatest("low", "reached"))
-        lists = now.groupBy("number").agg(F.collect_list(F.struct("at", "slot", "low", "high")).alias("windows"))
-        looking = asked.join(lists, "number").withColumn("ask", part_of(F.col("number"), asks))
-        looking = looking.withColumn("part", F.explode(F.sequence(F.lit(start), F.lit(end - 1))))
-        shown = held.filter(F.col("part").between(start, end - 1)).withColumn("ask", every_part(asks))
-        keys = ["ask", "part"]
-        more = (
-            looking.groupBy(*keys)
-            .cogroup(shown.groupBy(*keys))
-            .applyInArrow(_search(k, same), "number long, at long, slot long, vec_id long, score long")
-        )
-        more = more if found is None else more.unionByName(found.drop("rank"))
-        rank = F.row_number().over(Window.partitionBy(*window).orderBy(F.desc("score"), "vec_id"))
-        found = stage(more.withColumn("rank", rank).filter(F.col("rank") <= k))
-        start, step = end, step * ROUNDS_GROW
-    return found
-
-
 def hard_negatives(
     embeddings: DataFrame,
     every: int = 100,
@@ -288,8 +244,8 @@ def hard_negatives(
     asks, parts = parts_of(asked, ASKED_BYTES), parts_of(held, PART_BYTES, tasks)
     held = held.withColumn("part", part_of(F.col("number"), parts)).drop("number")
     ids = asked.select("number", F.posexplode("vec_id").alias("at", "anchor_id"))
-    whole = ids.select("number", "at", F.lit(0).alias("slot"), F.lit(-_ENDLESS).alias("low"), F.lit(_ENDLESS).alias("high"))
-    own = _fill(whole, asked, asks, held, parts, positives, True).select(
+    whole = ids.select("number", "at", F.lit(0).alias("slot"), F.lit(-ENDLESS).alias("low"), F.lit(ENDLESS).alias("high"))
+    own = fill(whole, asked, asks, held, parts, positives, _search(positives, True)).select(
         "number",
         "at",
         F.col("rank").alias("slot"),
@@ -300,7 +256,7 @@ def hard_negatives(
     low = F.expr(f"(positive_score * {least_percent} + pmod(-positive_score * {least_percent}, 100L)) div 100")
     high = F.expr(f"(positive_score * {most_percent} - pmod(positive_score * {most_percent}, 100L)) div 100")
     windows = own.filter("positive_score >= 0").select("number", "at", "slot", low.alias("low"), high.alias("high"))
-    others = _fill(stage(windows), asked, asks, held, parts, negatives, False)
+    others = fill(stage(windows), asked, asks, held, parts, negatives, _search(negatives, False))
     best = others.select("number", "at", "slot", "rank", F.col("vec_id").alias("negative_id"), F.col("score").alias("negative_score"))
     return best.join(own, ["number", "at", "slot"]).join(ids, ["number", "at"]).select(
         "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"

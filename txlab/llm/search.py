@@ -4,166 +4,187 @@ A vector cut into segments has a mean and a deviation for each; for segments of
 length l the squared distance of two vectors is at least the sum of
 l * ((mean - mean')^2 + (dev - dev')^2), so their inner product is at most the
 sum of l * (mean * mean' + dev * dev'). Bounds are taken with few segments
-first, then with more for the pairs that may still be among a query's best, and
-the rest are scored exactly.
-
-Vectors are packed into blocks of a fixed number of bytes. Every block of
-queries meets every group of blocks once, by a shuffle on both numbers; a task
-holds one block of queries and one group of a bounded number of blocks.
+first, then with more for the pairs that may still be among a query's best; only
+pairs whose own bounds reach the k-th best score so far are scored exactly. Where
+there aren't k yet, the vectors whose means are most like the query's come first.
+
+Vectors and queries are packed into blocks and meet in tiles, dealt out by a
+shuffle: a group of query blocks with a part of the vector blocks. Queries are
+the small side and copied to every part, vectors to the few groups of queries.
+Parts are searched in rounds that start from the scores reached so far.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from txlab.sources.staging import stage
+from txlab.llm.vectors import ENDLESS, EXACT, blocks, fill, part_of, parts_of, tile, windows_of
 
 SCALE = 64.0
-BLOCK_BYTES = 1 << 21
-QUERY_BYTES = 1 << 18
-BLOCKS_PER_GROUP = 8
+#: Bytes of vectors and of queries that a tile holds.
+PART_BYTES = 1 << 24
+ASKED_BYTES = 1 << 24
+#: Vectors and queries that are compared at once.
+CHUNK = 4_096
+QUERIES_AT_ONCE = 256
 SEGMENTS = (1, 4, 16)
-_EXACT = float(1 << 53)
-
-
-def _packed(batch: pa.RecordBatch, block_bytes: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Dimension, ids and whole-number matrix of the rows that take part."""
-    lists = batch.column("embedding")
-    ids = batch.column("vec_id")
-    usable = np.asarray(lists.is_valid()) & np.asarray(ids.is_valid())
-    offsets = lists.offsets.to_numpy()
-    flat = lists.values
-    good = np.asarray(flat.is_valid())
-    values = np.where(good, flat.fill_null(0).to_numpy(zero_copy_only=False).astype(np.float64), np.nan)
-    bad = np.concatenate(([0], np.cumsum(~np.isfinite(values))))
-    sizes = np.diff(offsets)
-    usable &= bad[offsets[1:]] == bad[offsets[:-1]]
-    for size in np.unique(sizes[usable]):
-        rows = np.flatnonzero(usable & (sizes == size))
-        step = max(1, block_bytes // (8 * max(int(size), 1)))
-        for start in range(0, len(rows), step):
-            part = rows[start : start + step]
-            matrix = values[offsets[part][:, None] + np.arange(size)[None, :]]
-            matrix = np.floor(SCALE * matrix)
-            if matrix.size and np.abs(matrix).max() >= 2.0**62:
-                raise ArithmeticError("a component times 64 does not fit in 64 bits")
-            kept = ids.take(pa.array(part)).to_numpy(zero_copy_only=False)
-            yield int(size), kept.astype(np.int64), matrix.astype(np.int64)
-
-
-def _blocks(block_bytes: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = list(_packed(batch, block_bytes))
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([dim for dim, _, _ in rows], pa.int32()),
-                        pa.array([ids for _, ids, _ in rows], pa.list_(pa.int64())),
-                        pa.array([_small(matrix).tobytes() for _, _, matrix in rows], pa.binary()),
-                    ],
-                    ["dim", "ids", "matrix"],
-                )
-
-    return run
+#: Of a query without k rows yet, so many times k of the likeliest vectors are scored first.
+FIRST = 4
+#: Share of pairs above which a whole matrix is computed instead of single pairs.
+_MANY = 0.1
+_PAIRS_AT_ONCE = 1 << 17
 
 
-def _small(matrix: np.ndarray) -> np.ndarray:
-    most = np.abs(matrix).max(initial=0)
-    return matrix.astype(np.int16 if most < 1 << 15 else np.int64)
+class Chunk:
+    """Vectors with their ids and, for each resolution, the means and deviations of their segments."""
 
+    def __init__(self, ids: np.ndarray, values: np.ndarray):
+        self.ids, self.values, self.numbers = ids, values, values.astype(np.float64)
+        self.most = float(np.abs(self.numbers).max(initial=0))
+        self.levels = [_statistics(values, s) for s in SEGMENTS if s <= values.shape[1]]
 
-def _matrix(raw: bytes, rows: int, dim: int) -> np.ndarray:
-    kind = np.int16 if len(raw) == 2 * rows * dim else np.int64
-    return np.frombuffer(raw, kind).reshape(rows, dim).astype(np.int64)
 
-
-def _statistics(matrix: np.ndarray, segments: int) -> np.ndarray:
+def _statistics(values: np.ndarray, segments: int) -> np.ndarray:
     """Mean and deviation of each segment, times the square root of its length."""
-    cuts = np.linspace(0, matrix.shape[1], segments + 1).astype(int)
+    cuts = np.linspace(0, values.shape[1], segments + 1).astype(int)
     out = []
     for low, high in zip(cuts, cuts[1:]):
-        part = matrix[:, low:high].astype(np.float64)
+        part = values[:, low:high].astype(np.float64)
         root = np.sqrt(high - low)
         out += [part.mean(axis=1) * root, part.std(axis=1) * root]
     return np.stack(out, axis=1)
 
 
+def _of_pairs(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Products of rows x of a with rows y of b."""
+    out = np.empty(len(x))
+    for start in range(0, len(x), _PAIRS_AT_ONCE):
+        some = slice(start, start + _PAIRS_AT_ONCE)
+        out[some] = np.einsum("pd,pd->p", a[x[some]], b[y[some]])
+    return out
+
+
+def _fits(asked: Chunk, held: Chunk) -> bool:
+    """Whether scores are exact in floating point; otherwise they are computed as 64-bit numbers."""
+    most = asked.most * held.most * max(asked.values.shape[1], 1)
+    if most >= 2.0**62:
+        raise ArithmeticError("a score may not fit in 64 bits")
+    return most < EXACT
+
+
 class _Best:
-    """The k best of each query so far; ties go to the smaller id."""
+    """The k best ids of each query so far and the score to reach; ties go to the smaller id."""
 
-    def __init__(self, queries: int, k: int):
-        self.k, self.floor = k, np.full(queries, -np.inf)
-        self.rows = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))
+    def __init__(self, low: np.ndarray, k: int):
+        self.k, self.low = k, low.copy()
+        self.found = tuple(np.empty(0, np.int64) for _ in range(3))
+
+    @property
+    def rows(self) -> int:
+        return len(self.found[0])
 
     def add(self, query: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
-        query, ids, scores = (np.concatenate(x) for x in zip(self.rows, (query, ids, scores)))
+        reached = scores >= self.low[query]
+        query, ids, scores = (np.concatenate((old, new[reached])) for old, new in zip(self.found, (query, ids, scores)))
+        order = np.lexsort((-scores, ids, query))  # an id that occurs again counts once, with its best score
+        query, ids, scores = query[order], ids[order], scores[order]
+        fresh = np.ones(len(query), bool)
+        fresh[1:] = (query[1:] != query[:-1]) | (ids[1:] != ids[:-1])
+        query, ids, scores = query[fresh], ids[fresh], scores[fresh]
         order = np.lexsort((ids, -scores, query))
         query, ids, scores = query[order], ids[order], scores[order]
-        if len(query) > 1:  # an id that occurs again counts once, with its best score
-            again = np.lexsort((np.arange(len(ids)), ids, query))
-            same = (query[again][1:] == query[again][:-1]) & (ids[again][1:] == ids[again][:-1])
-            fresh = np.ones(len(ids), bool)
-            fresh[again[1:][same]] = False
-            query, ids, scores = query[fresh], ids[fresh], scores[fresh]
-        start = np.searchsorted(query, query)
-        rank = np.arange(len(query)) - start
-        keep = rank < self.k
+        rank = np.arange(len(query)) - np.searchsorted(query, query)
         last = rank == self.k - 1
-        self.floor[query[last]] = scores[last]
-        self.rows = (query[keep], ids[keep], scores[keep])
+        self.low[query[last]] = np.maximum(self.low[query[last]], scores[last])
+        kept = rank < self.k
+        self.found = query[kept], ids[kept], scores[kept]
 
 
-def _scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    most = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * max(queries.shape[1], 1)
-    if most < _EXACT:
-        return (queries.astype(np.float64) @ vectors.astype(np.float64).T).astype(np.int64)
-    if most >= 2.0**63:
-        raise ArithmeticError("a score may not fit in 64 bits")
-    return queries @ vectors.T
-
+def scan(best: _Best, asked: Chunk, held: Chunk, seen: dict | None = None) -> None:
+    """Add what a chunk of vectors has for the queries. ``seen`` counts the pairs and those scored exactly.
 
-def _scan(best: _Best, query_ids, queries, query_stats, ids, vectors) -> None:
-    """Add what a block of vectors has for the queries."""
-    rows, columns = np.arange(len(queries)), np.arange(len(vectors))
-    if np.isfinite(best.floor).any():
-        for level, stats in query_stats:
-            bound = stats[rows] @ _statistics(vectors[columns], level).T
-            near = bound * (1 + 1e-9) + 1e-6 * (1 + np.abs(bound)) >= best.floor[rows][:, None]
-            rows, columns = rows[near.any(axis=1)], columns[near.any(axis=0)]
-            if not len(rows) or not len(columns):
-                return
-    scores = _scores(queries[rows], vectors[columns])
-    hit, at = np.nonzero((scores >= best.floor[rows][:, None]) & (query_ids[rows][:, None] != ids[columns][None, :]))
-    best.add(rows[hit], ids[columns][at], scores[hit, at])
+    While many pairs are alive, whole matrices are computed; then single pairs.
+    """
+    fits = _fits(asked, held)
+    alive = asked.ids[:, None] != held.ids[None, :]
+    pairs: tuple[np.ndarray, np.ndarray] | None = None
+    bound = np.zeros(alive.shape)
+    slack = 1e-6 + 1e-9 * asked.most * held.most * asked.values.shape[1]
+
+    def few() -> tuple[np.ndarray, np.ndarray] | None:
+        return None if np.count_nonzero(alive) > _MANY * alive.size else np.nonzero(alive)
+
+    def score(x: np.ndarray, y: np.ndarray) -> None:
+        if fits:
+            scores = _of_pairs(asked.numbers, held.numbers, x, y).astype(np.int64)
+        else:
+            scores = (asked.values.astype(np.int64) @ held.values.astype(np.int64).T)[x, y]
+        best.add(x, held.ids[y], scores)
+
+    for own, theirs in zip(asked.levels, held.levels):
+        if pairs is None:
+            bound = own @ theirs.T + slack
+            alive &= bound >= best.low[:, None]
+            pairs = few()
+        else:
+            x, y = pairs
+            near = _of_pairs(own, theirs, x, y) + slack >= best.low[x]
+            pairs = x[near], y[near]
+    counted = 0
+    if pairs is None and best.rows < best.k * len(asked.ids):
+        # The deviations only bound what the means tell.
+        likely = asked.levels[-1][:, ::2] @ held.levels[-1][:, ::2].T if asked.levels else np.zeros(alive.shape)
+        some = min(FIRST * best.k, alive.shape[1])
+        x, y = np.repeat(np.arange(len(likely)), some), np.argpartition(-likely, some - 1, axis=1)[:, :some].ravel()
+        live = alive[x, y]
+        score(x[live], y[live])
+        counted += int(live.sum())
+        alive[x, y] = False
+        alive &= (bound >= best.low[:, None]) | (not asked.levels)
+        pairs = few()
+    if pairs is not None:
+        score(*pairs)
+        counted += len(pairs[0])
+    elif fits:
+        scores = asked.numbers @ held.numbers.T
+        counted += int(np.count_nonzero(alive))
+        x, y = np.nonzero(alive & (scores >= best.low[:, None]))
+        best.add(x, held.ids[y], scores[x, y].astype(np.int64))
+    else:
+        counted += int(np.count_nonzero(alive))
+        score(*np.nonzero(alive))
+    if seen is not None:
+        seen["pairs"] = seen.get("pairs", 0) + alive.size
+        seen["exact"] = seen.get("exact", 0) + counted
 
 
 def _search(k: int):
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        out = [[], [], []]
-        for asked in left.to_pylist():
-            query_ids = np.asarray(asked["ids"], np.int64)
-            dim = asked["dim"]
-            queries = _matrix(asked["matrix"], len(query_ids), dim)
-            levels = [s for s in SEGMENTS if s <= dim]
-            stats = [(s, _statistics(queries, s)) for s in levels]
-            best = _Best(len(queries), k)
-            for row in range(right.num_rows):
-                ids = right.column("ids")[row].values.to_numpy(zero_copy_only=False)
-                vectors = _matrix(right.column("matrix")[row].as_py(), len(ids), dim)
-                for start in range(0, len(ids), 1024):
-                    _scan(best, query_ids, queries, stats, ids[start : start + 1024], vectors[start : start + 1024])
-            query, ids, scores = best.rows
-            for held, values in zip(out, (query_ids[query], ids, scores)):
-                held.append(values)
-        columns = [pa.array(np.concatenate(x) if x else np.empty(0, np.int64), pa.int64()) for x in out]
-        return pa.Table.from_arrays(columns, ["query_id", "vec_id", "score"])
+        out: list[list[np.ndarray]] = [[], [], [], [], []]
+        vectors = tile(right)
+        for dim, asked in tile(left).items():
+            if dim not in vectors:
+                continue
+            held = vectors[dim]
+            chunks = [
+                Chunk(held["vec_id"][start : start + CHUNK], held["values"][start : start + CHUNK])
+                for start in range(0, len(held["vec_id"]), CHUNK)
+            ]
+            _, number, at, slot, low, _ = windows_of(asked)  # one window a query
+            for start in range(0, len(number), QUERIES_AT_ONCE):
+                rows = slice(start, start + QUERIES_AT_ONCE)
+                queries, best = Chunk(asked["vec_id"][rows], asked["values"][rows]), _Best(low[rows], k)
+                for chunk in chunks:
+                    scan(best, queries, chunk)
+                query, ids, scores = best.found
+                for column, values in zip(out, (number[rows][query], at[rows][query], slot[rows][query], ids, scores)):
+                    column.append(values)
+        columns = [pa.array(np.concatenate(c) if c else np.empty(0, np.int64), pa.int64()) for c in out]
+        return pa.Table.from_arrays(columns, ["number", "at", "slot", "vec_id", "score"])
 
     return run
 
@@ -180,28 +201,19 @@ def top_k(embeddings: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     score 0 with each other. A vec_id that occurs several times is returned once
     for a query, with its best score, and isn't its own candidate; its queries
     are one. With fewer than k candidates all are returned; an empty table gives
-    no rows.
+    no rows. Components and scores that may not fit in 62 bits are an error.
+    Other columns aren't read.
     """
-    rows = embeddings.select(F.col("vec_id").cast("long"), "embedding")
-    schema = "dim int, ids array<long>, matrix binary"
-    number = F.monotonically_increasing_id().alias("number")
-    blocks = stage(rows.mapInArrow(_blocks(BLOCK_BYTES), schema).select("*", number))
-    asked = stage(
-        rows.filter(F.col("vec_id") % every == 0).mapInArrow(_blocks(QUERY_BYTES), schema).select("*", number)
-    )
-    groups = -(-blocks.count() // BLOCKS_PER_GROUP)
-    held = blocks.withColumn("part", F.pmod(F.xxhash64("number"), F.lit(max(groups, 1))).cast("int"))
-    numbers = asked.select(F.col("dim").alias("_dim"), F.col("number").alias("asked"))
-    met = held.join(numbers, F.col("dim") == F.col("_dim")).select("asked", "part", "ids", "matrix")
-    queries = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(max(groups, 1) - 1)))).withColumnRenamed(
-        "number", "asked"
-    )
-    keys = ["asked", "part"]
-    found = (
-        queries.groupBy(*keys)
-        .cogroup(met.groupBy(*keys))
-        .applyInArrow(_search(k), "query_id long, vec_id long, score long")
-    )
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    rows = embeddings.select(F.col("vec_id").cast("long"), "embedding").filter("vec_id IS NOT NULL")
+    asked = blocks(rows.filter(F.col("vec_id") % every == 0), SCALE, ["vec_id"])
+    held = blocks(rows, SCALE, ["vec_id"])
+    tasks = 2 * embeddings.sparkSession.sparkContext.defaultParallelism
+    asks, parts = parts_of(asked, ASKED_BYTES), parts_of(held, PART_BYTES, tasks)
+    held = held.withColumn("part", part_of(F.col("number"), parts)).drop("number")
+    ids = asked.select("number", F.posexplode("vec_id").alias("at", "query_id"))
+    whole = ids.select("number", "at", F.lit(0).alias("slot"), F.lit(-ENDLESS).alias("low"), F.lit(ENDLESS).alias("high"))
+    found = fill(whole, asked, asks, held, parts, k, _search(k), once=True)
+    # The rows of a repeated query are one.
+    found = found.join(ids, ["number", "at"]).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
