@@ -92,3 +92,18 @@ def test_long_texts_are_encoded_in_blocks(monkeypatch):
     text = "some words, and more words " * 40
     assert encode(encoding, text) == encoding.encode_ordinary(text)
     assert encoding.decode(encode(encoding, "é" * 1000)) == "é" * 1000
+
+
+def test_blocks_give_the_ids_of_the_whole_text(monkeypatch):
+    """Lists without spaces, runs of blanks and line ends, and single long matches, cut at every size."""
+    rng = random.Random(2)
+    pieces = ["1,", "x;", "中文", "  ", "   ", "\n", "\n\n ", " a", "it's", "'", "!?", "é", "\t", "😀", "7" * 30, "ab" * 40, " " * 60]
+    encoding = tiktoken.Encoding("r", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(PATH), special_tokens={})
+    for block in (1, 7, 50, 333):
+        monkeypatch.setattr("txlab.llm.packing._BLOCK", block)
+        for _ in range(150):
+            text = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 120)))
+            assert encode(encoding, text) == encoding.encode_ordinary(text)
+    monkeypatch.undo()
+    text = ",".join(str(rng.randrange(10**6)) for _ in range(40_000))
+    assert len(text) > 250_000 and encode(encoding, text) == encoding.encode_ordinary(text)

@@ -11,11 +11,11 @@ ids than a sequence holds are cut into full sequences and a rest.
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -25,9 +25,8 @@ from txlab.llm.common import held_in_worker, ids_and_texts
 LENGTH = 2048
 WINDOW_TOKENS = 4_000_000
 _SENT = 1024
-#: Longer texts are encoded in blocks, cut between two words where there are any.
+#: Longer texts are encoded in blocks of about so many characters, which end where a match of the pattern does.
 _BLOCK = 200_000
-_CUT = re.compile(r"(?<=\w) (?=\w)")
 
 
 class RoomTree:
@@ -92,15 +91,36 @@ def _encoding(shared) -> tiktoken.Encoding:
     )
 
 
+def _ends(matches: regex.Pattern, text: str) -> Iterator[int]:
+    """Where a long text's blocks end.
+
+    Matching from a match's end goes on as in the whole text; and a block's last
+    two matches, which may look at what follows, must be the same without what
+    follows the block. A text that is a single match from some place on isn't cut
+    there.
+    """
+    start, last = 0, [0, 0, 0]
+    for found in matches.finditer(text):
+        last = [*last[1:], found.end()]
+        if last[2] - start < _BLOCK or last[2] == len(text):
+            continue
+        alone = (matches.match(text, begin, endpos=last[2]) for begin in last[:2])
+        if [m and m.end() for m in alone] == last[1:]:
+            yield last[2]
+            start = last[2]
+    yield len(text)
+
+
 def encode(encoding: tiktoken.Encoding, text: str) -> list[int]:
+    """The ids of the whole text."""
+    if len(text) <= _BLOCK:
+        return encoding.encode_ordinary(text)
     ids: list[int] = []
     start = 0
-    while len(text) - start > _BLOCK:
-        cut = _CUT.search(text, start + _BLOCK // 2, start + _BLOCK)
-        end = cut.start() if cut else start + _BLOCK
+    for end in _ends(regex.compile(encoding._pat_str), text):
         ids += encoding.encode_ordinary(text[start:end])
         start = end
-    return ids + encoding.encode_ordinary(text[start:])
+    return ids
 
 
 def _rows(part: int, first: int, held, length: int, pad: int) -> Iterator[pa.RecordBatch]:
