@@ -81,3 +81,12 @@ def test_odd_rows(spark, table):
     assert [r.n_hit for r in decontaminate(table(docs[3:5]), none).collect()] == [0]
     assert decontaminate(table([]), spark.createDataFrame(items, "item_id long, text string")).count() == 0
     assert decontaminate(table([(None, passage)]), spark.createDataFrame(items, "item_id long, text string")).first().n_hit == 10
+
+
+def test_very_long_words(spark, table):
+    """Words of any length are compared, and what is broadcast of them is short."""
+    long = ["x" * 50_000 + str(k) for k in range(14)]
+    docs = [(1, " ".join(["a", *long, "b"])), (2, " ".join(long[:9])), (3, " ".join(long[2:12])), (4, f"{long[3]}y {long[4]}")]
+    items = spark.createDataFrame([("i", " ".join(long)), ("s", f"{long[3]} {long[4]}")], "item_id string, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.items) for r in decontaminate(table(docs), items).collect()}
+    assert got == {1: (16, 14, ["i", "s"]), 2: (9, 2, ["s"]), 3: (10, 10, ["i", "s"]), 4: (2, 0, [])}
