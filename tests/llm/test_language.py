@@ -125,3 +125,13 @@ def test_every_language_is_learned_under_one_name(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     truth = {r[0]: r[3] for r in rows}
     assert all(r.language == truth[r.doc_id] and r.accepted for r in languages(docs, pages).collect())
+
+
+def test_copies_are_drawn_one_by_one(spark, monkeypatch):
+    """A group of copies that is half of a language's rows is about half of its sample, and junk tags are no languages."""
+    monkeypatch.setattr(language, "SAMPLE", 100)
+    rows = [(i, "the same text for all of these" if i % 2 else f"text number {i} of its own", "en") for i in range(4000)]
+    rows += [(10_000 + i, "junk", tag) for i in range(30) for tag in ("e1", "english", "??", "x" * 40, "")]
+    drawn = language.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    copies = sum(r.text.startswith("the same") for r in drawn)
+    assert {r.lang for r in drawn} == {"en"} and 60 <= len(drawn) <= 150 and 0.3 <= copies / len(drawn) <= 0.7

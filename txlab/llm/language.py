@@ -69,9 +69,12 @@ class Model:
 
 
 def main_language(lang: Column) -> Column:
-    """A language tag's first part in small letters, or null if there is none."""
+    """A language tag's first part in small letters, or null if it isn't two or three letters.
+
+    The form bounds the languages there can be, whatever else tags hold.
+    """
     main = F.lower(F.substring_index(F.translate(F.trim(lang.cast("string")), "_", "-"), "-", 1))
-    return F.when(main != "", main)
+    return F.when(main.rlike("^[a-z]{2,3}$"), main)
 
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,12 +97,18 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def sample(rows: DataFrame) -> DataFrame:
     """``lang, half, text`` of about SAMPLE texts of each language that has LEAST_ROWS rows.
 
-    The half is 0 or 1, by the text.
+    Rows are drawn by text and, where there is one, ``doc_id``, so copies are
+    drawn one by one. The half is 0 or 1, by the text alone.
     """
-    known = rows.select(F.col("text").cast("string").alias("text"), main_language(F.col("lang")).alias("lang"))
+    doc_id = F.col("doc_id") if "doc_id" in rows.columns else F.lit(None)
+    known = rows.select(
+        F.col("text").cast("string").alias("text"),
+        main_language(F.col("lang")).alias("lang"),
+        doc_id.cast("string").alias("doc_id"),
+    )
     known = known.filter("lang IS NOT NULL")
     sizes = known.groupBy("lang").count().filter(F.col("count") >= LEAST_ROWS).withColumnRenamed("count", "_n")
-    draw = F.pmod(F.xxhash64("text", F.lit("language")), F.lit(1 << 20)) / float(1 << 20)
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit("language")), F.lit(1 << 20)) / float(1 << 20)
     half = F.pmod(F.xxhash64("text", F.lit("half")), F.lit(2)).cast("int").alias("half")
     return known.join(F.broadcast(sizes), "lang").filter(draw < SAMPLE / F.col("_n")).select("lang", half, "text")
 
