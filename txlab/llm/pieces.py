@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlab.llm.common import held_in_worker, ids_and_texts
+from txlab.llm.common import held_in_worker, ids_and_texts, release
 
 _SPACE = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
@@ -297,7 +297,7 @@ def id_lists(rows: list[array]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
 
 
-def _round_trip(shared):
+def _round_trip(shared, keep: bool):
     def coded(coder: PieceCoder, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         doc_ids, texts = batch.column("doc_id"), batch.column("text")
         start, held, rows, shown = 0, 0, [], []
@@ -316,22 +316,26 @@ def _round_trip(shared):
         coder = coder_of(shared)
         for batch in batches:
             yield from coded(coder, batch)
+        if not keep:
+            del coder
+            release()
 
     return run
 
 
-def encode_and_decode(docs: DataFrame, model_path: str) -> DataFrame:
+def encode_and_decode(docs: DataFrame, model_path: str, keep: bool = True) -> DataFrame:
     """``doc_id, ids, decoded`` of each row: a text's ids and the text they decode to.
 
     Ids are those of the library's ``encode`` without begin and end ids and
     without sampling, the text is that of its ``decode``. A null or empty text
     has no ids and decodes to an empty text. Rows stay apart, also equal ones
     and those without doc_id; other columns are left out. An empty table gives
-    no rows. ``model_path`` is read on the driver only.
+    no rows. ``model_path`` is read on the driver only. Workers keep tables and
+    chunks for their next task, up to about 300 MB, unless ``keep`` is false.
     """
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model_path))
     return ids_and_texts(docs).mapInArrow(
-        _round_trip(shared), "doc_id long, ids array<int>, decoded string"
+        _round_trip(shared, keep), "doc_id long, ids array<int>, decoded string"
     )
 
 

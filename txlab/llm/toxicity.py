@@ -19,7 +19,6 @@ the score.
 
 from __future__ import annotations
 
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from txlab.llm.common import WordHashes, held_in_worker, ids_and_texts, texts_as_bytes, words
+from txlab.llm.common import WordHashes, ids_and_texts, release, texts_as_bytes, words
 from txlab.llm.near_duplicates import shingle_hashes
 from txlab.sources.staging import stage
 
@@ -140,6 +139,8 @@ def _document_counts(shared):
                 counts[list(numbers)] += 1
         terms = np.flatnonzero(counts[:-1])
         yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32()), pa.array(counts[terms])], ["term", "n"])
+        del found
+        release()
 
     return run
 
@@ -329,21 +330,23 @@ def score(text: Column, model: Model, spark) -> Column:
     """
     # Bounded by 2 * EXAMPLES and MOST_POSTINGS: a common term is in at least COMMON_SHARE of the examples.
     shared = spark.sparkContext.broadcast(model)
-    number = uuid.uuid4().hex
 
     @F.arrow_udf("score double, neighbours array<long>")
-    def scored(texts: pa.Array) -> pa.Array:
-        scorer = held_in_worker(("toxicity", number), lambda: Scorer(shared.value))
-        scores, neighbours = [], []
-        rows = list(texts_as_bytes(texts))
-        for start in range(0, len(rows), _TEXTS_AT_ONCE):
-            found = scorer.scores(rows[start : start + _TEXTS_AT_ONCE])
-            scores.append(found[0])
-            neighbours += found[1]
-        return pa.StructArray.from_arrays(
-            [pa.array(np.concatenate([np.empty(0), *scores])), pa.array(neighbours, pa.list_(pa.int64()))],
-            ["score", "neighbours"],
-        )
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            scores, neighbours = [], []
+            rows = list(texts_as_bytes(batch))
+            for start in range(0, len(rows), _TEXTS_AT_ONCE):
+                found = scorer.scores(rows[start : start + _TEXTS_AT_ONCE])
+                scores.append(found[0])
+                neighbours += found[1]
+            yield pa.StructArray.from_arrays(
+                [pa.array(np.concatenate([np.empty(0), *scores])), pa.array(neighbours, pa.list_(pa.int64()))],
+                ["score", "neighbours"],
+            )
+        del scorer
+        release()
 
     return scored(text)
 
