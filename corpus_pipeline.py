@@ -36,8 +36,6 @@ from txlab.sources.staging import stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     model = language.fit(docs)
-    evidence = stage(language.document_evidence(docs, model)) if model.languages else None
-    tables = language.gather(evidence, len(model.languages)) if model.languages else ()
     # One struct holds the input's columns, so that theirs can't clash with those of the evidence.
     rows = docs.select(
         F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"),
@@ -46,6 +44,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("suffix"),
         language.text_evidence(F.col("text"), model, spark).alias("text_evidence"),
     )
+    if not model.languages:
+        return language.decide(rows, model, ()).filter("accepted").select("_row.*")
+    # Written, as the priors and the decision both read it.
+    rows = stage(rows)
+    tables = language.gather(rows.drop("_row"), len(model.languages))
     return language.decide(rows, model, tables).filter("accepted").select("_row.*")
 
 
@@ -83,7 +86,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    coded = encode_and_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    coded = encode_and_decode(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=False)
     n_tokens = F.size("ids").cast("long").alias("n_tokens")
     return coded.select("doc_id", n_tokens, "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
