@@ -267,6 +267,41 @@ def test_anti_join_ignores_repeated_keys(spark):
     assert [r.tx_id for r in J.remove_rows(df, gone, ["tx_id"]).collect()] == ["b"]
 
 
+def test_rows_without_a_case_are_spread(spark):
+    """Nine of ten rows have no case; no task gets them all, without adaptive execution."""
+    df = spark.range(20_000).select(
+        F.col("id").alias("tx_id"), F.when(F.col("id") % 10 == 0, F.col("id") % 700).alias("case_id"), F.lit(2.0).alias("amount")
+    )
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        got = W.group_total_on_rows(df)
+        parts = [r["n"] for r in got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        rows = got.collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(parts) > 4 and max(parts) < 2 * sum(parts) / len(parts)
+    assert {*got.columns} == {*df.columns, "group_total"} and len(rows) == 20_000
+    sizes = {c: sum(r.case_id == c for r in rows) for c in {r.case_id for r in rows} if c is not None}
+    assert all(r.group_total == (None if r.case_id is None else 2.0 * sizes[r.case_id]) for r in rows)
+
+
+def test_merge_by_number(spark):
+    """n equal rows and m give max(n, m), missing values being equal."""
+    a = spark.createDataFrame([("x", None, 3), ("x", None, 1), ("x", None, 1), ("y", "k", 2)], "t string, b string, n int")
+    b = spark.createDataFrame([("x", None, "q"), ("x", None, "p"), ("z", "k", "r"), ("z", "k", "r")], "t string, b string, m string")
+    expected = [("x", None, 1, "p"), ("x", None, 1, "q"), ("x", None, 3, None), ("y", "k", 2, None), ("z", "k", None, "r"), ("z", "k", None, "r")]
+    got = J.merge_matched(a, b)
+    assert got.columns == ["t", "b", "n", "m"]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(expected, key=str)
+    assert J.merge_common(a, b).count() == 3 * 2 + 1 + 2
+    hot = spark.range(3000).select(F.lit("x").alias("t"))
+    assert J.merge_matched(hot, hot.limit(1000)).count() == 3000
+
+
 def test_merge_matches_missing_values(spark):
     a = spark.createDataFrame([("x", None, 1), ("y", "k", 2)], "t string, b string, n int")
     b = spark.createDataFrame([("x", None, "p"), ("z", None, "q")], "t string, b string, m string")

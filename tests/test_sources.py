@@ -56,6 +56,26 @@ def test_staging_uses_the_configured_folder(spark):
     assert all(folder in name for name in staged.inputFiles())
 
 
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Session:
+        class conf:
+            get = staticmethod(lambda name, default=None: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        staging.staging_dir(Session)
+
+
+def test_staged_buckets_are_read_without_a_shuffle(spark):
+    df = staging.stage_in_buckets(spark.range(1000).withColumn("g", F.col("id") % 50), 4, "g")
+    counts = df.groupBy("g").count()
+    assert "Exchange" not in counts._jdf.queryExecution().toString() and counts.count() == 50
+    name = [t.name for t in spark.catalog.listTables(pattern="txlab_staged_*")]
+    assert name
+
+
 @pytest.mark.parametrize("sf", ["0.001", "0.01"])
 def test_foreign_keys_hold(spark, sf):
     """What leaving out unneeded joins of the ledger view rests on."""

@@ -22,6 +22,10 @@ from txlab.operators.ranking import rank_in_group
 from txlab.sources.staging import stage
 
 
+#: Keys that rows without a group are spread over.
+_SPREAD = 1 << 20
+
+
 def join_factor(tx: DataFrame, factors: DataFrame, on: str = "customer_id") -> DataFrame:
     return tx.join(factors, on)
 
@@ -29,8 +33,16 @@ def join_factor(tx: DataFrame, factors: DataFrame, on: str = "customer_id") -> D
 def attach_total(
     df: DataFrame, totals: DataFrame, on: Sequence[str] = ("case_id",)
 ) -> DataFrame:
-    """Per-group values back onto rows; rows without a group keep null."""
-    return df.join(stage(totals), list(on), "left")
+    """Per-group values back onto rows; rows without a group keep null.
+
+    Rows without a group match nothing, but as equal keys a shuffle would send
+    them all to one task, so each gets one of many keys of its own.
+    """
+    missing = reduce(Column.__or__, [F.col(c).isNull() for c in on])
+    spread = F.when(missing, F.monotonically_increasing_id() % _SPREAD + 1).otherwise(0)
+    # The totals' key is written, so that it isn't taken for a constant.
+    totals = stage(totals.withColumn("_spread", F.lit(0).cast("long")))
+    return df.withColumn("_spread", spread).join(totals, [*on, "_spread"], "left").drop("_spread")
 
 
 def join_same_group(

@@ -20,9 +20,16 @@ _TABLES = "txlab_staged_"
 
 
 def staging_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; where none is set, one in the warehouse, which is shared too."""
+    """The session's checkpoint folder; where none is set, one in the warehouse, if this is a local session.
+
+    On a cluster the default warehouse is a folder of one machine, so an unset
+    checkpoint folder is an error there.
+    """
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if not configured:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
         spark.conf.set(CHECKPOINT_DIR, configured)
     return configured.rstrip("/")
