@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from txlab.llm.common import held_in_worker, ids_and_texts, texts_as_bytes, words
+from txlab.llm.license_texts import TAGS, TEMPLATES
 
 # Phrases that count wherever they stand, and their labels.
 BASE_PHRASES = {
@@ -27,47 +28,6 @@ BASE_PHRASES = {
     "all rights reserved": "reserved",
 }
 
-# Wordings of widely used notices, and their labels.
-TEMPLATES = (
-    ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    (
-        "apache-2.0",
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-        "compliance with the License. You may obtain a copy of the License at",
-    ),
-    ("mit", "Released under the MIT License"),
-    ("mit", "Licensed under the MIT License"),
-    (
-        "mit",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-        "associated documentation files (the \"Software\"), to deal in the Software without restriction",
-    ),
-    (
-        "bsd",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-        "that the following conditions are met",
-    ),
-    ("gpl", "This work is licensed under the GNU General Public License, version 3"),
-    (
-        "gpl",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation",
-    ),
-    (
-        "lgpl",
-        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
-        "published by the Free Software Foundation",
-    ),
-    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("cc-by", "Licensed under CC BY 4.0"),
-    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
-    ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
-    ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights"),
-    ("reserved", "All rights reserved. No part of this publication may be reproduced without permission"),
-)
-
 #: Words of a match at least, the part of a template a chain must cover, and the
 #: words that may be skipped between two matches of a chain, in text or template.
 LEAST_WORDS = 3
@@ -146,21 +106,23 @@ class SuffixAutomaton:
 
 
 class Scanner:
-    def __init__(self, templates=TEMPLATES, phrases=None):
+    """Tags count only as a whole, templates also as chains of their parts."""
+
+    def __init__(self, templates=TEMPLATES, phrases=None, tags=TAGS):
         phrases = BASE_PHRASES if phrases is None else phrases
-        self.labels = [label for label, _ in templates]
-        sequences = [words(text.encode()) for _, text in templates]
+        self.labels = [label for label, _ in (*templates, *tags)]
+        sequences = [words(text.encode()) for _, text in (*templates, *tags)]
         base = [words(phrase.encode()) for phrase in phrases]
         self.numbers = {w: k for k, w in enumerate(dict.fromkeys(w for s in sequences + base for w in s))}
         coded = [[self.numbers[w] for w in s] for s in sequences + base]
         self.sizes = [len(s) for s in coded]
         self.automaton = SuffixAutomaton(coded)
         self.ends = [frozenset(e) for e in self.automaton.ends]
-        self.coded = coded[: len(sequences)]
+        self.coded = coded[: len(templates)]
         self.shorter = self._shorter()
         self.phrases = self._whole({len(sequences) + k: label for k, label in enumerate(phrases.values())})
         self.notices = self._whole(dict(enumerate(self.labels)))
-        self.templates = len(sequences)
+        self.templates = len(templates)
 
     def _whole(self, names: dict[int, str]) -> list[tuple[tuple[int, str], ...]]:
         """For each state the whole sequences that its longest run ends with: words and name."""
