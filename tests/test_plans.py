@@ -1,7 +1,9 @@
 """Properties of the composite jobs that hold whatever was drawn."""
 
+import random
 from datetime import date
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,6 +107,50 @@ def test_injection_strictly(plain, fraud):
         L.inject_labels(plain, fraud, high_per_month=3, other_per_month=30)
 
 
+def test_injection_at_its_defaults(spark):
+    """Five rows a month for customers of high income and three for others, 0 to 2 less, against plain Python."""
+    rng = random.Random(11)
+    columns = "tx_id string, customer_id long, tx_date date, category string, subcategory string, description string, amount double, tx_type string"
+    rows = []
+    for customer in range(40):
+        for month in range(1, 7):
+            rows.append((f"i{customer}-{month}", customer, date(2024, month, 25), "Income", "s", "pay", 1000.0 + 7 * customer, "income"))
+            for k in range(40):
+                category = rng.choice(["Groceries", "Holiday", "Housing", "Utilities", None])
+                day = date(2024, month, rng.randint(1, 28))
+                rows.append((f"t{customer}-{month}-{k}", customer, day, category, "s", "d", rng.uniform(1, 90), "spending"))
+    kinds = ["Romance"] * 150 + ["Purchase", "Investment"] * 100 + ["CEO"] * 20
+    pool = [(f"c{k}", None, None, "Holiday", "f", f"fraud {k}", 50.0 + k, "spending", kind) for k, kind in enumerate(kinds)]
+    ledger = spark.createDataFrame(rows, columns)
+    cases = spark.createDataFrame(pool, columns + ", fraud_type string")
+    out = L.inject_labels(ledger, cases).collect()
+    chosen = {r.customer_id for r in out if r.customer_scammed}
+    assert len(chosen) == 12
+    cut = float(np.percentile([r[6] for r in rows if r[1] in chosen and r[3] == "Income"], 90))
+    kind_of = {f"fraud {k}": kind for k, kind in enumerate(kinds)}
+    known = {r[0]: r for r in rows}
+    for customer in range(40):
+        own = [r for r in out if r.customer_id == customer]
+        placed = [r for r in own if r.fraud_type != S.NO_FRAUD]
+        kept = {r.tx_id for r in own} - {r.tx_id for r in placed}
+        gone = [r for r in rows if r[1] == customer and r[0] not in kept]
+        if customer not in chosen:
+            assert not placed and not gone
+            continue
+        high = 1000.0 + 7 * customer > cut
+        total = (5 if high else 3) * 6
+        dates = {r.tx_date for r in placed}
+        open_rows = [r for r in rows if r[1] == customer and r[2] in dates and r[3] not in S.BILL_CATEGORIES]
+        assert total - 2 <= len(placed) <= total and len(gone) == min(len(placed), len(open_rows)) > 0
+        assert len({r.description for r in placed}) == len(placed)
+        for r in placed:
+            assert r.fraud_type == kind_of[r.description] and (r.fraud_type == "Romance") == high and r.fraud_type != "CEO"
+        assert dates <= {r[2] for r in rows if r[1] == customer}
+        assert all(r[2] in dates and r[3] not in S.BILL_CATEGORIES for r in gone)
+        assert kept <= known.keys()
+    assert {c > cut for c in (1000.0 + 7 * customer for customer in chosen)} == {True, False}
+
+
 def test_replacement_removes_fewer(plain, fraud, injected):
     loose = L.inject_labels(plain, fraud, high_per_month=0.2, other_per_month=0.1, exact=False, strict=False)
     assert loose.count() > injected.count()

@@ -23,30 +23,33 @@ from txlab.sources.staging import stage
 CUSTOMER = "customer_id"
 
 
+def customer_facts(chosen: DataFrame) -> DataFrame:
+    """Per customer the rows, the months with rows and the first Income amount, in one aggregate."""
+    income = F.col("category") == S.INCOME
+    return chosen.groupBy(CUSTOMER).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.collect_set(cal.month_start("tx_date")).alias("_months"),
+        F.min_by("amount", F.when(income, F.struct("tx_date", "tx_id"))).alias("_income"),
+    )
+
+
 def customer_quotas(
-    chosen: DataFrame,
+    facts: DataFrame,
+    cut: float | None,
     high_per_month: float,
     other_per_month: float,
-    q: float,
     months: int,
     seed: int = SEED,
 ) -> DataFrame:
-    """Per chosen customer: which pool its fraud comes from and how many rows.
+    """Per customer: which pool its fraud comes from and how many rows.
 
-    A customer whose first Income amount is above the q-quantile of all chosen
-    Income rows is high-income; one without Income is not.
+    A customer whose first Income amount is above ``cut`` is high-income; one
+    without Income is not.
     """
-    income = F.col("category") == S.INCOME
-    cut = exact_quantiles(chosen.filter(income), "amount", [q], written=True).first()
-    first = F.min_by("amount", F.when(income, F.struct("tx_date", "tx_id")))
-    high = F.coalesce(first > F.lit(cut["value"] if cut else None).cast("double"), F.lit(False))
-    total = F.when(F.col("high_income"), int(high_per_month * months)).otherwise(int(other_per_month * months))
+    high = F.coalesce(F.col("_income") > F.lit(cut).cast("double"), F.lit(False))
+    total = F.when(high, int(high_per_month * months)).otherwise(int(other_per_month * months))
     drawn = total - draw_int(0, 2, CUSTOMER, salt="quota", seed=seed)
-    return (
-        chosen.groupBy(CUSTOMER)
-        .agg(high.alias("high_income"), F.count(F.lit(1)).alias("_rows"))
-        .withColumn("quota", F.greatest(drawn, F.lit(0)))
-    )
+    return facts.select(CUSTOMER, high.alias("high_income"), "_rows", F.greatest(drawn, F.lit(0)).alias("quota"))
 
 
 def inject_labels(
@@ -74,13 +77,14 @@ def inject_labels(
     selected = is_selected(ledger, CUSTOMER, share, seed=seed)
     # Every further pass reads only the chosen customers' rows.
     chosen = stage(ledger.filter(selected))
-    months = chosen.select(cal.month_start("tx_date").alias("m")).filter("m IS NOT NULL").distinct().count()
+    facts = stage(customer_facts(chosen))
+    months = facts.select(F.explode("_months")).distinct().count()
+    # A customer above the q-quantile of all chosen Income rows is high-income.
+    cut = exact_quantiles(chosen.filter(F.col("category") == S.INCOME), "amount", [q], written=True).first()
     most = int(max(high_per_month, other_per_month) * months)
-    quotas = stage(customer_quotas(chosen, high_per_month, other_per_month, q, months, seed))
-    if strict and quotas.filter(F.col("_rows") < F.col("quota")).limit(1).count():
-        raise ValueError("a customer has fewer rows than fraud rows to place")
+    quotas = customer_quotas(facts, cut["value"] if cut else None, high_per_month, other_per_month, months, seed)
     pool = _case_pool(cases, seed)
-    _check_pool(pool, quotas)
+    _check_quotas(quotas, pool, strict)
 
     # The dated places for fraud rows: at most `most` per customer.
     slots = (
@@ -125,11 +129,14 @@ def _case_pool(cases: DataFrame, seed: int):
     return index_pool(usable, ["high_income"], ["tx_id"], salt="cases", seed=seed)
 
 
-def _check_pool(pool, quotas: DataFrame) -> None:
-    """No customer may draw more fraud rows than its pool holds."""
+def _check_quotas(quotas: DataFrame, pool, strict: bool) -> None:
+    """Customers have enough rows (``strict``), and none draws more fraud rows than its pool holds."""
+    short = F.bool_or(F.col("_rows") < F.col("quota")).alias("short")
+    asked = quotas.groupBy("high_income").agg(short, F.max(F.least("quota", "_rows")).alias("most")).collect()
+    if strict and any(row["short"] for row in asked):
+        raise ValueError("a customer has fewer rows than fraud rows to place")
     sizes = {row["high_income"]: row["_pool_size"] for row in pool.sizes.collect()}
-    drawn = quotas.groupBy("high_income").agg(F.max(F.least("quota", "_rows")).alias("most"))
-    for row in drawn.collect():
+    for row in asked:
         held = sizes.get(row["high_income"], 0)
         if held < row["most"]:
             raise ValueError(f"the fraud pool holds {held} rows, {row['most']} are drawn for a customer")
