@@ -2,12 +2,13 @@
 
 import math
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from txlab.llm import language
-from txlab.llm.language import SMOOTHING, document_evidence, fit, gather, languages, visible_text
+from txlab.llm.language import SMOOTHING, decide, document_evidence, fit, gather, languages, visible_text
 
 
 def test_languages_of_the_tables(spark, sf_dir):
@@ -56,6 +57,61 @@ def test_host_priors(spark):
         assert got[host] == pytest.approx([(own[k] + SMOOTHING * above[k]) / (sum(own) + SMOOTHING) for k in (0, 1)])
 
 
+def test_fused_posterior_is_the_plain_one(spark):
+    """Text, host, declaration and suffix together, against sums and products in plain Python."""
+    rng, names = random.Random(8), ["de", "en", "fr"]
+    size, rows = 3, []
+    for k in range(400):
+        spoken = rng.randrange(3)
+        text = [-rng.expovariate(0.3) * (j != spoken) for j in range(3)]
+        text = [t - max(text) for t in text]
+        known = 0.0 if rng.random() < 0.1 else float(rng.randint(3, 90))
+        host = rng.choice([None, f"h{spoken}.a.org", f"h{rng.randrange(6)}.b.net", "lone.c.io"])
+        declared = rng.choice([None, names[spoken], rng.choice(names), "xx"])
+        rows.append((k, host, declared, rng.choice([None, f"org/{spoken}", "net/"]), [*text, known, rng.uniform(-9, 4)]))
+    frame = spark.createDataFrame(rows, "k long, host string, declared string, suffix string, text_evidence array<double>")
+    model = SimpleNamespace(languages=names)
+    got = {r.k: r for r in decide(frame, model, gather(frame, size)).collect()}
+
+    def softmax(values):
+        each = [math.exp(v - max(values)) for v in values]
+        return [e / sum(each) for e in each]
+
+    def domain(host):
+        return ".".join(host.split(".")[-2:])
+
+    sums, whole = {}, [0.0] * size
+    for _, host, declared, suffix, text in rows:
+        if text[size] <= 0 or text[size + 1] > 0:
+            continue
+        for j, p in enumerate(softmax(text[:size])):
+            if p > 1e-12:
+                whole[j] += p
+                for key in [("host", host), ("declared", declared), ("suffix", suffix)] + ([("domain", domain(host))] if host else []):
+                    sums.setdefault(key, [0.0] * size)[j] += p
+    base = [(w + 1) / (sum(whole) + size) for w in whole]
+
+    def prior(host, j):
+        if host is None or ("host", host) not in sums:
+            return 0.0
+        own, up = sums["host", host], sums["domain", domain(host)]
+        above = (up[j] + SMOOTHING * base[j]) / (sum(up) + SMOOTHING)
+        return math.log((own[j] + SMOOTHING * above) / (sum(own) + SMOOTHING))
+
+    def given(kind, value, j):
+        if value is None or (kind, value) not in sums:
+            return 0.0
+        own = sums[kind, value]
+        return math.log((own[j] + SMOOTHING * sum(own) / max(sum(whole), 1.0)) / (base[j] * sum(whole) + SMOOTHING))
+
+    for k, host, declared, suffix, text in rows:
+        post = softmax([text[j] + prior(host, j) + given("declared", declared, j) + given("suffix", suffix, j) for j in range(size)])
+        confidence = max(post) / (1 + math.exp(text[size + 1]))
+        assert got[k].confidence == pytest.approx(confidence, rel=1e-9)
+        assert got[k].language == (names[post.index(max(post))] if text[size] > 0 else None)
+        assert got[k].accepted == (text[size] > 0 and confidence >= language.ACCEPT)
+
+
 def test_visible_text(spark):
     html = "<html><STYLE>a</style ><script x='1'>b</b></script>c<!-- d -->e<b f='g'>h</b>"
     assert spark.range(1).select(visible_text(F.lit(html)).alias("t")).first().t.split() == ["c", "e", "h"]
