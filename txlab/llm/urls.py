@@ -148,6 +148,8 @@ def match(addresses: DataFrame, rules: DataFrame) -> DataFrame:
     rarest = F.min_by("token", F.struct("held", "token"))
     facts = [F.first(c).alias(c) for c in ("needed", "confidence", "support")]
     index = stage(entries.join(spread, "token").groupBy("rule_id").agg(rarest.alias("token"), *facts))
+    if index.isEmpty():  # no token need be dealt out
+        return addresses.limit(0).select("key", F.lit(None).cast("double").alias("confidence"), F.col("tokens").alias("rule_tokens"))
     looked = addresses.select("key", "tokens", F.explode("tokens").alias("token")).join(index, "token")
     matched = looked.filter(F.size(F.array_except("needed", "tokens")) == 0)
     best = F.struct("confidence", "support", F.array_sort("needed").alias("needed"))
