@@ -25,10 +25,10 @@ from txlab.sources.staging import stage
 SPAN = 10
 GRAM = 5
 WINDOW = SPAN - GRAM + 1
-#: Kept hashes of items in one broadcast, each with the words around it: 70 MB at most.
+#: Kept hashes of items in one broadcast, each with the 15 words around it: 200 MB at most, usually 30.
 BLOCK_ROWS = 100_000
-#: Longer words are compared by their checksums.
-KEY_BYTES = 32
+#: Words of more characters are compared by their checksums.
+LONG_WORD = 32
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -40,9 +40,17 @@ def word_list(text: Column) -> Column:
     return F.split(lower, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
+def _short(words: Column, text: Column) -> Column:
+    """The words with checksums in the place of long ones, so that what is broadcast of a word is bounded."""
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
+    short = F.transform(words, lambda w: F.when(F.char_length(w) > LONG_WORD, F.md5(w)).otherwise(w))
+    return F.when(F.coalesce(text.rlike(f"{word}{{{LONG_WORD + 1}}}"), F.lit(False)), short).otherwise(words)
+
+
 def with_words(df: DataFrame, text: str = "text") -> DataFrame:
-    """Replaces a text by ``words``; separators at either end leave no empty word."""
-    parts = df.withColumn("words", word_list(F.col(text))).drop(text)
+    """Replaces a text by ``words``; separators at either end leave no empty word. Long words are checksums."""
+    parts = df.withColumn("words", word_list(F.col(text)))
+    parts = parts.withColumn("words", _short(F.col("words"), F.col(text))).drop(text)
     first = F.when(F.get("words", F.lit(0)) == "", 2).otherwise(1)
     last = F.when((F.size("words") > 1) & (F.element_at("words", -1) == ""), 1).otherwise(0)
     return parts.withColumn("words", F.slice("words", first, F.greatest(F.size("words") - first + 1 - last, F.lit(0))))
@@ -108,17 +116,6 @@ def _exploded(df: DataFrame, columns: list[str], one: bool) -> DataFrame:
     )
 
 
-def _key(word: Column) -> Column:
-    """What stands for a word in a comparison: itself or, if it is long, its checksum, in KEY_BYTES at most."""
-    return F.when(F.octet_length(word) > KEY_BYTES, F.md5(word)).otherwise(word)
-
-
-def _around() -> Column:
-    """The words around a mark of a document, as items have them; none where nothing is met."""
-    words = F.array(*[_key(F.get("words", F.col("place") + k)) for k in range(-(SPAN - GRAM), SPAN)])
-    return F.when(F.col("around").isNotNull(), words)
-
-
 def _item_marks(items: DataFrame, short: list[int], full: bool) -> DataFrame:
     """The kept hashes of items, each with the words around it."""
     sides = []
@@ -127,7 +124,7 @@ def _item_marks(items: DataFrame, short: list[int], full: bool) -> DataFrame:
         marked = _fingerprints(own, [] if size == SPAN else [size], size == SPAN)
         out = _exploded(marked, ["item_id"], True).filter("place IS NOT NULL")
         reach = range(-(SPAN - GRAM), SPAN) if size == SPAN else range(size)
-        around = F.array(*[_key(F.get("words", F.col("place") + k)) for k in reach])
+        around = F.array(*[F.get("words", F.col("place") + k) for k in reach])
         sides.append(out.select("item_id", "span", "hash", around.alias("around")))
     out = sides[0]
     for other in sides[1:]:
@@ -135,9 +132,10 @@ def _item_marks(items: DataFrame, short: list[int], full: bool) -> DataFrame:
     return out
 
 
-def _same(k: int, offset: int) -> Column:
+def _same(place: Column, k: int, offset: int) -> Column:
     """Whether the word ``k`` after the place is the item's; beyond either end it isn't."""
-    here, there = (F.get(side, F.lit(k + offset)) for side in ("_here", "around"))
+    here = F.get("words", F.col("place") + k)
+    there = F.get("around", F.lit(k + offset))
     return F.coalesce(here == there, F.lit(False))
 
 
@@ -145,7 +143,7 @@ def _run(steps: list[int], offset: int) -> Column:
     """Words in a row that agree, from the first of ``steps`` on."""
     out = F.lit(len(steps))
     for n, k in reversed(list(enumerate(steps))):
-        out = F.when(~_same(k, offset), n).otherwise(out)
+        out = F.when(~_same(F.col("place"), k, offset), n).otherwise(out)
     return out
 
 
@@ -154,14 +152,11 @@ def _extended() -> tuple[Column, Column]:
     beside = SPAN - GRAM
     core = F.lit(True)
     for k in range(GRAM):
-        core = core & _same(k, beside)
+        core = core & _same(F.col("place"), k, beside)
     before = _run([-k for k in range(1, beside + 1)], beside)
     after = _run(list(range(GRAM, SPAN)), beside)
     long_enough = core & (before + GRAM + after >= SPAN)
-    whole = F.lit(True)
-    for k in range(SPAN - 1):
-        word, needed = F.get("_here", F.lit(k + beside)), F.get("around", F.lit(k))
-        whole = whole & ((F.col("span") <= k) | F.coalesce(word == needed, F.lit(False)))
+    whole = F.slice("words", F.col("place") + 1, F.col("span")) == F.col("around")
     full = F.col("span") == SPAN
     first = F.when(full & long_enough, F.col("place") - before).when(~full & whole, F.col("place"))
     last = F.when(full & long_enough, F.col("place") + GRAM - 1 + after).when(
@@ -202,7 +197,7 @@ def passages(docs: DataFrame, items: DataFrame) -> DataFrame:
         part = F.pmod(F.xxhash64("item_id", "hash", "around"), F.lit(blocks)) == block
         side = marks.filter(part) if blocks > 1 else marks
         alone = F.col("place").isNull() if block == 0 else F.lit(False)
-        met = rows.join(F.broadcast(side), ["span", "hash"], "left").withColumn("_here", _around())
+        met = rows.join(F.broadcast(side), ["span", "hash"], "left")
         found = ["doc_id", "_text", F.size("words").alias("n_words"), "item_id"]
         hits = met.filter(alone | F.col("around").isNotNull()).select(
             *found, first.alias("first"), last.alias("last"), alone.alias("_alone")
