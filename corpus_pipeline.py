@@ -47,7 +47,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if not model.languages:
         return language.decide(rows, model, ()).filter("accepted").select("_row.*")
     # Written, as the priors and the decision both read it.
-    rows = stage(rows)
+    rows = stage(rows, "zstd")
     tables = language.gather(rows.drop("_row"), len(model.languages))
     return language.decide(rows, model, tables).filter("accepted").select("_row.*")
 
