@@ -83,8 +83,10 @@ def test_odd_rows(spark, table):
     assert decontaminate(table([(None, passage)]), spark.createDataFrame(items, "item_id long, text string")).first().n_hit == 10
 
 
-def test_very_long_words(spark, table):
-    """Words of any length are compared, and what is broadcast of them is short."""
+@pytest.mark.parametrize("most", [1 << 26, 2_000_000])
+def test_very_long_words(spark, table, monkeypatch, most):
+    """Words of any length are compared; where they are long, what is broadcast at once has fewer."""
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", most)
     long = ["x" * 50_000 + str(k) for k in range(14)]
     docs = [(1, " ".join(["a", *long, "b"])), (2, " ".join(long[:9])), (3, " ".join(long[2:12])), (4, f"{long[3]}y {long[4]}")]
     items = spark.createDataFrame([("i", " ".join(long)), ("s", f"{long[3]} {long[4]}")], "item_id string, text string")

@@ -8,8 +8,8 @@ word by word to both sides, and counts if the common words around it are at
 least SPAN. Items of fewer words are one passage as a whole and are compared
 through the hash of all their words.
 
-The items' kept hashes are the side that is broadcast, in blocks of a fixed
-number of rows, so that no passage, however many documents share it, is ever a
+The items' kept hashes are the side that is broadcast, in blocks bounded in rows
+and in bytes, so that no passage, however many documents share it, is ever a
 shuffle key. Only hits and one row for each document are shuffled.
 """
 
@@ -25,10 +25,9 @@ from txlab.sources.staging import stage
 SPAN = 10
 GRAM = 5
 WINDOW = SPAN - GRAM + 1
-#: Kept hashes of items in one broadcast, each with the 15 words around it: 200 MB at most, usually 30.
-BLOCK_ROWS = 100_000
-#: Words of more characters are compared by their checksums.
-LONG_WORD = 32
+#: Kept hashes of items in one broadcast, about 60 MB, and the bytes of the words around them.
+BLOCK_ROWS = 200_000
+BLOCK_BYTES = 1 << 26
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -40,17 +39,9 @@ def word_list(text: Column) -> Column:
     return F.split(lower, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
-def _short(words: Column, text: Column) -> Column:
-    """The words with checksums in the place of long ones, so that what is broadcast of a word is bounded."""
-    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
-    short = F.transform(words, lambda w: F.when(F.char_length(w) > LONG_WORD, F.md5(w)).otherwise(w))
-    return F.when(F.coalesce(text.rlike(f"{word}{{{LONG_WORD + 1}}}"), F.lit(False)), short).otherwise(words)
-
-
 def with_words(df: DataFrame, text: str = "text") -> DataFrame:
-    """Replaces a text by ``words``; separators at either end leave no empty word. Long words are checksums."""
-    parts = df.withColumn("words", word_list(F.col(text)))
-    parts = parts.withColumn("words", _short(F.col("words"), F.col(text))).drop(text)
+    """Replaces a text by ``words``; separators at either end leave no empty word."""
+    parts = df.withColumn("words", word_list(F.col(text))).drop(text)
     first = F.when(F.get("words", F.lit(0)) == "", 2).otherwise(1)
     last = F.when((F.size("words") > 1) & (F.element_at("words", -1) == ""), 1).otherwise(0)
     return parts.withColumn("words", F.slice("words", first, F.greatest(F.size("words") - first + 1 - last, F.lit(0))))
@@ -183,7 +174,8 @@ def passages(docs: DataFrame, items: DataFrame) -> DataFrame:
     if not lengths:
         return own.select("*", *none)
     marks = stage(_item_marks(items, short, full))
-    blocks = -(-marks.count() // BLOCK_ROWS)
+    rows, size = marks.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.array_join("around", ""))), F.lit(0))).first()
+    blocks = max(-(-rows // BLOCK_ROWS), -(-size // BLOCK_BYTES))
     kept = _fingerprints(source, short, full)
     one = len(lengths) == 1
     # An empty mark, which meets nothing, carries each document through the join.
