@@ -69,7 +69,7 @@ def test_odd_rows(spark):
 
 def test_large_numbers(spark):
     rows = [(0, 1, [2.0**19, 1.0]), (1, 1, [2.0**18, 2.0**10]), (2, 2, [2.0**17, 5.0]), (3, 2, [2.0**16, -1.0])]
-    assert got(spark, rows) == brute(rows, 100, 5, 10)
+    assert got(spark, rows, every=20) == brute(rows, 20, 5, 10)
     with pytest.raises(Exception, match="64 bits"):
         got(spark, [(0, 1, [1e300]), (1, 1, [1.0])])
 
@@ -94,3 +94,22 @@ def test_join_prunes_pairs():
     least = np.sort(scores, axis=1)[:, -20]
     join(Vectors(y[:50], order), Vectors(y, order), least, seen)
     assert seen["pairs"] == 50 * 4000 and seen["exact"] <= 0.05 * seen["pairs"]
+
+
+def test_a_later_chunk_is_searched_down_to_the_best_so_far():
+    order, lengths = np.arange(1), np.asarray([100, 90, 80, 70, 60, 50, 5_000, 4_000, 75, 65])
+    rows = {"vec_id": np.arange(1, 11), "label": np.full(10, 2), "values": lengths[:, None]}
+    anchor = {"vec_id": np.asarray([0]), "label": np.asarray([1]), "values": np.asarray([[1]])}
+    windows = negatives._Windows(np.asarray([0]), np.asarray([1]), np.asarray([6_000]), 7)
+    for part in (slice(0, 6), slice(6, 10)):
+        some = negatives._some(rows, part, order)
+        negatives._search_chunk(windows, negatives._some(anchor, slice(0, 1), order), some, False)
+    assert windows.found[2].tolist() == [5_000, 4_000, 100, 90, 80, 75, 70]
+
+
+def test_vectors_of_many_lengths(spark):
+    rng = np.random.default_rng(5)
+    values = rng.normal(size=(3, 8))[rng.integers(3, size=1400)] + 0.3 * rng.normal(size=(1400, 8))
+    values *= 10.0 ** rng.uniform(-3, 2, size=(1400, 1))
+    rows = [(i, int(rng.integers(4)), [float(np.float32(x)) for x in v]) for i, v in enumerate(values)]
+    assert got(spark, rows, every=20) == brute(rows, 20, 5, 10)

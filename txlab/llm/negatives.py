@@ -144,10 +144,10 @@ def _search_chunk(windows: _Windows, anchors: dict, held: dict, same: bool) -> N
     reach = np.ceil(np.minimum(reach * (1 + 1e-9) + 1, float(ENDLESS))).astype(np.int64)[windows.anchor]
     upper, lower = np.minimum(windows.high, reach), np.maximum(windows.low, -reach)
     todo, above = lower <= upper, upper + 1
-    full = windows.filled()
     for share in LOWERED:
         if not todo.any():
             return
+        full = windows.filled()
         span = (upper - lower).astype(np.float64)
         down = np.where(full, lower, np.maximum(lower, upper - np.ceil(share * span).astype(np.int64)))
         down = lower if share == LOWERED[-1] else down
@@ -168,8 +168,9 @@ def _search_chunk(windows: _Windows, anchors: dict, held: dict, same: bool) -> N
             inside = (scores[has] >= down[window]) & (scores[has] < above[window])
             windows.add(window[inside], held["ids"][y[has]][inside], scores[has][inside])
         above = np.where(todo, down, above)
+        # Earlier chunks may have filled a window by rows below this threshold: the chunk is searched down to the k-th score.
         lower = np.maximum(lower, windows.low)
-        todo &= (down > lower) & ~windows.filled()
+        todo &= down > lower
 
 
 def _some(held: dict, rows: slice, order: np.ndarray) -> dict:
