@@ -473,3 +473,25 @@ def test_truncated_normal_at_its_edges(spark):
     far = rows.filter("k = 1").withColumn("high", F.lit(6.0)).withColumn("mean", F.lit(900.0))
     with pytest.raises(Exception, match="no draw between"):
         far.select(draw_truncated_normal("low", "high", "mean", "k", salt="s").alias("x")).collect()
+
+
+def test_injection_with_a_written_draw_is_the_same(plain, fraud, injected):
+    drawn = plain.withColumn("_drawn", L.customer_draw())
+    again = L.inject_labels(
+        drawn, fraud, high_per_month=0.2, other_per_month=0.1, strict=False, drawn="_drawn", written=True
+    )
+    assert again.columns == injected.columns
+    assert again.count() == injected.count()
+    assert again.exceptAll(injected).count() == 0
+
+
+def test_the_final_table_writes_its_ledger_once(spark, monkeypatch):
+    from txlab.plans import labels
+    from txlab.queries import jobs
+
+    written = {jobs: [], labels: []}
+    for module, tables in written.items():
+        monkeypatch.setattr(module, "stage", lambda df, tables=tables: tables.append(stage(df)) or tables[-1])
+    rows = jobs.final_bank_data(spark, "/root/testdata/sf0.01").count()
+    assert len(written[jobs]) == 1
+    assert max(table.count() for table in written[labels]) < 0.5 * rows

@@ -190,3 +190,24 @@ def test_zip_pairs_by_position(skewed):
     assert pairs.filter("other IS NULL").agg(F.min("position")).first()[0] == right.count() + 1
     same = zip_columns(left, left.withColumnRenamed("tx_id", "other"), ["tx_id"], ["other"])
     assert same.filter("tx_id IS NULL OR other IS NULL").count() == 0 and same.count() == left.count()
+
+
+@pytest.mark.parametrize("small", [1, 40, 100_000])
+def test_small_groups_have_the_same_ranks(skewed, small):
+    for by in (["customer_id"], ["customer_id", "day"]):
+        expected = rank_in_group(skewed, by, ["tx_id"], prefix=["day"])
+        got = rank_in_group(skewed, by, ["tx_id"], prefix=["day"], small=small)
+        assert got.dtypes == expected.dtypes
+        assert got.count() == skewed.count()
+        assert got.exceptAll(expected).count() == 0
+
+
+def test_tiles_write_no_rows_of_small_groups(skewed, monkeypatch):
+    from txlab.operators import ranking
+    from txlab.operators.windows import tile_by_position
+
+    written, stage = [], ranking.stage
+    monkeypatch.setattr(ranking, "stage", lambda df: written.append(stage(df)) or written[-1])
+    dated = skewed.selectExpr("tx_id", "customer_id", "date(day) AS tx_date", "day AS description")
+    assert tile_by_position(dated, ["a", "b"], "bank").count() == skewed.count()
+    assert sum(table.count() for table in written) == 0

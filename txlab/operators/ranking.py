@@ -7,6 +7,10 @@ it fills.  A row is numbered in its part as it is written; its rank is that
 number less that of the group's first row there, plus the group's rows in earlier
 parts.  Both are hash aggregates of one number for each group and part.  There is
 one plan for all sizes.
+
+Where most groups are tiny, these numbers are about as many as the rows.  With
+``small`` groups are counted first, those of at most so many rows are ranked by a
+window, without being written, and only the others, if there are any, by ranges.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ from pyspark.sql import functions as F
 from txlab.functions.draws import SEED, uniform
 from txlab.sources.staging import stage
 
+#: Rows of a group that one task may well put in order.
+SMALL = 100_000
 _GROUP = "_group"
 _ORDER = "_order"
 _PART = "_part"
@@ -51,6 +57,15 @@ def _ranked(
     return ranked.select(*[F.col(c) for c in df.columns], (F.col(_ID) + F.col("_shift")).alias(name), "_size")
 
 
+def _ranked_by_window(
+    df: DataFrame, by: Sequence[str], key: Sequence[str], prefix: Sequence[str], salt: str, name: str, seed: int
+) -> DataFrame:
+    """The same by a plain window, without the sizes."""
+    ordered = df.withColumn(_ORDER, uniform(*key, salt=salt, seed=seed))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*prefix, _ORDER, *key)).cast("long")
+    return ordered.select(*[F.col(c) for c in df.columns], place.alias(name))
+
+
 def rank_in_group(
     df: DataFrame,
     by: Sequence[str],
@@ -59,12 +74,22 @@ def rank_in_group(
     salt: str = "rank",
     name: str = "rank",
     seed: int = SEED,
+    small: int = 0,
 ) -> DataFrame:
     """1-based ``row_number`` per group, ordered by ``prefix``, then hash of ``key``, then ``key``.
 
-    ``key`` must be unique in the group.
+    ``key`` must be unique in the group.  Groups of up to ``small`` rows are ranked in one task each.
     """
-    return _ranked(df, by, key, prefix, salt, name, seed).drop("_size")
+    rest = (by, key, prefix, salt, name, seed)
+    if not small or not by:
+        return _ranked(df, *rest).drop("_size")
+    sizes = df.groupBy(group_key(by).alias(_GROUP)).agg(F.count(F.lit(1)).alias("_size"))
+    large = stage(sizes.filter(F.col("_size") > small).select(_GROUP))
+    if large.isEmpty():
+        return _ranked_by_window(df, *rest)
+    keyed = df.withColumn(_GROUP, group_key(by))
+    few, many = (keyed.join(large, _GROUP, how).select(*[F.col(c) for c in df.columns]) for how in ("left_anti", "left_semi"))
+    return _ranked_by_window(few, *rest).unionByName(_ranked(many, *rest).drop("_size"))
 
 
 def mark_lowest(

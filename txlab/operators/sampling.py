@@ -97,18 +97,22 @@ def select_entities(
     return marked.filter("_in").drop("_in")
 
 
-def is_selected(df: DataFrame, entity: str, share: float, salt: str = "sel", seed: int = SEED) -> Column:
+def is_selected(
+    df: DataFrame, entity: str, share: float, salt: str = "sel", seed: int = SEED, drawn: str | None = None
+) -> Column:
     """Membership in ``select_entities`` as a filter on rows, without a join.
 
     The selected entities are those with the lowest hash, so the last one
     selected decides for every row.  That single value is fetched once.
+    ``drawn``: a column with the rows' ``uniform`` of the entity, if it was written with them.
     """
-    place = F.struct(uniform(entity, salt=salt, seed=seed).alias("h"), F.col(entity).alias("k"))
+    h, k = uniform(entity, salt=salt, seed=seed), F.col(entity)
+    place = F.struct(h.alias("h"), k.alias("k"))
     last = select_entities(df, entity, share, salt, seed).agg(F.max(place).alias("p")).first()["p"]
     if last is None:
         return F.lit(False)
-    limit = F.struct(F.lit(last["h"]).alias("h"), F.lit(last["k"]).alias("k"))
-    return F.col(entity).isNotNull() & (place <= limit)
+    h = F.col(drawn) if drawn else h
+    return k.isNotNull() & (F.struct(h.alias("h"), k.alias("k")) <= F.struct(F.lit(last["h"]).alias("h"), F.lit(last["k"]).alias("k")))
 
 
 @dataclass(frozen=True)

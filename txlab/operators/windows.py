@@ -14,7 +14,7 @@ from txlab.functions.draws import SEED, draw_choice
 from txlab.operators.aggregates import first_in_group
 from txlab.operators.joins import attach_total, join_same_group
 from txlab.operators.quantiles import exact_quantiles
-from txlab.operators.ranking import rank_in_group
+from txlab.operators.ranking import SMALL, rank_in_group
 
 
 def row_key(
@@ -64,6 +64,7 @@ def tile_by_position(
         salt=salt,
         name="_position",
         seed=seed,
+        small=SMALL,
     )
     return ranked.withColumn(name, draw_choice(values, *by, "_position", salt=salt, seed=seed)).drop(
         "_position", "_month"

@@ -37,41 +37,34 @@ def assign_banks(
     # Missing values match no rule, and belong to no branch but the last.
     is_income = category.eqNullSafe(S.INCOME)
     is_utility = category.eqNullSafe(S.UTILITIES) & F.col("fraud_type").eqNullSafe(S.NO_FRAUD)
-    own = F.col("_own")
-    drawn = tx.withColumns(
-        {
-            "_own": draw_choice(banks, CUSTOMER, salt="own", seed=seed),
-            "bank_to": draw_choice(banks, "tx_id", salt="to", seed=seed),
-            "bank_from": draw_choice(banks, "tx_id", salt="from", seed=seed),
-        }
-    ).withColumns(
+    is_cash = F.coalesce(category == S.CASH_WITHDRAWAL, F.lit(False))
+    inside = F.coalesce(F.col("description").isin(*S.OWN_BANK_DESCRIPTIONS), F.lit(False))
+    lands, leaves = F.col("tx_type") == "income", F.col("tx_type") == "spending"
+    own, employer = F.col("_own"), F.col("_employer")
+    # A draw is a hash of texts, a large part of the time: each is made where a row needs it, after shuffles.
+    drawn_to, drawn_from = (draw_choice(banks, "tx_id", salt=salt, seed=seed) for salt in ("to", "from"))
+
+    def with_own(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_own", draw_choice(banks, CUSTOMER, salt="own", seed=seed))
+
+    bare = tx.drop("bank_to", "bank_from")
+    first = first_in_group(bare, [CUSTOMER], is_income, ORDER, ["tx_id", "tx_type"])
+    employers = with_own(first).select(CUSTOMER, F.when(leaves, own).otherwise(drawn_from).alias("_employer"))
+    income = with_own(join_same_group(bare.filter(is_income), employers, [CUSTOMER]))
+    income = income.withColumns({"bank_to": own, "bank_from": F.when(inside, own).otherwise(employer)}).drop("_employer")
+    plain = with_own(tx.filter(~is_income & ~is_utility)).withColumns(
         {
-            "bank_to": F.when((F.col("tx_type") == "income") | is_income, own).otherwise(F.col("bank_to")),
-            "bank_from": F.when(F.col("tx_type") == "spending", own).otherwise(F.col("bank_from")),
+            "bank_to": F.when(is_cash, F.lit(None)).when(inside | lands, own).otherwise(drawn_to),
+            "bank_from": F.when(inside | leaves, own).otherwise(drawn_from),
         }
     )
-    employer = first_in_group(drawn, [CUSTOMER], is_income, ORDER, ["bank_from"]).withColumnRenamed(
-        "bank_from", "_employer"
-    )
-    income = join_same_group(drawn.filter(is_income).drop("bank_from"), employer, [CUSTOMER])
-    income = income.withColumnRenamed("_employer", "bank_from")
-    inside = F.coalesce(F.col("description").isin(*S.OWN_BANK_DESCRIPTIONS), F.lit(False))
-    untiled = drawn.filter(~is_income & ~is_utility).unionByName(income)
-    untiled = untiled.withColumns(
-        {c: F.when(inside, own).otherwise(F.col(c)) for c in ("bank_to", "bank_from")}
-    )
-    utilities = tile_by_position(drawn.filter(is_utility), banks, "bank_to", salt="utility", seed=seed)
+    utilities = tile_by_position(bare.filter(is_utility), banks, "bank_to", salt="utility", seed=seed)
     if utilities_from == "own":
-        utilities = utilities.withColumn("bank_from", own)
+        utilities = with_own(utilities).withColumn("bank_from", own)
     else:
-        utilities = join_same_group(utilities.drop("bank_from"), employer, [CUSTOMER])
+        utilities = with_own(join_same_group(utilities, employers, [CUSTOMER]))
         utilities = utilities.withColumnRenamed("_employer", "bank_from")
-    cash = category == S.CASH_WITHDRAWAL
-    return (
-        untiled.unionByName(utilities)
-        .withColumn("bank_to", F.when(~F.coalesce(cash, F.lit(False)), F.col("bank_to")))
-        .drop("_own")
-    )
+    return plain.unionByName(income).unionByName(utilities).drop("_own")
 
 
 def vary_amounts(

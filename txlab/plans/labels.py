@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from txlab import schemas as S
 from txlab.functions import calendar as cal
-from txlab.functions.draws import SEED, draw_int
+from txlab.functions.draws import SEED, draw_int, uniform
 from txlab.operators.joins import keep_on_dates, remove_rows
 from txlab.operators.quantiles import exact_quantiles
 from txlab.operators.sampling import (
@@ -23,6 +23,11 @@ from txlab.sources.staging import stage
 CUSTOMER = "customer_id"
 
 
+def customer_draw(seed: int = SEED) -> Column:
+    """The draw by which ``inject_labels`` chooses customers."""
+    return uniform(CUSTOMER, salt="sel", seed=seed)
+
+
 def customer_facts(chosen: DataFrame) -> DataFrame:
     """Per customer the rows, the months with rows and the first Income amount, in one aggregate."""
     income = F.col("category") == S.INCOME
@@ -62,6 +67,8 @@ def inject_labels(
     exact: bool = True,
     strict: bool = True,
     seed: int = SEED,
+    drawn: str | None = None,
+    written: bool = False,
 ) -> DataFrame:
     """Replace ordinary rows of ``share`` of the customers by fraud rows.
 
@@ -72,11 +79,15 @@ def inject_labels(
     rows.  As many rows on those dates leave, never Income, Housing or
     Utilities.  ``exact=False`` draws the rows to remove with replacement, so
     fewer leave.  A customer with fewer rows than fraud rows to place is an
-    error; without ``strict`` it gets as many as it has rows.
+    error; without ``strict`` it gets as many as it has rows.  ``drawn``: a column
+    of the ledger with its rows' ``customer_draw``, which isn't returned.  With
+    ``written`` the chosen customers' new rows are written, for a result that is
+    read several times.
     """
-    selected = is_selected(ledger, CUSTOMER, share, seed=seed)
+    selected = is_selected(ledger, CUSTOMER, share, seed=seed, drawn=drawn)
+    untouched = ledger.filter(~selected)
     # Every further pass reads only the chosen customers' rows.
-    chosen = stage(ledger.filter(selected))
+    chosen = stage(ledger.filter(selected).drop(*[c for c in [drawn] if c]))
     facts = stage(customer_facts(chosen))
     months = facts.select(F.explode("_months")).distinct().count()
     # A customer above the q-quantile of all chosen Income rows is high-income.
@@ -104,7 +115,7 @@ def inject_labels(
     injected = _draw_cases(slots, pool, seed)
     removed = _rows_to_remove(chosen, slots, most, exact, seed)
     kept = remove_rows(chosen, removed, ["tx_id"])
-    ordinary = [F.col(c) for c in ledger.columns if c not in ("fraud_type", "customer_scammed")]
+    ordinary = [F.col(c) for c in ledger.columns if c not in ("fraud_type", "customer_scammed", drawn)]
 
     def labelled(df: DataFrame, fraud_type: Column, flag: int) -> DataFrame:
         return df.select(
@@ -112,13 +123,10 @@ def inject_labels(
         )
 
     none = F.lit(S.NO_FRAUD)
-    return (
-        labelled(ledger.filter(~selected), none, 0)
-        .unionByName(labelled(kept, none, 1))
-        .unionByName(
-            injected.withColumn("customer_scammed", F.lit(1)), allowMissingColumns=True
-        )
+    changed = labelled(kept, none, 1).unionByName(
+        injected.withColumn("customer_scammed", F.lit(1)), allowMissingColumns=True
     )
+    return labelled(untouched, none, 0).unionByName(stage(changed) if written else changed)
 
 
 def _case_pool(cases: DataFrame, seed: int):

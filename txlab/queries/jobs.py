@@ -303,12 +303,12 @@ _INJECT = f"""SELECT {_COLUMNS}, 'none' AS fraud_type,
 
 
 def _ledger_and_cases(spark, sf_dir):
-    rows = stage(ledger(spark, sf_dir, (*_LEDGER, "fraud_type")))
+    rows = stage(ledger(spark, sf_dir, (*_LEDGER, "fraud_type")).withColumn("_drawn", L.customer_draw()))
     plain = rows.filter(F.col("fraud_type") == S.NO_FRAUD).drop("fraud_type")
-    return plain, rows.filter(F.col("fraud_type") != S.NO_FRAUD)
+    return plain, rows.filter(F.col("fraud_type") != S.NO_FRAUD).drop("_drawn")
 
 
-def injected(spark, sf_dir, exact=True):
+def injected(spark, sf_dir, exact=True, written=False):
     plain, cases = _ledger_and_cases(spark, sf_dir)
     return L.inject_labels(
         plain,
@@ -317,6 +317,8 @@ def injected(spark, sf_dir, exact=True):
         other_per_month=OTHER_PER_MONTH,
         exact=exact,
         strict=False,
+        drawn="_drawn",
+        written=written,
     )
 
 
@@ -401,7 +403,7 @@ def vary_amounts(spark, sf_dir):
 )
 def final_bank_data(spark, sf_dir):
     """Label injection, bank assignment and amount variation in a row."""
-    return B.vary_amounts(B.assign_banks(stage(injected(spark, sf_dir))))
+    return B.vary_amounts(B.assign_banks(injected(spark, sf_dir, written=True)))
 
 
 # K12, K13 ------------------------------------------------------------------
